@@ -15,7 +15,7 @@ RATE_SCALE = 8
 def parse_rate_dates(df: DataFrame, date_col: str = "date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Text date -> ``DateType`` plus ``year`` / ``month``; unparsable text
     becomes null (ANSI-safe ``try_to_date``)."""
-    d = F.try_to_date(F.col(date_col), F.lit(fmt))
+    d = F.try_to_date(F.col(date_col), fmt)
     return df.withColumn(date_col, d).withColumns({
         "year": F.year(date_col), "month": F.month(date_col)})
 
@@ -49,4 +49,4 @@ def bounds_violations(stats: DataFrame, tol: float = 1e-9) -> DataFrame:
 
 def unparsable_dates(df: DataFrame, date_col: str = "date", fmt: str = "yyyy-MM-dd") -> DataFrame:
     """DQ-8: rows whose date text is null or does not parse."""
-    return df.filter(F.try_to_date(F.col(date_col), F.lit(fmt)).isNull())
+    return df.filter(F.try_to_date(F.col(date_col), fmt).isNull())

@@ -32,3 +32,278 @@ def trade_yearly(d: Domain) -> DataFrame:
     """Flagship: yearly rollup, ratios, world total and share per
     (year, hs_code)."""
     return marts.trade_yearly(d)
+
+
+# -- data quality ------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from portolan.operators import features as feat  # noqa: E402
+from portolan.operators import fx as fxo  # noqa: E402
+from portolan.operators import indicators as ind  # noqa: E402
+from portolan.operators import quality as dq  # noqa: E402
+from portolan.operators import serving as srv  # noqa: E402
+from portolan.operators import series as ser  # noqa: E402
+from portolan.operators import views as vw  # noqa: E402
+from portolan.plans.oracle_queries import (  # noqa: E402
+    SERIES_COUNTRIES,
+    SERIES_CURRENCY,
+    SERIES_PARTNER,
+    SERIES_YEAR,
+)
+
+
+def _cast(d: Domain) -> DataFrame:
+    return feat.cast_columns(d.trade_raw, feat.MEASURES)
+
+
+@query("trade_features")
+def trade_features(d: Domain) -> DataFrame:
+    """PRJ-1/3/6/8: typed, conformed, filled trade rows with period parts."""
+    return marts.monthly_features(d)
+
+
+@query("trade_missing_report")
+def trade_missing_report(d: Domain) -> DataFrame:
+    """DQ-1/2: missing values per column after the numeric casts."""
+    return dq.missing_report(_cast(d))
+
+
+@query("trade_fill")
+def trade_fill(d: Domain) -> DataFrame:
+    """DQ-3: quantity / weight filled with 0 (null and NaN)."""
+    return feat.fill_defaults(_cast(d), {"quantity": 0.0, "weight": 0.0})
+
+
+@query("trade_summary")
+def trade_summary(d: Domain) -> DataFrame:
+    """DQ-4: summary statistics of quantity and weight (approximate
+    quantiles, so no oracle)."""
+    return dq.numeric_summary(trade_fill(d), ["quantity", "weight"])
+
+
+@query("distinct_periods")
+def distinct_periods(d: Domain) -> DataFrame:
+    """DQ-5: distinct period parts."""
+    return dq.distinct_values(marts.monthly_features(d),
+                              ["data_period", "year", "month", "quarter", "quarter_label"])
+
+
+@query("year_range")
+def year_range(d: Domain) -> DataFrame:
+    """DQ-6: year range of the trade rows."""
+    return dq.range_check(marts.monthly_features(d), "year")
+
+
+@query("fx_bounds_violations")
+def fx_bounds_violations(d: Domain) -> DataFrame:
+    """DQ-7: yearly FX rows with a mean outside [min, max]."""
+    return fxo.bounds_violations(fxo.fx_yearly(d.fx_raw))
+
+
+@query("fx_bad_dates")
+def fx_bad_dates(d: Domain) -> DataFrame:
+    """DQ-8: FX rows whose date does not parse."""
+    return fxo.unparsable_dates(d.fx_raw)
+
+
+@query("world_reconciliation")
+def world_reconciliation(d: Domain) -> DataFrame:
+    """DQ-9: reported world value vs. sum over the other partners."""
+    return dq.world_reconciliation(marts.trade_yearly(d))
+
+
+@query("entity_audit")
+def entity_audit(d: Domain) -> DataFrame:
+    """DQ-10: one country's indicator rows with count and year range."""
+    return dq.entity_audit(marts.indicators(d), "country_name", "NATION_5")
+
+
+@query("join_row_counts")
+def join_row_counts(d: Domain) -> DataFrame:
+    """DQ-11: row count after each stage / join of both marts."""
+    m = marts.trade_monthly(d)
+    mc = marts.with_currency(m, d)
+    mr = mc.join(fxo.fx_monthly(d.fx_raw), ["currency", "year", "month"], "left")
+    y = marts.trade_yearly(d)
+    yc = marts.with_currency(y, d)
+    return dq.stage_counts({
+        "trade_monthly": m, "monthly_with_currency": mc, "monthly_with_rates": mr,
+        "monthly_mart": marts.monthly_mart(d), "trade_yearly": y,
+        "yearly_with_currency": yc, "yearly_with_rates": marts.yearly_rates(d),
+        "yearly_mart": marts.yearly_mart(d),
+    })
+
+
+@query("profile")
+def profile(d: Domain) -> DataFrame:
+    """SRC-7 / AGG-13: row and column counts of the three inputs."""
+    return (dq.profile(d.trade_raw, "trade_raw")
+            .unionByName(dq.profile(d.fx_raw, "fx_raw"))
+            .unionByName(dq.profile(d.wdi_raw, "wdi_raw")))
+
+
+# -- features, shares, rollups -----------------------------------------------
+@query("trade_month_share")
+def trade_month_share(d: Domain) -> DataFrame:
+    """WIN-1/2: world total per (period, hs_code) and share of the month."""
+    return marts.trade_monthly(d)
+
+
+@query("fx_monthly")
+def fx_monthly(d: Domain) -> DataFrame:
+    """PRJ-9 / AGG-2: monthly min / max / mean rate per currency."""
+    return fxo.fx_monthly(d.fx_raw)
+
+
+@query("fx_yearly")
+def fx_yearly(d: Domain) -> DataFrame:
+    """AGG-3: yearly min / max / mean of daily rates per currency."""
+    return fxo.fx_yearly(d.fx_raw)
+
+
+@query("partner_codes")
+def partner_codes(d: Domain) -> DataFrame:
+    """PRJ-3/4, J-6: distinct partner code -> alpha-3 pairs."""
+    conformed = feat.conform_partner(_cast(d), d.iso_dim)
+    return dq.distinct_values(conformed, ["partner_code", "partnerISO"])
+
+
+@query("indicators_wide")
+def indicators_wide(d: Domain) -> DataFrame:
+    """PRJ-2, AGG-4, PRJ-5/10/11: wide indicators with alpha-3 and GDP per
+    capita."""
+    return marts.indicators(d)
+
+
+@query("indicator_growth")
+def indicator_growth(d: Domain) -> DataFrame:
+    """WIN-5: previous-year GDP and growth % per country."""
+    w = marts.indicators(d).select("country_id", "country_name", "year", "gdp")
+    return ind.growth(w, "gdp", entity="country_id")
+
+
+# -- marts -------------------------------------------------------------------
+@query("monthly_mart")
+def monthly_mart(d: Domain) -> DataFrame:
+    """J-1/2, FLT-1: monthly trade + currency + monthly FX, 1996-2000."""
+    return marts.monthly_mart(d)
+
+
+@query("yearly_currency")
+def yearly_currency(d: Domain) -> DataFrame:
+    """J-3: yearly trade + currency, all years."""
+    return marts.yearly_currency(d)
+
+
+@query("yearly_mart")
+def yearly_mart(d: Domain) -> DataFrame:
+    """J-3/4/5, FLT-1: yearly trade + currency + FX + indicators."""
+    return marts.yearly_mart(d)
+
+
+# -- views and serving rows ----------------------------------------------------
+@query("view_trade_time")
+def view_trade_time(d: Domain) -> DataFrame:
+    """AGG-5 / SRT-2."""
+    return vw.trade_time_view(marts.monthly_features(d))
+
+
+@query("view_commodity_ranking")
+def view_commodity_ranking(d: Domain) -> DataFrame:
+    """AGG-6 / PRJ-13."""
+    return vw.commodity_ranking_view(marts.trade_yearly(d))
+
+
+@query("view_partner_share")
+def view_partner_share(d: Domain) -> DataFrame:
+    """AGG-7 / FLT-4."""
+    return vw.partner_share_view(marts.trade_yearly(d))
+
+
+@query("view_economic_structure")
+def view_economic_structure(d: Domain) -> DataFrame:
+    """AGG-8."""
+    return vw.economic_structure_view(marts.yearly_mart(d))
+
+
+def _tt_cells(d: Domain) -> DataFrame:
+    return srv.to_cells(view_trade_time(d), srv.trade_time_key(), "stats", srv.TRADE_TIME_CELLS)
+
+
+@query("serving_trade_time")
+def serving_trade_time(d: Domain) -> DataFrame:
+    """PRJ-19 / SNK-3: trade_time cells."""
+    return _tt_cells(d)
+
+
+@query("serving_commodity_ranking")
+def serving_commodity_ranking(d: Domain) -> DataFrame:
+    """SNK-4: commodity_ranking cells."""
+    return srv.to_cells(view_commodity_ranking(d), srv.commodity_key(), "info", srv.COMMODITY_CELLS)
+
+
+@query("serving_partner_share")
+def serving_partner_share(d: Domain) -> DataFrame:
+    """SNK-5: partner_market_share cells."""
+    return srv.to_cells(view_partner_share(d), srv.partner_year_key(), "info", srv.PARTNER_CELLS)
+
+
+@query("serving_economic_structure")
+def serving_economic_structure(d: Domain) -> DataFrame:
+    """SNK-6: economic_structure cells."""
+    return srv.to_cells(view_economic_structure(d), srv.partner_key(), "info", srv.ECONOMIC_CELLS)
+
+
+@query("serving_peek")
+def serving_peek(d: Domain) -> DataFrame:
+    """SRC-6: first five row keys of trade_time with their cells."""
+    return srv.peek(_tt_cells(d), 5)
+
+
+# -- series ------------------------------------------------------------------
+@query("series_partner_fx")
+def series_partner_fx(d: Domain) -> DataFrame:
+    """SER-1 / PRJ-15: one partner's monthly rows with the FX mean."""
+    return ser.partner_fx_series(marts.monthly_mart(d), SERIES_PARTNER, SERIES_CURRENCY)
+
+
+@query("series_country_year")
+def series_country_year(d: Domain) -> DataFrame:
+    """SER-2 / FLT-2 / PRJ-18: GDP per capita and value for a country list."""
+    return ser.country_year_series(marts.yearly_mart(d), list(SERIES_COUNTRIES))
+
+
+@query("series_commodity_dense")
+def series_commodity_dense(d: Domain) -> DataFrame:
+    """SER-3 / AGG-9/14 / PRJ-14: dense commodity x month grid."""
+    vals = ser.commodity_month_values(marts.monthly_mart(d))
+    return ser.dense_grid(vals, "commodity", "date", "value")
+
+
+@query("series_month_total")
+def series_month_total(d: Domain) -> DataFrame:
+    """AGG-10: total per month."""
+    return ser.month_totals(marts.monthly_mart(d))
+
+
+def _partner_map(d: Domain) -> DataFrame:
+    t = ser.partner_totals(marts.monthly_mart(d), SERIES_YEAR)
+    return t.withColumn("log_export", F.round("log_export", 9))
+
+
+@query("series_map")
+def series_map(d: Domain) -> DataFrame:
+    """SER-4 / AGG-11 / PRJ-16: partner totals for one year, log scale."""
+    return _partner_map(d)
+
+
+@query("series_top_partner")
+def series_top_partner(d: Domain) -> DataFrame:
+    """AGG-12: partner with the largest total."""
+    return ser.top_partner(_partner_map(d))
+
+
+@query("series_axis_ticks")
+def series_axis_ticks(d: Domain) -> DataFrame:
+    """PRJ-17: six log-scale ticks with dollar labels."""
+    return ser.axis_ticks(_partner_map(d), 6)

@@ -217,16 +217,17 @@ yearly_mart as (
 """
 
 
-def q(body: str) -> str:
-    """Prefix a statement with the shared CTEs."""
-    return f"with {CTES.strip()}\n{body.strip()}\n"
+def q(body: str, extra: str = "") -> str:
+    """Prefix a statement with the shared CTEs (plus statement-local ones)."""
+    ctes = CTES.strip() + (",\n" + extra.strip() if extra.strip() else "")
+    return f"with {ctes}\n{body.strip()}\n"
 
 
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, body: str) -> None:
-    ORACLE[name] = q(body)
+def register(name: str, body: str, extra: str = "") -> None:
+    ORACLE[name] = q(body, extra)
 
 
-register("trade_yearly", "select * from trade_yearly")
+from portolan.plans import oracle_queries  # noqa: E402,F401  (registers the statements)
