@@ -101,15 +101,18 @@ def fixed_units(c, scale: int) -> Column:
     return F.when(bad, F.lit(None).cast("long")).otherwise(F.floor(scaled).cast("long"))
 
 
-def fixed_sum(c, scale: int = 2) -> Column:
+def fixed_sum(c, scale: int = 2, over=None) -> Column:
     """Exact sum of a measure held at ``scale`` decimals, returned as double.
 
     Summing longs is associative, so the total does not depend on partition
     layout, task order or retries -- unlike a plain double sum -- and it
     stays a primitive codegen aggregate (no BigDecimal buffers).  All-null
-    input gives null, like ``sum``.
+    input gives null, like ``sum``.  ``over`` turns it into a window sum.
     """
-    return F.sum(fixed_units(c, scale)).cast("double") / F.lit(float(10 ** scale))
+    total = F.sum(fixed_units(c, scale))
+    if over is not None:
+        total = total.over(over)
+    return total.cast("double") / F.lit(float(10 ** scale))
 
 
 def fixed_mean(c, scale: int) -> Column:

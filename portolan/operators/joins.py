@@ -38,9 +38,23 @@ class SideCheck:
     bounded: bool
 
 
-def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None) -> SideCheck:
+_CHECKS: dict[tuple, SideCheck] = {}
+
+
+def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None,
+               memo: bool = True) -> SideCheck:
     """One small job: row count (capped at ``max_rows + 1``) and, if ``key``
-    is given, the number of distinct keys among those rows."""
+    is given, the number of distinct keys among those rows.
+
+    Results are memoized per process by the plan's ``semanticHash`` (same
+    sources, same operators), so building many plans over the same inputs
+    runs the check once.  Pass ``memo=False`` for inputs that change while
+    the session lives.
+    """
+    memo_key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+                max_rows, str(key)) if memo else None
+    if memo_key is not None and memo_key in _CHECKS:
+        return _CHECKS[memo_key]
     head = df.limit(max_rows + 1)
     aggs = [F.count(F.lit(1)).alias("n")]
     if key is not None:
@@ -49,7 +63,10 @@ def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None)
     row = head.agg(*aggs).first()
     n = int(row["n"])
     k = int(row["k"]) if key is not None else None
-    return SideCheck(rows=n, distinct_keys=k, bounded=n <= max_rows)
+    out = SideCheck(rows=n, distinct_keys=k, bounded=n <= max_rows)
+    if memo_key is not None:
+        _CHECKS[memo_key] = out
+    return out
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:

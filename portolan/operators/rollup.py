@@ -24,9 +24,16 @@ def rollup_sums(df: DataFrame, keys: list[str], measures: dict[str, str],
     return df.groupBy(*keys).agg(*[s(src).alias(dst) for dst, src in measures.items()])
 
 
-def yearly_trade(monthly: DataFrame, strategy: str = "join", scale: int | None = 2) -> DataFrame:
+def yearly_trade(monthly: DataFrame, strategy: str = "window", scale: int | None = 2) -> DataFrame:
     """Yearly rows: sums, ratios recomputed from the sums (not averaged),
-    world total per (year, hs_code) and the share of the year's market."""
+    world total per (year, hs_code) and the share of the year's market.
+
+    The world total is a window over the *rolled-up* rows: after the 4-key
+    aggregation a (year, hs_code) group holds at most one row per
+    (partner, description) pair, a bound set by the dimensions rather than
+    by the data volume, so the window is skew-safe and the input is read
+    once (a join strategy would recompute the rollup for the totals).
+    """
     y = rollup_sums(monthly, YEAR_KEYS, {
         "annual_value_usd": "primary_value_usd",
         "quantity": "quantity",

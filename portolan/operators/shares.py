@@ -34,9 +34,11 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
     ``None`` sums doubles.  ``broadcast_max_rows`` opts into an explicit,
     size-checked broadcast of the totals (costs one bounded job).
     """
-    agg = fixed_sum(value, scale) if scale is not None else F.sum(value)
     if strategy == "window":
-        return df.withColumn(total_as, agg.over(Window.partitionBy(*keys)))
+        w = Window.partitionBy(*keys)
+        tot = fixed_sum(value, scale, over=w) if scale is not None else F.sum(value).over(w)
+        return df.withColumn(total_as, tot)
+    agg = fixed_sum(value, scale) if scale is not None else F.sum(value)
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
     totals = df.groupBy(*keys).agg(agg.alias(total_as))

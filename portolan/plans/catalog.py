@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan.plans import marts
-from portolan.plans.context import Domain
+from portolan.plans.context import MART_YEARS, Domain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -261,10 +261,17 @@ def serving_peek(d: Domain) -> DataFrame:
 
 
 # -- series ------------------------------------------------------------------
+def _mart_trade_rows(d: Domain) -> DataFrame:
+    """The monthly mart's trade rows (its currency / FX joins are left joins
+    on unique keys, so the rows are the year-filtered monthly features)."""
+    return marts.monthly_features(d, MART_YEARS)
+
+
 @query("series_partner_fx")
 def series_partner_fx(d: Domain) -> DataFrame:
     """SER-1 / PRJ-15: one partner's monthly rows with the FX mean."""
-    return ser.partner_fx_series(marts.monthly_mart(d), SERIES_PARTNER, SERIES_CURRENCY)
+    mart = marts.monthly_mart(d, with_shares=False)
+    return ser.partner_fx_series(mart, SERIES_PARTNER, SERIES_CURRENCY)
 
 
 @query("series_country_year")
@@ -276,18 +283,18 @@ def series_country_year(d: Domain) -> DataFrame:
 @query("series_commodity_dense")
 def series_commodity_dense(d: Domain) -> DataFrame:
     """SER-3 / AGG-9/14 / PRJ-14: dense commodity x month grid."""
-    vals = ser.commodity_month_values(marts.monthly_mart(d))
+    vals = ser.commodity_month_values(_mart_trade_rows(d))
     return ser.dense_grid(vals, "commodity", "date", "value")
 
 
 @query("series_month_total")
 def series_month_total(d: Domain) -> DataFrame:
     """AGG-10: total per month."""
-    return ser.month_totals(marts.monthly_mart(d))
+    return ser.month_totals(_mart_trade_rows(d))
 
 
 def _partner_map(d: Domain) -> DataFrame:
-    t = ser.partner_totals(marts.monthly_mart(d), SERIES_YEAR)
+    t = ser.partner_totals(_mart_trade_rows(d), SERIES_YEAR)
     return t.withColumn("log_export", F.round("log_export", 9))
 
 

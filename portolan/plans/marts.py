@@ -5,9 +5,9 @@ Shuffle budget per mart (checked with ``explain`` in tests):
 * monthly features: narrow; the partner lookup is a checked broadcast.
 * monthly shares: one partial-aggregate shuffle for the (period, hs) totals
   plus the join back (broadcast when small, else skew-split SMJ).
-* yearly: one partial-aggregate shuffle on the 4 rollup keys, one small one
-  for the (year, hs) totals; the rollup output is only re-shuffled if the
-  totals are too big to broadcast.
+* yearly: one partial-aggregate shuffle on the 4 rollup keys, then a window
+  on (year, hs) over the rolled-up rows (groups bounded by dimension
+  cardinality, not by volume).
 * currency / FX / indicator joins: all small, bounded sides -> broadcast,
   so the trade rows are never shuffled for them.
 
@@ -55,7 +55,7 @@ def trade_monthly(d: Domain, years: tuple[int, int] | None = None,
 
 
 def trade_yearly(d: Domain, years: tuple[int, int] | None = None,
-                 strategy: str = "join") -> DataFrame:
+                 strategy: str = "window") -> DataFrame:
     return yearly_trade(monthly_features(d, years), strategy=strategy)
 
 
@@ -65,9 +65,18 @@ def with_currency(df: DataFrame, d: Domain) -> DataFrame:
                   max_rows=DIM_MAX_ROWS)
 
 
-def monthly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS) -> DataFrame:
-    """J-1, J-2, FLT-1: monthly trade + currency + monthly FX statistics."""
-    m = with_currency(trade_monthly(d, years), d)
+def monthly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS,
+                 with_shares: bool = True) -> DataFrame:
+    """J-1, J-2, FLT-1: monthly trade + currency + monthly FX statistics.
+
+    ``with_shares=False`` skips the month-share columns for consumers that
+    do not read them (Catalyst cannot drop a left join to an aggregate on
+    its own).  The currency / FX joins are left joins on unique keys, so
+    consumers that read only trade columns may use ``monthly_features``
+    with the same year range instead: the rows are identical.
+    """
+    base = trade_monthly(d, years) if with_shares else monthly_features(d, years)
+    m = with_currency(base, d)
     fx = year_range(fx_monthly(d.fx_raw), years)
     return m.join(bounded_broadcast(fx, SMALL_SIDE_MAX_ROWS),
                   on=["currency", "year", "month"], how="left")
