@@ -314,3 +314,6 @@ def series_top_partner(d: Domain) -> DataFrame:
 def series_axis_ticks(d: Domain) -> DataFrame:
     """PRJ-17: six log-scale ticks with dollar labels."""
     return ser.axis_ticks(_partner_map(d), 6)
+
+
+from portolan.plans import streams  # noqa: E402,F401  (registers the streaming queries)

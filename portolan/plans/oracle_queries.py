@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portolan.plans.oracle import fsum, register, round_half_up
+from portolan.plans.oracle import fmean, fsum, register, round_half_up
 
 # -- data quality ------------------------------------------------------------
 register("trade_features", "select * from trade_features")
@@ -229,3 +229,30 @@ select cast(i as integer) as i, round(v, 9) as tick, '$' || format('{:,}', cast(
 from (select i, case when i = 5 then hi else lo + i * ((hi - lo) / 5.0) end as v
       from (select min(log_export) as lo, max(log_export) as hi from pm),
            (select unnest(range(0, 6)) as i))""", PARTNER_MAP)
+
+# -- streaming (batch equivalents) ----------------------------------------------
+register("rates_weekly_stream", f"""
+select event_type as currency, cast(date_trunc('week', ts) as date) as week_start,
+       cast(date_trunc('week', ts) + interval 7 day as date) as week_end,
+       min(value) as min_rate, max(value) as max_rate, {fmean('value', 8)} as avg_rate,
+       count(*) as n_rates
+from events group by event_type, date_trunc('week', ts)""")
+
+register("rates_monthly_stream", f"""
+select event_type as currency, cast(date_trunc('month', ts) as date) as month_start,
+       min(value) as min_rate, max(value) as max_rate, {fmean('value', 8)} as avg_rate,
+       count(*) as n_rates
+from events group by event_type, date_trunc('month', ts)""")
+
+register("events_landed_stream", """
+select event_id, ts, user_id, event_type, value, props,
+       cast(json_extract(props, '$.k') as integer) as k
+from events""")
+
+register("trade_enriched_stream", """
+select f.*, c.currency from trade_features f
+left join currency_dim c on f."partnerISO" = c.country_iso3""")
+
+register("trade_totals_stream", f"""
+select data_period, hs_code, {fsum('primary_value_usd')} as month_world_export_value
+from trade_features group by data_period, hs_code""")

@@ -48,9 +48,10 @@ SERVICES_EXCLUDED_MOD = (5, 1)  # nations with key % 5 == 1 lack the indicator
 ADAPTER_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def trade_raw(t: Tables) -> DataFrame:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity",
-                           "l_extendedprice", "l_shipdate")
+def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
+    """``lineitem`` may be a streaming DataFrame (stream-static joins)."""
+    li = (lineitem if lineitem is not None else t.lineitem).select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
     order_nation = (t.orders.select("o_orderkey", "o_custkey")
                     .join(t.customer.select(F.col("c_custkey").alias("o_custkey"),
                                             "c_nationkey"), "o_custkey")
