@@ -226,6 +226,14 @@ def view_economic_structure(d: Domain) -> DataFrame:
     return vw.economic_structure_view(marts.yearly_mart(d))
 
 
+@query("view_commodity_top10")
+def view_commodity_top10(d: Domain) -> DataFrame:
+    """SRT-3: the ten largest commodities of the ranking view (a top-k
+    report: TakeOrderedAndProject, no global sort)."""
+    return vw.top_k(view_commodity_ranking(d), 10, F.desc("total_value_usd"),
+                    "commodity_short", "hs_code")
+
+
 def _tt_cells(d: Domain) -> DataFrame:
     return srv.to_cells(view_trade_time(d), srv.trade_time_key(), "stats", srv.TRADE_TIME_CELLS)
 

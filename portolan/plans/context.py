@@ -22,6 +22,9 @@ class Domain:
         self.spark = spark
         self.sf_dir = sf_dir
         self.tables = Tables(spark, sf_dir)
+        # Set by the batch job to a materialized (written) features table,
+        # partitioned by year; the marts then read it instead of recomputing.
+        self.features: DataFrame | None = None
 
     @cached_property
     def trade_raw(self) -> DataFrame:

@@ -43,7 +43,8 @@ def year_range(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
 
 
 def monthly_features(d: Domain, years: tuple[int, int] | None = None) -> DataFrame:
-    return year_range(trade_features(d.trade_raw, d.iso_dim), years)
+    base = d.features if d.features is not None else trade_features(d.trade_raw, d.iso_dim)
+    return year_range(base, years)
 
 
 def trade_monthly(d: Domain, years: tuple[int, int] | None = None,

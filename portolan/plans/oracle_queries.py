@@ -131,6 +131,10 @@ register("view_trade_time", "select * from view_trade_time", VIEW_TRADE_TIME)
 register("view_commodity_ranking", "select * from view_commodity_ranking", VIEW_COMMODITY)
 register("view_partner_share", "select * from view_partner_share", VIEW_PARTNER)
 register("view_economic_structure", "select * from view_economic_structure", VIEW_ECONOMIC)
+register("view_commodity_top10", """
+select * from view_commodity_ranking
+order by total_value_usd desc, commodity_short asc nulls first, hs_code asc nulls first
+limit 10""", VIEW_COMMODITY)
 
 
 # -- serving rows (long form: row_key, column, value) -------------------------
