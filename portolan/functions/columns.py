@@ -15,6 +15,11 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    """Backtick-quote a column name for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 # --------------------------------------------------------------------------
 # data quality
 # --------------------------------------------------------------------------
@@ -42,6 +47,10 @@ def guarded_ratio(num, den, default: float = 0.0) -> Column:
     over a positive denominator yields null.  Fill NaN denominators before
     calling: ``NaN > 0`` is true in Spark.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        # one expression, one driver round trip
+        return F.expr(f"CASE WHEN {_q(den)} > 0 THEN try_divide({_q(num)}, {_q(den)}) "
+                      f"ELSE CAST({float(default)!r} AS DOUBLE) END")
     n, d = as_col(num), as_col(den)
     return F.when(d > 0, F.try_divide(n, d)).otherwise(F.lit(float(default)))
 
@@ -96,6 +105,16 @@ def fixed_units(c, scale: int) -> Column:
     reproducible bit for bit; NaN and out-of-range values become null
     (``floor`` alone would turn NaN into 0 and saturate large values).
     """
+    return F.expr(_fixed_units_sql(c, scale)) if isinstance(c, str) else _fixed_units_col(c, scale)
+
+
+def _fixed_units_sql(name: str, scale: int) -> str:
+    s = f"({_q(name)} * {float(10 ** scale)!r}D + 0.5D)"
+    return (f"CASE WHEN isnan({s}) OR abs({s}) >= 9.0E18D THEN CAST(NULL AS BIGINT) "
+            f"ELSE CAST(floor({s}) AS BIGINT) END")
+
+
+def _fixed_units_col(c, scale: int) -> Column:
     scaled = as_col(c) * F.lit(float(10 ** scale)) + F.lit(0.5)
     bad = F.isnan(scaled) | (F.abs(scaled) >= F.lit(9.0e18))
     return F.when(bad, F.lit(None).cast("long")).otherwise(F.floor(scaled).cast("long"))
@@ -109,6 +128,8 @@ def fixed_sum(c, scale: int = 2, over=None) -> Column:
     stays a primitive codegen aggregate (no BigDecimal buffers).  All-null
     input gives null, like ``sum``.  ``over`` turns it into a window sum.
     """
+    if isinstance(c, str) and over is None:
+        return F.expr(f"CAST(sum({_fixed_units_sql(c, scale)}) AS DOUBLE) / {float(10 ** scale)!r}D")
     total = F.sum(fixed_units(c, scale))
     if over is not None:
         total = total.over(over)
@@ -117,6 +138,9 @@ def fixed_sum(c, scale: int = 2, over=None) -> Column:
 
 def fixed_mean(c, scale: int) -> Column:
     """Exact mean at ``scale`` decimals: fixed-point sum / non-null count."""
+    if isinstance(c, str):
+        u = _fixed_units_sql(c, scale)
+        return F.expr(f"(CAST(sum({u}) AS DOUBLE) / {float(10 ** scale)!r}D) / CAST(count({u}) AS DOUBLE)")
     units = fixed_units(c, scale)
     return (F.sum(units).cast("double") / F.lit(float(10 ** scale))) / F.count(units).cast("double")
 

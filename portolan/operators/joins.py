@@ -3,8 +3,8 @@
 Broadcast policy
 ----------------
 * A side is hinted ``broadcast`` only after a bounded check proves it has at
-  most ``max_rows`` rows (``limit(max_rows + 1)`` then count: the check
-  reads at most ``max_rows + 1`` rows of the side).  Beyond the bound the
+  most ``max_rows`` rows (``offset(max_rows).isEmpty()``: an incremental
+  scan that stops after ``max_rows + 1`` rows).  Beyond the bound the
   join is left to the planner: sort-merge / shuffled hash, with AQE free to
   switch to a broadcast at runtime from real shuffle sizes, and to split
   skewed partitions.
@@ -33,9 +33,8 @@ class DimensionError(ValueError):
 
 @dataclass(frozen=True)
 class SideCheck:
-    rows: int
-    distinct_keys: int | None
     bounded: bool
+    unique: bool | None = None
 
 
 _CHECKS: dict[tuple, SideCheck] = {}
@@ -43,32 +42,40 @@ _CHECKS: dict[tuple, SideCheck] = {}
 
 def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None,
                memo: bool = True) -> SideCheck:
-    """One small job: row count (capped at ``max_rows + 1``) and, if ``key``
-    is given, the number of distinct keys among those rows.
+    """Prove ``df`` has at most ``max_rows`` rows and, if ``key`` is given
+    and the bound holds, that the key is unique.
+
+    The bound is ``df.offset(max_rows).isEmpty()``: Spark evaluates it with
+    an incremental ``CollectLimit`` (scan one partition, then more, stop
+    once ``max_rows + 1`` rows exist) and returns at most one row, so on a
+    large scan it reads only the first splits.  The uniqueness test is an
+    aggregation, run only on a side already proven small.
 
     Results are memoized per process by the plan's ``semanticHash`` (same
-    sources, same operators), so building many plans over the same inputs
-    runs the check once.  Pass ``memo=False`` for inputs that change while
-    the session lives.
+    sources, same operators), so many plans over the same inputs check
+    once.  Pass ``memo=False`` for inputs that change while the session
+    lives.
     """
     memo_key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
                 max_rows, str(key)) if memo else None
     if memo_key is not None and memo_key in _CHECKS:
         return _CHECKS[memo_key]
-    head = df.limit(max_rows + 1)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if key is not None:
+    bounded = df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty()
+    unique = None
+    if key is not None and bounded:
         keys = [key] if isinstance(key, str) else list(key)
-        aggs.append(F.count_distinct(*[F.col(k) for k in keys]).alias("k"))
-    row = head.agg(*aggs).first()
-    n = int(row["n"])
-    k = int(row["k"]) if key is not None else None
-    out = SideCheck(rows=n, distinct_keys=k, bounded=n <= max_rows)
+        unique = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .filter(F.col("__n") > 1).isEmpty())
+    out = SideCheck(bounded=bounded, unique=unique)
     if memo_key is not None:
         _CHECKS[memo_key] = out
     return out
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    return check_side(df, max_rows).bounded
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else
     ``df`` unchanged (the planner / AQE choose the join)."""
@@ -84,7 +91,7 @@ def lookup(df: DataFrame, dim: DataFrame, left_key, right_key: str,
     key never matches."""
     side = dim.select(F.col(right_key).alias("__lk"), *take)
     chk = check_side(side.filter(F.col("__lk").isNotNull()), max_rows, "__lk")
-    if require_unique and chk.bounded and chk.distinct_keys != chk.rows:
+    if require_unique and chk.bounded and not chk.unique:
         raise DimensionError(f"lookup key {right_key!r} is not unique in the dimension")
     if chk.bounded:
         side = F.broadcast(side)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.functions.columns import fixed_sum, guarded_ratio
-from portolan.operators.joins import check_side, null_safe_join
+from portolan.operators.joins import is_bounded, null_safe_join
 
 
 def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
@@ -42,7 +42,7 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
     totals = df.groupBy(*keys).agg(agg.alias(total_as))
-    if broadcast_max_rows is not None and check_side(totals, broadcast_max_rows).bounded:
+    if broadcast_max_rows is not None and is_bounded(totals, broadcast_max_rows):
         totals = F.broadcast(totals)
     return null_safe_join(df, totals, keys, "left")
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from portolan.sources import adapter
 from portolan.sources.tables import Tables
 
+# Domain tables are pure functions of read-only inputs; their (lazy) plans
+# are shared by all queries of a session over the same folder.
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
+
 # Year range of the marts (FLT-1).  The domain default is 2004-2023; the
 # driver data spans 1995-2001, so the registered queries use 1996-2000 to
 # keep the filter selective.
@@ -26,22 +30,30 @@ class Domain:
         # partitioned by year; the marts then read it instead of recomputing.
         self.features: DataFrame | None = None
 
-    @cached_property
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Plan ``name`` for this folder, built once per session."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        df = _PLANS.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = _PLANS[key] = build()
+        return df
+
+    @property
     def trade_raw(self) -> DataFrame:
-        return adapter.trade_raw(self.tables)
+        return self.shared("trade_raw", lambda: adapter.trade_raw(self.tables))
 
-    @cached_property
+    @property
     def iso_dim(self) -> DataFrame:
-        return adapter.iso_dim(self.tables)
+        return self.shared("iso_dim", lambda: adapter.iso_dim(self.tables))
 
-    @cached_property
+    @property
     def currency_dim(self) -> DataFrame:
-        return adapter.currency_dim(self.tables)
+        return self.shared("currency_dim", lambda: adapter.currency_dim(self.tables))
 
-    @cached_property
+    @property
     def fx_raw(self) -> DataFrame:
-        return adapter.fx_raw(self.tables)
+        return self.shared("fx_raw", lambda: adapter.fx_raw(self.tables))
 
-    @cached_property
+    @property
     def wdi_raw(self) -> DataFrame:
-        return adapter.wdi_raw(self.tables)
+        return self.shared("wdi_raw", lambda: adapter.wdi_raw(self.tables))

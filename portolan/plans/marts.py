@@ -43,7 +43,9 @@ def year_range(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
 
 
 def monthly_features(d: Domain, years: tuple[int, int] | None = None) -> DataFrame:
-    base = d.features if d.features is not None else trade_features(d.trade_raw, d.iso_dim)
+    base = d.features
+    if base is None:
+        base = d.shared("features", lambda: trade_features(d.trade_raw, d.iso_dim))
     return year_range(base, years)
 
 

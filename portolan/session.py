@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # reliable checkpoints are removed once their DataFrame is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

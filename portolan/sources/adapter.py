@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.operators.joins import bounded_broadcast
+from portolan.operators.joins import bounded_broadcast, is_bounded
 from portolan.sources.tables import Tables
 
 # Fixed values of the adapter (shared with the oracle SQL).
@@ -45,20 +45,25 @@ SERVICES_EXCLUDED_MOD = (5, 1)  # nations with key % 5 == 1 lack the indicator
 # The order -> nation map and the part attributes are broadcast only while
 # they provably stay under this many rows (a few tens of MB of hash table);
 # beyond it lineitem is joined with shuffle joins chosen by the planner.
-ADAPTER_BROADCAST_MAX_ROWS = 2_000_000
+ADAPTER_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     """``lineitem`` may be a streaming DataFrame (stream-static joins)."""
     li = (lineitem if lineitem is not None else t.lineitem).select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    order_nation = (t.orders.select("o_orderkey", "o_custkey")
-                    .join(t.customer.select(F.col("c_custkey").alias("o_custkey"),
-                                            "c_nationkey"), "o_custkey")
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    order_nation = (orders.join(customers, "o_custkey")
                     .select(F.col("o_orderkey").alias("l_orderkey"), "c_nationkey"))
+    # Gate the check of the joined side on cheap scan-level checks: testing
+    # the join itself would shuffle both inputs at large scale factors.
+    if (is_bounded(orders, ADAPTER_BROADCAST_MAX_ROWS)
+            and is_bounded(customers, ADAPTER_BROADCAST_MAX_ROWS)):
+        order_nation = bounded_broadcast(order_nation, ADAPTER_BROADCAST_MAX_ROWS)
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand",
                          "p_type", "p_size")
-    rows = (li.join(bounded_broadcast(order_nation, ADAPTER_BROADCAST_MAX_ROWS), "l_orderkey")
+    rows = (li.join(order_nation, "l_orderkey")
             .join(bounded_broadcast(part, ADAPTER_BROADCAST_MAX_ROWS), "l_partkey"))
     yr, mo = F.year("l_shipdate"), F.month("l_shipdate")
     return rows.select(
