@@ -17,6 +17,11 @@ from pyspark.sql import DataFrame
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+# Zone folder names of the lake layout.
+TRADE_ZONE, RATES_ZONE, INDICATORS_ZONE, DIM_ZONE, FINAL_ZONE = (
+    "comtrade", "NBP", "WDI", "dim", "final_tables")
+
+
 @dataclass(frozen=True)
 class LakePaths:
     """One root, one folder per zone (raw inputs, dimensions, final tables)."""
@@ -28,29 +33,29 @@ class LakePaths:
 
     @property
     def trade(self) -> str:
-        return self._p("comtrade")
+        return self._p(TRADE_ZONE)
 
     @property
     def rates(self) -> str:
-        return self._p("NBP")
+        return self._p(RATES_ZONE)
 
     @property
     def indicators(self) -> str:
-        return self._p("WDI")
+        return self._p(INDICATORS_ZONE)
 
     @property
     def dims(self) -> str:
-        return self._p("dim")
+        return self._p(DIM_ZONE)
 
     @property
     def final(self) -> str:
-        return self._p("final_tables")
+        return self._p(FINAL_ZONE)
 
     def table(self, name: str) -> str:
-        return self._p("final_tables", name)
+        return self._p(FINAL_ZONE, name)
 
     def serving(self, name: str) -> str:
-        return self._p("final_tables", "serving", name)
+        return self._p(FINAL_ZONE, "serving", name)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
