@@ -263,6 +263,22 @@ def serving_economic_structure(d: Domain) -> DataFrame:
     return srv.to_cells(view_economic_structure(d), srv.partner_key(), "info", srv.ECONOMIC_CELLS)
 
 
+@query("serving_commodity_collisions")
+def serving_commodity_collisions(d: Domain) -> DataFrame:
+    """D10: commodity_ranking row keys produced by more than one view row
+    (reported instead of silently overwritten)."""
+    from portolan.operators.joins import key_collisions
+    keys = view_commodity_ranking(d).select(srv.commodity_key().alias("row_key"))
+    return key_collisions(keys, "row_key")
+
+
+@query("trade_yearly_excl_world")
+def trade_yearly_excl_world(d: Domain) -> DataFrame:
+    """D3 option: yearly shares with the world aggregate removed before the
+    denominators."""
+    return marts.trade_yearly(d, exclude_partners=("W00",))
+
+
 @query("serving_peek")
 def serving_peek(d: Domain) -> DataFrame:
     """SRC-6: first five row keys of trade_time with their cells."""

@@ -49,17 +49,27 @@ def monthly_features(d: Domain, years: tuple[int, int] | None = None) -> DataFra
     return year_range(base, years)
 
 
+def without_partners(df: DataFrame, partners: tuple[str, ...] = ()) -> DataFrame:
+    """Drop aggregate partners (e.g. the world code) *before* totals, so
+    they do not count in the denominators.  The default keeps every row."""
+    if not partners:
+        return df
+    return df.filter(~F.col("partnerISO").isin(list(partners)) | F.col("partnerISO").isNull())
+
+
 def trade_monthly(d: Domain, years: tuple[int, int] | None = None,
-                  strategy: str = "join") -> DataFrame:
+                  strategy: str = "join", exclude_partners: tuple[str, ...] = ()) -> DataFrame:
     """Monthly features + world total per (data_period, hs_code) + share."""
-    return share_of_total(monthly_features(d, years), "primary_value_usd",
+    return share_of_total(without_partners(monthly_features(d, years), exclude_partners),
+                          "primary_value_usd",
                           ["data_period", "hs_code"], "month_world_export_value",
                           "share_of_month_market", strategy=strategy)
 
 
 def trade_yearly(d: Domain, years: tuple[int, int] | None = None,
-                 strategy: str = "window") -> DataFrame:
-    return yearly_trade(monthly_features(d, years), strategy=strategy)
+                 strategy: str = "window", exclude_partners: tuple[str, ...] = ()) -> DataFrame:
+    return yearly_trade(without_partners(monthly_features(d, years), exclude_partners),
+                        strategy=strategy)
 
 
 def with_currency(df: DataFrame, d: Domain) -> DataFrame:

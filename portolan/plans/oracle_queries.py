@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portolan.plans.oracle import fmean, fsum, register, round_half_up
+from portolan.plans.oracle import fmean, fsum, fsum_over, ratio, register, round_half_up
 
 # -- data quality ------------------------------------------------------------
 register("trade_features", "select * from trade_features")
@@ -180,6 +180,10 @@ register("serving_commodity_ranking", _cells("view_commodity_ranking", CR_KEY, "
 register("serving_partner_share", _cells("view_partner_share", PS_KEY, "info", PS_CELLS), VIEW_PARTNER)
 register("serving_economic_structure", _cells("view_economic_structure", ES_KEY, "info", ES_CELLS),
          VIEW_ECONOMIC)
+register("serving_commodity_collisions", f"""
+select row_key, count(*) as n from (select {CR_KEY} as row_key from view_commodity_ranking)
+group by row_key having count(*) > 1""", VIEW_COMMODITY)
+
 register("serving_peek", """
 select * from tt_cells
 where row_key in (select distinct row_key from tt_cells order by row_key limit 5)""",
@@ -260,3 +264,16 @@ left join currency_dim c on f."partnerISO" = c.country_iso3""")
 register("trade_totals_stream", f"""
 select data_period, hs_code, {fsum('primary_value_usd')} as month_world_export_value
 from trade_features group by data_period, hs_code""")
+
+# -- options -------------------------------------------------------------------
+register("trade_yearly_excl_world", f"""
+select *, {ratio('annual_value_usd', 'world_export_value')} as share_of_year_market
+from (select y.*,
+             {ratio('annual_value_usd', 'quantity')} as unit_value_usd,
+             {ratio('annual_value_usd', 'weight')} as usd_per_kg,
+             {fsum_over('annual_value_usd', 'year, hs_code')} as world_export_value
+      from (select year, "partnerISO", commodity_desc, hs_code,
+                   {fsum('primary_value_usd')} as annual_value_usd,
+                   {fsum('quantity')} as quantity, {fsum('weight')} as weight
+            from trade_features where "partnerISO" <> 'W00' or "partnerISO" is null
+            group by year, "partnerISO", commodity_desc, hs_code) y)""")
