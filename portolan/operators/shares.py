@@ -23,16 +23,28 @@ from pyspark.sql import functions as F
 
 from portolan.functions.columns import fixed_sum, guarded_ratio
 from portolan.operators.joins import is_bounded, null_safe_join
+from portolan.sources.lake import materialize_counted
+
+
+# Totals above this many keys are not broadcast (hash table of ~100 MB).
+TOTALS_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
                  strategy: str = "join", scale: int | None = 2,
-                 broadcast_max_rows: int | None = None) -> DataFrame:
+                 broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
+                 materialize: bool = True) -> DataFrame:
     """Append ``total_as`` = sum of ``value`` over rows sharing ``keys``.
 
     ``scale`` selects exact fixed-point summation (see ``fixed_sum``);
-    ``None`` sums doubles.  ``broadcast_max_rows`` opts into an explicit,
-    size-checked broadcast of the totals (costs one bounded job).
+    ``None`` sums doubles.
+
+    Join strategy: with ``materialize`` the (small) totals are computed once
+    and written under the shared checkpoint folder (its row count observed
+    during the write proves the bound) and the join reuses it; within
+    ``broadcast_max_rows`` they are broadcast and the rows are never
+    shuffled.  Beyond it (or with ``broadcast_max_rows=None``) the join is a
+    sort-merge join whose skewed partitions AQE splits.
     """
     if strategy == "window":
         w = Window.partitionBy(*keys)
@@ -42,15 +54,21 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
     totals = df.groupBy(*keys).agg(agg.alias(total_as))
-    if broadcast_max_rows is not None and is_bounded(totals, broadcast_max_rows):
+    if materialize and not df.isStreaming:
+        totals, rows = materialize_counted(totals, "totals")
+        if broadcast_max_rows is not None and rows <= broadcast_max_rows:
+            totals = F.broadcast(totals)
+    elif broadcast_max_rows is not None and is_bounded(totals, broadcast_max_rows):
         totals = F.broadcast(totals)
     return null_safe_join(df, totals, keys, "left")
 
 
 def share_of_total(df: DataFrame, value: str, keys: list[str], total_as: str,
                    share_as: str, strategy: str = "join", scale: int | None = 2,
-                   broadcast_max_rows: int | None = None) -> DataFrame:
+                   broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
+                   materialize: bool = True) -> DataFrame:
     """Total per key plus guarded share ``value / total`` (0 when the total
     is not positive, null when the value is null)."""
-    out = attach_total(df, value, keys, total_as, strategy, scale, broadcast_max_rows)
+    out = attach_total(df, value, keys, total_as, strategy, scale, broadcast_max_rows,
+                       materialize)
     return out.withColumn(share_as, guarded_ratio(value, total_as))

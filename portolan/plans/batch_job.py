@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from portolan.operators import serving as srv
 from portolan.operators import views as vw
@@ -21,23 +21,13 @@ from portolan.operators.fx import fx_monthly, fx_yearly
 from portolan.operators.features import trade_features
 from portolan.plans import marts
 from portolan.plans.context import MART_YEARS, Domain
-from portolan.session import scratch_path
-from portolan.sources.lake import LakePaths, write_table
-
-
-def materialize(spark: SparkSession, df: DataFrame, name: str,
-                partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back."""
-    path = scratch_path(spark, name)
-    write_table(df, path, partition_by)
-    return spark.read.parquet(path)
+from portolan.sources.lake import LakePaths, materialize, write_table
 
 
 def build_all(d: Domain, lake: LakePaths, years: tuple[int, int] = MART_YEARS,
               client_factory: Callable[[], object] | None = None) -> dict[str, str]:
     spark = d.spark
-    d.features = materialize(spark, trade_features(d.trade_raw, d.iso_dim),
-                             "monthly_features", ["year"])
+    d.features = materialize(trade_features(d.trade_raw, d.iso_dim), "monthly_features", ["year"])
     out: dict[str, str] = {}
 
     def emit(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
@@ -45,7 +35,7 @@ def build_all(d: Domain, lake: LakePaths, years: tuple[int, int] = MART_YEARS,
         write_table(df, path, partition_by)
         out[name] = path
 
-    yearly = materialize(spark, marts.trade_yearly(d), "trade_yearly", ["year"])
+    yearly = materialize(marts.trade_yearly(d), "trade_yearly", ["year"])
     yearly_currency = marts.with_currency(yearly, d)
 
     emit("monthly", marts.monthly_mart(d, years), ["year"])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from portolan.plans import marts
 from portolan.plans.context import MART_YEARS, Domain
-from portolan.session import ensure_checkpoint_dir
+from portolan.sources.lake import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -309,10 +309,9 @@ def series_country_year(d: Domain) -> DataFrame:
 def series_commodity_dense(d: Domain) -> DataFrame:
     """SER-3 / AGG-9/14 / PRJ-14: dense commodity x month grid."""
     # The aggregated values (commodities x months, small) feed both the axis
-    # and the grid: checkpoint them to the shared folder so the source plan
-    # runs once and the grid's lineage starts from reliable files.
-    d.spark.sparkContext.getCheckpointDir() or ensure_checkpoint_dir(d.spark)
-    vals = ser.commodity_month_values(_mart_trade_rows(d)).checkpoint(eager=True)
+    # and the grid: write them once under the shared checkpoint folder so the
+    # source plan runs once and the grid's lineage starts from those files.
+    vals = materialize(ser.commodity_month_values(_mart_trade_rows(d)), "commodity_month")
     return ser.dense_grid(vals, "commodity", "date", "value")
 
 

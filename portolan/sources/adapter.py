@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.operators.joins import bounded_broadcast, is_bounded
-from portolan.sources.tables import Tables
+from portolan.sources.tables import Tables, spread
 
 # Fixed values of the adapter (shared with the oracle SQL).
 ANNUAL_ORDER_MOD = 50       # orders whose key is divisible -> annual period
@@ -50,8 +50,8 @@ ADAPTER_BROADCAST_MAX_ROWS = 1_000_000
 
 def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     """``lineitem`` may be a streaming DataFrame (stream-static joins)."""
-    li = (lineitem if lineitem is not None else t.lineitem).select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    li = spread((lineitem if lineitem is not None else t.lineitem).select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"))
     orders = t.orders.select("o_orderkey", "o_custkey")
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     order_nation = (orders.join(customers, "o_custkey")

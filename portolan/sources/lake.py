@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+from portolan.session import scratch_path
 
 # Caps file size without an extra shuffle: a writer task rolls to a new file
 # after this many rows.
@@ -73,3 +76,23 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` once under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return the table read back.  One pass,
+    unlike an uncached ``checkpoint()`` which computes its input twice."""
+    return materialize_counted(df, name, partition_by)[0]
+
+
+def materialize_counted(df: DataFrame, name: str,
+                        partition_by: list[str] | None = None) -> tuple[DataFrame, int]:
+    """``materialize`` plus the exact row count, observed during the write
+    itself (an ``Observation`` metric: no extra job)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"rows-{name}")
+    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    rows = int(obs.get["rows"])
+    table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return table, rows

@@ -31,7 +31,9 @@ def test_hot_key_split_and_results_match(spark):
         for k, v in SKEW_CONF.items():
             spark.conf.set(k, v)
         df = _skewed(spark)
-        joined = share_of_total(df, "v", ["period", "hs"], "t", "s", strategy="join")
+        # beyond the broadcast bound: sort-merge join, hot partition split by AQE
+        joined = share_of_total(df, "v", ["period", "hs"], "t", "s", strategy="join",
+                                broadcast_max_rows=None)
         rows = joined.collect()
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "skew=true" in plan
@@ -48,7 +50,11 @@ def test_hot_key_split_and_results_match(spark):
                 spark.conf.set(k, v)
 
 
-def test_join_strategy_has_no_window(spark):
-    df = _skewed(spark, 300)
-    plan = share_of_total(df, "v", ["period", "hs"], "t", "s")._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_sum" in plan
+def test_join_strategy_broadcasts_checkpointed_totals(spark):
+    df = _skewed(spark, 3000)
+    out = share_of_total(df, "v", ["period", "hs"], "t", "s")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan  # the rows are never shuffled
