@@ -113,6 +113,22 @@ ECONOMIC_CELLS = [
 ]
 
 
+def rate_week_key() -> Column:
+    """``{currency}_{week start yyyy-MM-dd}`` for the weekly rate table."""
+    return F.concat(key_or("currency", "UNKNOWN"), F.lit("_"), F.col("week_start").cast("string"))
+
+
+def rate_month_key() -> Column:
+    return F.concat(key_or("currency", "UNKNOWN"), F.lit("_"),
+                    F.date_format("month_start", "yyyy-MM"))
+
+
+RATE_CELLS = [
+    Cell("min_rate", "min_rate", 8), Cell("max_rate", "max_rate", 8),
+    Cell("avg_rate", "avg_rate", 8), Cell("n_rates", "n_rates"),
+]
+
+
 # -- writers and readers ------------------------------------------------------
 
 def peek(rows: DataFrame, k: int = 5) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.functions.columns import fixed_sum, text_head
+from portolan.functions.columns import fixed_sum, guarded_ratio, text_head
 
 PRICE_DIGITS = 6
 SHARE_DIGITS = 10
@@ -22,13 +22,21 @@ def _mean(c: str, digits: int):
     return F.round(F.avg(c), digits)
 
 
-def trade_time_view(monthly: DataFrame) -> DataFrame:
-    """Totals by (year, month) over all monthly trade rows."""
-    return (monthly.groupBy("year", "month").agg(
+def trade_time_view(monthly: DataFrame, weighted: bool = False) -> DataFrame:
+    """Totals by (year, month) over all monthly trade rows.
+
+    The domain's ``avg_unit_price`` is the unweighted mean of row unit
+    values; ``weighted=True`` gives total value / total quantity instead
+    (guarded), under the same column name."""
+    price = (guarded_ratio("total_value_usd", "total_quantity") if weighted
+             else None)
+    out = monthly.groupBy("year", "month").agg(
         fixed_sum("primary_value_usd").alias("total_value_usd"),
         fixed_sum("quantity").alias("total_quantity"),
-        _mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price"))
-        .orderBy(F.desc("total_value_usd"), "year", "month"))
+        *([] if weighted else [_mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price")]))
+    if weighted:
+        out = out.withColumn("avg_unit_price", F.round(price, PRICE_DIGITS))
+    return out.orderBy(F.desc("total_value_usd"), "year", "month")
 
 
 def commodity_ranking_view(yearly: DataFrame) -> DataFrame:

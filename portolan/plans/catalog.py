@@ -299,6 +299,19 @@ def series_partner_fx(d: Domain) -> DataFrame:
     return ser.partner_fx_series(mart, SERIES_PARTNER, SERIES_CURRENCY)
 
 
+@query("series_partner_fx_monthly")
+def series_partner_fx_monthly(d: Domain) -> DataFrame:
+    """SER-1, summed variant: one point per month for the partner."""
+    mart = marts.monthly_mart(d, with_shares=False)
+    return ser.partner_fx_monthly(mart, SERIES_PARTNER, SERIES_CURRENCY)
+
+
+@query("view_trade_time_weighted")
+def view_trade_time_weighted(d: Domain) -> DataFrame:
+    """D7 variant: value-weighted unit price per (year, month)."""
+    return vw.trade_time_view(marts.monthly_features(d), weighted=True)
+
+
 @query("series_country_year")
 def series_country_year(d: Domain) -> DataFrame:
     """SER-2 / FLT-2 / PRJ-18: GDP per capita and value for a country list."""

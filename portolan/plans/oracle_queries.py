@@ -277,3 +277,37 @@ from (select y.*,
                    {fsum('quantity')} as quantity, {fsum('weight')} as weight
             from trade_features where "partnerISO" <> 'W00' or "partnerISO" is null
             group by year, "partnerISO", commodity_desc, hs_code) y)""")
+
+register("series_partner_fx_monthly", f"""
+select year, month, {fsum('primary_value_usd')} as value, max(avg_rate) as avg_rate,
+       printf('%d-%02d', year, month) as month_label
+from monthly_mart where "partnerISO" = '{SERIES_PARTNER}' and currency = '{SERIES_CURRENCY}'
+group by year, month""")
+
+register("view_trade_time_weighted", f"""
+select year, month, total_value_usd, total_quantity,
+       round({ratio('total_value_usd', 'total_quantity')}, 6) as avg_unit_price
+from (select year, month, {fsum('primary_value_usd')} as total_value_usd,
+             {fsum('quantity')} as total_quantity
+      from trade_features group by year, month)""")
+
+RATE_WEEKLY = f"""
+rw as (
+  select event_type as currency, cast(date_trunc('week', ts) as date) as week_start,
+         min(value) as min_rate, max(value) as max_rate, {fmean('value', 8)} as avg_rate,
+         count(*) as n_rates
+  from events group by event_type, date_trunc('week', ts))"""
+RATE_MONTHLY = f"""
+rm as (
+  select event_type as currency, cast(date_trunc('month', ts) as date) as month_start,
+         min(value) as min_rate, max(value) as max_rate, {fmean('value', 8)} as avg_rate,
+         count(*) as n_rates
+  from events group by event_type, date_trunc('month', ts))"""
+RATE_CELLS = [("min_rate", "min_rate", 8), ("max_rate", "max_rate", 8),
+              ("avg_rate", "avg_rate", 8), ("n_rates", "n_rates", None)]
+register("serving_rates_weekly", _cells(
+    "rw", f"concat(case when {_present('currency')} then currency else 'UNKNOWN' end, '_', "
+          "cast(week_start as varchar))", "rates", RATE_CELLS), RATE_WEEKLY)
+register("serving_rates_monthly", _cells(
+    "rm", f"concat(case when {_present('currency')} then currency else 'UNKNOWN' end, '_', "
+          "strftime(month_start, '%Y-%m'))", "rates", RATE_CELLS), RATE_MONTHLY)

@@ -81,3 +81,18 @@ def trade_totals_stream(d: Domain) -> DataFrame:
     jobs.run_upsert(agg, table, ckpt).awaitTermination()
     return read_latest(d.spark, table, ["data_period", "hs_code"]).select(
         "data_period", "hs_code", F.col("month_world_export_value"))
+
+
+@query("serving_rates_weekly")
+def serving_rates_weekly(d: Domain) -> DataFrame:
+    """STR-5: the streamed weekly rate table as serving cells (family
+    ``rates``), keyed ``currency_weekstart``."""
+    from portolan.operators import serving as srv
+    return srv.to_cells(rates_weekly_stream(d), srv.rate_week_key(), "rates", srv.RATE_CELLS)
+
+
+@query("serving_rates_monthly")
+def serving_rates_monthly(d: Domain) -> DataFrame:
+    """STR-5: the streamed monthly rate table as serving cells."""
+    from portolan.operators import serving as srv
+    return srv.to_cells(rates_monthly_stream(d), srv.rate_month_key(), "rates", srv.RATE_CELLS)

@@ -62,14 +62,17 @@ class LakePaths:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+                max_records_per_file: int = MAX_RECORDS_PER_FILE,
+                single_file: bool = False) -> None:
     """SNK-1: overwrite ``path`` with ``df``.
 
     With ``partition_by`` the rows are sorted within each task by the
     partition columns first, so a task keeps one open file at a time; there
     is no repartition (a hot year would otherwise land in one task).
+    ``single_file`` (``coalesce(1)``) is an opt-in for tiny outputs only: it
+    funnels the whole table through one task.
     """
-    w = df
+    w = df.coalesce(1) if single_file else df
     if partition_by:
         w = w.sortWithinPartitions(*partition_by)
     writer = w.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
