@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from portolan.operators import serving as srv
 from portolan.operators import views as vw
@@ -21,21 +22,29 @@ from portolan.operators.fx import fx_monthly, fx_yearly
 from portolan.operators.features import trade_features
 from portolan.plans import marts
 from portolan.plans.context import MART_YEARS, Domain
-from portolan.sources.lake import LakePaths, materialize, write_table
+from portolan.sources.lake import LakePaths, materialize_counted, write_table
 
 
 def build_all(d: Domain, lake: LakePaths, years: tuple[int, int] = MART_YEARS,
-              client_factory: Callable[[], object] | None = None) -> dict[str, str]:
+              client_factory: Callable[[], object] | None = None,
+              row_counts: dict[str, int] | None = None) -> dict[str, str]:
+    """Write every table; returns name -> path.  If ``row_counts`` is a
+    dict it receives each written table's row count, observed during the
+    write itself (DQ-11 at no extra pass)."""
     spark = d.spark
-    d.features = materialize(trade_features(d.trade_raw, d.iso_dim), "monthly_features", ["year"])
+    counts = row_counts if row_counts is not None else {}
+    d.features, counts["monthly_features"] = materialize_counted(
+        trade_features(d.trade_raw, d.iso_dim), "monthly_features", ["year"])
     out: dict[str, str] = {}
 
     def emit(name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         path = lake.table(name)
-        write_table(df, path, partition_by)
+        obs = Observation(f"rows-{name}")
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+        counts[name] = int(obs.get["rows"])
         out[name] = path
 
-    yearly = materialize(marts.trade_yearly(d), "trade_yearly", ["year"])
+    yearly, counts["trade_yearly"] = materialize_counted(marts.trade_yearly(d), "trade_yearly", ["year"])
     yearly_currency = marts.with_currency(yearly, d)
 
     emit("monthly", marts.monthly_mart(d, years), ["year"])

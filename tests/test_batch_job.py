@@ -13,10 +13,13 @@ from tests.conftest import SMALL
 
 def test_build_all_round_trip(spark):
     lake = LakePaths(tempfile.mkdtemp(prefix="lake-"))
-    out = build_all(Domain(spark, SMALL), lake)
+    counts = {}
+    out = build_all(Domain(spark, SMALL), lake, row_counts=counts)
+    assert counts["monthly_features"] == E.queries()["trade_features"](spark, SMALL).count()
+    assert counts["yearly_currency"] == counts["trade_yearly"]  # left lookup keeps rows
     assert {"monthly", "yearly", "yearly_currency", "serving/trade_time"} <= set(out)
     monthly = spark.read.parquet(out["monthly"])
-    assert monthly.count() == E.queries()["monthly_mart"](spark, SMALL).count()
+    assert monthly.count() == counts["monthly"] == E.queries()["monthly_mart"](spark, SMALL).count()
     yearly = spark.read.parquet(out["yearly"])
     lazy = E.queries()["yearly_mart"](spark, SMALL)
     cols = sorted(lazy.columns)
