@@ -6,8 +6,10 @@ are ours:
 
 * sources are file streams (a folder of parquet files, one table picked by
   name); a Kafka source plugs in the same way via ``spark.readStream``;
-* event time is the record timestamp cast to ``TIMESTAMP`` in the session
-  time zone (keep it UTC), watermarked for the weekly windows;
+* record timestamps are wall-clock UTC without zone (``TIMESTAMP_NTZ``);
+  event time is that wall clock read as UTC, whatever the session time
+  zone, and output dates are converted back the same way, so week and
+  month boundaries are UTC boundaries in every session;
 * weekly tables use Monday-aligned tumbling windows (7 days, offset 4 days
   from the epoch, a Thursday); monthly tables group by the month start,
   which needs update mode (windows cannot be calendar months);
@@ -42,13 +44,29 @@ def file_stream(spark: SparkSession, folder: str, table: str,
     return reader.parquet(folder)
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
+def utc_instant(ntz, tz: str):
+    """TIMESTAMP_NTZ wall clock taken as UTC -> TIMESTAMP (an instant)."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), ntz).cast("timestamp")
+
+
+def utc_date(instant, tz: str):
+    """TIMESTAMP instant -> its UTC calendar date."""
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), instant.cast("timestamp_ntz")).cast("date")
+
+
 def rate_events(events: DataFrame) -> DataFrame:
     """Event records as rate observations: type -> currency, value -> rate,
-    record time -> event time."""
+    record time -> event time (UTC instant); ``ts`` is kept as is."""
+    tz = _session_tz(events)
     return events.select(
         F.col("event_type").alias("currency"),
         F.col("value").alias("rate"),
-        F.col("ts").cast("timestamp").alias("event_time"))
+        F.col("ts"),
+        utc_instant(F.col("ts"), tz).alias("event_time"))
 
 
 def _rate_aggs():
@@ -61,18 +79,19 @@ def weekly_rates(rates: DataFrame, watermark: str = "1 day") -> DataFrame:
     """STR-2: min / max / mean per currency and Monday week.  Rows older
     than the watermark are dropped by the state store (and counted in the
     query progress as ``numRowsDroppedByWatermark``)."""
+    tz = _session_tz(rates)
     w = F.window("event_time", WEEK, WEEK, MONDAY_OFFSET)
     return (rates.withWatermark("event_time", watermark)
             .groupBy("currency", w.alias("w")).agg(*_rate_aggs())
-            .select("currency", F.col("w.start").cast("date").alias("week_start"),
-                    F.col("w.end").cast("date").alias("week_end"),
+            .select("currency", utc_date(F.col("w.start"), tz).alias("week_start"),
+                    utc_date(F.col("w.end"), tz).alias("week_end"),
                     "min_rate", "max_rate", "avg_rate", "n_rates"))
 
 
 def monthly_rates(rates: DataFrame) -> DataFrame:
     """STR-3: min / max / mean per currency and calendar month (update
     mode; state is currencies x months)."""
-    month = F.date_trunc("month", "event_time").cast("date").alias("month_start")
+    month = F.trunc(F.col("ts").cast("date"), "month").alias("month_start")
     return rates.groupBy("currency", month).agg(*_rate_aggs())
 
 
@@ -94,7 +113,7 @@ def land_events(events: DataFrame, path: str, quarantine: str, checkpoint: str,
     ``props`` JSON is parsed with a fixed schema; rows whose non-null props
     do not parse go to ``quarantine``.  Duplicate ``event_id`` values within
     ``dedup_within`` of event time are dropped (bounded state)."""
-    parsed = (events.withColumn("event_time", F.col("ts").cast("timestamp"))
+    parsed = (events.withColumn("event_time", utc_instant(F.col("ts"), _session_tz(events)))
               .withWatermark("event_time", dedup_within)
               .dropDuplicatesWithinWatermark(["event_id"])
               .withColumn("__p", F.from_json("props", PROPS_SCHEMA))

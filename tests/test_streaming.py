@@ -83,3 +83,28 @@ def test_monthly_rates_match_batch(spark):
                       F.trunc(F.col("ts").cast("date"), "month").alias("month_start"))
              .agg(F.count(F.lit(1)).alias("n"), F.min("value"), F.max("value")))
     assert got == sorted(tuple(r) for r in batch.collect())
+
+
+def test_weeks_are_utc_in_any_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        src, out = tempfile.mkdtemp(prefix="src-"), tempfile.mkdtemp(prefix="out-")
+        _write(spark, src, "b1", [(1, dt.datetime(2024, 1, 1, 1), 1, "E", 4.0, None),
+                                   (2, dt.datetime(2024, 1, 7, 23), 1, "E", 6.0, None),
+                                   (3, dt.datetime(2024, 2, 1, 2), 1, "E", 8.0, None)])
+        table, ckpt = f"{out}/t", f"{out}/c"
+        jobs.run_upsert(jobs.weekly_rates(jobs.rate_events(_events_stream(spark, src))), table, ckpt
+                        ).awaitTermination()
+        got = {(r.week_start, r.week_end, r.n_rates)
+               for r in read_latest(spark, table, ["currency", "week_start"]).collect()}
+        assert got == {(dt.date(2024, 1, 1), dt.date(2024, 1, 8), 2),
+                       (dt.date(2024, 1, 29), dt.date(2024, 2, 5), 1)}
+        table2, ckpt2 = f"{out}/t2", f"{out}/c2"
+        jobs.run_upsert(jobs.monthly_rates(jobs.rate_events(_events_stream(spark, src))), table2, ckpt2
+                        ).awaitTermination()
+        months = {(r.month_start, r.n_rates)
+                  for r in read_latest(spark, table2, ["currency", "month_start"]).collect()}
+        assert months == {(dt.date(2024, 1, 1), 2), (dt.date(2024, 2, 1), 1)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
