@@ -44,3 +44,17 @@ def test_scan_prunes_columns(spark):
     df = E.queries()["view_trade_time"](spark, SMALL)
     plan = _plan(df)
     assert "l_discount" not in plan and "l_tax" not in plan and "o_totalprice" not in plan
+
+
+def test_pivot_with_value_list_runs_no_job_at_definition(spark):
+    from portolan.operators.indicators import pivot_indicators
+    df = spark.createDataFrame([("A", 1, "b", 2.0)], "c string, y int, indicator_name string, value double")
+    sc = spark.sparkContext
+    sc.setJobGroup("pivot-definition", "pivot definition only")
+    try:
+        pivot_indicators(df, ["b", "z"], keys=["c", "y"])
+        assert list(sc.statusTracker().getJobIdsForGroup("pivot-definition")) == []
+        df.groupBy("c", "y").pivot("indicator_name").agg({"value": "max"})  # no list: discovery job
+        assert list(sc.statusTracker().getJobIdsForGroup("pivot-definition")) != []
+    finally:
+        sc.setJobGroup(None, None)
