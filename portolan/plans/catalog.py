@@ -9,9 +9,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from portolan.operators import features as feat
+from portolan.operators import fx as fxo
+from portolan.operators import indicators as ind
+from portolan.operators import quality as dq
+from portolan.operators import serving as srv
+from portolan.operators import series as ser
+from portolan.operators import views as vw
+from portolan.operators.joins import key_collisions
 from portolan.plans import marts
 from portolan.plans.context import MART_YEARS, Domain
+from portolan.plans.params import (
+    AUDIT_ENTITY,
+    PEEK_K,
+    SERIES_COUNTRIES,
+    SERIES_CURRENCY,
+    SERIES_PARTNER,
+    SERIES_YEAR,
+    TOP_K,
+)
 from portolan.sources.lake import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,23 +54,6 @@ def trade_yearly(d: Domain) -> DataFrame:
 
 
 # -- data quality ------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from portolan.operators import features as feat  # noqa: E402
-from portolan.operators import fx as fxo  # noqa: E402
-from portolan.operators import indicators as ind  # noqa: E402
-from portolan.operators import quality as dq  # noqa: E402
-from portolan.operators import serving as srv  # noqa: E402
-from portolan.operators import series as ser  # noqa: E402
-from portolan.operators import views as vw  # noqa: E402
-from portolan.plans.oracle_queries import (  # noqa: E402
-    SERIES_COUNTRIES,
-    SERIES_CURRENCY,
-    SERIES_PARTNER,
-    SERIES_YEAR,
-)
-
-
 def _cast(d: Domain) -> DataFrame:
     return feat.cast_columns(d.trade_raw, feat.MEASURES)
 
@@ -116,7 +117,7 @@ def world_reconciliation(d: Domain) -> DataFrame:
 @query("entity_audit")
 def entity_audit(d: Domain) -> DataFrame:
     """DQ-10: one country's indicator rows with count and year range."""
-    return dq.entity_audit(marts.indicators(d), "country_name", "NATION_5")
+    return dq.entity_audit(marts.indicators(d), "country_name", AUDIT_ENTITY)
 
 
 @query("join_row_counts")
@@ -231,7 +232,7 @@ def view_economic_structure(d: Domain) -> DataFrame:
 def view_commodity_top10(d: Domain) -> DataFrame:
     """SRT-3: the ten largest commodities of the ranking view (a top-k
     report: TakeOrderedAndProject, no global sort)."""
-    return vw.top_k(view_commodity_ranking(d), 10, F.desc("total_value_usd"),
+    return vw.top_k(view_commodity_ranking(d), TOP_K, F.desc("total_value_usd"),
                     "commodity_short", "hs_code")
 
 
@@ -267,7 +268,6 @@ def serving_economic_structure(d: Domain) -> DataFrame:
 def serving_commodity_collisions(d: Domain) -> DataFrame:
     """D10: commodity_ranking row keys produced by more than one view row
     (reported instead of silently overwritten)."""
-    from portolan.operators.joins import key_collisions
     keys = view_commodity_ranking(d).select(srv.commodity_key().alias("row_key"))
     return key_collisions(keys, "row_key")
 
@@ -282,7 +282,7 @@ def trade_yearly_excl_world(d: Domain) -> DataFrame:
 @query("serving_peek")
 def serving_peek(d: Domain) -> DataFrame:
     """SRC-6: first five row keys of trade_time with their cells."""
-    return srv.peek(_tt_cells(d), 5)
+    return srv.peek(_tt_cells(d), PEEK_K)
 
 
 # -- series ------------------------------------------------------------------

@@ -3,6 +3,15 @@
 from __future__ import annotations
 
 from portolan.plans.oracle import fmean, fsum, fsum_over, ratio, register, round_half_up
+from portolan.plans.params import (
+    AUDIT_ENTITY,
+    PEEK_K,
+    SERIES_COUNTRIES,
+    SERIES_CURRENCY,
+    SERIES_PARTNER,
+    SERIES_YEAR,
+    TOP_K,
+)
 
 # -- data quality ------------------------------------------------------------
 register("trade_features", "select * from trade_features")
@@ -50,11 +59,11 @@ select year,
            as difference
 from trade_yearly group by year""")
 
-register("entity_audit", """
+register("entity_audit", f"""
 select w.*, s.n_rows, s.min_year, s.max_year
 from indicators_wide w
 join (select country_name, count(*) as n_rows, min(year) as min_year, max(year) as max_year
-      from indicators_wide where country_name = 'NATION_5' group by country_name) s
+      from indicators_wide where country_name = '{AUDIT_ENTITY}' group by country_name) s
   on w.country_name = s.country_name""")
 
 register("join_row_counts", """
@@ -131,10 +140,10 @@ register("view_trade_time", "select * from view_trade_time", VIEW_TRADE_TIME)
 register("view_commodity_ranking", "select * from view_commodity_ranking", VIEW_COMMODITY)
 register("view_partner_share", "select * from view_partner_share", VIEW_PARTNER)
 register("view_economic_structure", "select * from view_economic_structure", VIEW_ECONOMIC)
-register("view_commodity_top10", """
+register("view_commodity_top10", f"""
 select * from view_commodity_ranking
 order by total_value_usd desc, commodity_short asc nulls first, hs_code asc nulls first
-limit 10""", VIEW_COMMODITY)
+limit {TOP_K}""", VIEW_COMMODITY)
 
 
 # -- serving rows (long form: row_key, column, value) -------------------------
@@ -184,14 +193,12 @@ register("serving_commodity_collisions", f"""
 select row_key, count(*) as n from (select {CR_KEY} as row_key from view_commodity_ranking)
 group by row_key having count(*) > 1""", VIEW_COMMODITY)
 
-register("serving_peek", """
+register("serving_peek", f"""
 select * from tt_cells
-where row_key in (select distinct row_key from tt_cells order by row_key limit 5)""",
+where row_key in (select distinct row_key from tt_cells order by row_key limit {PEEK_K})""",
          VIEW_TRADE_TIME + ",\ntt_cells as (" + _cells("view_trade_time", TT_KEY, "stats", TT_CELLS) + ")")
 
 # -- series ------------------------------------------------------------------
-SERIES_PARTNER, SERIES_CURRENCY, SERIES_YEAR = "N07", "1", 1998
-SERIES_COUNTRIES = ("NATION_1", "NATION_7", "NATION_13", "NATION_19")
 
 register("series_partner_fx", f"""
 select printf('%d-%02d', year, month) as month_label, year, month, commodity_desc,

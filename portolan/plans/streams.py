@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from portolan.functions.columns import fixed_sum
+from portolan.operators import serving as srv
 from portolan.operators.features import trade_features
 from portolan.plans import marts
 from portolan.plans.catalog import query
@@ -72,27 +74,21 @@ def trade_enriched_stream(d: Domain) -> DataFrame:
 def trade_totals_stream(d: Domain) -> DataFrame:
     """STR-4: the month world totals per (period, hs_code) as a separate
     streaming aggregate (windows over all rows are not allowed on streams)."""
-    from pyspark.sql import functions as F
-
-    from portolan.functions.columns import fixed_sum
     table, ckpt = _folders(d, "trade_totals")
     agg = (_trade_stream(d).groupBy("data_period", "hs_code")
            .agg(fixed_sum("primary_value_usd").alias("month_world_export_value")))
     jobs.run_upsert(agg, table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["data_period", "hs_code"]).select(
-        "data_period", "hs_code", F.col("month_world_export_value"))
+    return read_latest(d.spark, table, ["data_period", "hs_code"])
 
 
 @query("serving_rates_weekly")
 def serving_rates_weekly(d: Domain) -> DataFrame:
     """STR-5: the streamed weekly rate table as serving cells (family
     ``rates``), keyed ``currency_weekstart``."""
-    from portolan.operators import serving as srv
     return srv.to_cells(rates_weekly_stream(d), srv.rate_week_key(), "rates", srv.RATE_CELLS)
 
 
 @query("serving_rates_monthly")
 def serving_rates_monthly(d: Domain) -> DataFrame:
     """STR-5: the streamed monthly rate table as serving cells."""
-    from portolan.operators import serving as srv
     return srv.to_cells(rates_monthly_stream(d), srv.rate_month_key(), "rates", srv.RATE_CELLS)
