@@ -25,6 +25,41 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float = 16.0,
+                 cores_per_executor: int = 4, large_streaming_state: bool = False) -> dict:
+    """Sizing for a run over ``input_bytes`` of parquet on ``total_cores``.
+
+    * scan splits of 512 MB (fewer, larger tasks; parquet row groups are
+      read whole), but never so large that a wave of tasks leaves cores idle;
+    * an initial shuffle partition count that keeps each reduce partition
+      around 200 MB before AQE coalesces it toward 256 MB -- a partition that
+      fits comfortably in one core's share of executor memory, so sorts and
+      aggregations spill rarely; skewed partitions are split by AQE;
+    * the runtime broadcast limit scaled to executor memory (the build side
+      is materialized once per executor);
+    * RocksDB state for streaming jobs with large keyed state (e.g. the
+      landing job's de-duplication); small rate tables do not need it.
+    """
+    split = max(64 * MB, min(512 * MB, input_bytes // max(total_cores * 2, 1)))
+    shuffle_parts = max(total_cores * 2, int(input_bytes // (200 * MB)))
+    per_core_mb = executor_memory_gb * 1024 / max(cores_per_executor, 1)
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(int(min(256, per_core_mb / 8) * MB)),
+    }
+    if large_streaming_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return conf
+
+
 def get_session(master: str | None = None, app: str = "portolan",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:
