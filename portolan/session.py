@@ -34,17 +34,20 @@ def cluster_conf(input_bytes: int, total_cores: int, executor_memory_gb: float =
 
     * scan splits of 512 MB (fewer, larger tasks; parquet row groups are
       read whole), but never so large that a wave of tasks leaves cores idle;
-    * an initial shuffle partition count that keeps each reduce partition
-      around 200 MB before AQE coalesces it toward 256 MB -- a partition that
-      fits comfortably in one core's share of executor memory, so sorts and
-      aggregations spill rarely; skewed partitions are split by AQE;
+    * an initial shuffle partition count sized on the shuffled volume (about
+      a third of the input once columns are pruned and aggregates combined
+      map-side) at ~256 MB per reduce partition -- one core's comfortable
+      share of executor memory, so sorts and aggregations spill rarely --
+      capped at 100k (map-status tracking on the driver grows with
+      mappers x reducers); AQE coalesces small partitions and splits skewed
+      ones;
     * the runtime broadcast limit scaled to executor memory (the build side
       is materialized once per executor);
     * RocksDB state for streaming jobs with large keyed state (e.g. the
       landing job's de-duplication); small rate tables do not need it.
     """
     split = max(64 * MB, min(512 * MB, input_bytes // max(total_cores * 2, 1)))
-    shuffle_parts = max(total_cores * 2, int(input_bytes // (200 * MB)))
+    shuffle_parts = min(100_000, max(total_cores * 2, int(input_bytes // 3 // (256 * MB))))
     per_core_mb = executor_memory_gb * 1024 / max(cores_per_executor, 1)
     conf = {
         "spark.sql.files.maxPartitionBytes": str(split),

@@ -4,7 +4,7 @@ from portolan.session import MB, checkpoint_root, cluster_conf
 def test_cluster_conf_scales_with_input():
     tb100 = cluster_conf(100 * (1 << 40), total_cores=8000)
     assert int(tb100["spark.sql.files.maxPartitionBytes"]) == 512 * MB
-    assert int(tb100["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (200 * MB)
+    assert int(tb100["spark.sql.shuffle.partitions"]) == 100_000
     small = cluster_conf(200 * MB, total_cores=8)
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 64 * MB
     assert int(small["spark.sql.shuffle.partitions"]) == 16
