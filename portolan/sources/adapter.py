@@ -51,7 +51,7 @@ ADAPTER_BROADCAST_MAX_ROWS = 1_000_000
 def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     """``lineitem`` may be a streaming DataFrame (stream-static joins)."""
     li = spread((lineitem if lineitem is not None else t.lineitem).select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"))
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"), "l_orderkey")
     orders = t.orders.select("o_orderkey", "o_custkey")
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     order_nation = (orders.join(customers, "o_custkey")
