@@ -103,7 +103,8 @@ def currency_dim(t: Tables) -> DataFrame:
 
 
 def fx_raw(t: Tables) -> DataFrame:
-    return t.orders.select(
+    return spread(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"),
+                  "o_orderkey").select(
         F.substring("o_orderpriority", 1, 1).alias("currency"),
         F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("date"),
         (F.col("o_totalprice") / F.lit(RATE_DIVISOR)).alias("rate"),
@@ -112,7 +113,7 @@ def fx_raw(t: Tables) -> DataFrame:
 
 def wdi_raw(t: Tables) -> DataFrame:
     """Long-form indicators, one aggregation pass then an unpivot."""
-    o = t.orders.select("o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(t.orders.select("o_custkey", "o_totalprice", "o_orderdate"), "o_custkey")
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     n = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     base = o.join(c, "o_custkey").join(n, "c_nationkey")
