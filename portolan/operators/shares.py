@@ -6,10 +6,12 @@ Two strategies give identical results:
 ``"join"`` (default)
     ``groupBy(keys)`` with partial aggregation, then a null-safe equi-join
     of the (small) totals back to the rows.  Map-side combine means the
-    aggregation shuffle carries one row per key per task, and the join is
-    broadcast when the totals are small (AQE, runtime size check) or a
-    sort-merge join whose skewed partitions AQE splits.  A hot key holding a
-    third of all rows is therefore spread over many tasks.
+    aggregation shuffle carries one row per key per task.  The totals are
+    written once under the shared checkpoint folder; their row count,
+    observed during that write, proves whether they fit the broadcast bound.
+    Within it the rows are joined map-side and never shuffled; beyond it the
+    join is a sort-merge join whose skewed partitions AQE splits.  Either
+    way a hot key holding a third of all rows is spread over many tasks.
 ``"window"``
     ``sum().over(Window.partitionBy(keys))``: one shuffle of all rows and
     one task per key group -- a hot group lands in a single task.  Kept for
@@ -59,6 +61,7 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
         if broadcast_max_rows is not None and rows <= broadcast_max_rows:
             totals = F.broadcast(totals)
     elif broadcast_max_rows is not None and is_bounded(totals, broadcast_max_rows):
+        # without materialization the check computes the totals once more
         totals = F.broadcast(totals)
     return null_safe_join(df, totals, keys, "left")
 
