@@ -57,3 +57,46 @@ class Domain:
     @property
     def wdi_raw(self) -> DataFrame:
         return self.shared("wdi_raw", lambda: adapter.wdi_raw(self.tables))
+
+
+class FileDomain(Domain):
+    """Domain inputs read from files instead of derived from driver tables:
+    trade records, daily FX rates, indicator files (glob), the numeric /
+    alpha-2 / alpha-3 code table, and the currency dimension (packaged one
+    by default)."""
+
+    def __init__(self, spark: SparkSession, trade: str, fx: str, indicators: str,
+                 codes: str, currency: str | None = None, codes_format: str = "parquet"):
+        super().__init__(spark, f"files:{trade}|{fx}|{indicators}|{codes}|{currency}")
+        self.paths = dict(trade=trade, fx=fx, indicators=indicators, codes=codes,
+                          currency=currency, codes_format=codes_format)
+
+    @property
+    def trade_raw(self) -> DataFrame:
+        from portolan.sources.tables import read_trade
+        return self.shared("trade_raw", lambda: read_trade(self.spark, self.paths["trade"]))
+
+    @property
+    def fx_raw(self) -> DataFrame:
+        from portolan.sources.tables import read_fx
+        return self.shared("fx_raw", lambda: read_fx(self.spark, self.paths["fx"]))
+
+    @property
+    def wdi_raw(self) -> DataFrame:
+        from portolan.sources.tables import read_indicators
+        return self.shared("wdi_raw", lambda: read_indicators(self.spark, self.paths["indicators"]))
+
+    @property
+    def iso_dim(self) -> DataFrame:
+        from portolan.sources.dimensions import read_code_table
+        return self.shared("iso_dim", lambda: read_code_table(
+            self.spark, self.paths["codes"], self.paths["codes_format"]))
+
+    @property
+    def currency_dim(self) -> DataFrame:
+        from portolan.sources.dimensions import currency_dimension
+        path = self.paths["currency"]
+        if path is None:
+            return self.shared("currency_dim", lambda: currency_dimension(self.spark))
+        return self.shared("currency_dim", lambda: self.spark.read.parquet(path).select(
+            "country_iso3", "currency"))
