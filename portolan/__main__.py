@@ -1,9 +1,10 @@
 """Run the batch job on files:
 
-    spark-submit -m portolan --trade <parquet> --fx <parquet> \\
+    python -m portolan --trade <parquet> --fx <parquet> \\
         --indicators '<dir>/*.parquet' --codes <parquet> --lake <root> \\
         [--years 2004 2023]
 
+(on a cluster: ``spark-submit --py-files portolan.zip portolan/__main__.py``).
 Writes the monthly / yearly marts, FX statistics, indicators and serving
 tables under ``<root>/final_tables`` and prints the observed row counts.
 """
