@@ -15,7 +15,6 @@ Exactness conventions shared with the Spark side:
 
 from __future__ import annotations
 
-from portolan.functions.columns import fixed_units  # noqa: F401  (documented twin)
 from portolan.plans.context import MART_YEARS
 
 Y0, Y1 = MART_YEARS
