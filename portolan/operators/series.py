@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.columns import fixed_sum, log_scale, month_label, text_head
+from portolan.operators.filters import exclude, members
 
 # The dense-grid axis is embedded in the plan as a literal array; it is a
 # calendar axis (months), so a bound of 10k points is generous.
@@ -41,7 +42,7 @@ def country_year_series(yearly_mart: DataFrame, countries: list[str],
                         country_col: str = "country_name") -> DataFrame:
     """SER-2 / FLT-2: GDP per capita and traded value for several countries
     in one plan (membership filter, one ordering)."""
-    return (yearly_mart.filter(F.col(country_col).isin(list(countries)))
+    return (members(yearly_mart, country_col, list(countries))
             .select(country_col, F.col("year").cast("double").alias("year"),
                     F.col("gdp_per_capita").cast("double").alias("gdp_per_capita"),
                     F.col("annual_value_usd").cast("double").alias("import_value"),
@@ -52,7 +53,7 @@ def country_year_series(yearly_mart: DataFrame, countries: list[str],
 def commodity_month_values(monthly_mart: DataFrame, world: str = "W00") -> DataFrame:
     """AGG-9 / PRJ-13 / PRJ-14: value per (short commodity, first-of-month
     date), world aggregate excluded."""
-    return (monthly_mart.filter(F.col("partnerISO") != world)
+    return (exclude(monthly_mart, "partnerISO", world)
             .withColumns({"date": F.make_date("year", "month", F.lit(1)),
                           "commodity": text_head("commodity_desc")})
             .groupBy("commodity", "date").agg(fixed_sum("primary_value_usd").alias("value")))
@@ -60,7 +61,7 @@ def commodity_month_values(monthly_mart: DataFrame, world: str = "W00") -> DataF
 
 def month_totals(monthly_mart: DataFrame, world: str = "W00") -> DataFrame:
     """AGG-10: total value per first-of-month date, world excluded."""
-    return (monthly_mart.filter(F.col("partnerISO") != world)
+    return (exclude(monthly_mart, "partnerISO", world)
             .withColumn("date", F.make_date("year", "month", F.lit(1)))
             .groupBy("date").agg(fixed_sum("primary_value_usd").alias("total_value"))
             .orderBy("date"))
@@ -100,7 +101,7 @@ def partner_totals(monthly_mart: DataFrame, year: int, world: str = "W00") -> Da
     excluded, with ``log10(total + 1)``."""
     return (monthly_mart.filter(F.col("year") == year)
             .groupBy("partnerISO").agg(fixed_sum("primary_value_usd").alias("export"))
-            .filter(F.col("partnerISO") != world)
+            .transform(lambda t: exclude(t, "partnerISO", world))
             .withColumn("log_export", log_scale("export")))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.functions.columns import fixed_sum, guarded_ratio, text_head
+from portolan.operators.filters import exclude
 
 PRICE_DIGITS = 6
 SHARE_DIGITS = 10
@@ -53,7 +54,7 @@ def commodity_ranking_view(yearly: DataFrame) -> DataFrame:
 def partner_share_view(yearly: DataFrame, world: str = "W00") -> DataFrame:
     """Per (partner, year): value and mean share across commodities,
     world aggregate excluded (``!=`` also drops null partners)."""
-    return (yearly.filter(F.col("partnerISO") != world)
+    return (exclude(yearly, "partnerISO", world)
             .groupBy("partnerISO", "year").agg(
                 fixed_sum("annual_value_usd").alias("partner_value_usd"),
                 _mean("share_of_year_market", SHARE_DIGITS).alias("avg_market_share"))
