@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.functions.columns import fixed_sum, missing
+from portolan.functions.columns import fixed_mean, fixed_sum, missing
 
 
 def missing_report(df: DataFrame, columns: list[str] | None = None,
@@ -29,6 +29,19 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).summary()
 
 
+def numeric_stats(df: DataFrame, columns: list[str], scale: int = 2) -> DataFrame:
+    """DQ-4, exact part: per column the non-null count, exact mean (fixed
+    point at ``scale``), min and max -- one aggregation pass, then one row
+    per column (``stack``)."""
+    aggs = []
+    for c in columns:
+        aggs += [F.count(c).alias(f"{c}__n"), fixed_mean(c, scale).alias(f"{c}__mean"),
+                 F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
+    wide = df.agg(*aggs)
+    rows = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__min`, `{c}__max`" for c in columns)
+    return wide.selectExpr(f"stack({len(columns)}, {rows}) as (column_name, n, mean, min, max)")
+
+
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """DQ-5: distinct values / tuples, ordered."""
     return df.select(*columns).distinct().orderBy(*columns)

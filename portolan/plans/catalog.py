@@ -83,6 +83,13 @@ def trade_summary(d: Domain) -> DataFrame:
     return dq.numeric_summary(trade_fill(d), ["quantity", "weight"])
 
 
+@query("trade_stats")
+def trade_stats(d: Domain) -> DataFrame:
+    """DQ-4, exact part: count, exact mean, min and max of the filled
+    measures (the quantiles stay in ``trade_summary``)."""
+    return dq.numeric_stats(trade_fill(d), ["quantity", "weight", "primary_value_usd"])
+
+
 @query("distinct_periods")
 def distinct_periods(d: Domain) -> DataFrame:
     """DQ-5: distinct period parts."""

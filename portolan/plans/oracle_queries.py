@@ -34,6 +34,18 @@ select data_period, hs_code, commodity_desc, partner_code,
        primary_value_usd
 from trade_cast""")
 
+def _stats(col: str) -> str:
+    return (f"select '{col}' as column_name, count({col}) as n, {fmean(col, 2)} as mean, "
+            f"cast(min({col}) as double) as min, cast(max({col}) as double) as max from filled")
+
+
+register("trade_stats", "\nunion all\n".join(_stats(c) for c in ("quantity", "weight", "primary_value_usd")),
+         """filled as (
+  select case when quantity is null or isnan(quantity) then 0.0 else quantity end as quantity,
+         case when weight is null or isnan(weight) then 0.0 else weight end as weight,
+         primary_value_usd
+  from trade_cast)""")
+
 register("distinct_periods", """
 select distinct data_period, year, month, quarter, quarter_label from trade_features""")
 
