@@ -97,5 +97,6 @@ def materialize_counted(df: DataFrame, name: str,
     obs = Observation(f"rows-{name}")
     write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
     rows = int(obs.get["rows"])
-    table = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
-    return table, rows
+    # the known schema avoids a footer read and works for an empty table
+    # (partition columns come last, as with inference)
+    return spark.read.schema(df.schema).parquet(path), rows
