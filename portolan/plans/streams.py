@@ -9,6 +9,7 @@ is the equivalent batch SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from portolan.functions.columns import fixed_sum
 from portolan.operators import serving as srv
@@ -31,18 +32,18 @@ def _folders(d: Domain, name: str) -> tuple[str, str]:
 def rates_weekly_stream(d: Domain) -> DataFrame:
     """STR-2 / STR-5: weekly rate table maintained by a watermarked stream."""
     table, ckpt = _folders(d, "rates_weekly")
-    rates = jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events"))
-    jobs.run_upsert(jobs.weekly_rates(rates), table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["currency", "week_start"])
+    agg = jobs.weekly_rates(jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events")))
+    jobs.run_upsert(agg, table, ckpt).awaitTermination()
+    return read_latest(d.spark, table, ["currency", "week_start"], agg.schema)
 
 
 @query("rates_monthly_stream")
 def rates_monthly_stream(d: Domain) -> DataFrame:
     """STR-3 / STR-5: monthly rate table (update mode, upsert by key)."""
     table, ckpt = _folders(d, "rates_monthly")
-    rates = jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events"))
-    jobs.run_upsert(jobs.monthly_rates(rates), table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["currency", "month_start"])
+    agg = jobs.monthly_rates(jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events")))
+    jobs.run_upsert(agg, table, ckpt).awaitTermination()
+    return read_latest(d.spark, table, ["currency", "month_start"], agg.schema)
 
 
 @query("events_landed_stream")
@@ -52,7 +53,9 @@ def events_landed_stream(d: Domain) -> DataFrame:
     quarantine = table.rsplit("/", 1)[0] + "/quarantine"
     events = jobs.file_stream(d.spark, d.sf_dir, "events")
     jobs.land_events(events, table, quarantine, ckpt).awaitTermination()
-    return read_appended(d.spark, table)
+    schema = (events.select("event_id", "ts", "user_id", "event_type", "value", "props")
+              .schema.add("k", T.IntegerType()))
+    return read_appended(d.spark, table, schema)
 
 
 def _trade_stream(d: Domain) -> DataFrame:
@@ -67,7 +70,7 @@ def trade_enriched_stream(d: Domain) -> DataFrame:
     table, ckpt = _folders(d, "trade_enriched")
     enriched = marts.with_currency(_trade_stream(d), d)
     jobs.run_append(enriched, table, ckpt).awaitTermination()
-    return read_appended(d.spark, table)
+    return read_appended(d.spark, table, enriched.schema)
 
 
 @query("trade_totals_stream")
@@ -78,7 +81,7 @@ def trade_totals_stream(d: Domain) -> DataFrame:
     agg = (_trade_stream(d).groupBy("data_period", "hs_code")
            .agg(fixed_sum("primary_value_usd").alias("month_world_export_value")))
     jobs.run_upsert(agg, table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["data_period", "hs_code"])
+    return read_latest(d.spark, table, ["data_period", "hs_code"], agg.schema)
 
 
 @query("serving_rates_weekly")

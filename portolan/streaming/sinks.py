@@ -9,8 +9,10 @@ highest batch id wins.  ``compact`` folds the batches into one snapshot.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
 
@@ -49,19 +51,32 @@ class AppendSink:
             flagged.unpersist()
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    """The batch folders of a sink; a stream that processed no batch left no
+    folder, which reads as an empty table when the schema is known."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        if schema is None:
+            raise
+        empty = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.IntegerType())])
+        return spark.createDataFrame([], empty)
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str],
+                schema: T.StructType | None = None) -> DataFrame:
     """Current table state: per key, the row from the latest batch.
 
     A key's group holds at most one row per batch that touched it, so the
     aggregation stays bounded per key."""
-    df = spark.read.parquet(path)
+    df = _read(spark, path, schema)
     values = [c for c in df.columns if c not in keys and c != BATCH_COL]
     latest = F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("__v")
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values])
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BATCH_COL)
+def read_appended(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    return _read(spark, path, schema).drop(BATCH_COL)
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], out: str) -> None:

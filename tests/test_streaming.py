@@ -108,3 +108,12 @@ def test_weeks_are_utc_in_any_session_time_zone(spark):
         assert months == {(dt.date(2024, 1, 1), 2), (dt.date(2024, 2, 1), 1)}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_stream_over_no_files_reads_as_empty_table(spark):
+    src, out = tempfile.mkdtemp(prefix="src-"), tempfile.mkdtemp(prefix="out-")
+    agg = jobs.weekly_rates(jobs.rate_events(_events_stream(spark, src)))
+    table, ckpt = f"{out}/t", f"{out}/c"
+    jobs.run_upsert(agg, table, ckpt).awaitTermination()
+    got = read_latest(spark, table, ["currency", "week_start"], agg.schema)
+    assert got.count() == 0 and "avg_rate" in got.columns
