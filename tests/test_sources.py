@@ -76,3 +76,15 @@ def test_materialize_empty_partitioned_table(spark):
     empty = spark.range(0).select(F.col("id").cast("int").alias("year"), F.lit("x").alias("v"))
     t, n = materialize_counted(empty, "empty", ["year"])
     assert n == 0 and t.count() == 0 and sorted(t.columns) == ["v", "year"]
+
+
+def test_membership_filter_and_pruning_reach_the_scan(spark):
+    from portolan.operators.filters import members
+    folder = tempfile.mkdtemp(prefix="scan-")
+    spark.range(100).select(F.col("id").cast("string").alias("c"), F.col("id").alias("v"),
+                            F.lit("wide").alias("unused")).write.mode("overwrite").parquet(folder)
+    df = members(spark.read.parquet(folder), "c", ["1", "2"]).select("c", "v")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(c), In(c, [1,2])]" in plan or "In(c" in plan
+    assert "ReadSchema: struct<c:string,v:bigint>" in plan
+    assert df.count() == 2
