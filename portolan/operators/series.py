@@ -86,6 +86,8 @@ def dense_grid(values: DataFrame, series: str, axis: str, value: str,
     No join and no cross product of data rows.
     """
     pts = axis_points if axis_points is not None else axis_values(values, axis)
+    if not pts:  # no axis point: an empty grid with the usual schema
+        return values.select(series, axis, F.col(value).cast("double").alias(value)).filter(F.lit(False))
     cells = values.filter(F.col(axis).isNotNull())
     per = cells.groupBy(series).agg(
         F.map_from_entries(F.collect_list(F.struct(axis, value))).alias("__m"))

@@ -69,3 +69,9 @@ def test_partner_totals_world_excluded_and_log(spark):
                                "year int, partnerISO string, primary_value_usd double")
     rows = ser.partner_totals(df, 1998).collect()
     assert [(r.partnerISO, r.export, r.log_export) for r in rows] == [("DEU", 9.0, 1.0)]
+
+
+def test_dense_grid_of_nothing_is_empty_and_typed(spark):
+    vals = spark.createDataFrame([], "commodity string, date date, value double")
+    grid = ser.dense_grid(vals, "commodity", "date", "value")
+    assert grid.count() == 0 and dict(grid.dtypes) == {"commodity": "string", "date": "date", "value": "double"}
