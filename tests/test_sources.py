@@ -88,3 +88,11 @@ def test_membership_filter_and_pruning_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(c), In(c, [1,2])]" in plan or "In(c" in plan
     assert "ReadSchema: struct<c:string,v:bigint>" in plan
     assert df.count() == 2
+
+
+def test_dimension_write_round_trip(spark):
+    from portolan.sources.dimensions import currency_dimension, write_dimension
+    path = tempfile.mkdtemp(prefix="dim-") + "/currency"
+    write_dimension(currency_dimension(spark), path)
+    back = spark.read.parquet(path)
+    assert back.count() == 182 and back.rdd.getNumPartitions() == 1
