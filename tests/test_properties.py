@@ -70,3 +70,20 @@ def test_dense_grid_size(spark, data):
     for r in grid.collect():
         if (r.s, r.a) not in present:
             assert r.v == 0.0
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["01", "02", "", None]),
+                          st.sampled_from(["Live animals", " Live animals ", "Fish; x", "", None,
+                                           "A very long commodity name beyond twenty"])),
+                min_size=1, max_size=20))
+def test_row_keys_unique_or_reported(spark, data):
+    from collections import Counter
+
+    from portolan.operators import serving as srv
+    from portolan.operators.joins import key_collisions
+    df = spark.createDataFrame(data, "hs_code string, commodity_short string")
+    keys = df.select(srv.commodity_key().alias("row_key"))
+    counts = Counter(r.row_key for r in keys.collect())
+    reported = {r.row_key: r.n for r in key_collisions(keys, "row_key").collect()}
+    assert reported == {k: n for k, n in counts.items() if n > 1}
