@@ -22,14 +22,16 @@ from portolan.sources.lake import LakePaths
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="portolan")
-    p.add_argument("--trade", required=True)
-    p.add_argument("--fx", required=True)
-    p.add_argument("--indicators", required=True)
-    p.add_argument("--codes", required=True)
-    p.add_argument("--codes-format", default="parquet")
-    p.add_argument("--currency", default=None)
-    p.add_argument("--lake", required=True)
-    p.add_argument("--years", nargs=2, type=int, default=(2004, 2023))
+    p.add_argument("--trade", required=True, help="trade records (parquet)")
+    p.add_argument("--fx", required=True, help="daily exchange rates (parquet, text dates)")
+    p.add_argument("--indicators", required=True, help="long-form indicator files (glob)")
+    p.add_argument("--codes", required=True, help="iso_numeric / iso2 / iso3 code table")
+    p.add_argument("--codes-format", default="parquet", help="format of the code table")
+    p.add_argument("--currency", default=None,
+                   help="country -> currency table (default: the packaged one)")
+    p.add_argument("--lake", required=True, help="root folder of the output tables")
+    p.add_argument("--years", nargs=2, type=int, default=(2004, 2023),
+                   help="inclusive year range of the marts")
     a = p.parse_args(argv)
     spark = get_session()
     d = FileDomain(spark, a.trade, a.fx, a.indicators, a.codes, a.currency, a.codes_format)
