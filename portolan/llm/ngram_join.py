@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.graph import components
+from portolan.llm.linkage import linked_components, other_pairs, shared_members, verified
 from portolan.llm.store import Table, cut, if_small
 from portolan.llm.words import mix, shingle_sets, text_chunks, words_of
 
@@ -35,9 +35,6 @@ BAND = 1.7
 #: A block with fewer shingles says little; a band has this share of blocks
 #: beyond the pigeonhole number, and a document may leave out as many.
 SPARE, FEW = 0.07, 3
-#: Members of a bucket that are compared with each other at a time.
-CHUNK = 256
-
 _U = np.uint64
 
 
@@ -248,64 +245,23 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: T
         stand_in, (full["_id"].eqNullSafe(stand_in["_id"])) & (full["_th"] == stand_in["_th"])
         & (full["f1"] == stand_in["f1"]), "left_semi").select("f1", "keys"))
     buckets = keyed.read().select(F.explode("keys").alias("key"), "f1")
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    node_of = nodes.select("f1", "node")
-    members = cut(buckets.join(shared, "key", "left_semi").distinct().join(node_of, "f1").select("key", "node"),
+    members = cut(shared_members(buckets, "f1").join(nodes.select("f1", "node"), "f1").select("key", "node"),
                   "members")
     keyed.drop()
     parity = full.select(node, "parity").groupBy("node").agg(F.first("parity").alias("parity"))
     return Sketched(rows, nodes.drop("f1", "rid").join(parity, "node"), members, base.select("_th", "_text"))
 
 
-def _verified(pairs: DataFrame, s: Sketched, nodes: DataFrame, width: int, threshold: Threshold,
-              lower: bool) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets reach the threshold."""
-    pairs = cut(pairs, "candidates")
-    ends = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-               .join(nodes.select("node", "th"), "node"), "ends")
-    need = ends.select(F.col("th").alias("_th")).distinct()
-    texts = s.texts.join(if_small(need, ends.count()), "_th", "left_semi").groupBy("_th").agg(
-        F.min("_text").alias("_text"))
-    named = cut(ends.join(texts, ends["th"] == texts["_th"]).select("node", "_text"), "texts")
-    left = named.select(F.col("node").alias("a"), F.col("_text").alias("text_a"))
-    right = named.select(F.col("node").alias("b"), F.col("_text").alias("text_b"))
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-               .mapInArrow(_verifier(width, threshold, lower), "a string, b string"), "links")
-
-
-def _star_pairs(s: Sketched, nodes: DataFrame, threshold: Threshold) -> DataFrame:
-    """Each member of a bucket with the bucket's least and greatest member."""
-    ends = s.members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    pairs = (s.members.join(ends, "key").select("node", F.explode(F.array("lo", "hi")).alias("hub"))
-             .where("node <> hub").select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y"))
-             .distinct())
-    a, b = nodes.alias("a"), nodes.alias("b")
-    return (pairs.join(a, F.col("x") == F.col("a.node")).join(b, F.col("y") == F.col("b.node"))
-            .where(_may_link(threshold)).select(F.col("x").alias("a"), F.col("y").alias("b")))
-
-
-def _other_pairs(s: Sketched, nodes: DataFrame, labels: DataFrame | None, threshold: Threshold) -> DataFrame:
-    """Pairs within buckets that are in different components so far (all pairs
-    without labels), compared in chunks of about CHUNK members."""
-    members = s.members
-    if labels is not None:
-        members = members.join(labels, members["node"] == labels["l_node"], "left").select(
-            "key", "node", F.coalesce("root", "node").alias("comp"))
-    else:
-        members = members.withColumn("comp", F.col("node"))
-    sizes = (members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"),
-                                        F.max("comp").alias("hi"))
-             .where("lo <> hi").select("key", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts")))
-    dealt = members.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    dealt = cut(dealt.join(nodes.select("node", "n", "parity"), "node"), "dealt")
-    left = dealt.withColumn("q", F.explode(F.sequence("part", F.col("parts") - 1))).withColumn("p", F.col("part"))
-    right = dealt.withColumn("p", F.explode(F.sequence(F.lit(0), "part"))).withColumn("q", F.col("part"))
-    same = F.col("a.part") == F.col("b.part")
-    return (left.alias("a").join(
-        right.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.p") == F.col("b.p"))
-        & (F.col("a.q") == F.col("b.q")) & (F.col("a.comp") != F.col("b.comp"))
-        & (~same | (F.col("a.node") < F.col("b.node"))) & _may_link(threshold))
-        .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct())
+def _checker(s: Sketched, nodes: DataFrame, width: int, threshold: Threshold, lower: bool):
+    """Exact check of pairs of nodes on the whole texts of their stand-ins."""
+
+    def texts(ends: DataFrame, n: int) -> DataFrame:
+        ends = ends.join(nodes.select("node", "th"), "node")
+        need = ends.select(F.col("th").alias("_th")).distinct()
+        found = s.texts.join(if_small(need, n), "_th", "left_semi").groupBy("_th").agg(F.min("_text").alias("_text"))
+        return ends.join(found, ends["th"] == found["_th"]).select("node", "_text")
+
+    return lambda pairs: verified(pairs, texts, _verifier(width, threshold, lower))
 
 
 def _start(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: Threshold,
@@ -321,7 +277,8 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ids of the documents that have them.  ``classes`` has the membership of
     copies.  Null ids stand for themselves; empty texts have no links."""
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
-    links = _verified(_other_pairs(s, nodes, None, threshold), s, nodes, width, threshold, lower)
+    check = _checker(s, nodes, width, threshold, lower)
+    links = check(other_pairs(s.members, nodes, None, _may_link(threshold)))
     ids = nodes.select("node", "least")
     return (links.join(ids.select(F.col("node").alias("a"), F.col("least").alias("least_a")), "a")
             .join(ids.select(F.col("node").alias("b"), F.col("least").alias("least_b")), "b")
@@ -339,14 +296,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     with an id is linked.  Other columns are not read.
     """
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
-    links = _verified(_star_pairs(s, nodes, threshold), s, nodes, width, threshold, lower)
-    first = components(links, "a", "b")
-    more = _verified(_other_pairs(s, nodes, first.select(F.col("node").alias("l_node"), "root"), threshold),
-                     s, nodes, width, threshold, lower)
-    if more.isEmpty():
-        roots = first
-    else:
-        roots = components(links.unionByName(more), "a", "b")
+    check = _checker(s, nodes, width, threshold, lower)
+    roots = linked_components(s.members, nodes, _may_link(threshold), check)
     least = s.nodes.select("node", "least")
     linked = roots.join(least, "node")
     smallest = linked.groupBy("root").agg(F.min("least").alias("small"))
