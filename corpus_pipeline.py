@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm import bpe, ngram_join, quality_gam
-from portolan.llm.queries import QUALITY_CUT, quality_model, vocabulary
+from portolan.llm import bpe, decontaminate, line_dedup, ngram_join, quality_gam
+from portolan.llm.queries import QUALITY_CUT, quality_model, table, vocabulary
 from portolan.llm.store import cut
 
 #: SQL cannot express a trained classifier or the tokenizer's merges.
@@ -24,6 +24,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") >= QUALITY_CUT).withColumnRenamed("_whole", "text").select(*docs.columns)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every line once, where it stands first; a document whose lines all stand
+    in earlier documents goes, one that had no line with a word stays."""
+    done = line_dedup.dedup_lines(docs)
+    return done.where("n_kept > 0 or n_lines = 0").withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares four fifths of its five-word
     shingles: the one with the smallest id."""
@@ -32,6 +40,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item in them."""
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(cut(found, "leaks"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     ranks, pattern = vocabulary()
@@ -40,7 +54,9 @@ def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
     ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
     ("byte-level BPE", to_ids),
 ]
 

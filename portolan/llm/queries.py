@@ -6,7 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm import bpe, ngram_join, quality_gam, rules
+from portolan.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    ngram_join,
+    pii_crf,
+    quality_gam,
+    rules,
+    sharding,
+    url_filter,
+)
 
 #: Share of documents kept out of training: crc32 of the id as text, modulo 5.
 FOLDS = 5
@@ -59,7 +70,105 @@ def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_quality, op3_bpe, op4_rules)}
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"), ["page_id", "url"]).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_kept", "text")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_crf.find(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
+              for k in pii_crf.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+#: URL rules (fixed values).
+ALLOW = ("com/", "www.example.com/en/")
+BLOCK = ("example.com/en/", "net/es/", "net/fr/")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def keys(values: tuple[str, ...]) -> DataFrame:
+        return spark.range(1).select(F.explode(F.array(*map(F.lit, values))).alias("key"))
+
+    return url_filter.judge(table(spark, sf_dir, "pages"), keys(ALLOW), keys(BLOCK))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op2_quality, op3_bpe, op4_rules, op5_sharding, op6_html, op7_line_dedup, op8_pii,
+    op9_url_filter, op10_decontamination)}
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 #: SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_rules": rf"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as t, {_WORDS} as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-]')) as ls
+  from documents
+), win as (
+  select r, i, w[i] as a, w[i + 1] as b, w[i + 2] as c
+  from (select r, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3)
+), again as (
+  select r, i from (select r, i, count(*) over (partition by r, a, b, c) as n from win) where n >= 2
+), covered as (
+  select r, count(distinct p) as n from (select r, unnest([i, i + 1, i + 2]) as p from again) group by r
+), s as (
+  select d.r, doc_id, t, w, len(w)::bigint as n_words,
+         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::bigint as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls) as n_lines,
+         coalesce(covered.n, 0)::bigint as n_repeat_words,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
+         length(regexp_replace(t, '[^!?]', '', 'g')) as n_marks,
+         len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) as n_stutters
+  from d left join covered on covered.r = d.r
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+       not (n_words < 50 or 100 * n_repeat_words > 50 * n_words or 100 * n_symbols > 40 * n_words
+            or 100 * n_upper > 50 * word_chars or 100 * n_marks > 50 * n_words
+            or 100 * n_dup_lines > 60 * n_lines or 100 * n_stutters > 30 * n_words
+            or word_chars < 2 * n_words or word_chars > 15 * n_words) as kept
+from s""",
+    "op9_url_filter": r"""
+with u as (
+  select page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from pages
+), rules(h, p, v) as (
+  values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+         ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), hosts as (
+  select distinct host, path from u
+), best as (
+  select host, path, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as v
+  from hosts join rules on (host = h or host like '%.' || h) and starts_with(path, p)
+  group by host, path
+)
+select page_id, u.host, u.path, rule, coalesce(v, 'allow') as verdict
+from u left join best on best.host = u.host and best.path = u.path""",
+}

@@ -98,27 +98,41 @@ class Words:
     first: np.ndarray  # index of each row's first word, and the total at the end
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
-    if lower:
-        data = _LOWER[data]
-    n = len(data)
-    solid = ~_SPACE[data]
+def _spans(offsets: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of solid bytes; a run ends with its row."""
+    n = len(solid)
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     begins = solid.copy()
     begins[1:] &= ~solid[:-1] | edge[1:n]
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | edge[1:n]
-    start = np.flatnonzero(begins)
-    end = np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    n = len(data)
     up, down = _POWERS.get(n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
     h = (sums[end] - sums[start]) * down[start]
-    h = mix(h ^ ((end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+    return mix(h ^ ((end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+
+
+def segment_hashes(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of the runs of solid bytes."""
+    start, end = _spans(offsets, solid)
+    row = np.searchsorted(offsets, start, side="right") - 1
+    return _span_hashes(data, start, end), row
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+    if lower:
+        data = _LOWER[data]
+    start, end = _spans(offsets, ~_SPACE[data])
     first = np.searchsorted(start, offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    return Words(start, end, row, h, first)
+    return Words(start, end, row, _span_hashes(data, start, end), first)
 
 
 def _step(k: int) -> np.uint64:
