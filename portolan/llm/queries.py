@@ -125,7 +125,8 @@ ORACLE: dict[str, str] = {
     "op4_rules": rf"""
 with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as t, {_WORDS} as w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ 	-]')) as ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) as ls
   from documents
 ), win as (
   select r, i, w[i] as a, w[i + 1] as b, w[i + 2] as c
@@ -136,13 +137,13 @@ with d as (
   select r, count(distinct p) as n from (select r, unnest([i, i + 1, i + 2]) as p from again) group by r
 ), s as (
   select d.r, doc_id, t, w, len(w)::bigint as n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::bigint as word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
          (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, len(ls) as n_lines,
          coalesce(covered.n, 0)::bigint as n_repeat_words,
          length(regexp_replace(t, '[^A-Z]', '', 'g')) as n_upper,
          length(regexp_replace(t, '[^!?]', '', 'g')) as n_marks,
-         len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) as n_stutters
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as n_stutters
   from d left join covered on covered.r = d.r
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
