@@ -92,9 +92,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-              for k in pii_crf.KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+    kinds = F.transform(base, lambda s: s["kind"])
+
+    def count(kind: str):
+        return F.size(F.filter(kinds, lambda k: k == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii_crf.KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
 
 
