@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.linkage import linked_components, shared_members, verified
+from portolan.llm.ngram_join import Threshold, may_link, parity_sketches
 from portolan.llm.store import cut, if_small
 from portolan.llm.words import _POWERS, mix, text_chunks
 
@@ -105,12 +106,14 @@ def _signer(batches):
             hashes, line = lines.shingles()
             keys = band_keys(hashes, line, len(lines.row))
             use = np.flatnonzero(lines.has_word)
+            # a line of one shingle is linked with equal lines only
+            banded = (lines.end - lines.start)[use] > SHINGLE
+            ends = np.concatenate([[0], np.cumsum(banded * BANDS)]).astype(np.int32)
             row = pa.array(i + lines.row[use])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.place[use].astype(np.int32)),
                  pa.array(lines.hashes()[use].view(np.int64)),
-                 pa.FixedSizeListArray.from_arrays(pa.array(keys[use].ravel().view(np.int64)), BANDS).cast(
-                     pa.list_(pa.int64()))],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[use][banded].ravel().view(np.int64)))],
                 names=["_id", "_th", "place", "line", "keys"])
 
 
@@ -121,6 +124,19 @@ def _shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def _profiler(batches):
+    """mapInArrow: (node, line) -> (node, n, parity): what bounds a pair's similarity."""
+    for batch in batches:
+        for i, j, data, offsets in text_chunks(batch.column(1)):
+            sets = _shingle_sets(data, offsets)
+            sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+            parity, at = parity_sketches(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, j - i), pa.array(sizes),
+                 pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(parity))],
+                names=["node", "n", "parity"])
+
+
 def _verifier(batches):
     for batch in batches:
         keep = np.zeros(batch.num_rows, dtype=bool)
@@ -147,15 +163,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = lines.select(F.explode("keys").alias("key"), F.col("line").alias("node"))
     members = cut(shared_members(buckets, "node"), "line-members")
 
-    def texts(ends: DataFrame, n: int) -> DataFrame:
-        at = cut(ends.join(nodes, "node").select("node", F.col("first._th").alias("_th"),
-                                                 F.col("first.place").alias("place")), "line-ends")
-        need = at.select("_th").distinct()
-        whole = base.select("_th", "_text").join(if_small(need, n), "_th", "left_semi").groupBy("_th").agg(
-            F.min("_text").alias("_text"))
-        return at.join(whole, "_th").select("node", F.get(F.split("_text", "\n"), "place").alias("_text"))
+    # the bucketed lines' texts, from the documents where they stand first
+    at = cut(members.select("node").distinct().join(nodes, "node").select(
+        "node", F.col("first._th").alias("_th"), F.col("first.place").alias("place")), "line-ends")
+    need = at.select("_th").distinct()
+    whole = base.select("_th", "_text").join(if_small(need, at.count()), "_th", "left_semi")
+    named = cut(whole.select("_th", F.posexplode(F.split("_text", "\n")).alias("place", "_text"))
+                .join(at, ["_th", "place"]).groupBy("node").agg(F.min("_text").alias("_text")), "line-texts")
+    bounded = cut(named.mapInArrow(_profiler, "node long, n long, parity array<long>"), "line-parity")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, lambda ends, n: named.join(if_small(ends, n), "node", "left_semi"), _verifier)
 
-    roots = linked_components(members, nodes.select("node"), F.lit(True), lambda p: verified(p, texts, _verifier))
+    roots = linked_components(members, bounded, may_link(Threshold(NUM, DEN)), check)
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = cut(roots.join(nodes, "node").groupBy("root").agg(F.min("first").alias("class_first")), "firsts")
     owners = labelled.join(firsts, "root", "left").where("c > 1 or class_first is not null").select(

@@ -206,7 +206,7 @@ def _hamming(a: Column, b: Column) -> Column:
                        F.lit(0), lambda s, x: s + x)
 
 
-def _may_link(threshold: Threshold) -> Column:
+def may_link(threshold: Threshold) -> Column:
     """Size and Hamming bounds of sides a and b."""
     na, nb = F.col("a.n"), F.col("b.n")
     return ((F.least(na, nb) * threshold.den >= F.greatest(na, nb) * threshold.num)
@@ -278,7 +278,7 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies.  Null ids stand for themselves; empty texts have no links."""
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
     check = _checker(s, nodes, width, threshold, lower)
-    links = check(other_pairs(s.members, nodes, None, _may_link(threshold)))
+    links = check(other_pairs(s.members, nodes, None, may_link(threshold)))
     ids = nodes.select("node", "least")
     return (links.join(ids.select(F.col("node").alias("a"), F.col("least").alias("least_a")), "a")
             .join(ids.select(F.col("node").alias("b"), F.col("least").alias("least_b")), "b")
@@ -297,7 +297,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     """
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
     check = _checker(s, nodes, width, threshold, lower)
-    roots = linked_components(s.members, nodes, _may_link(threshold), check)
+    roots = linked_components(s.members, nodes, may_link(threshold), check)
     least = s.nodes.select("node", "least")
     linked = roots.join(least, "node")
     smallest = linked.groupBy("root").agg(F.min("least").alias("small"))
