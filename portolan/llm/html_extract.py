@@ -345,8 +345,8 @@ TAILS = ('<footer>{s}</footer>', '<footer>&copy; {t} &middot; {s}</footer>', '<d
          '<div id="copyright">{t}. {s}</div>', '<footer><nav><ul>{li}</ul></nav><p>{s}</p></footer>')
 COMMENTS = ('<section class="comments"><h2>{t}</h2><div class="comment"><p>{s}{s}</p></div><div class="comment">'
             '<p>{s}</p></div></section>', '<div id="comments"><ul><li><p>{s}{s}</p></li><li>{s}</li></ul></div>',
-            '<div class="discussion"><article><p>{s}{s}</p></article><article><p>{s}</p></article></div>')
-PAGE_COUNT = 900
+            '<div class="discussion"><div><p>{s}{s}</p></div><div><p>{s}</p></div></div>')
+PAGE_COUNT = 1000
 
 
 def labelled_pages() -> list[tuple[Page, np.ndarray]]:
@@ -375,7 +375,7 @@ def labelled_pages() -> list[tuple[Page, np.ndarray]]:
     for _ in range(PAGE_COUNT):
         inner = "".join(BODIES[rng.integers(len(BODIES))] if rng.random() < 0.9 else NOISE[rng.integers(len(NOISE))]
                         for _ in range(rng.integers(1, 8) if rng.random() < 0.5 else rng.integers(1, 20)))
-        body, bare = ARTICLES[rng.integers(len(ARTICLES))], rng.random() < 0.15
+        body, bare = ARTICLES[rng.integers(len(ARTICLES))], rng.random() < 0.3
         if rng.random() < 0.4:  # most sites name the article as such
             body = ARTICLES[rng.integers(3)]
         around = ["", "", "", "", ""] if bare else [pick(MENUS, 0, 3), pick(NOISE, 0, 3), pick(COMMENTS, 0, 2),
