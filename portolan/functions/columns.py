@@ -6,6 +6,10 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,51 +100,61 @@ def log_scale(c) -> Column:
 
 
 # --------------------------------------------------------------------------
-# exact, order-independent aggregation
+# sums and means, plain or exact
 # --------------------------------------------------------------------------
-def fixed_units(c, scale: int) -> Column:
-    """Value as a long count of ``10^-scale`` units, rounded half up.
-
-    ``floor(x * 10^scale + 0.5)`` is evaluated in double arithmetic, which is
-    reproducible bit for bit; NaN and out-of-range values become null
-    (``floor`` alone would turn NaN into 0 and saturate large values).
-    """
-    return F.expr(_fixed_units_sql(c, scale)) if isinstance(c, str) else _fixed_units_col(c, scale)
+_EXACT: ContextVar[tuple[int, int] | None] = ContextVar("portolan_exact_digits", default=None)
 
 
-def _fixed_units_sql(name: str, scale: int) -> str:
-    s = f"({_q(name)} * {float(10 ** scale)!r}D + 0.5D)"
-    return (f"CASE WHEN isnan({s}) OR abs({s}) >= 9.0E18D THEN CAST(NULL AS BIGINT) "
-            f"ELSE CAST(floor({s}) AS BIGINT) END")
+@contextmanager
+def exact_digits(money: int = 2, rates: int = 8) -> Iterator[None]:
+    """Within this block measures are summed as long counts of 10^-money
+    units and rates averaged at 10^-rates, independent of partitioning and
+    retries, and the views round their means.  A value with more digits, or
+    out of range, fails the query: nothing is rounded away or left out.
+    Outside it every sum and mean is Spark's plain ``sum`` / ``avg``."""
+    token = _EXACT.set((money, rates))
+    try:
+        yield
+    finally:
+        _EXACT.reset(token)
 
 
-def _fixed_units_col(c, scale: int) -> Column:
-    scaled = as_col(c) * F.lit(float(10 ** scale)) + F.lit(0.5)
-    bad = F.isnan(scaled) | (F.abs(scaled) >= F.lit(9.0e18))
-    return F.when(bad, F.lit(None).cast("long")).otherwise(F.floor(scaled).cast("long"))
+def exact_mode() -> bool:
+    return _EXACT.get() is not None
 
 
-def fixed_sum(c, scale: int = 2, over=None) -> Column:
-    """Exact sum of a measure held at ``scale`` decimals, returned as double.
-
-    Summing longs is associative, so the total does not depend on partition
-    layout, task order or retries -- unlike a plain double sum -- and it
-    stays a primitive codegen aggregate (no BigDecimal buffers).  All-null
-    input gives null, like ``sum``.  ``over`` turns it into a window sum.
-    """
-    if isinstance(c, str) and over is None:
-        return F.expr(f"CAST(sum({_fixed_units_sql(c, scale)}) AS DOUBLE) / {float(10 ** scale)!r}D")
-    total = F.sum(fixed_units(c, scale))
+def fixed_units(c, scale: int) -> Column:
+    """Value as a long count of ``10^-scale`` units; a value that is not such
+    a count (more digits, NaN, infinite, beyond 9e18 units) raises."""
+    value = as_col(c).cast("double")
+    scaled = value * F.lit(float(10 ** scale))
+    units = F.floor(scaled + F.lit(0.5))
+    off = F.abs(scaled - units) > F.lit(1e-3) + F.abs(scaled) * F.lit(1e-12)
+    bad = F.isnan(scaled) | (F.abs(scaled) >= F.lit(9.0e18)) | off
+    return F.when(value.isNull(), F.lit(None).cast("long")).when(
+        bad, F.raise_error(F.concat(F.lit(f"not a number of {scale} decimals: "), value.cast("string"))).cast("long")
+    ).otherwise(units.cast("long"))
+
+
+def fixed_sum(c, scale: int | None = None, over=None) -> Column:
+    """Sum of a measure: plain, or exact at ``scale`` decimals (given here or
+    by `exact_digits`).  All-null input gives null.  ``over`` turns it into a
+    window sum."""
+    if scale is None and exact_mode():
+        scale = _EXACT.get()[0]
+    total = F.sum(as_col(c)) if scale is None else F.sum(fixed_units(c, scale))
     if over is not None:
         total = total.over(over)
-    return total.cast("double") / F.lit(float(10 ** scale))
+    return total if scale is None else total.cast("double") / F.lit(float(10 ** scale))
 
 
-def fixed_mean(c, scale: int) -> Column:
-    """Exact mean at ``scale`` decimals: fixed-point sum / non-null count."""
-    if isinstance(c, str):
-        u = _fixed_units_sql(c, scale)
-        return F.expr(f"(CAST(sum({u}) AS DOUBLE) / {float(10 ** scale)!r}D) / CAST(count({u}) AS DOUBLE)")
+def fixed_mean(c, scale: int | None = None) -> Column:
+    """Mean of a measure: plain, or exact at ``scale`` decimals (given here or
+    by `exact_digits`) as fixed-point sum / non-null count."""
+    if scale is None and exact_mode():
+        scale = _EXACT.get()[1]
+    if scale is None:
+        return F.avg(as_col(c))
     units = fixed_units(c, scale)
     return (F.sum(units).cast("double") / F.lit(float(10 ** scale))) / F.count(units).cast("double")
 

@@ -21,11 +21,11 @@ def parse_rate_dates(df: DataFrame, date_col: str = "date", fmt: str = "yyyy-MM-
 
 
 def rate_stats(df: DataFrame, keys: list[str], value: str = "rate",
-               scale: int | None = RATE_SCALE) -> DataFrame:
+               scale: int | None = None) -> DataFrame:
     """``min`` / ``max`` / mean of daily rates per key.  The mean is over
     the daily rows (not of sub-period means); with ``scale`` it is exact and
     independent of partitioning."""
-    mean = fixed_mean(value, scale) if scale is not None else F.avg(value)
+    mean = fixed_mean(value, scale)
     return df.groupBy(*keys).agg(
         F.min(value).alias("min_rate"),
         F.max(value).alias("max_rate"),
@@ -33,11 +33,11 @@ def rate_stats(df: DataFrame, keys: list[str], value: str = "rate",
     )
 
 
-def fx_monthly(fx_raw: DataFrame, scale: int | None = RATE_SCALE) -> DataFrame:
+def fx_monthly(fx_raw: DataFrame, scale: int | None = None) -> DataFrame:
     return rate_stats(parse_rate_dates(fx_raw), ["currency", "year", "month"], scale=scale)
 
 
-def fx_yearly(fx_raw: DataFrame, scale: int | None = RATE_SCALE) -> DataFrame:
+def fx_yearly(fx_raw: DataFrame, scale: int | None = None) -> DataFrame:
     return rate_stats(parse_rate_dates(fx_raw), ["currency", "year"], scale=scale)
 
 

@@ -42,14 +42,14 @@ _CHECKS: dict[tuple, SideCheck] = {}
 
 def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None,
                memo: bool = True) -> SideCheck:
-    """Prove ``df`` has at most ``max_rows`` rows and, if ``key`` is given
-    and the bound holds, that the key is unique.
+    """Whether ``df`` has at most ``max_rows`` rows and, if ``key`` is
+    given, whether the key is unique (at any size).
 
     The bound is ``df.offset(max_rows).isEmpty()``: Spark evaluates it with
     an incremental ``CollectLimit`` (scan one partition, then more, stop
     once ``max_rows + 1`` rows exist) and returns at most one row, so on a
-    large scan it reads only the first splits.  The uniqueness test is an
-    aggregation, run only on a side already proven small.
+    large scan it reads only the first splits.  The uniqueness test is a
+    distributed aggregation.
 
     Results are memoized per process by the plan's ``semanticHash`` (same
     sources, same operators), so many plans over the same inputs check
@@ -62,7 +62,7 @@ def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None,
         return _CHECKS[memo_key]
     bounded = df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty()
     unique = None
-    if key is not None and bounded:
+    if key is not None:
         keys = [key] if isinstance(key, str) else list(key)
         unique = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                   .filter(F.col("__n") > 1).isEmpty())
@@ -90,8 +90,9 @@ def lookup(df: DataFrame, dim: DataFrame, left_key, right_key: str,
     bound; non-unique keys raise (a lookup must not fan out).  A null left
     key never matches."""
     side = dim.select(F.col(right_key).alias("__lk"), *take)
-    chk = check_side(side.filter(F.col("__lk").isNotNull()), max_rows, "__lk")
-    if require_unique and chk.bounded and not chk.unique:
+    chk = check_side(side.filter(F.col("__lk").isNotNull()), max_rows,
+                     "__lk" if require_unique else None, memo=False)
+    if require_unique and not chk.unique:
         raise DimensionError(f"lookup key {right_key!r} is not unique in the dimension")
     if chk.bounded:
         side = F.broadcast(side)

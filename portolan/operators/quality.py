@@ -29,7 +29,7 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).summary()
 
 
-def numeric_stats(df: DataFrame, columns: list[str], scale: int = 2) -> DataFrame:
+def numeric_stats(df: DataFrame, columns: list[str], scale: int | None = None) -> DataFrame:
     """DQ-4, exact part: per column the non-null count, exact mean (fixed
     point at ``scale``), min and max -- one aggregation pass, then one row
     per column (``stack``)."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from portolan.functions.columns import fixed_sum
 from portolan.operators.features import unit_values
@@ -13,18 +12,16 @@ YEAR_KEYS = ["year", "partnerISO", "commodity_desc", "hs_code"]
 
 
 def rollup_sums(df: DataFrame, keys: list[str], measures: dict[str, str],
-                scale: int | None = 2) -> DataFrame:
+                scale: int | None = None) -> DataFrame:
     """``groupBy(keys)`` and sum each source column into its output name.
 
     Hash aggregation with map-side partial sums: the shuffle carries one
     row per key per task, whatever the input volume.
     """
-    def s(c):
-        return fixed_sum(c, scale) if scale is not None else F.sum(c)
-    return df.groupBy(*keys).agg(*[s(src).alias(dst) for dst, src in measures.items()])
+    return df.groupBy(*keys).agg(*[fixed_sum(src, scale).alias(dst) for dst, src in measures.items()])
 
 
-def yearly_trade(monthly: DataFrame, strategy: str = "window", scale: int | None = 2) -> DataFrame:
+def yearly_trade(monthly: DataFrame, strategy: str = "window", scale: int | None = None) -> DataFrame:
     """Yearly rows: sums, ratios recomputed from the sums (not averaged),
     world total per (year, hs_code) and the share of the year's market.
 

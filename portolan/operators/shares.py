@@ -33,7 +33,7 @@ TOTALS_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
-                 strategy: str = "join", scale: int | None = 2,
+                 strategy: str = "join", scale: int | None = None,
                  broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
                  materialize: bool = True) -> DataFrame:
     """Append ``total_as`` = sum of ``value`` over rows sharing ``keys``.
@@ -50,9 +50,9 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
     """
     if strategy == "window":
         w = Window.partitionBy(*keys)
-        tot = fixed_sum(value, scale, over=w) if scale is not None else F.sum(value).over(w)
+        tot = fixed_sum(value, scale, over=w)
         return df.withColumn(total_as, tot)
-    agg = fixed_sum(value, scale) if scale is not None else F.sum(value)
+    agg = fixed_sum(value, scale)
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
     totals = df.groupBy(*keys).agg(agg.alias(total_as))
@@ -67,7 +67,7 @@ def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
 
 
 def share_of_total(df: DataFrame, value: str, keys: list[str], total_as: str,
-                   share_as: str, strategy: str = "join", scale: int | None = 2,
+                   share_as: str, strategy: str = "join", scale: int | None = None,
                    broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
                    materialize: bool = True) -> DataFrame:
     """Total per key plus guarded share ``value / total`` (0 when the total

@@ -1,8 +1,7 @@
 """Serving views (AGG-5..8, SRT-2).
 
-Means are plain row means (unweighted, as defined by the domain) rounded
-to a fixed number of decimals suited to their magnitude; money totals are
-exact fixed-point sums.  The trailing sort is descending on the measure
+Means are plain row means (unweighted, as defined by the domain) and totals
+plain sums; within `exact_digits` totals are exact and means rounded.  The trailing sort is descending on the measure
 with the group keys as tie-break, so the order is total.
 """
 
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.functions.columns import fixed_sum, guarded_ratio, text_head
+from portolan.functions.columns import exact_mode, fixed_sum, guarded_ratio, text_head
 from portolan.operators.filters import exclude
 
 PRICE_DIGITS = 6
@@ -19,8 +18,13 @@ SHARE_DIGITS = 10
 PERCENT_DIGITS = 8
 
 
+def _rounded(c, digits: int):
+    """Rounded within `exact_digits` only (comparison with another engine)."""
+    return F.round(c, digits) if exact_mode() else c
+
+
 def _mean(c: str, digits: int):
-    return F.round(F.avg(c), digits)
+    return _rounded(F.avg(c), digits)
 
 
 def trade_time_view(monthly: DataFrame, weighted: bool = False) -> DataFrame:
@@ -36,7 +40,7 @@ def trade_time_view(monthly: DataFrame, weighted: bool = False) -> DataFrame:
         fixed_sum("quantity").alias("total_quantity"),
         *([] if weighted else [_mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price")]))
     if weighted:
-        out = out.withColumn("avg_unit_price", F.round(price, PRICE_DIGITS))
+        out = out.withColumn("avg_unit_price", _rounded(price, PRICE_DIGITS))
     return out.orderBy(F.desc("total_value_usd"), "year", "month")
 
 

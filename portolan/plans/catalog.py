@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portolan.functions.columns import exact_digits
 from portolan.operators import features as feat
 from portolan.operators import fx as fxo
 from portolan.operators import indicators as ind
@@ -20,10 +21,11 @@ from portolan.operators import series as ser
 from portolan.operators import views as vw
 from portolan.operators.joins import key_collisions
 from portolan.plans import marts
-from portolan.plans.context import MART_YEARS, Domain
+from portolan.plans.context import Domain
 from portolan.plans.params import (
     AUDIT_ENTITY,
     PEEK_K,
+    QUERY_YEARS,
     SERIES_COUNTRIES,
     SERIES_CURRENCY,
     SERIES_PARTNER,
@@ -38,7 +40,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(name: str):
     def deco(fn: Callable[[Domain], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Domain(spark, sf_dir))
+            # the driver tables hold money of 2 decimals and rates of 7
+            with exact_digits(money=2, rates=8):
+                return fn(Domain(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -141,9 +145,9 @@ def join_row_counts(d: Domain) -> DataFrame:
     yc = marts.with_currency(y, d)
     return dq.stage_counts({
         "trade_monthly": m, "monthly_with_currency": mc, "monthly_with_rates": mr,
-        "monthly_mart": marts.monthly_mart(d), "trade_yearly": y,
-        "yearly_with_currency": yc, "yearly_with_rates": marts.yearly_rates(d),
-        "yearly_mart": marts.yearly_mart(d),
+        "monthly_mart": marts.monthly_mart(d, QUERY_YEARS), "trade_yearly": y,
+        "yearly_with_currency": yc, "yearly_with_rates": marts.yearly_rates(d, QUERY_YEARS),
+        "yearly_mart": marts.yearly_mart(d, QUERY_YEARS),
     })
 
 
@@ -199,7 +203,7 @@ def indicator_growth(d: Domain) -> DataFrame:
 @query("monthly_mart")
 def monthly_mart(d: Domain) -> DataFrame:
     """J-1/2, FLT-1: monthly trade + currency + monthly FX, 1996-2000."""
-    return marts.monthly_mart(d)
+    return marts.monthly_mart(d, QUERY_YEARS)
 
 
 @query("yearly_currency")
@@ -211,7 +215,7 @@ def yearly_currency(d: Domain) -> DataFrame:
 @query("yearly_mart")
 def yearly_mart(d: Domain) -> DataFrame:
     """J-3/4/5, FLT-1: yearly trade + currency + FX + indicators."""
-    return marts.yearly_mart(d)
+    return marts.yearly_mart(d, QUERY_YEARS)
 
 
 # -- views and serving rows ----------------------------------------------------
@@ -236,7 +240,7 @@ def view_partner_share(d: Domain) -> DataFrame:
 @query("view_economic_structure")
 def view_economic_structure(d: Domain) -> DataFrame:
     """AGG-8."""
-    return vw.economic_structure_view(marts.yearly_mart(d))
+    return vw.economic_structure_view(marts.yearly_mart(d, QUERY_YEARS))
 
 
 @query("view_commodity_top10")
@@ -300,20 +304,20 @@ def serving_peek(d: Domain) -> DataFrame:
 def _mart_trade_rows(d: Domain) -> DataFrame:
     """The monthly mart's trade rows (its currency / FX joins are left joins
     on unique keys, so the rows are the year-filtered monthly features)."""
-    return marts.monthly_features(d, MART_YEARS)
+    return marts.monthly_features(d, QUERY_YEARS)
 
 
 @query("series_partner_fx")
 def series_partner_fx(d: Domain) -> DataFrame:
     """SER-1 / PRJ-15: one partner's monthly rows with the FX mean."""
-    mart = marts.monthly_mart(d, with_shares=False)
+    mart = marts.monthly_mart(d, QUERY_YEARS, with_shares=False)
     return ser.partner_fx_series(mart, SERIES_PARTNER, SERIES_CURRENCY)
 
 
 @query("series_partner_fx_monthly")
 def series_partner_fx_monthly(d: Domain) -> DataFrame:
     """SER-1, summed variant: one point per month for the partner."""
-    mart = marts.monthly_mart(d, with_shares=False)
+    mart = marts.monthly_mart(d, QUERY_YEARS, with_shares=False)
     return ser.partner_fx_monthly(mart, SERIES_PARTNER, SERIES_CURRENCY)
 
 
@@ -326,7 +330,7 @@ def view_trade_time_weighted(d: Domain) -> DataFrame:
 @query("series_country_year")
 def series_country_year(d: Domain) -> DataFrame:
     """SER-2 / FLT-2 / PRJ-18: GDP per capita and value for a country list."""
-    return ser.country_year_series(marts.yearly_mart(d), list(SERIES_COUNTRIES))
+    return ser.country_year_series(marts.yearly_mart(d, QUERY_YEARS), list(SERIES_COUNTRIES))
 
 
 @query("series_commodity_dense")

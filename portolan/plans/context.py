@@ -13,10 +13,9 @@ from portolan.sources.tables import Tables
 # are shared by all queries of a session over the same folder.
 _PLANS: dict[tuple[str, str, str], DataFrame] = {}
 
-# Year range of the marts (FLT-1).  The domain default is 2004-2023; the
-# driver data spans 1995-2001, so the registered queries use 1996-2000 to
-# keep the filter selective.
-MART_YEARS = (1996, 2000)
+# Year range of the marts (FLT-1); the registered queries pass their own
+# (``params.QUERY_YEARS``).
+MART_YEARS = (2004, 2023)
 
 
 class Domain:

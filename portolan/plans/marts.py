@@ -25,15 +25,11 @@ from pyspark.sql import functions as F
 from portolan.operators.features import trade_features
 from portolan.operators.fx import fx_monthly, fx_yearly
 from portolan.operators.indicators import indicators_wide
-from portolan.operators.joins import DIM_MAX_ROWS, bounded_broadcast, lookup
+from portolan.operators.joins import DIM_MAX_ROWS, lookup
 from portolan.operators.rollup import yearly_trade
 from portolan.operators.shares import share_of_total
 from portolan.plans.context import MART_YEARS, Domain
 
-# FX statistics are currencies x months and indicators countries x years:
-# neither grows with trade volume.  The bound is still checked per plan.
-SMALL_SIDE_MAX_ROWS = 500_000
-
 
 def year_range(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
     """FLT-1: inclusive year range."""
@@ -91,8 +87,7 @@ def monthly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS,
     base = trade_monthly(d, years) if with_shares else monthly_features(d, years)
     m = with_currency(base, d)
     fx = year_range(fx_monthly(d.fx_raw), years)
-    return m.join(bounded_broadcast(fx, SMALL_SIDE_MAX_ROWS),
-                  on=["currency", "year", "month"], how="left")
+    return m.join(fx, on=["currency", "year", "month"], how="left")
 
 
 def yearly_currency(d: Domain) -> DataFrame:
@@ -104,8 +99,7 @@ def yearly_rates(d: Domain, years: tuple[int, int] | None = MART_YEARS) -> DataF
     """J-3, J-4: yearly trade + currency + yearly FX statistics."""
     y = with_currency(trade_yearly(d, years), d)
     fx = year_range(fx_yearly(d.fx_raw), years)
-    return y.join(bounded_broadcast(fx, SMALL_SIDE_MAX_ROWS), on=["currency", "year"],
-                  how="left")
+    return y.join(fx, on=["currency", "year"], how="left")
 
 
 def indicators(d: Domain) -> DataFrame:
@@ -117,6 +111,5 @@ def yearly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS) -> DataFr
     the indicator side's year is dropped."""
     y = yearly_rates(d, years)
     ind = year_range(indicators(d), years).withColumnRenamed("year", "__iyear")
-    ind = bounded_broadcast(ind, SMALL_SIDE_MAX_ROWS)
     cond = (F.col("partnerISO") == F.col("countryISO3")) & (F.col("year") == F.col("__iyear"))
     return y.join(ind, cond, "left").drop("__iyear")

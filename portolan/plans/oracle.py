@@ -15,9 +15,9 @@ Exactness conventions shared with the Spark side:
 
 from __future__ import annotations
 
-from portolan.plans.context import MART_YEARS
+from portolan.plans.params import QUERY_YEARS
 
-Y0, Y1 = MART_YEARS
+Y0, Y1 = QUERY_YEARS
 
 
 def fsum(expr: str, scale: int = 2) -> str:

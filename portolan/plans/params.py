@@ -1,6 +1,8 @@
 """Parameters of the registered queries (shared by the Spark catalog and
 the oracle SQL)."""
 
+# Year range of the registered marts: the driver data spans 1995-2001.
+QUERY_YEARS = (1996, 2000)
 # Partner / currency pair charted by the FX series.
 SERIES_PARTNER, SERIES_CURRENCY = "N07", "1"
 # Year of the partner map, its arg-max and axis ticks.

@@ -123,3 +123,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/portolan/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_status(spark: SparkSession, path: str) -> str:
+    """``directory``, ``file`` or ``missing``, on any file system Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return "missing"
+    return "directory" if fs.getFileStatus(p).isDirectory() else "file"

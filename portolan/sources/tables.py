@@ -38,22 +38,6 @@ def scan(spark: SparkSession, path: str, reuse: bool = True) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core when a scan yields fewer splits than the cluster's
-    default parallelism (e.g. a file written as one row group): spread it
-    over ``defaultParallelism`` partitions, hashed on ``keys`` when given (a
-    hash exchange needs no pre-sort, unlike round-robin).  Planning the
-    scan is enough to know its split count (no job); at scale a large table
-    has far more splits than cores and is returned unchanged, so this never
-    adds a shuffle of a big input."""
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys) if keys else df.repartition(cores)
-
-
 class Tables:
     """Lazy accessor for the parquet tables of one folder: ``t.lineitem``."""
 

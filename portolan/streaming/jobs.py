@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from portolan.functions.columns import fixed_mean
+from portolan.session import path_status
 from portolan.operators.fx import RATE_SCALE
 from portolan.streaming.sinks import AppendSink, UpsertSink
 
@@ -35,13 +36,16 @@ PROPS_SCHEMA = "k INT"
 
 def file_stream(spark: SparkSession, folder: str, table: str,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet files ``<table>.parquet`` of ``folder`` (schema
-    taken from the files once, as file streams require)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    """Stream the table ``<table>.parquet`` of ``folder``, one file or a
+    directory of files (schema taken from the files once, as file streams
+    require).  A missing table raises."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+    if path_status(spark, path) == "directory":
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
 def _session_tz(df: DataFrame) -> str:
@@ -71,7 +75,7 @@ def rate_events(events: DataFrame) -> DataFrame:
 
 def _rate_aggs():
     return [F.min("rate").alias("min_rate"), F.max("rate").alias("max_rate"),
-            fixed_mean("rate", RATE_SCALE).alias("avg_rate"),
+            fixed_mean("rate").alias("avg_rate"),
             F.count(F.lit(1)).alias("n_rates")]
 
 

@@ -9,11 +9,12 @@ highest batch id wins.  ``compact`` folds the batches into one snapshot.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from portolan.session import path_status
+
 BATCH_COL = "batch_id"
 
 
@@ -54,13 +55,10 @@ class AppendSink:
 def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
     """The batch folders of a sink; a stream that processed no batch left no
     folder, which reads as an empty table when the schema is known."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
+    if schema is not None and path_status(spark, path) == "missing":
         empty = T.StructType(schema.fields + [T.StructField(BATCH_COL, T.IntegerType())])
         return spark.createDataFrame([], empty)
+    return spark.read.parquet(path)
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str],

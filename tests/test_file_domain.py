@@ -4,6 +4,7 @@ results as over the driver-table adapter."""
 import tempfile
 
 from portolan.plans import marts
+from portolan.plans.params import QUERY_YEARS
 from portolan.plans.context import Domain, FileDomain
 from tests.conftest import SMALL
 
@@ -21,7 +22,7 @@ def test_file_domain_matches_adapter(spark):
     f = FileDomain(spark, f"{root}/trade", f"{root}/fx", f"{root}/wdi/*.parquet",
                    f"{root}/codes", f"{root}/currency")
     for build in (marts.trade_yearly, marts.yearly_mart, marts.monthly_mart):
-        a, b = build(d), build(f)
+        a, b = build(d, QUERY_YEARS), build(f, QUERY_YEARS)
         cols = sorted(a.columns)
         assert sorted(b.columns) == cols
         assert sorted(str(tuple(r)) for r in a.select(cols).collect()) == \

@@ -65,13 +65,6 @@ def test_materialize_counted_observes_rows(spark):
     assert n == 123 and t.count() == 123
 
 
-def test_spread_only_when_few_splits(spark):
-    small = spark.range(10).coalesce(1)
-    assert src.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
-    assert src.spread(wide) is wide
-
-
 def test_materialize_empty_partitioned_table(spark):
     empty = spark.range(0).select(F.col("id").cast("int").alias("year"), F.lit("x").alias("v"))
     t, n = materialize_counted(empty, "empty", ["year"])
