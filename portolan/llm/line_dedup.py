@@ -175,7 +175,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def check(pairs: DataFrame) -> DataFrame:
         return verified(pairs, lambda ends, n: named.join(if_small(ends, n), "node", "left_semi"), _verifier)
 
-    roots = linked_components(members, bounded, may_link(Threshold(NUM, DEN)), check)
+    roots = linked_components(members, bounded, may_link(Threshold(NUM, DEN)), check, few_keys=True)
     labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = cut(roots.join(nodes, "node").groupBy("root").agg(F.min("first").alias("class_first")), "firsts")
     owners = labelled.join(firsts, "root", "left").where("c > 1 or class_first is not null").select(

@@ -39,10 +39,13 @@ def star_pairs(members: DataFrame, nodes: DataFrame, may_link: Column) -> DataFr
             .where(may_link).select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
-def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None, may_link: Column) -> DataFrame:
+def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None, may_link: Column,
+                few_keys: bool = False) -> DataFrame:
     """(a, b) within buckets and in different components of ``labels`` (node,
     root); without labels all pairs.  Members are dealt into chunks of about
-    CHUNK, and every two chunks of a bucket meet in a join group of their own."""
+    CHUNK, and every two chunks of a bucket meet in a join group of their own.
+    With ``few_keys`` (a node lies in a bounded number of buckets) a pair leaves
+    the comparison in its least common bucket only, not once per common bucket."""
     if labels is not None:
         root = labels.select(F.col("node").alias("l_node"), "root")
         members = members.join(root, members["node"] == root["l_node"], "left").select(
@@ -54,13 +57,20 @@ def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None,
              .where("lo <> hi").select("key", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts")))
     dealt = members.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     dealt = cut(dealt.join(nodes, "node"), "dealt")
-    left = dealt.withColumn("q", F.explode(F.sequence("part", F.col("parts") - 1))).withColumn("p", F.col("part"))
+    meet = F.lit(True)
+    if few_keys:
+        dealt = cut(dealt.join(dealt.groupBy("node").agg(F.collect_set("key").alias("shared")), "node"), "dealt-keys")
+        meet = F.array_min(F.array_intersect("a.shared", "b.shared")) == F.col("a.key")
+    # the comparisons, not the rows, are the work: no merging of small partitions
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = (dealt.withColumn("q", F.explode(F.sequence("part", F.col("parts") - 1))).withColumn("p", F.col("part"))
+            .repartition(parts, "key", "p", "q"))
     right = dealt.withColumn("p", F.explode(F.sequence(F.lit(0), "part"))).withColumn("q", F.col("part"))
     same = F.col("a.part") == F.col("b.part")
     return (left.alias("a").join(
         right.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.p") == F.col("b.p"))
         & (F.col("a.q") == F.col("b.q")) & (F.col("a.comp") != F.col("b.comp"))
-        & (~same | (F.col("a.node") < F.col("b.node"))) & may_link)
+        & (~same | (F.col("a.node") < F.col("b.node"))) & may_link & meet)
         .select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct())
 
 
@@ -79,9 +89,9 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame, int], DataFrame], che
 
 
 def linked_components(members: DataFrame, nodes: DataFrame, may_link: Column,
-                      check: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, root) of the nodes that have links."""
+                      check: Callable[[DataFrame], DataFrame], few_keys: bool = False) -> DataFrame:
+    """(node, root) of the nodes that have links; ``few_keys`` as in other_pairs."""
     links = check(star_pairs(members, nodes, may_link))
     roots = components(links, "a", "b")
-    more = check(other_pairs(members, nodes, roots, may_link))
+    more = check(other_pairs(members, nodes, roots, may_link, few_keys))
     return roots if more.isEmpty() else components(links.unionByName(more), "a", "b")

@@ -12,6 +12,10 @@ from portolan.session import scratch_path
 #: shuffles.
 BROADCAST_ROWS = 200_000
 
+#: Removes a query's shuffle files when the query is done; a written table
+#: never needs those that it came from.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: later plans start
@@ -28,7 +32,12 @@ class Table:
 
     def write(self, df: DataFrame) -> Table:
         self.schema = df.schema
-        df.write.mode("overwrite").parquet(self.path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self
 
     def read(self) -> DataFrame:
