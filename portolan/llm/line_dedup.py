@@ -28,7 +28,7 @@ from portolan.llm.words import _POWERS, mix, text_chunks
 SHINGLE = 10
 #: Lines are linked from this Jaccard similarity on: num / den.
 NUM, DEN = 4, 5
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 8, 3
 
 _U = np.uint64
 _PLACES = BANDS * ROWS
@@ -158,16 +158,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     id_type = base.schema["_id"].dataType.simpleString()
     lines = cut(base.mapInArrow(_signer, f"_id {id_type}, _th long, place int, line long, keys array<long>"), "lines")
+    # plain columns, no structs: Spark sums them up by hashing, without a sort.
+    # at_th and at_place are of one row, any that has the line.
     nodes = cut(lines.groupBy(F.col("line").alias("node")).agg(
-        F.min(F.struct("_id", "_th", "place")).alias("first"), F.count(F.lit(1)).alias("c")), "line-nodes")
+        F.min("_id").alias("least"), F.max(F.isnull("_id")).alias("nameless"), F.count(F.lit(1)).alias("c"),
+        F.first("_th").alias("at_th"), F.first("place").alias("at_place")), "line-nodes")
     buckets = lines.select(F.explode("keys").alias("key"), F.col("line").alias("node"))
     members = cut(shared_members(buckets, "node"), "line-members")
 
-    # the bucketed lines' texts, from the documents where they stand first
+    # the bucketed lines' texts, from a document where they stand; lines and
+    # documents grow together, so no side is broadcast by a hint
     at = cut(members.select("node").distinct().join(nodes, "node").select(
-        "node", F.col("first._th").alias("_th"), F.col("first.place").alias("place")), "line-ends")
-    need = at.select("_th").distinct()
-    whole = base.select("_th", "_text").join(if_small(need, at.count()), "_th", "left_semi")
+        "node", F.col("at_th").alias("_th"), F.col("at_place").alias("place")), "line-ends")
+    whole = base.select("_th", "_text").join(at.select("_th").distinct(), "_th", "left_semi")
     named = cut(whole.select("_th", F.posexplode(F.split("_text", "\n")).alias("place", "_text"))
                 .join(at, ["_th", "place"]).groupBy("node").agg(F.min("_text").alias("_text")), "line-texts")
     bounded = cut(named.mapInArrow(_profiler, "node long, n long, parity array<long>"), "line-parity")
@@ -176,12 +179,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return verified(pairs, lambda ends, n: named.join(if_small(ends, n), "node", "left_semi"), _verifier)
 
     roots = linked_components(members, bounded, may_link(Threshold(NUM, DEN)), check, few_keys=True)
-    labelled = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    firsts = cut(roots.join(nodes, "node").groupBy("root").agg(F.min("first").alias("class_first")), "firsts")
-    owners = labelled.join(firsts, "root", "left").where("c > 1 or class_first is not null").select(
-        F.col("node").alias("line"), F.coalesce("class_first", "first").alias("first"))
-    drops = (lines.drop("keys").join(owners, "line")
-             .where(~F.struct("_id", "_th", "place").eqNullSafe(F.col("first")))
+    classes = cut(roots.join(nodes, "node").groupBy("root").agg(
+        F.min("least").alias("class_least"), F.max("nameless").alias("class_nameless")), "line-classes")
+    owners = (nodes.join(roots, "node", "left").join(classes, "root", "left")
+              .where("c > 1 or class_nameless is not null")
+              .select(F.col("node").alias("line"), F.coalesce("root", "node").alias("root"),
+                      F.when(~F.coalesce("class_nameless", "nameless"),
+                             F.coalesce("class_least", "least")).alias("least")))
+    again = cut(lines.drop("keys").join(owners, "line").select(
+        "_id", "_th", "place", "root", F.col("_id").eqNullSafe(F.col("least")).alias("tied")), "line-repeats")
+    # the first row of a class: least id, then least text hash, then first place
+    firsts = again.where("tied").groupBy("root").agg(F.min(F.struct("_th", "place")).alias("first"))
+    drops = (again.join(firsts, "root")
+             .where(~F.col("tied") | (F.struct("_th", "place") != F.col("first")))
              .select("_id", "_th", "place").distinct()
              .groupBy("_id", "_th").agg(F.collect_list("place").alias("places"), F.count(F.lit(1)).alias("n")))
     return lines, cut(drops, "drops")
@@ -220,13 +230,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n_lines and n_kept are replaced.
     """
     _, drops = repeated_lines(docs, id_col, text_col)
-    size = drops.agg(F.sum("n")).first()[0] or 0
     text = F.col(f"`{text_col}`").cast("string")
     keep = [c for c in docs.columns if c not in (text_col, "n_lines", "n_kept")]
     base = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(keep)],
                        F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     side = drops.select(F.col("_id").alias("d_id"), F.col("_th").alias("d_th"), "places")
-    joined = base.join(if_small(side, size), (base["_th"] == side["d_th"]) & base["_id"].eqNullSafe(side["d_id"]),
+    joined = base.join(side, (base["_th"] == side["d_th"]) & base["_id"].eqNullSafe(side["d_id"]),
                        "left").select(*[f"_c{k}" for k in range(len(keep))], "places", "_text")
     schema = joined.drop("places").withColumn("n_lines", F.lit(0).cast("long")).withColumn(
         "n_kept", F.lit(0).cast("long")).schema

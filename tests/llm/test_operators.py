@@ -358,3 +358,15 @@ def test_words_are_those_of_the_pattern():
         own = range(found.first[k], found.first[k + 1])
         assert [flat[found.start[i]:found.end[i]].decode() for i in own] == words(text)
     assert hashlib.sha256(flat).hexdigest()
+
+
+def test_line_dedup_order_of_ties(spark):
+    """Null ids first, then the least id; a repeated id by text hash; a repeated row counts once."""
+    line, near = "the same line stands in all of these documents", "the same line stands in all of these documents!"
+    other = "nothing of this is to be found in any other text"
+    rows = [(3, line), (None, near), (3, line), (1, f"{line}\n{near}\n{other}"), (1, f"{other}\n{line}")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.text for r in got if r.doc_id is None] == [near]
+    assert [(r.text, r.n_lines, r.n_kept) for r in got if r.doc_id == 3] == [("", 1, 0)] * 2
+    assert sorted(r.n_kept for r in got if r.doc_id == 1) == [0, 1]
+    assert [r.text for r in got if r.n_kept and r.doc_id == 1] == [other]
