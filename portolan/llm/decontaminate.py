@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from portolan.llm.store import cut
 from portolan.llm.words import combine, segment_hashes, text_chunks
 
 #: BM25 parameters, and the share of its own score that an item must reach.
@@ -72,20 +73,49 @@ class Index:
     answer: list[np.ndarray]
 
 
-def build(items: list[tuple[object, str]]) -> Index | None:
-    """Index of (id, text) items; items without a term are left out."""
-    texts = [(i, re.sub(r"\s+", " ", t or "").strip()) for i, t in items]
-    parts = []
-    for i, t in texts:
-        ends = [m.end() for m in re.finditer(r"[.!?](?=\s)", t)]
-        parts.append((i, t[:ends[-1]] if ends else t, t[ends[-1]:] if ends else ""))
-
-    def hashes(text: str) -> np.ndarray:
-        raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
-        return terms_of(raw, np.array([0, len(raw)]))[0]
-
-    rows = [(i, hashes(q), hashes(a)) for i, q, a in parts]
-    rows = [(i, q, a) if len(q) else (i, a, q) for i, q, a in rows if len(q) + len(a)]
+@dataclass
+class Counts:
+    """What the weights take from the whole set of items, whichever part of it
+    an index holds."""
+
+    items: int                      # items with a term
+    mean: float                     # their mean number of terms
+    longest: int
+    term: np.ndarray                # sorted hashes, all terms of the part at least
+    df: np.ndarray                  # items that hold each
+
+
+def term_hashes(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+    return terms_of(raw, np.array([0, len(raw)]))[0]
+
+
+def question_answer(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of an item's question and answer."""
+    t = re.sub(r"\s+", " ", text or "").strip()
+    ends = [m.end() for m in re.finditer(r"[.!?](?=\s)", t)]
+    q, a = term_hashes(t[:ends[-1]] if ends else t), term_hashes(t[ends[-1]:] if ends else "")
+    return (q, a) if len(q) else (a, q)
+
+
+def _item_terms(batches):
+    """mapInArrow: (item, text) -> (item, text, n, terms) of the items with a
+    term: their number of terms, and the distinct ones."""
+    for batch in batches:
+        terms = [np.concatenate(question_answer(t)) for t in batch.column(1).to_pylist()]
+        sizes = np.fromiter(map(len, terms), dtype=np.int64, count=len(terms))
+        sets = [pa.array(np.unique(t).view(np.int64)) for t in terms]
+        whole = pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(sizes), pa.array(sets, type=pa.list_(pa.int64()))],
+            names=["item", "text", "n", "terms"])
+        yield whole.filter(pa.array(sizes > 0))
+
+
+def build(items: list[tuple[object, str]], counts: Counts | None = None) -> Index | None:
+    """Index of (id, text) items; items without a term are left out.  ``counts``
+    are those of all items if these are a part of them."""
+    rows = [(i, *question_answer(t)) for i, t in items]
+    rows = [(i, q, a) for i, q, a in rows if len(q) + len(a)]
     if not rows:
         return None
     n = len(rows)
@@ -98,15 +128,18 @@ def build(items: list[tuple[object, str]]) -> Index | None:
         tf.append(count)
     term, owner, tf = np.concatenate(term), np.concatenate(owner), np.concatenate(tf).astype(np.float64)
     vocabulary, at = np.unique(term, return_inverse=True)
-    df = np.bincount(at)
-    idf = np.log((n - df + 0.5) / (df + 0.5) + 1.0)
-    weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / length.mean()))
+    held = np.bincount(at)
+    if counts is None:
+        counts = Counts(n, float(length.mean()), int(length.max()), vocabulary, held)
+    df = counts.df[np.searchsorted(counts.term, vocabulary)]
+    idf = np.log((counts.items - df + 0.5) / (df + 0.5) + 1.0)
+    weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / counts.mean))
     weight /= np.bincount(owner, weight)[owner]
     order = np.lexsort((owner, at))
     blocks = np.zeros((len(vocabulary), (n - 1) // BLOCK + 1))
     np.maximum.at(blocks, (at, owner // BLOCK), weight)
-    return Index([i for i, _, _ in rows], vocabulary, np.concatenate([[0], np.cumsum(df)]), owner[order],
-                 weight[order], blocks, max(2 * int(length.max()), 64),
+    return Index([i for i, _, _ in rows], vocabulary, np.concatenate([[0], np.cumsum(held)]), owner[order],
+                 weight[order], blocks, max(2 * counts.longest, 64),
                  [shingles(q) for _, q, _ in rows], [shingles(a) for _, _, a in rows])
 
 
@@ -248,13 +281,23 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                          F.col(f"`{item_text_col}`").cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, item long, score double, question double, answer double"
-    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-size // INDEX_BYTES)
+    # one count over all items, so that a part's weights and passages are those of the whole set
+    tests = cut(tests.mapInArrow(_item_terms, "item long, text string, n long, terms array<long>")
+                .withColumn("nth", F.monotonically_increasing_id()), "items")
+    n, total, longest, size = tests.agg(F.count(F.lit(1)), F.sum("n"), F.max("n"), F.sum(F.octet_length("text"))).first()
+    df = cut(tests.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item-terms")
+    parts = -(-(size or 0) // INDEX_BYTES)
     out = spark.createDataFrame([], schema)
     for part in range(parts):
         # each part is about INDEX_BYTES of items: a bounded broadcast
-        mine = tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
-        index = build([(r["item"], r["text"]) for r in mine.orderBy("item", "text").collect()])
+        mine = tests.where(F.pmod(F.xxhash64("nth"), F.lit(parts)) == part)
+        own = mine.select(F.explode("terms").alias("term")).distinct()
+        known = df.join(own, "term", "left_semi").toArrow() if parts > 1 else df.toArrow()
+        term = known.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        counts = Counts(n, total / n, longest, term[order], known.column("df").to_numpy()[order])
+        index = build([(r["item"], r["text"]) for r in mine.select("item", "text").orderBy("item", "text").collect()],
+                      counts)
         if index is not None:
             out = out.unionByName(base.mapInArrow(_searcher(spark.sparkContext.broadcast(index)), schema))
     return out.withColumnsRenamed({"id": id_col, "item": "item_id"})

@@ -334,6 +334,26 @@ def test_decontamination(spark, messy, nothing):
     assert decontaminate.leaks(docs, tests.limit(0)).count() == 0
 
 
+def test_decontamination_in_parts_equals_one_index(spark, monkeypatch):
+    """Scores, the threshold and the passages are those over all items, however many indexes hold them."""
+    rng = random.Random(9)
+    vocabulary = [f"v{int(rng.expovariate(0.02))}" for _ in range(2000)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(4, 40))) + ". "
+              + " ".join(rng.choice(vocabulary) for _ in range(3)) + ".") for i in range(80)]
+    items += [items[0], (None, items[1][1])]
+    docs = []
+    for k in range(160):  # from whole items down to about half of one
+        held = items[k % 80][1].split()
+        held = [w for w in held if rng.random() < 1 - k / 320]
+        docs.append((k, " ".join(rng.choice(vocabulary) for _ in range(90)) + " " + " ".join(held)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(str, decontaminate.leaks(docs, tests).collect()))
+    assert len(one) > 40
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 3000)
+    assert sorted(map(str, decontaminate.leaks(docs, tests).collect())) == one
+
+
 def test_wand_retrieves_all_above_threshold():
     rng = random.Random(8)
     index = decontaminate.build([(i, " ".join(f"v{int(rng.expovariate(0.05))}" for _ in range(12))) for i in range(80)])
