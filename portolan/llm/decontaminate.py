@@ -35,9 +35,12 @@ K1, B, SCORE = 1.2, 0.75, 0.6
 SHINGLE, QUESTION, ANSWER = 3, 0.6, 0.5
 #: Items of a block of the index.
 BLOCK = 4
-#: Bytes of test items in one index; a larger set is worked off in parts, one
-#: pass over the texts each.
-INDEX_BYTES = 8 << 20
+#: Terms of the items in one index, repeats included, so at least its postings
+#: and shingles (some 60 bytes for each); a larger set is worked off in parts,
+#: one pass over the texts each.
+INDEX_TERMS = 1 << 20
+#: Bounds of passages and blocks that are summed up at a time.
+CELLS = 1 << 20
 
 _WORDY = np.zeros(256, dtype=bool)
 _WORDY[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -67,7 +70,11 @@ class Index:
     start: np.ndarray               # postings of term t: start[t]:start[t+1]
     item: np.ndarray
     weight: np.ndarray
-    block_max: np.ndarray           # terms x blocks
+    block_start: np.ndarray         # blocks with term t: block_start[t]:block_start[t+1]
+    block: np.ndarray
+    block_max: np.ndarray           # greatest weight of the term in the block
+    top: np.ndarray                 # greatest weight of term t
+    blocks: int
     window: int                     # terms of a passage
     question: list[np.ndarray]
     answer: list[np.ndarray]
@@ -136,19 +143,32 @@ def build(items: list[tuple[object, str]], counts: Counts | None = None) -> Inde
     weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / counts.mean))
     weight /= np.bincount(owner, weight)[owner]
     order = np.lexsort((owner, at))
-    blocks = np.zeros((len(vocabulary), (n - 1) // BLOCK + 1))
-    np.maximum.at(blocks, (at, owner // BLOCK), weight)
-    return Index([i for i, _, _ in rows], vocabulary, np.concatenate([[0], np.cumsum(held)]), owner[order],
-                 weight[order], blocks, max(2 * counts.longest, 64),
+    at, owner, weight = at[order], owner[order], weight[order]
+    # postings of a term and block lie together: the pairs that exist, no others
+    begins = np.flatnonzero(np.diff(at, prepend=-1) | np.diff(owner // BLOCK, prepend=-1))
+    block_start = np.searchsorted(at[begins], np.arange(len(vocabulary) + 1))
+    block_max = np.maximum.reduceat(weight, begins)
+    return Index([i for i, _, _ in rows], vocabulary, np.concatenate([[0], np.cumsum(held)]), owner, weight,
+                 block_start, owner[begins] // BLOCK, block_max, np.maximum.reduceat(block_max, block_start[:-1]),
+                 (n - 1) // BLOCK + 1, max(2 * counts.longest, 64),
                  [shingles(q) for _, q, _ in rows], [shingles(a) for _, _, a in rows])
 
 
+def _slots(index: Index, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the terms, place in block and block_max) of all their blocks."""
+    first = index.block_start[terms]
+    count = index.block_start[terms + 1] - first
+    which = np.repeat(np.arange(len(terms)), count)
+    return which, np.arange(len(which)) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
 def wand(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """All items that the distinct terms score at or above the threshold."""
     cursors = [[int(index.item[index.start[t]]), int(index.start[t]), t] for t in terms]
-    top = index.block_max.max(axis=1)
+    top = index.top
     slack = 1e-9
-    live = np.flatnonzero(index.block_max[terms].sum(axis=0) >= threshold - slack).tolist()
+    _, at = _slots(index, np.asarray(terms, dtype=np.int64))
+    live = np.flatnonzero(np.bincount(index.block[at], index.block_max[at]) >= threshold - slack).tolist()
     out = []
 
     def advance(c: list[int], item: int) -> bool:
@@ -214,18 +234,27 @@ def candidates(index: Index, terms: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     passage = np.repeat(np.arange(len(a)), hi - lo)
     pos = np.arange(total) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
     # a cheaper bound first: the greatest weights over all blocks, with repeats
-    top = index.block_max.max(axis=1)
-    rough = np.bincount(passage, top[code[pos]], minlength=len(a)) >= SCORE - 1e-9
+    rough = np.bincount(passage, index.top[code[pos]], minlength=len(a)) >= SCORE - 1e-9
     passage, pos = passage[rough[passage]], pos[rough[passage]]
     pairs = np.unique(passage * np.int64(len(index.vocabulary)) + code[pos])
     passage, own = pairs // len(index.vocabulary), pairs % len(index.vocabulary)
     live, first = np.unique(passage, return_index=True)
     if not len(live):
         return live
-    bounds = np.zeros((len(live), index.block_max.shape[1]))
-    for k in range(0, index.block_max.shape[1], 64):  # some columns at a time
-        bounds[:, k:k + 64] = np.add.reduceat(index.block_max[own, k:k + 64], first, axis=0)
-    return live[(bounds >= SCORE - 1e-9).any(axis=1)]
+    # some passages at a time: their pairs of term and block, and a row of blocks each
+    ends = np.append(first[1:], len(own))
+    count = np.append(0, np.cumsum(index.block_start[own + 1] - index.block_start[own]))
+    group = np.cumsum(count[ends] - count[first] + index.blocks) // CELLS
+    edges = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(live))
+    reached = np.zeros(len(live), dtype=bool)
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        mine = slice(first[i], ends[j - 1])
+        which, at = _slots(index, own[mine])
+        nth = np.searchsorted(live[i:j], passage[mine])
+        bounds = np.bincount(nth[which] * index.blocks + index.block[at], index.block_max[at],
+                             minlength=(j - i) * index.blocks).reshape(j - i, -1)
+        reached[i:j] = (bounds >= SCORE - 1e-9).any(axis=1)
+    return live[reached]
 
 
 def _share(part: np.ndarray, held: np.ndarray) -> float:
@@ -284,12 +313,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     # one count over all items, so that a part's weights and passages are those of the whole set
     tests = cut(tests.mapInArrow(_item_terms, "item long, text string, n long, terms array<long>")
                 .withColumn("nth", F.monotonically_increasing_id()), "items")
-    n, total, longest, size = tests.agg(F.count(F.lit(1)), F.sum("n"), F.max("n"), F.sum(F.octet_length("text"))).first()
+    n, total, longest = tests.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
     df = cut(tests.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item-terms")
-    parts = -(-(size or 0) // INDEX_BYTES)
+    parts = -(-(total or 0) // INDEX_TERMS)
     out = spark.createDataFrame([], schema)
     for part in range(parts):
-        # each part is about INDEX_BYTES of items: a bounded broadcast
+        # each part is about INDEX_TERMS: a bounded broadcast
         mine = tests.where(F.pmod(F.xxhash64("nth"), F.lit(parts)) == part)
         own = mine.select(F.explode("terms").alias("term")).distinct()
         known = df.join(own, "term", "left_semi").toArrow() if parts > 1 else df.toArrow()

@@ -350,7 +350,7 @@ def test_decontamination_in_parts_equals_one_index(spark, monkeypatch):
     tests = spark.createDataFrame(items, "item_id long, text string")
     one = sorted(map(str, decontaminate.leaks(docs, tests).collect()))
     assert len(one) > 40
-    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 3000)
+    monkeypatch.setattr(decontaminate, "INDEX_TERMS", 500)
     assert sorted(map(str, decontaminate.leaks(docs, tests).collect())) == one
 
 
@@ -368,6 +368,25 @@ def test_wand_retrieves_all_above_threshold():
                 np.flatnonzero(scores >= threshold - 1e-9).tolist())
 
 
+def test_index_grows_with_its_postings(monkeypatch):
+    """No array of the index has a place for each pair of term and block."""
+    rng = random.Random(10)
+    index = decontaminate.build([(i, " ".join(f"u{rng.randrange(10 ** 6)}" for _ in range(10))) for i in range(2000)])
+    assert max(np.size(x) for x in vars(index).values() if isinstance(x, np.ndarray)) <= len(index.item) + 1
+    blocks = np.zeros((len(index.vocabulary), index.blocks))
+    term = np.repeat(np.arange(len(index.vocabulary)), np.diff(index.start))
+    np.maximum.at(blocks, (term, index.item // decontaminate.BLOCK), index.weight)
+    assert (index.top == blocks.max(axis=1)).all()
+    texts = [rng.sample(range(len(index.vocabulary)), 30) for _ in range(100)]
+    texts += [term[index.item == rng.randrange(2000)][:rng.randint(4, 10)].tolist() for _ in range(100)]
+    ends = np.cumsum([0, *map(len, texts)])
+    expected = [p for p, own in enumerate(texts) if (blocks[sorted(set(own))].sum(axis=0) >= decontaminate.SCORE).any()]
+    for cells in (1 << 20, 1):
+        monkeypatch.setattr(decontaminate, "CELLS", cells)
+        found = decontaminate.candidates(index, index.vocabulary[np.concatenate(texts)], ends[:-1], ends[1:])
+        assert found.tolist() == expected and 50 < len(expected) < 150
+
+
 def test_words_are_those_of_the_pattern():
     texts = [t or "" for t in TEXTS]
     raw = [t.encode() for t in texts]
