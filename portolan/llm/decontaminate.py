@@ -17,8 +17,10 @@ of one sentence is all question.
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.store import cut
-from portolan.llm.words import combine, segment_hashes, text_chunks
+from portolan.llm.words import combine, segment_hashes, text_buffers, text_chunks
 
 #: BM25 parameters, and the share of its own score that an item must reach.
 K1, B, SCORE = 1.2, 0.75, 0.6
@@ -42,14 +44,39 @@ INDEX_TERMS = 1 << 20
 #: Bounds of passages and blocks that are summed up at a time.
 CELLS = 1 << 20
 
-_WORDY = np.zeros(256, dtype=bool)
-_WORDY[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+_WORDY = np.zeros(128, dtype=bool)
+_WORDY[[*range(48, 58), *range(97, 123)]] = True
+#: Scripts that write words without blanks between them: each character of
+#: theirs is a term.  Thai and Lao, Myanmar, Khmer, Tai scripts, kana and
+#: bopomofo, ideographs.
+_UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x1AAF), (0x3005, 0x3007), (0x3021, 0x312F),
+             (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF),
+             (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18D8F), (0x1AFF0, 0x1B16F),
+             (0x20000, 0x3FFFF))
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 separates, 1 is of a word, 2 is a term by itself.
+    Marks belong to their letter."""
+    out = np.fromiter((unicodedata.category(chr(i))[0] in "LNM" for i in range(0x110000)), dtype=np.uint8, count=0x110000)
+    for a, b in _UNSPACED:
+        out[a:b + 1] *= 2
+    return out
 
 
 def terms_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of each run of lower-case letters and digits: punctuation
-    and symbols separate words, so junk between them does not hide a text."""
-    return segment_hashes(data, offsets, _WORDY[data])
+    and symbols of any script separate words, so junk between them does not
+    hide a text.  In scripts without blanks each character is a term."""
+    if not len(data) or data.max() < 128:
+        return segment_hashes(data, offsets, _WORDY[data])
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), dtype=np.uint32)
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    end = np.append(first[1:], len(data))
+    kind = _kinds()[points]
+    alone = kind == 2
+    return segment_hashes(data, offsets, np.repeat(kind > 0, end - first), np.concatenate([first[alone], end[alone]]))
 
 
 def lowered(column: pa.Array) -> pa.Array:
@@ -93,8 +120,7 @@ class Counts:
 
 
 def term_hashes(text: str) -> np.ndarray:
-    raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
-    return terms_of(raw, np.array([0, len(raw)]))[0]
+    return terms_of(*text_buffers(lowered(pa.array([text], type=pa.string()))))[0]
 
 
 def question_answer(text: str | None) -> tuple[np.ndarray, np.ndarray]:

@@ -119,9 +119,11 @@ def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix(h ^ ((end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
 
 
-def segment_hashes(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of the runs of solid bytes."""
-    start, end = _spans(offsets, solid)
+def segment_hashes(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray,
+                   breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of the runs of solid bytes; a run also ends before each of
+    the bytes ``breaks``."""
+    start, end = _spans(offsets if breaks is None else np.concatenate([offsets, breaks]), solid)
     row = np.searchsorted(offsets, start, side="right") - 1
     return _span_hashes(data, start, end), row
 

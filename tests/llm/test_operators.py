@@ -387,6 +387,22 @@ def test_index_grows_with_its_postings(monkeypatch):
         assert found.tolist() == expected and 50 < len(expected) < 150
 
 
+def test_decontamination_in_any_script(spark):
+    """Separators of all scripts, and items within text that has no blanks."""
+    rng = random.Random(11)
+    latin = " ".join(f"wört{rng.randrange(10 ** 4)}" for _ in range(12)) + ". " + "ΤΈΛΟΣ alpha naïve beta."
+    han = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(24))
+    thai = "".join(chr(rng.randrange(0xE01, 0xE2F)) for _ in range(24))
+    tests = spark.createDataFrame([(0, latin), (1, han), (2, thai)], "item_id long, text string")
+    kana = "".join(chr(rng.randrange(0x3041, 0x3090)) for _ in range(40))
+    docs = [latin.replace(" ", "\u00a0"), latin.replace(" ", "\u2014"), latin.replace(" ", "\u201d \u201c"),
+            latin.replace(" ", "\u3001"), kana + han + kana, kana + "\u3002".join(han) + kana, "x" + thai + kana, kana,
+            latin.lower()]
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, tests).collect()}
+    assert got == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1), (6, 2), (8, 0)}
+
+
 def test_words_are_those_of_the_pattern():
     texts = [t or "" for t in TEXTS]
     raw = [t.encode() for t in texts]
