@@ -3,6 +3,10 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's documents.  All but the
 last return the columns of ``documents``.
+
+Stages decide for each row, not for each id: null ids and one id with several
+texts are documents like others.  Rows with equal id and equal text have the
+same lines and the same leaks, and one of them stays.
 """
 
 from __future__ import annotations
@@ -32,18 +36,34 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def _meeting(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with (l_id, l_th): their id, null or not, and text hash."""
+    return docs.join(keys, docs["doc_id"].eqNullSafe(keys["l_id"]) & (F.xxhash64(docs["text"]) == keys["l_th"]), how)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word
-    shingles: the one with the smallest id."""
-    found = cut(ngram_join.classes(docs, width=5, threshold=ngram_join.Threshold(4, 5)), "classes")
-    others = found.where("component_id <> doc_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group that shares four fifths of its five-word shingles:
+    the one with the smallest id, null ids last, then the least text hash.  Rows
+    without a word are in no group.  Of rows with equal id and equal text one
+    stays, the least by its other columns."""
+    # a struct is never null, and its least one is the row that stays
+    keyed = docs.withColumn("_key", F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.xxhash64("text").alias("th")))
+    found = ngram_join.classes(keyed, id_col="_key", width=5, threshold=ngram_join.Threshold(4, 5))
+    marked = cut(found.withColumn("copy", ~F.col("component_id").eqNullSafe(F.col("_key")))
+                 .groupBy("_key", "copy").agg(F.count(F.lit(1)).alias("n")).where("copy or n > 1")
+                 .select(F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th"), "copy"), "classes")
+    again = _meeting(docs, marked.where("not copy"), "left_semi")
+    once = again.groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
+    return _meeting(docs, marked, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item in them."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(cut(found, "leaks"), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark item in them, by id and text: another text
+    of the same id stays, and null ids are no exception."""
+    keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("th")))
+    found = decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="_key").select(
+        F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th")).distinct()
+    return _meeting(docs, cut(found, "leaks"), "left_anti").select(*docs.columns)
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
