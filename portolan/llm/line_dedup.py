@@ -106,8 +106,8 @@ def _signer(batches):
             hashes, line = lines.shingles()
             keys = band_keys(hashes, line, len(lines.row))
             use = np.flatnonzero(lines.has_word)
-            # a line of one shingle is linked with equal lines only
-            banded = (lines.end - lines.start)[use] > SHINGLE
+            # a shorter line is linked with equal lines only
+            banded = (lines.end - lines.start)[use] >= SHINGLE
             ends = np.concatenate([[0], np.cumsum(banded * BANDS)]).astype(np.int32)
             row = pa.array(i + lines.row[use])
             yield pa.RecordBatch.from_arrays(

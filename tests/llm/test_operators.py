@@ -425,3 +425,10 @@ def test_line_dedup_order_of_ties(spark):
     assert [(r.text, r.n_lines, r.n_kept) for r in got if r.doc_id == 3] == [("", 1, 0)] * 2
     assert sorted(r.n_kept for r in got if r.doc_id == 1) == [0, 1]
     assert [r.text for r in got if r.n_kept and r.doc_id == 1] == [other]
+
+
+def test_line_dedup_of_one_repeated_character(spark):
+    """Ten equal characters have the one shingle that longer runs of them have."""
+    rows = [(1, "-" * 10 + "\nabcdefghij"), (2, "-" * 12), (3, "-" * 9), (4, "abcdefghij\n" + "-" * 10)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "", 3: "-" * 9, 4: ""}
