@@ -9,7 +9,8 @@ of the corpus, membership of its keys is exact, and it is tested in the row,
 without a join.
 
 Built of DataFrame operations only; the filters are binary literals of the
-plan and are bounded by `MOST_LISTED`.  Longer lists are joined.
+plan; each level encodes at most `MOST_LISTED` keys, listed or wrongly let
+through.  Lists that need more on any level are joined.
 """
 
 from __future__ import annotations
@@ -74,9 +75,10 @@ class Cascade:
         return F.lit(False) if out is None else out
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
-    """Cascade over ``listed`` (column key, distinct, counted by the caller to
-    be at most MOST_LISTED) for the keys of ``universe`` (column key).
+def cascade(listed: DataFrame, universe: DataFrame) -> Cascade | None:
+    """Cascade over ``listed`` (column key, distinct) for the keys of
+    ``universe`` (column key); None if a level had to encode more than
+    MOST_LISTED keys, as the errors of the first one grow with the universe.
 
     Listed keys outside the universe are left out first.  Each level is built
     from the errors of the one before; their numbers fall geometrically.
@@ -89,6 +91,8 @@ def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
         n = encode.count()
         if n == 0:
             return Cascade(tuple(levels))
+        if n > MOST_LISTED:
+            return None
         bloom = _build(encode, n, level)
         levels.append(bloom)
         wrong = cut(check.where(bloom.may_hold(F.col("key"))), f"wrong-{level}")
@@ -159,7 +163,12 @@ def judge(pages: DataFrame, allow: DataFrame, block: DataFrame, id_col: str = "p
     if max(counts.values()) > MOST_LISTED:
         return _joined(keyed, lists, id_col)
     universe = cut(keyed.select(F.explode("keys").alias("key")).distinct(), "universe")
-    cascades = {name: cascade(keys, universe) for name, keys in lists.items()}
+    cascades = {}
+    for name, keys in lists.items():
+        built = cascade(keys, universe)
+        if built is None:
+            return _joined(keyed, lists, id_col)
+        cascades[name] = built
 
     def longest(name: str) -> Column:
         held = F.filter("keys", cascades[name].holds)

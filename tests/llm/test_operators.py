@@ -432,3 +432,17 @@ def test_line_dedup_of_one_repeated_character(spark):
     rows = [(1, "-" * 10 + "\nabcdefghij"), (2, "-" * 12), (3, "-" * 9), (4, "abcdefghij\n" + "-" * 10)]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "", 3: "-" * 9, 4: ""}
+
+
+def test_url_filter_bounds_every_level(spark, monkeypatch):
+    """A level that had to encode more keys than the bound is not built; the lists are joined."""
+    monkeypatch.setattr(url_filter, "MOST_LISTED", 120)
+    counts = []
+    monkeypatch.setattr(url_filter, "_build", lambda keys, n, level, own=url_filter._build: (
+        counts.append(n), own(keys, n, level))[1])
+    pages = spark.range(6000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), "id", F.lit("/x")).alias("url"))
+    listed = pages.where("page_id % 60 = 0").select(F.concat(F.lit("h"), "page_id", F.lit("/")).alias("key"))
+    got = url_filter.judge(pages, listed.limit(0), listed).collect()
+    assert counts and max(counts) <= 120
+    assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 6000, 60)) and len(got) == 6000
+    assert all((r.rule is None) == (r.verdict == "allow") for r in got)
