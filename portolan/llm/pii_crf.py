@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -105,15 +106,19 @@ def _shape_class(char: str) -> str:
 
 def shape(word: str) -> str:
     """Character classes with run lengths: digits by their number up to 19,
-    letters merged."""
-    out, k = [], 0
-    while k < len(word) and len(out) < 24:
+    letters merged.  Classes behind the 24th are given by a hash of them all."""
+    out, rest, k = [], 0, 0
+    while k < len(word):
         c, run = _shape_class(word[k]), k
         while run < len(word) and _shape_class(word[run]) == c:
             run += 1
-        out.append(f"0{min(run - k, 20)}" if c == "0" else c)
+        own = f"0{min(run - k, 20)}" if c == "0" else c
+        if len(out) < 24:
+            out.append(own)
+        else:
+            rest = crc32(f"{own} ".encode(), rest or 1)
         k = run
-    return "".join(out)
+    return "".join(out) + (f" {rest:08x}" if rest else "")
 
 
 def features(word: str) -> list[str]:
@@ -121,7 +126,7 @@ def features(word: str) -> list[str]:
         low = word.strip(".,;:!?()\"'").lower()
         return [f"w={low}"] if low in CUES else ["plain"]
     a, b = core(word)
-    own = word[a:b][:200]
+    own = word[a:b]
     digits = _NOT_DIGIT.sub("", own)
     kinds = "".join(sorted({_shape_class(c) for c in own if _shape_class(c) not in "0a"}))
     out = [f"s={shape(own)}", f"d={min(len(digits), 20)}", f"k={kinds}", f"a={any(c.isalpha() for c in own)}"]

@@ -446,3 +446,15 @@ def test_url_filter_bounds_every_level(spark, monkeypatch):
     assert counts and max(counts) <= 120
     assert {r.page_id for r in got if r.verdict == "block"} == set(range(0, 6000, 60)) and len(got) == 6000
     assert all((r.rule is None) == (r.verdict == "allow") for r in got)
+
+
+def test_features_see_whole_words():
+    """An @, digits and shape classes far behind a word's head count like near ones."""
+    head = "a" * 300
+    assert "@=TrueTrueTrue" in pii_crf.features(f"{head}@host.example")
+    assert "k=@" in pii_crf.features(f"{head}@1") and "d=7" in pii_crf.features(f"{head}1234567")
+    assert "luhn=True" in pii_crf.features("4" + "." * 220 + "11111111111111" + "." * 10 + "1")
+    long = "a1" * 20
+    shapes = {pii_crf.shape(long + t) for t in ("", "-", "-a", "-1", "12345")}
+    assert len(shapes) == 5 and len(pii_crf.shape("a1-" * 10000)) < 80
+    assert pii_crf.shape("+1 (555) 123".replace(" ", "")) == "+01(03)03"
