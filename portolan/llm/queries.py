@@ -10,8 +10,11 @@ from portolan.llm import (
     bpe,
     decontaminate,
     html_extract,
+    importance,
     line_dedup,
+    mixing,
     ngram_join,
+    phrases,
     pii_crf,
     quality_gam,
     rules,
@@ -117,9 +120,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=10, inside=50, top=2000)
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3, seed=42).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                               percent=5, least_words=20, seed=42).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_quality, op3_bpe, op4_rules, op5_sharding, op6_html, op7_line_dedup, op8_pii,
-    op9_url_filter, op10_decontamination)}
+    op9_url_filter, op10_decontamination, op11_collocations, op12_mixing, op13_importance)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -175,4 +192,82 @@ with u as (
 )
 select page_id, u.host, u.path, rule, coalesce(v, 'allow') as verdict
 from u left join best on best.host = u.host and best.path = u.path""",
+    "op11_collocations": r"""
+with p as (
+  select row_number() over () as piece, lang,
+         regexp_extract_all(s, '[^\x20\x09]+') as w
+  from (select coalesce(lang, 'und') as lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                   'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as s
+        from documents)
+), t as (
+  select lang, w[i] as a, w[i + 1] as b, w[i + 2] as c
+  from (select lang, w, unnest(range(1, len(w) + 1)) as i from p)
+), totals as (select lang, count(*) as n from t group by lang
+), f1 as (select lang, a, count(*) as n from t group by lang, a
+), f2 as (select lang, a, b, count(*) as n from t where b is not null group by lang, a, b
+), f3 as (select lang, a, b, c, count(*) as n from t where c is not null group by lang, a, b, c
+), cuts as (
+  select x.lang, 2 as words, x.a || ' ' || x.b as phrase, x.n as a, 1 as k, p.n as l, q.n as r
+  from f2 x join f1 p on p.lang = x.lang and p.a = x.a join f1 q on q.lang = x.lang and q.a = x.b where x.n >= 10
+  union all
+  select x.lang, 3, concat(x.a, ' ', x.b, ' ', x.c), x.n, 1, p.n, q.n
+  from f3 x join f1 p on p.lang = x.lang and p.a = x.a
+  join f2 q on q.lang = x.lang and q.a = x.b and q.b = x.c where x.n >= 10
+  union all
+  select x.lang, 3, concat(x.a, ' ', x.b, ' ', x.c), x.n, 2, p.n, q.n
+  from f3 x join f2 p on p.lang = x.lang and p.a = x.a and p.b = x.b
+  join f1 q on q.lang = x.lang and q.a = x.c where x.n >= 10
+), scored as (
+  select *, 1000000::hugeint * a * a // (l::hugeint * r) as score from cuts
+), best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), longer as (
+  select lang, pair, max(n) as n
+  from (select lang, unnest([a || ' ' || b, b || ' ' || c]) as pair, n from f3 where n >= 10) group by lang, pair
+), kept as (
+  select best.* from best left join longer on longer.lang = best.lang and pair = phrase and words = 2
+  where longer.n is null or 100 * longer.n < 50 * best.a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select ranked.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r,
+       totals.n::bigint as n, score::bigint as score
+from ranked join totals on totals.lang = ranked.lang where rank <= 2000""",
+    "op12_mixing": r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         ('0x' || substr(sha256('42:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+  from documents
+), s as (
+  select source, source_size, 3 * source_size as most, case place % 3 when 0 then 5 when 1 then 2 else 1 end as weight
+  from (select source, source_size, row_number() over (order by source asc nulls last) - 1 as place
+        from (select source, sum(size)::bigint as source_size from d group by source))
+), total as (select sum(source_size) as words from s
+), capped as (
+  select x.source, x.source_size, x.weight, x.most,
+         (select sum(least(y.most::hugeint * x.weight, x.most::hugeint * y.weight)) from s y)
+           <= (select words from total) * x.weight as full_source
+  from s x
+), rest as (
+  select (select words from total) - coalesce(sum(most) filter (full_source), 0) as words,
+         sum(weight) filter (not full_source) as weight
+  from capped
+), t as (
+  select source, source_size, case when full_source then most::double
+                                   else (capped.weight * rest.words)::double / rest.weight::double end as target
+  from capped, rest
+), e as (
+  select d.*, t.source_size, t.target, case when t.source_size > 0
+           then floor(t.target / t.source_size * 1000000000000.0)::bigint else 0 end as expected,
+         ('0x' || substr(sha256('42:' || coalesce('=' || d.source, 'null')), 1, 15))::bigint % 1000000000000 as start
+  from d join t on t.source is not distinct from d.source
+), sums as (
+  select *, start + sum(expected) over (partition by source order by size, h, doc_id
+                                        rows between unbounded preceding and current row) as upto
+  from e
+)
+select doc_id, size, source_size, target,
+       (size * (upto // 1000000000000 - (upto - expected) // 1000000000000))::bigint as taken
+from sums""",
 }
