@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
@@ -83,17 +84,28 @@ def test_phrases_across_blocks_and_renumbered_words(monkeypatch):
             w = piece.split()
             for k in (1, 2, 3):
                 want.update(b" ".join(w[i:i + k]).decode() for i in range(len(w) - k + 1))
+    every = phrases.PairFilter(np.full(1, -1, dtype=np.int64).view(np.uint64))  # lets every pair through
     for most in (1 << 20, 3):
-        trie, got = phrases.Trie(capacity=5, burst=1, most_words=most), Counter()
-        for batch in [*trie.add("en", texts), *trie.spill(0)]:
-            run = batch.to_pylist()
-            assert [r["phrase"] for r in run] == sorted(r["phrase"] for r in run)  # a sorted run
-            for r in run:
-                if r["words"]:
-                    got[r["phrase"]] += r["n"]
+        got = Counter()
+        for pairs in (None, every):
+            trie = phrases.Trie(pairs, capacity=5, burst=1, most_words=most)
+            for batch in [*trie.add("en", texts), *trie.spill(0)]:
+                run = batch.to_pylist()
+                assert [r["phrase"] for r in run] == sorted(r["phrase"] for r in run)  # a sorted run
+                for r in run:
+                    if r["words"]:
+                        got[r["phrase"]] += r["n"]
         assert got == want
 
 
+def test_pair_filter_denies_no_pair_it_holds(spark):
+    rows = [(f"l{i % 3}", 2, f"a{i} b{i % 7}", 1) for i in range(5000)]
+    held = phrases.PairFilter(phrases.pair_filter(spark.createDataFrame(rows, phrases.COUNT_SCHEMA), 1 << 17))
+    assert all((lang, *phrase.encode().split()) in held for lang, _, phrase, _ in rows)
+    others = sum(("l0", f"x{i}".encode(), b"b") in held for i in range(5000))
+    assert others < 300  # about (2 * 5000 / 2^17)^2 of them, well under this
+
+
 def test_scores_past_64_bits(spark):
     big = 3_000_000_000
     counts = spark.createDataFrame([("en", 1, "a", 2 * big), ("en", 1, "b", big), ("en", 2, "a b", big - 1)],
