@@ -15,6 +15,7 @@ executors as a broadcast of bounded size (one vocabulary).
 from __future__ import annotations
 
 import base64
+import hashlib
 from array import array
 from heapq import heapify, heappop, heappush
 from itertools import islice
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portolan.llm.store import unused
 from portolan.llm.words import text_buffers
 
 #: Distinct pre-tokens that a worker remembers, and those that it lets wait
@@ -285,12 +287,20 @@ class Encoder:
         return self.expand(codes)
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
-def _encoder(ranks, pattern: str) -> Encoder:
-    """The worker's encoder of a vocabulary; successive tasks share its memory."""
-    key = hash((ranks.id if hasattr(ranks, "id") else None, pattern))
+def digest(ranks: dict[bytes, int]) -> str:
+    """Names a vocabulary by its tokens and ranks."""
+    h = hashlib.sha256()
+    for token, rank in sorted(ranks.items()):
+        h.update(b"%d:%d:" % (rank, len(token)) + token)
+    return h.hexdigest()
+
+
+def _encoder(ranks, name: str, pattern: str) -> Encoder:
+    """The worker's encoder of the vocabulary ``name``; successive tasks share its memory."""
+    key = (name, pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = Encoder(ranks.value, pattern)
@@ -309,10 +319,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     Null and empty texts give an empty array; an existing column of the name
     ``out_col`` is replaced.  Bytes between matches have no ids.
     """
-    shared = _broadcast(docs.sparkSession, ranks)
+    shared, name = _broadcast(docs.sparkSession, ranks), digest(ranks)
 
     def run(batches):
-        encoder = _encoder(shared, pattern)
+        encoder = _encoder(shared, name, pattern)
         for batch in batches:
             texts, kept, start, waiting = batch.column(batch.num_columns - 1), batch.columns[:-1], 0, []
 
@@ -340,8 +350,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                     start, waiting = k + 1, []
 
     keep = [c for c in docs.columns if c not in (text_col, out_col)]
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = base.drop("_text").withColumn(out_col, F.array().cast("array<int>")).schema
+    text = unused("_text", keep)
+    base = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(text))
+    schema = base.drop(text).withColumn(out_col, F.array().cast("array<int>")).schema
     return base.mapInArrow(run, schema)
 
 

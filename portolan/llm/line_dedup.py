@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from portolan.llm.linkage import linked_components, shared_members, verified
 from portolan.llm.ngram_join import Threshold, may_link, parity_sketches
 from portolan.llm.store import cut, if_small
-from portolan.llm.words import _POWERS, mix, text_chunks
+from portolan.llm.words import _POWERS, mix, span_hashes, text_chunks
 
 #: Code points of a shingle; a shorter line is one shingle as a whole.
 SHINGLE = 10
@@ -55,14 +55,11 @@ class Lines:
         solid = np.zeros(len(self.points) + 1, dtype=np.int64)
         np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)), out=solid[1:])
         self.has_word = solid[self.end] > solid[self.start]
-        up, self._down = _POWERS.get(len(self.points))
-        self._sums = np.zeros(len(self.points) + 1, dtype=np.uint64)
-        np.cumsum((self.points + _U(1)) * up[:len(self.points)] * _U(0xD6E8FEB86659FD93), out=self._sums[1:])
+        self.codes = (self.points + _U(1)) * _U(0xD6E8FEB86659FD93)
 
     def hashes(self) -> np.ndarray:
         """Hash of each whole line."""
-        h = (self._sums[self.end] - self._sums[self.start]) * self._down[self.start]
-        return mix(h ^ mix((self.end - self.start).astype(np.uint64)))
+        return span_hashes(self.codes, self.start, self.end)
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle."""
@@ -71,7 +68,11 @@ class Lines:
         line = np.repeat(np.arange(len(size)), count)
         at = self.start[line] + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         to = np.minimum(at + SHINGLE, self.end[line])
-        return mix((self._sums[to] - self._sums[at]) * self._down[at]), line
+        # sums over powers are safe for windows as short as these
+        up, down = _POWERS.get(len(self.codes))
+        sums = np.zeros(len(self.codes) + 1, dtype=np.uint64)
+        np.cumsum(self.codes * up[:len(self.codes)], out=sums[1:])
+        return mix((sums[to] - sums[at]) * down[at]), line
 
 
 def band_keys(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:

@@ -47,6 +47,8 @@ RUN_ROWS = 100_000
 FILTER_BITS = 1 << 26
 #: Bits set for a pair.
 FILTER_HASHES = 2
+#: Parts in which a language's phrases are ranked before its first ones are.
+RANK_PARTS = 64
 
 _BITS = 20
 _LOW = (1 << _BITS) - 1
@@ -167,6 +169,8 @@ class _Part:
         """Puts the entries of containers where their words belong now."""
         for k in boxes:
             held, self.boxes[k] = self.boxes[k], Counter()
+            if not held:
+                continue
             box = self._box(np.fromiter(held, np.int64, len(held)))
             order = np.argsort(box, kind="stable")
             keys, n = list(held), list(held.values())
@@ -391,9 +395,14 @@ def collocations(docs: DataFrame, *, least: int = 10, inside: int = 50, top: int
     counts = phrase_counts(docs, lang_col, text_col, least, capacity, burst)
     scored = scored_cuts(counts).join(covered(counts), ["lang", "phrase"], "left")
     kept = scored.filter(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * inside))
-    # ranks beyond the first are cut off in each task before the shuffle
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    first = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # a language's first rows are among the first of its parts: one task ranks
+    # RANK_PARTS x top rows at most
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    in_part = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))
+    ahead = kept.withColumn("_part", part).withColumn("_place", in_part).filter(F.col("_place") <= top)
+    first = ahead.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))) \
+        .filter(F.col("rank") <= top)
     totals = counts.filter("words = 0").select("lang", "n")
     return first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))

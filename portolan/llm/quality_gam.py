@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from portolan.llm.store import unused
 from portolan.llm.textstats import FEATURES, Stats
 from portolan.llm.words import text_chunks
 
@@ -199,6 +200,7 @@ def score(docs: DataFrame, model: Gam, text_col: str = "text") -> DataFrame:
 
     Null and empty texts get the score of a text without words."""
     keep = [c for c in docs.columns if c not in (text_col, "score")]
-    out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = out.drop("_text").withColumn("score", F.lit(0.0).cast("double")).schema
+    text = unused("_text", keep)
+    out = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(text))
+    schema = out.drop(text).withColumn("score", F.lit(0.0).cast("double")).schema
     return out.mapInArrow(_scorer(model), schema)

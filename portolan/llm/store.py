@@ -51,3 +51,11 @@ class Table:
 def if_small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its known row count is within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has (case does not tell names apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

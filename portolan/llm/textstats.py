@@ -10,7 +10,7 @@ from functools import cached_property
 
 import numpy as np
 
-from portolan.llm.words import _BYTE, _POWERS, _U, Words, combine, mix, words_of
+from portolan.llm.words import _BYTE, _U, Words, combine, mix, span_hashes, words_of
 
 SYMBOLS = b"#*$%&|<>"
 #: Frequent short words of English, French, German and Spanish (fixed values).
@@ -109,10 +109,7 @@ class Stats:
         end = np.where(last, end, end - 1)
         has = np.searchsorted(self.words.start, end) > np.searchsorted(self.words.start, start)
         start, end, row = start[has], end[has], row[has]
-        up, down = _POWERS.get(len(self.data))
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:len(self.data)], out=sums[1:])
-        h = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+        h = span_hashes(_BYTE[self.data], start, end)
         return row, mix(h ^ mix(row.astype(np.uint64) + _U(1)))
 
     @cached_property

@@ -28,6 +28,8 @@ _LOWER[65:91] += 32
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bytes, about, that are hashed at a time.
+_HASHED = 1 << 22
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,8 +42,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
+def span_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of ``codes``: the sum of a finaliser over (code,
+    place in the span), finalised with the length.  No two contents collide by
+    their structure, as they do with powers of a base modulo 2**64."""
+    size = end - start
+    upto = np.cumsum(size)
+    out, i = np.zeros(len(size), dtype=np.uint64), 0
+    while i < len(size):
+        done = upto[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(upto, done + _HASHED, side="right")))
+        own = size[i:j]
+        place = np.arange(upto[j - 1] - done) - np.repeat(upto[i:j] - own - done, own)
+        at = np.repeat(start[i:j], own) + place
+        sums = np.zeros(len(at) + 1, dtype=np.uint64)
+        np.cumsum(mix(codes[at] + place.astype(np.uint64) * _BASE), out=sums[1:])
+        out[i:j] = sums[upto[i:j] - done] - sums[upto[i:j] - own - done]
+        i = j
+    return mix(out ^ (size.astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+
+
 class _Powers:
-    """Powers of the hash base and of its inverse, grown on demand."""
+    """Powers of the hash base and of its inverse, grown on demand; for windows
+    of a few dozen codes only, as long spans can collide by their structure."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, dtype=np.uint64)
@@ -111,12 +134,7 @@ def _spans(offsets: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    n = len(data)
-    up, down = _POWERS.get(n)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
-    h = (sums[end] - sums[start]) * down[start]
-    return mix(h ^ ((end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+    return span_hashes(_BYTE[data], start, end)
 
 
 def segment_hashes(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray,

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from portolan.llm import importance, mixing, phrases, queries
+from portolan.llm import bpe, importance, line_dedup, mixing, ngram_join, phrases, quality_gam, queries, rules
 from tests.conftest import SMALL
 from tests.test_oracle import _canon
 
@@ -244,3 +244,41 @@ def test_runs_across_blocks(monkeypatch):
 def test_importance_of_an_empty_table(spark):
     empty = spark.createDataFrame([], DOC)
     assert importance.resample(empty, empty).collect() == []
+
+
+# -- earlier operators: faults that stay mended --------------------------------------
+def twins(n):
+    """Two different texts of 2**n characters that every odd base hashes alike modulo 2**64."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_texts_that_powers_of_a_base_take_for_equal_stay_apart(spark):
+    a, b = twins(11)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, f"{a}\n{b}\nplain words here"), (4, f"{a}\n{a}")],
+                                 "doc_id long, text string")
+    classes = ngram_join.classes(docs.filter("doc_id < 3"), width=3, threshold=ngram_join.Threshold(9, 10)).collect()
+    assert sorted(r.component_id for r in classes) == [1, 2]
+    assert {r.doc_id: r.n_dup_lines for r in rules.report(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 1}
+    raw = f"{a}\n{b}\n{a}".encode()
+    lines = line_dedup.Lines(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)])).hashes()
+    assert lines[0] == lines[2] != lines[1]
+
+
+def test_two_vocabularies_in_one_session(spark):
+    docs = spark.createDataFrame([(1, "abab")], "doc_id long, text string")
+    single = {bytes([i]): i for i in range(256)}
+    for ranks, ids in (({**single, b"ab": 256}, [256, 256]), ({**single, b"ba": 256}, [97, 256, 98])):
+        encoded = bpe.encode(docs, ranks, r"(?s).+")
+        assert encoded.first().ids == ids
+        assert bytes(bpe.decode(encoded, ranks).first().decoded) == b"abab"
+
+
+def test_columns_named_like_private_ones(spark):
+    docs = spark.createDataFrame([(1, "some words here", "x", "y")], "doc_id long, text string, _text string, _TEXT_ string")
+    ranks = {bytes([i]): i for i in range(256)}
+    assert bpe.encode(docs.drop("_TEXT_"), ranks, r"(?s).+").first()._text == "x"
+    model = quality_gam.train(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert quality_gam.score(docs.drop("_TEXT_"), model).first()._text == "x"
