@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,6 +148,16 @@ def fixed_sum(c, scale: int | None = None, over=None) -> Column:
     return total if scale is None else total.cast("double") / F.lit(float(10 ** scale))
 
 
+def partial_sum(c, scale: int | None = None):
+    """(aggregate, finish): a sum in two steps, as `fixed_sum` in one.  The sum of
+    the aggregate's parts, passed through ``finish``, is the total."""
+    if scale is None and exact_mode():
+        scale = _EXACT.get()[0]
+    if scale is None:
+        return F.sum(as_col(c)), lambda total: total
+    return F.sum(fixed_units(c, scale)), lambda total: total.cast("double") / F.lit(float(10 ** scale))
+
+
 def fixed_mean(c, scale: int | None = None) -> Column:
     """Mean of a measure: plain, or exact at ``scale`` decimals (given here or
     by `exact_digits`) as fixed-point sum / non-null count."""
@@ -159,6 +169,45 @@ def fixed_mean(c, scale: int | None = None) -> Column:
     return (F.sum(units).cast("double") / F.lit(float(10 ** scale))) / F.count(units).cast("double")
 
 
+# --------------------------------------------------------------------------
+# doubles as whole numbers in the same order
+# --------------------------------------------------------------------------
+def with_order_key(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``df`` with ``out``, a long that sorts as the double ``value`` does; equal
+    doubles have equal keys.
+
+    It is the IEEE-754 bit pattern (biased exponent, then the 52 bits of the
+    mantissa), built from exact operations: powers of two, division by one, and
+    whole numbers below 2^53.  Negative values mirror positive ones below zero,
+    -0.0 is 0.0.  Null and NaN give null.  The steps are columns of their own,
+    as one nested expression would compute each of them many times."""
+    x, a, g, p, e = F.col(value), F.col("__abs"), F.col("__guess"), F.col("__power"), F.col("__exponent")
+    steps = (df.withColumn("__abs", F.abs(x.cast("double")))
+             # off by one at most, next to a power of two
+             .withColumn("__guess", F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1022)), F.lit(1023)).cast("int"))
+             .withColumn("__power", F.pow(F.lit(2.0), g))
+             .withColumn("__exponent", g + F.when((g < 1023) & (a >= p * 2.0), 1)
+                         .when((g > -1022) & (a < p), -1).otherwise(0)))
+    exact = p * F.when(e > g, 2.0).when(e < g, 0.5).otherwise(1.0)
+    normal = F.shiftleft((e + 1023).cast("long"), 52) + ((a / exact - 1.0) * F.lit(2.0 ** 52)).cast("long")
+    # in two steps, as 2^1074 is no double
+    small = (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
+    key = F.when(a == F.lit(float("inf")), F.lit(2047 << 52)).when(a < F.lit(2.0 ** -1022), small).otherwise(normal)
+    signed = F.when(x.isNull() | F.isnan(x.cast("double")), F.lit(None).cast("long")).when(x < 0, -key).otherwise(key)
+    return steps.withColumn(out, signed).drop("__abs", "__guess", "__power", "__exponent")
+
+
+def from_order_key(c) -> Column:
+    """The double of a key of ``with_order_key``."""
+    key = as_col(c)
+    a = F.abs(key)
+    exponent, mantissa = F.shiftright(a, 52), a.bitwiseAND(F.lit((1 << 52) - 1))
+    normal = (mantissa.cast("double") / F.lit(2.0 ** 52) + 1.0) * F.pow(F.lit(2.0), exponent - 1023)
+    small = mantissa.cast("double") * F.lit(2.0 ** -537) * F.lit(2.0 ** -537)
+    value = (F.when(exponent == 2047, F.lit(float("inf"))).when(exponent == 0, small).otherwise(normal))
+    return F.when(key < 0, -value).otherwise(value)
+
+
 # --------------------------------------------------------------------------
 # serving text
 # --------------------------------------------------------------------------

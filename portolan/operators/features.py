@@ -14,7 +14,7 @@ from portolan.functions.columns import (
     quarter_label,
     quarter_of,
 )
-from portolan.operators.joins import DIM_MAX_ROWS, lookup
+from portolan.operators.joins import lookup
 from portolan.schemas import PARTNER_ALIASES_UNIDENTIFIED, UNIDENTIFIED
 
 MEASURES = ("quantity", "weight", "primary_value_usd")
@@ -33,8 +33,7 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 def conform_partner(df: DataFrame, iso_dim: DataFrame, code_col: str = "partner_code",
                     out_col: str = "partnerISO",
                     aliases: Iterable[str] = PARTNER_ALIASES_UNIDENTIFIED,
-                    default: str = UNIDENTIFIED,
-                    max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                    default: str = UNIDENTIFIED) -> DataFrame:
     """PRJ-3 / PRJ-4 / J-6: numeric partner code -> alpha-3.
 
     A broadcast lookup on ``try_cast(code as int)`` replaces a per-row
@@ -42,8 +41,7 @@ def conform_partner(df: DataFrame, iso_dim: DataFrame, code_col: str = "partner_
     become ``default``; listed alias codes are folded into ``default`` too.
     """
     key = F.trim(F.col(code_col)).try_cast("int")
-    out = lookup(df, iso_dim, key, "iso_numeric", [F.col("iso3").alias("__iso3")],
-                 max_rows=max_rows)
+    out = lookup(df, iso_dim, key, "iso_numeric", [F.col("iso3").alias("__iso3")])
     iso = F.coalesce(F.col("__iso3"), F.lit(default))
     aliases = list(aliases)
     if aliases:

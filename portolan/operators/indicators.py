@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan.operators.features import cast_columns
-from portolan.operators.joins import DIM_MAX_ROWS, lookup
+from portolan.operators.joins import lookup
 from portolan.schemas import INDICATOR_NAMES
 
 PIVOT_KEYS = ["country_id", "country_name", "year"]
@@ -29,10 +29,37 @@ def pivot_indicators(df: DataFrame, names: list[str], keys: list[str] = PIVOT_KE
     return df.groupBy(*keys).pivot(name_col, list(names)).agg(a)
 
 
+def pivot_with_rest(df: DataFrame, names: list[str], keys: list[str] = PIVOT_KEYS,
+                    name_col: str = "indicator_name", value_col: str = "value",
+                    rest_as: str = "other_indicators") -> DataFrame:
+    """AGG-4: long -> wide in one pass, nothing lost: a column per listed name,
+    as `pivot_indicators`, and ``rest_as``, a map of the names outside the list
+    to their values (null: an unnamed value, under the key ``''``; an empty map
+    if there are none).
+
+    Values are reduced per key and name first, so a key's map holds its
+    distinct names however many rows it has."""
+    per_name = (df.groupBy(*keys, F.coalesce(F.col(name_col), F.lit("")).alias("__name"))
+                .agg(F.max(value_col).alias("__value")))
+    listed = F.col("__name").isin(list(names))
+    columns = [F.max(F.when(F.col("__name") == n, F.col("__value"))).alias(n) for n in names]
+    rest = F.map_from_entries(F.array_sort(F.collect_list(F.when(~listed, F.struct("__name", "__value")))))
+    return per_name.groupBy(*keys).agg(*columns, rest.alias(rest_as))
+
+
 def unknown_indicators(df: DataFrame, names: list[str], name_col: str = "indicator_name") -> DataFrame:
-    """Indicator names present in the data but not in the value list."""
-    return (df.select(name_col).distinct()
-            .filter(~F.col(name_col).isin(list(names))))
+    """PRJ-10: the indicator names (null included) that are not in the value
+    list, with the number of their rows."""
+    known = F.coalesce(F.col(name_col).isin(list(names)), F.lit(False))
+    return df.filter(~known).groupBy(name_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def rename_report(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """PRJ-10: (source_name, target_name, present): which renames of the map
+    apply to ``df`` and which are skipped because the column is absent."""
+    rows = [F.struct(F.lit(k).alias("source_name"), F.lit(v).alias("target_name"),
+                     F.lit(k in df.columns).alias("present")) for k, v in mapping.items()]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, list[str]]:
@@ -43,11 +70,9 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
 
 
 def attach_iso3(df: DataFrame, iso_dim: DataFrame, code_col: str = "country_id",
-                out_col: str = "countryISO3", max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                out_col: str = "countryISO3") -> DataFrame:
     """PRJ-5: alpha-2 -> alpha-3 by broadcast lookup; unknown -> null."""
-    out = lookup(df, iso_dim, F.col(code_col), "iso2", [F.col("iso3").alias(out_col)],
-                 max_rows=max_rows)
-    return out
+    return lookup(df, iso_dim, F.col(code_col), "iso2", [F.col("iso3").alias(out_col)])
 
 
 def per_capita(df: DataFrame, num: str = "gdp", den: str = "population",
@@ -57,10 +82,18 @@ def per_capita(df: DataFrame, num: str = "gdp", den: str = "population",
     return df.withColumn(out, F.round(F.try_divide(F.col(num), F.col(den)), digits))
 
 
-def indicators_wide(wdi_raw: DataFrame, iso_dim: DataFrame,
-                    mapping: dict[str, str] = INDICATOR_NAMES) -> DataFrame:
-    typed = cast_columns(cast_columns(wdi_raw, ["value"], "double"), ["year"], "int")
-    wide = pivot_indicators(typed, list(mapping))
+def indicators_typed(wdi_raw: DataFrame) -> DataFrame:
+    return cast_columns(cast_columns(wdi_raw, ["value"], "double"), ["year"], "int")
+
+
+def indicators_wide(wdi_raw: DataFrame, iso_dim: DataFrame, mapping: dict[str, str] = INDICATOR_NAMES,
+                    rest_as: str | None = None) -> DataFrame:
+    """Wide indicators with alpha-3 code and GDP per capita; ``rest_as`` adds the
+    map of indicators outside the mapping (without it `unknown_indicators`
+    reports them)."""
+    typed = indicators_typed(wdi_raw)
+    wide = (pivot_indicators(typed, list(mapping)) if rest_as is None
+            else pivot_with_rest(typed, list(mapping), rest_as=rest_as))
     wide, _ = rename_columns(wide, mapping)
     wide = attach_iso3(wide, iso_dim)
     return per_capita(wide)

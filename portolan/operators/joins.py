@@ -1,103 +1,94 @@
-"""Size-checked broadcast lookups and left joins.
-
-Broadcast policy
-----------------
-* A side is hinted ``broadcast`` only after a bounded check proves it has at
-  most ``max_rows`` rows (``offset(max_rows).isEmpty()``: an incremental
-  scan that stops after ``max_rows + 1`` rows).  Beyond the bound the
-  join is left to the planner: sort-merge / shuffled hash, with AQE free to
-  switch to a broadcast at runtime from real shuffle sizes, and to split
-  skewed partitions.
-* Dimensions (country -> currency, code tables) are checked once per plan;
-  the same check asserts that the lookup key is unique, so a left join can
-  never fan out and multiply rows.
+"""Left joins that cannot multiply rows, and broadcasts of a proven size.
+
+Nothing here runs a job while a plan is built.
+
+* Uniqueness of a lookup key is part of the plan (``unique_side``): the right
+  side is grouped by the key, and a key that occurs twice raises when the query
+  runs, at any size.
+* A side is hinted ``broadcast`` only if the files (or constant rows) that it is
+  read from hold at most ``BROADCAST_INPUT_BYTES`` together.  That is known from
+  the file listing and bounds the side: lookups and aggregates have no more rows
+  than their inputs.  Beyond it the join is left to the planner: sort-merge,
+  with AQE free to broadcast from measured sizes and to split skewed partitions.
+* ``join_accounting`` counts the rows behind every join of a chain in one pass.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from portolan.functions.columns import as_col
 
-# A dimension row is ~100 bytes; 200k rows stays far below the default
-# 8 GB broadcast limit and the executor-side hash-table budget.
-DIM_MAX_ROWS = 200_000
+# Compressed parquet of this size is at most some hundred MB as a hash table.
+BROADCAST_INPUT_BYTES = 16 << 20
 
 
-class DimensionError(ValueError):
-    pass
+class FanOutError(ValueError):
+    """A join changed the number of rows."""
 
 
-@dataclass(frozen=True)
-class SideCheck:
-    bounded: bool
-    unique: bool | None = None
-
-
-_CHECKS: dict[tuple, SideCheck] = {}
-
-
-def check_side(df: DataFrame, max_rows: int, key: str | list[str] | None = None,
-               memo: bool = True) -> SideCheck:
-    """Whether ``df`` has at most ``max_rows`` rows and, if ``key`` is
-    given, whether the key is unique (at any size).
-
-    The bound is ``df.offset(max_rows).isEmpty()``: Spark evaluates it with
-    an incremental ``CollectLimit`` (scan one partition, then more, stop
-    once ``max_rows + 1`` rows exist) and returns at most one row, so on a
-    large scan it reads only the first splits.  The uniqueness test is a
-    distributed aggregation.
-
-    Results are memoized per process by the plan's ``semanticHash`` (same
-    sources, same operators), so many plans over the same inputs check
-    once.  Pass ``memo=False`` for inputs that change while the session
-    lives.
-    """
-    memo_key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-                max_rows, str(key)) if memo else None
-    if memo_key is not None and memo_key in _CHECKS:
-        return _CHECKS[memo_key]
-    bounded = df.select(F.lit(1).alias("one")).offset(max_rows).isEmpty()
-    unique = None
-    if key is not None:
-        keys = [key] if isinstance(key, str) else list(key)
-        unique = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                  .filter(F.col("__n") > 1).isEmpty())
-    out = SideCheck(bounded=bounded, unique=unique)
-    if memo_key is not None:
-        _CHECKS[memo_key] = out
-    return out
-
-
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    return check_side(df, max_rows).bounded
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else
-    ``df`` unchanged (the planner / AQE choose the join)."""
-    return F.broadcast(df) if check_side(df, max_rows).bounded else df
-
-
-def lookup(df: DataFrame, dim: DataFrame, left_key, right_key: str,
-           take: list[str], *, how: str = "left", max_rows: int = DIM_MAX_ROWS,
-           require_unique: bool = True) -> DataFrame:
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of all files and constant rows that ``df`` is read from (no job).
+    Sources of unknown size count as too large for any bound."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_INPUT_BYTES) -> bool:
+    return not df.isStreaming and input_bytes(df) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_INPUT_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its inputs are within the bound, else ``df``."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
+
+
+def unique_side(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The rows of ``df`` whose keys are not null, one per key; when the query
+    runs, a key with several rows raises with ``name`` and the key.
+
+    The test rides on the key column itself, so no optimization can drop it
+    while the side is joined."""
+    keys = list(keys)
+    values = [c for c in df.columns if c not in keys]
+    held = F.any_value(F.struct(*[F.col(f"`{c}`") for c in values] or [F.lit(1).alias("__none")])).alias("__held")
+    known = df
+    for k in keys:
+        known = known.filter(F.col(f"`{k}`").isNotNull())
+    grouped = known.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("__n"), held)
+    shown = F.concat_ws(", ", *[F.col(f"`{k}`").cast("string") for k in keys])
+    first = df.schema[keys[0]].dataType
+    error = F.raise_error(F.concat(F.lit(f"{name}: key is not unique: "), shown)).cast(first)
+    checked = F.when(F.col("__n") == 1, F.col(f"`{keys[0]}`")).otherwise(error).alias(keys[0])
+    return grouped.select(checked, *[F.col(f"`{k}`") for k in keys[1:]],
+                          *[F.col("__held").getField(c).alias(c) for c in values])
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys (none null) that several rows share, with their number ``n``:
+    what ``unique_side`` would raise for, as a report."""
+    known = df
+    for k in keys:
+        known = known.filter(F.col(k).isNotNull())
+    return known.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def lookup(df: DataFrame, dim: DataFrame, left_key, right_key: str, take: list, *, how: str = "left",
+           max_bytes: int = BROADCAST_INPUT_BYTES, require_unique: bool = True) -> DataFrame:
     """Left-join ``dim`` on ``left_key == dim[right_key]`` and append the
-    ``take`` columns.  The dimension is broadcast only within its checked
-    bound; non-unique keys raise (a lookup must not fan out).  A null left
-    key never matches."""
+    ``take`` columns.  A repeated key of the dimension raises when the query
+    runs (a lookup must not fan out).  A null left key never matches."""
     side = dim.select(F.col(right_key).alias("__lk"), *take)
-    chk = check_side(side.filter(F.col("__lk").isNotNull()), max_rows,
-                     "__lk" if require_unique else None, memo=False)
-    if require_unique and not chk.unique:
-        raise DimensionError(f"lookup key {right_key!r} is not unique in the dimension")
-    if chk.bounded:
+    small = is_small(side, max_bytes)
+    if require_unique:
+        side = unique_side(side, ["__lk"], f"lookup by {right_key}")
+    if small:
         side = F.broadcast(side)
-    out = df.join(side, as_col(left_key) == F.col("__lk"), how)
-    return out.drop("__lk")
+    return df.join(side, as_col(left_key) == F.col("__lk"), how).drop("__lk")
 
 
 def null_safe_join(df: DataFrame, other: DataFrame, keys: list[str],
@@ -114,12 +105,76 @@ def null_safe_join(df: DataFrame, other: DataFrame, keys: list[str],
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def join_using(df: DataFrame, other: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """USING join (keys once, first in column order; null keys never match)."""
-    return df.join(other, on=keys, how=how)
-
-
 def key_collisions(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
+
+
+@dataclass(frozen=True)
+class Step:
+    """A left join of a chain: the right side's rows meet the left ones where
+    ``left`` equals ``right``, pairwise.  ``where`` says which rows the stage
+    keeps, for a filter behind the join."""
+
+    stage: str
+    other: DataFrame | None = None
+    left: Sequence[Column | str] = field(default_factory=tuple)
+    right: Sequence[str] = field(default_factory=tuple)
+    where: Column | None = None
+
+
+def join_accounting(rows: DataFrame, first_stage: str, steps: Sequence[Step]) -> DataFrame:
+    """DQ-11: (stage, row_count) of ``rows`` and behind every left join, in one
+    pass over ``rows`` and without joining any value.
+
+    A right side is reduced to its keys and their multiplicity; a left row is
+    worth the product of the multiplicities it met (1 where it met none).  A
+    fan-out shows as a stage with more rows than the one before it."""
+    out, aggregates = rows.withColumn("__worth", F.lit(1).cast("long")), [
+        F.count(F.lit(1)).alias(first_stage)]
+    for i, step in enumerate(steps):
+        worth = "__worth" if i == 0 else f"__worth{i - 1}"
+        times = F.lit(1)
+        if step.other is not None:
+            names = [f"__k{i}_{j}" for j in range(len(step.right))]
+            side = step.other.select(*[F.col(r).alias(n) for r, n in zip(step.right, names, strict=True)])
+            small = is_small(side)
+            side = side.dropna().groupBy(*names).agg(F.count(F.lit(1)).alias(f"__m{i}"))
+            on = [as_col(c) == F.col(n) for c, n in zip(step.left, names, strict=True)]
+            cond = on[0]
+            for c in on[1:]:
+                cond = cond & c
+            out = out.join(F.broadcast(side) if small else side, cond, "left").drop(*names)
+            times = F.coalesce(F.col(f"__m{i}"), F.lit(1))
+        out = out.withColumn(f"__worth{i}", F.col(worth) * times)
+        kept = F.col(f"__worth{i}") if step.where is None else F.when(step.where, F.col(f"__worth{i}"))
+        aggregates.append(F.coalesce(F.sum(kept), F.lit(0)).alias(step.stage))
+    stages = [first_stage, *[s.stage for s in steps]]
+    pairs = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("row_count")) for s in stages]
+    return out.agg(*aggregates).select(F.inline(F.array(*pairs)))
+
+
+class RowGuard:
+    """Row counts around a join, observed while the one run writes its result:
+    ``before`` and ``after`` mark the frames, ``check`` raises `FanOutError` if
+    the join changed the number of rows."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self._seen = {side: Observation(f"{name}-{side}") for side in ("before", "after")}
+
+    def _mark(self, df: DataFrame, side: str) -> DataFrame:
+        return df.observe(self._seen[side], F.count(F.lit(1)).alias("rows"))
+
+    def before(self, df: DataFrame) -> DataFrame:
+        return self._mark(df, "before")
+
+    def after(self, df: DataFrame) -> DataFrame:
+        return self._mark(df, "after")
+
+    def check(self) -> int:
+        before, after = (int(self._seen[side].get["rows"]) for side in ("before", "after"))
+        if before != after:
+            raise FanOutError(f"{self.name}: {before} rows before the joins, {after} behind them")
+        return after

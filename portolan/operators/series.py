@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from portolan.functions.columns import fixed_sum, log_scale, month_label, text_head
 from portolan.operators.filters import exclude, members
 
-# The dense-grid axis is embedded in the plan as a literal array; it is a
-# calendar axis (months), so a bound of 10k points is generous.
-MAX_AXIS_POINTS = 10_000
+# Axis points that one row of the dense grid's plan holds at a time, about.
+AXIS_SLICE = 1000
 
 
 def partner_fx_series(monthly_mart: DataFrame, partner: str, currency: str) -> DataFrame:
@@ -67,35 +66,45 @@ def month_totals(monthly_mart: DataFrame, world: str = "W00") -> DataFrame:
             .orderBy("date"))
 
 
-def axis_values(df: DataFrame, axis: str, max_points: int = MAX_AXIS_POINTS) -> list:
-    """AGG-14: sorted distinct axis values (nulls excluded), bounded."""
-    rows = (df.select(axis).filter(F.col(axis).isNotNull()).distinct()
-            .orderBy(axis).limit(max_points + 1).collect())
-    if len(rows) > max_points:
-        raise ValueError(f"axis {axis!r} has more than {max_points} points")
-    return [r[0] for r in rows]
+def axis_points(df: DataFrame, axis: str) -> DataFrame:
+    """AGG-14: the distinct axis values (nulls excluded), ordered."""
+    return df.select(axis).filter(F.col(axis).isNotNull()).distinct().orderBy(axis)
 
 
-def dense_grid(values: DataFrame, series: str, axis: str, value: str,
-               fill: float = 0.0, axis_points: list | None = None) -> DataFrame:
-    """SER-3: every series x every axis point, absent cells = ``fill``.
+def dense_grid(values: DataFrame, series: str, axis: str, value: str, fill: float = 0.0,
+               slice_points: int = AXIS_SLICE) -> DataFrame:
+    """SER-3: every series x every axis point that occurs, absent and null cells
+    = ``fill``; a cell that occurs more than once holds the sum.
 
-    One aggregation per series builds a map axis -> value (at most one
-    entry per axis point, so each group is bounded by the axis length, not
-    by the data); the axis is then walked with ``transform`` and exploded.
-    No join and no cross product of data rows.
+    The axis stays a table: its points are dealt to slices of about
+    ``slice_points``; each series meets each slice in one row, with the cells
+    it has there as a map, and is expanded to points last.  The joins carry a
+    row per series and slice instead of one per cell, and no list grows with
+    the axis.  All parts start from one exchange of the summed cells, so the
+    input is read once and nothing runs while the plan is built.
     """
-    pts = axis_points if axis_points is not None else axis_values(values, axis)
-    if not pts:  # no axis point: an empty grid with the usual schema
-        return values.select(series, axis, F.col(value).cast("double").alias(value)).filter(F.lit(False))
-    cells = values.filter(F.col(axis).isNotNull())
-    per = cells.groupBy(series).agg(
-        F.map_from_entries(F.collect_list(F.struct(axis, value))).alias("__m"))
-    arr = F.array(*[F.lit(p) for p in pts])
-    grid = F.transform(arr, lambda p: F.struct(
-        p.alias(axis),
-        F.coalesce(F.try_element_at(F.col("__m"), p), F.lit(fill)).cast("double").alias(value)))
-    return per.select(series, F.inline(grid))
+    cells = (values.filter(F.col(axis).isNotNull()).groupBy(F.col(series).alias("__s"), F.col(axis).alias("__a"))
+             .agg(F.sum(F.col(value).cast("double")).alias("__v")))
+    # every part asks for all three columns of the cells, or column pruning would
+    # give each part an exchange, and a read of the input, of its own
+    whole = F.max(F.struct("__v", "__s", "__a")).alias("__whole")
+    points = cells.groupBy("__a").agg(whole).filter(F.col("__whole").isNotNull())
+    slices = points.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(float(slice_points))), F.lit(1))
+                        .cast("int").alias("n")).scalar()
+    by_slice = (points.select("__a", F.pmod(F.xxhash64("__a"), slices).cast("int").alias("__slice"))
+                .groupBy("__slice").agg(F.collect_list("__a").alias("__points")))
+    # one task holds at most a slice of a series
+    held = (cells.select("__s", F.pmod(F.xxhash64("__a"), slices).cast("int").alias("__slice"),
+                         F.struct("__a", "__v").alias("__cell"))
+            .groupBy("__s", "__slice").agg(F.map_from_entries(F.collect_list("__cell")).alias("__map")))
+    rows = (cells.groupBy("__s").agg(whole).filter(F.col("__whole").isNotNull())
+            .select("__s", F.explode(F.sequence(F.lit(0), slices - 1)).alias("__slice")))
+    has = held.select(F.col("__s").alias("__h"), F.col("__slice").alias("__hs"), "__map")
+    grid = (rows.join(by_slice, "__slice")
+            .join(has, F.col("__s").eqNullSafe(F.col("__h")) & (F.col("__slice") == F.col("__hs")), "left"))
+    own = F.transform("__points", lambda p: F.struct(
+        p.alias(axis), F.coalesce(F.try_element_at(F.col("__map"), p), F.lit(float(fill))).alias(value)))
+    return grid.select(F.col("__s").alias(series), F.inline(own))
 
 
 def partner_totals(monthly_mart: DataFrame, year: int, world: str = "W00") -> DataFrame:

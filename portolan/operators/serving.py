@@ -129,6 +129,15 @@ RATE_CELLS = [
 ]
 
 
+def colliding_rows(rows: DataFrame, key: str = "row_key", n_as: str = "n") -> DataFrame:
+    """The rows whose key occurs more than once, with the number of rows that
+    share it.  The keys are counted with partial aggregation and few remain, so
+    a hot key is no window of its own."""
+    several = (rows.groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias(n_as))
+               .filter(F.col(n_as) > 1))
+    return rows.join(several, F.col(key).eqNullSafe(F.col("__k"))).drop("__k")
+
+
 # -- writers and readers ------------------------------------------------------
 
 def peek(rows: DataFrame, k: int = 5) -> DataFrame:

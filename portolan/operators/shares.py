@@ -1,21 +1,23 @@
 """Totals per key attached to each row, and shares of those totals
 (WIN-1..4).
 
-Two strategies give identical results:
+Three strategies give the same results:
 
-``"join"`` (default)
-    ``groupBy(keys)`` with partial aggregation, then a null-safe equi-join
-    of the (small) totals back to the rows.  Map-side combine means the
-    aggregation shuffle carries one row per key per task.  The totals are
-    written once under the shared checkpoint folder; their row count,
-    observed during that write, proves whether they fit the broadcast bound.
-    Within it the rows are joined map-side and never shuffled; beyond it the
-    join is a sort-merge join whose skewed partitions AQE splits.  Either
-    way a hot key holding a third of all rows is spread over many tasks.
+``"salted"`` (default)
+    The rows are exchanged once by (keys, salt): a hot group spreads over
+    ``salts`` partitions.  Each partition sums its part of a group, the parts
+    (one row per key and salt) are summed per key, and the total goes back to
+    the rows where they are.  The input is read once -- both sides start from
+    the same exchange -- and nothing runs while the plan is built.
+``"join"``
+    ``groupBy(keys)`` with partial aggregation, the totals written under the
+    shared checkpoint folder and joined back: the input is read twice, the
+    first time only its keys and value, and within the broadcast bound the rows
+    are not exchanged at all.  For inputs that are cheap to read again, such as
+    the batch job's written features.
 ``"window"``
-    ``sum().over(Window.partitionBy(keys))``: one shuffle of all rows and
-    one task per key group -- a hot group lands in a single task.  Kept for
-    small inputs and for comparison.
+    ``sum().over(Window.partitionBy(keys))``: one task per key group.  For
+    groups that are bounded, as those of the yearly rollup.
 """
 
 from __future__ import annotations
@@ -23,55 +25,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from portolan.functions.columns import fixed_sum, guarded_ratio
-from portolan.operators.joins import is_bounded, null_safe_join
+from portolan.functions.columns import fixed_sum, guarded_ratio, partial_sum
+from portolan.operators.joins import null_safe_join
 from portolan.sources.lake import materialize_counted
 
 
 # Totals above this many keys are not broadcast (hash table of ~100 MB).
 TOTALS_BROADCAST_MAX_ROWS = 2_000_000
+# Partitions that a group of rows spreads over at most.
+SALTS = 16
+
+
+def _salted_total(df: DataFrame, value: str, keys: list[str], total_as: str, scale: int | None,
+                  salts: int) -> DataFrame:
+    every = [F.col(f"`{c}`") for c in df.columns]
+    # copies of one row spread too, as far as they come from several partitions
+    salt = F.pmod(F.xxhash64(*every, F.spark_partition_id()), F.lit(salts))
+    # a struct of the keys is never null, and equal to another with the same nulls
+    rows = (df.select(*every, F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__key"), salt.alias("__salt"))
+            .repartition("__key", "__salt"))
+    sum_parts, finish = partial_sum(value, scale)
+    # the hash asks for every column, or pruning would give the sums an exchange
+    # (and a read of the input) of their own
+    parts = (rows.groupBy("__key", "__salt")
+             .agg(sum_parts.alias("__part"), F.max(F.xxhash64(*every)).alias("__every"))
+             .filter(F.col("__every").isNotNull()))
+    totals = parts.select(F.col("__key").alias("__k"), F.col("__salt").alias("__s"),
+                          finish(F.sum("__part").over(Window.partitionBy("__key"))).alias(total_as))
+    on = (F.col("__key") == F.col("__k")) & (F.col("__salt") == F.col("__s"))
+    # the hash side is the parts of one partition: a row per key and salt
+    return rows.join(totals.hint("shuffle_hash"), on, "left").drop("__key", "__salt", "__k", "__s")
 
 
 def attach_total(df: DataFrame, value: str, keys: list[str], total_as: str,
-                 strategy: str = "join", scale: int | None = None,
-                 broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
-                 materialize: bool = True) -> DataFrame:
+                 strategy: str = "salted", scale: int | None = None,
+                 broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS, salts: int = SALTS) -> DataFrame:
     """Append ``total_as`` = sum of ``value`` over rows sharing ``keys``.
 
     ``scale`` selects exact fixed-point summation (see ``fixed_sum``);
     ``None`` sums doubles.
 
-    Join strategy: with ``materialize`` the (small) totals are computed once
-    and written under the shared checkpoint folder (its row count observed
-    during the write proves the bound) and the join reuses it; within
-    ``broadcast_max_rows`` they are broadcast and the rows are never
-    shuffled.  Beyond it (or with ``broadcast_max_rows=None``) the join is a
-    sort-merge join whose skewed partitions AQE splits.
+    With ``strategy="join"`` the totals are written (their row count observed
+    during the write) and broadcast within ``broadcast_max_rows``; beyond it, or
+    with None, the join is a sort-merge join whose skewed partitions AQE splits.
     """
     if strategy == "window":
-        w = Window.partitionBy(*keys)
-        tot = fixed_sum(value, scale, over=w)
-        return df.withColumn(total_as, tot)
-    agg = fixed_sum(value, scale)
+        return df.withColumn(total_as, fixed_sum(value, scale, over=Window.partitionBy(*keys)))
+    if strategy == "salted":
+        return _salted_total(df, value, keys, total_as, scale, salts)
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
-    totals = df.groupBy(*keys).agg(agg.alias(total_as))
-    if materialize and not df.isStreaming:
-        totals, rows = materialize_counted(totals, "totals")
-        if broadcast_max_rows is not None and rows <= broadcast_max_rows:
-            totals = F.broadcast(totals)
-    elif broadcast_max_rows is not None and is_bounded(totals, broadcast_max_rows):
-        # without materialization the check computes the totals once more
+    totals, rows = materialize_counted(df.groupBy(*keys).agg(fixed_sum(value, scale).alias(total_as)), "totals")
+    if broadcast_max_rows is not None and rows <= broadcast_max_rows:
         totals = F.broadcast(totals)
     return null_safe_join(df, totals, keys, "left")
 
 
 def share_of_total(df: DataFrame, value: str, keys: list[str], total_as: str,
-                   share_as: str, strategy: str = "join", scale: int | None = None,
-                   broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS,
-                   materialize: bool = True) -> DataFrame:
+                   share_as: str, strategy: str = "salted", scale: int | None = None,
+                   broadcast_max_rows: int | None = TOTALS_BROADCAST_MAX_ROWS, salts: int = SALTS) -> DataFrame:
     """Total per key plus guarded share ``value / total`` (0 when the total
     is not positive, null when the value is null)."""
-    out = attach_total(df, value, keys, total_as, strategy, scale, broadcast_max_rows,
-                       materialize)
+    out = attach_total(df, value, keys, total_as, strategy, scale, broadcast_max_rows, salts)
     return out.withColumn(share_as, guarded_ratio(value, total_as))

@@ -2,7 +2,8 @@
 
 Means are plain row means (unweighted, as defined by the domain) and totals
 plain sums; within `exact_digits` totals are exact and means rounded.  The trailing sort is descending on the measure
-with the group keys as tie-break, so the order is total.
+with the group keys as tie-break, so the order is total; ``ordered=False`` leaves it out, for consumers that key the
+rows anyway (a serving table needs no global sort).
 """
 
 from __future__ import annotations
@@ -27,7 +28,11 @@ def _mean(c: str, digits: int):
     return _rounded(F.avg(c), digits)
 
 
-def trade_time_view(monthly: DataFrame, weighted: bool = False) -> DataFrame:
+def _sorted(df: DataFrame, ordered: bool, *order) -> DataFrame:
+    return df.orderBy(*order) if ordered else df
+
+
+def trade_time_view(monthly: DataFrame, weighted: bool = False, ordered: bool = True) -> DataFrame:
     """Totals by (year, month) over all monthly trade rows.
 
     The domain's ``avg_unit_price`` is the unweighted mean of row unit
@@ -41,39 +46,39 @@ def trade_time_view(monthly: DataFrame, weighted: bool = False) -> DataFrame:
         *([] if weighted else [_mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price")]))
     if weighted:
         out = out.withColumn("avg_unit_price", _rounded(price, PRICE_DIGITS))
-    return out.orderBy(F.desc("total_value_usd"), "year", "month")
+    return _sorted(out, ordered, F.desc("total_value_usd"), "year", "month")
 
 
-def commodity_ranking_view(yearly: DataFrame) -> DataFrame:
+def commodity_ranking_view(yearly: DataFrame, ordered: bool = True) -> DataFrame:
     """Totals by (short commodity name, hs_code) over yearly rows; the mean
     unit price averages the yearly unit values."""
-    return (yearly.withColumn("commodity_short", text_head("commodity_desc"))
-            .groupBy("commodity_short", "hs_code").agg(
-                fixed_sum("annual_value_usd").alias("total_value_usd"),
-                fixed_sum("quantity").alias("total_quantity"),
-                _mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price"))
-            .orderBy(F.desc("total_value_usd"), "commodity_short", "hs_code"))
+    out = (yearly.withColumn("commodity_short", text_head("commodity_desc"))
+           .groupBy("commodity_short", "hs_code").agg(
+               fixed_sum("annual_value_usd").alias("total_value_usd"),
+               fixed_sum("quantity").alias("total_quantity"),
+               _mean("unit_value_usd", PRICE_DIGITS).alias("avg_unit_price")))
+    return _sorted(out, ordered, F.desc("total_value_usd"), "commodity_short", "hs_code")
 
 
-def partner_share_view(yearly: DataFrame, world: str = "W00") -> DataFrame:
+def partner_share_view(yearly: DataFrame, world: str = "W00", ordered: bool = True) -> DataFrame:
     """Per (partner, year): value and mean share across commodities,
     world aggregate excluded (``!=`` also drops null partners)."""
-    return (exclude(yearly, "partnerISO", world)
-            .groupBy("partnerISO", "year").agg(
-                fixed_sum("annual_value_usd").alias("partner_value_usd"),
-                _mean("share_of_year_market", SHARE_DIGITS).alias("avg_market_share"))
-            .orderBy(F.desc("avg_market_share"), "partnerISO", "year"))
+    out = (exclude(yearly, "partnerISO", world)
+           .groupBy("partnerISO", "year").agg(
+               fixed_sum("annual_value_usd").alias("partner_value_usd"),
+               _mean("share_of_year_market", SHARE_DIGITS).alias("avg_market_share")))
+    return _sorted(out, ordered, F.desc("avg_market_share"), "partnerISO", "year")
 
 
-def economic_structure_view(yearly_mart: DataFrame) -> DataFrame:
+def economic_structure_view(yearly_mart: DataFrame, ordered: bool = True) -> DataFrame:
     """Per partner: mean industry / services / trade share of GDP over the
     mart rows, and the traded value."""
-    return (yearly_mart.groupBy("partnerISO").agg(
+    out = yearly_mart.groupBy("partnerISO").agg(
         _mean("industry_in_gdp", PERCENT_DIGITS).alias("industry_share"),
         _mean("services_in_gdp", PERCENT_DIGITS).alias("services_share"),
         _mean("trade_in_gdp", PERCENT_DIGITS).alias("trade_share"),
         fixed_sum("annual_value_usd").alias("trade_value"))
-        .orderBy(F.desc("trade_value"), "partnerISO"))
+    return _sorted(out, ordered, F.desc("trade_value"), "partnerISO")
 
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:

@@ -19,11 +19,12 @@ from portolan.operators import quality as dq
 from portolan.operators import serving as srv
 from portolan.operators import series as ser
 from portolan.operators import views as vw
-from portolan.operators.joins import key_collisions
+from portolan.operators.joins import Step, join_accounting, key_collisions, repeated_keys
 from portolan.plans import marts
 from portolan.plans.context import Domain
 from portolan.plans.params import (
     AUDIT_ENTITY,
+    LISTED_INDICATORS,
     PEEK_K,
     QUERY_YEARS,
     SERIES_COUNTRIES,
@@ -32,7 +33,7 @@ from portolan.plans.params import (
     SERIES_YEAR,
     TOP_K,
 )
-from portolan.sources.lake import materialize
+from portolan.schemas import INDICATOR_NAMES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -45,6 +46,7 @@ def query(name: str):
                 return fn(Domain(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
+        run.plan = fn
         QUERIES[name] = run
         return fn
     return deco
@@ -82,15 +84,14 @@ def trade_fill(d: Domain) -> DataFrame:
 
 @query("trade_summary")
 def trade_summary(d: Domain) -> DataFrame:
-    """DQ-4: summary statistics of quantity and weight (approximate
-    quantiles, so no oracle)."""
-    return dq.numeric_summary(trade_fill(d), ["quantity", "weight"])
+    """DQ-4: count, mean, deviation, bounds and exact quantiles of quantity,
+    weight and value (mean and deviation rounded for the comparison)."""
+    return dq.numeric_summary(trade_fill(d), ["quantity", "weight", "primary_value_usd"], scale=2, digits=4)
 
 
 @query("trade_stats")
 def trade_stats(d: Domain) -> DataFrame:
-    """DQ-4, exact part: count, exact mean, min and max of the filled
-    measures (the quantiles stay in ``trade_summary``)."""
+    """DQ-4, one pass: count, exact mean, min and max of the filled measures."""
     return dq.numeric_stats(trade_fill(d), ["quantity", "weight", "primary_value_usd"])
 
 
@@ -133,32 +134,53 @@ def entity_audit(d: Domain) -> DataFrame:
 
 @query("join_row_counts")
 def join_row_counts(d: Domain) -> DataFrame:
-    """DQ-11: row count after each stage / join of both marts.  The monthly
-    features are written once (lineage cut) and every stage is built on that
-    table, so the report costs one pass over the source plus eight cheap
-    ones instead of eight full derivations."""
-    d.features = materialize(feat.trade_features(d.trade_raw, d.iso_dim), "features", ["year"])
-    m = marts.trade_monthly(d)
-    mc = marts.with_currency(m, d)
-    mr = mc.join(fxo.fx_monthly(d.fx_raw), ["currency", "year", "month"], "left")
-    y = marts.trade_yearly(d)
-    yc = marts.with_currency(y, d)
-    return dq.stage_counts({
-        "trade_monthly": m, "monthly_with_currency": mc, "monthly_with_rates": mr,
-        "monthly_mart": marts.monthly_mart(d, QUERY_YEARS), "trade_yearly": y,
-        "yearly_with_currency": yc, "yearly_with_rates": marts.yearly_rates(d, QUERY_YEARS),
-        "yearly_mart": marts.yearly_mart(d, QUERY_YEARS),
-    })
+    """DQ-11: row count after each stage / join of both marts: one pass over the
+    monthly features, one over the yearly rollup; no value is joined."""
+    in_years = F.col("year").between(*QUERY_YEARS)
+    currency = [Step("monthly_with_currency", d.currency_dim, ("partnerISO",), ("country_iso3",))]
+    # the account needs the currency behind the first join to follow the second
+    monthly = join_accounting(
+        marts.with_currency(marts.monthly_features(d), d), "trade_monthly",
+        [*currency,
+         Step("monthly_with_rates", fxo.fx_monthly(d.fx_raw), ("currency", "year", "month"), ("currency", "year", "month")),
+         Step("monthly_mart", where=in_years)])
+    indicators = marts.indicators(d)
+    yearly = join_accounting(
+        marts.with_currency(marts.trade_yearly(d), d), "trade_yearly",
+        [Step("yearly_with_currency", d.currency_dim, ("partnerISO",), ("country_iso3",)),
+         Step("yearly_with_rates", fxo.fx_yearly(d.fx_raw), ("currency", "year"), ("currency", "year"), in_years),
+         Step("yearly_mart", indicators, ("partnerISO", "year"), ("countryISO3", "year"), in_years)])
+    return monthly.unionByName(yearly)
 
 
 @query("profile")
 def profile(d: Domain) -> DataFrame:
-    """SRC-7 / AGG-13: row and column counts of the three inputs."""
+    """SRC-7 / AGG-13: counts, schema, null shares and sample rows of the inputs."""
     return (dq.profile(d.trade_raw, "trade_raw")
             .unionByName(dq.profile(d.fx_raw, "fx_raw"))
             .unionByName(dq.profile(d.wdi_raw, "wdi_raw")))
 
 
+@query("trade_bad_periods")
+def trade_bad_periods(d: Domain) -> DataFrame:
+    """DQ-8: trade rows whose period is no month (annual rows, bad text)."""
+    return fxo.unparsable_dates(d.trade_raw.select("data_period", "hs_code", "partner_code"), "data_period", "yyyyMM")
+
+
+@query("fx_loose_bounds")
+def fx_loose_bounds(d: Domain) -> DataFrame:
+    """DQ-7 with a margin: currency months whose mean comes within 1.5 of the
+    least or greatest rate (a negative tolerance asks for that distance)."""
+    return fxo.bounds_violations(fxo.fx_monthly(d.fx_raw), tol=-1.5)
+
+
+@query("fx_repeated_days")
+def fx_repeated_days(d: Domain) -> DataFrame:
+    """DQ-11: (currency, date) pairs with several rates, which a join by day
+    would multiply."""
+    return repeated_keys(d.fx_raw, ["currency", "date"])
+
+
 # -- features, shares, rollups -----------------------------------------------
 @query("trade_month_share")
 def trade_month_share(d: Domain) -> DataFrame:
@@ -192,6 +214,28 @@ def indicators_wide(d: Domain) -> DataFrame:
     return marts.indicators(d)
 
 
+@query("indicators_unknown")
+def indicators_unknown(d: Domain) -> DataFrame:
+    """PRJ-10: indicator names outside a list of two, with their rows."""
+    return ind.unknown_indicators(d.wdi_raw, list(LISTED_INDICATORS))
+
+
+@query("indicators_with_rest")
+def indicators_with_rest(d: Domain) -> DataFrame:
+    """AGG-4: two listed indicators as columns, all others as (name, value) rows
+    from the map that the same pass gives."""
+    wide = ind.pivot_with_rest(ind.indicators_typed(d.wdi_raw), list(LISTED_INDICATORS))
+    renamed, _ = ind.rename_columns(wide, INDICATOR_NAMES)
+    return renamed.select("country_id", "country_name", "year", "population", "gdp",
+                          F.explode_outer("other_indicators").alias("other_name", "other_value"))
+
+
+@query("indicator_renames")
+def indicator_renames(d: Domain) -> DataFrame:
+    """PRJ-10: which renames apply to the raw pivot of the names that occur."""
+    return ind.rename_report(ind.pivot_indicators(ind.indicators_typed(d.wdi_raw), list(LISTED_INDICATORS)), INDICATOR_NAMES)
+
+
 @query("indicator_growth")
 def indicator_growth(d: Domain) -> DataFrame:
     """WIN-5: previous-year GDP and growth % per country."""
@@ -252,7 +296,8 @@ def view_commodity_top10(d: Domain) -> DataFrame:
 
 
 def _tt_cells(d: Domain) -> DataFrame:
-    return srv.to_cells(view_trade_time(d), srv.trade_time_key(), "stats", srv.TRADE_TIME_CELLS)
+    view = vw.trade_time_view(marts.monthly_features(d), ordered=False)
+    return srv.to_cells(view, srv.trade_time_key(), "stats", srv.TRADE_TIME_CELLS)
 
 
 @query("serving_trade_time")
@@ -264,27 +309,39 @@ def serving_trade_time(d: Domain) -> DataFrame:
 @query("serving_commodity_ranking")
 def serving_commodity_ranking(d: Domain) -> DataFrame:
     """SNK-4: commodity_ranking cells."""
-    return srv.to_cells(view_commodity_ranking(d), srv.commodity_key(), "info", srv.COMMODITY_CELLS)
+    view = vw.commodity_ranking_view(marts.trade_yearly(d), ordered=False)
+    return srv.to_cells(view, srv.commodity_key(), "info", srv.COMMODITY_CELLS)
 
 
 @query("serving_partner_share")
 def serving_partner_share(d: Domain) -> DataFrame:
     """SNK-5: partner_market_share cells."""
-    return srv.to_cells(view_partner_share(d), srv.partner_year_key(), "info", srv.PARTNER_CELLS)
+    view = vw.partner_share_view(marts.trade_yearly(d), ordered=False)
+    return srv.to_cells(view, srv.partner_year_key(), "info", srv.PARTNER_CELLS)
 
 
 @query("serving_economic_structure")
 def serving_economic_structure(d: Domain) -> DataFrame:
     """SNK-6: economic_structure cells."""
-    return srv.to_cells(view_economic_structure(d), srv.partner_key(), "info", srv.ECONOMIC_CELLS)
+    view = vw.economic_structure_view(marts.yearly_mart(d, QUERY_YEARS), ordered=False)
+    return srv.to_cells(view, srv.partner_key(), "info", srv.ECONOMIC_CELLS)
 
 
 @query("serving_commodity_collisions")
 def serving_commodity_collisions(d: Domain) -> DataFrame:
     """D10: commodity_ranking row keys produced by more than one view row
     (reported instead of silently overwritten)."""
-    keys = view_commodity_ranking(d).select(srv.commodity_key().alias("row_key"))
-    return key_collisions(keys, "row_key")
+    view = vw.commodity_ranking_view(marts.trade_yearly(d), ordered=False)
+    return key_collisions(view.select(srv.commodity_key().alias("row_key")), "row_key")
+
+
+@query("serving_commodity_collisions_short")
+def serving_commodity_collisions_short(d: Domain) -> DataFrame:
+    """D10: the view rows behind colliding keys when names are cut to one
+    letter: each row with its key and the number of rows that share it."""
+    view = vw.commodity_ranking_view(marts.trade_yearly(d), ordered=False)
+    keyed = view.select(srv.commodity_key(width=1).alias("row_key"), "commodity_short", "hs_code", "total_value_usd")
+    return srv.colliding_rows(keyed)
 
 
 @query("trade_yearly_excl_world")
@@ -336,11 +393,13 @@ def series_country_year(d: Domain) -> DataFrame:
 @query("series_commodity_dense")
 def series_commodity_dense(d: Domain) -> DataFrame:
     """SER-3 / AGG-9/14 / PRJ-14: dense commodity x month grid."""
-    # The aggregated values (commodities x months, small) feed both the axis
-    # and the grid: write them once under the shared checkpoint folder so the
-    # source plan runs once and the grid's lineage starts from those files.
-    vals = materialize(ser.commodity_month_values(_mart_trade_rows(d)), "commodity_month")
-    return ser.dense_grid(vals, "commodity", "date", "value")
+    return ser.dense_grid(ser.commodity_month_values(_mart_trade_rows(d)), "commodity", "date", "value")
+
+
+@query("series_axis")
+def series_axis(d: Domain) -> DataFrame:
+    """AGG-14: the ordered dates of the grid."""
+    return ser.axis_points(ser.commodity_month_values(_mart_trade_rows(d)), "date")
 
 
 @query("series_month_total")

@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from portolan.sources import adapter
 from portolan.sources.tables import Tables
 
-# Domain tables are pure functions of read-only inputs; their (lazy) plans
-# are shared by all queries of a session over the same folder.
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
-
 # Year range of the marts (FLT-1); the registered queries pass their own
 # (``params.QUERY_YEARS``).
 MART_YEARS = (2004, 2023)
@@ -28,14 +24,13 @@ class Domain:
         # Set by the batch job to a materialized (written) features table,
         # partitioned by year; the marts then read it instead of recomputing.
         self.features: DataFrame | None = None
+        self._plans: dict[str, DataFrame] = {}
 
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Plan ``name`` for this folder, built once per session."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        df = _PLANS.get(key)
-        if df is None or df.sparkSession is not self.spark:
-            df = _PLANS[key] = build()
-        return df
+        """Plan ``name``, built once per domain; a new domain lists its files anew."""
+        if name not in self._plans:
+            self._plans[name] = build()
+        return self._plans[name]
 
     @property
     def trade_raw(self) -> DataFrame:

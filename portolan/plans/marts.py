@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from portolan.operators.features import trade_features
 from portolan.operators.fx import fx_monthly, fx_yearly
 from portolan.operators.indicators import indicators_wide
-from portolan.operators.joins import DIM_MAX_ROWS, lookup
+from portolan.operators.filters import period_range
+from portolan.operators.joins import is_small, lookup, repeated_keys, unique_side
 from portolan.operators.rollup import yearly_trade
 from portolan.operators.shares import share_of_total
 from portolan.plans.context import MART_YEARS, Domain
@@ -39,9 +40,12 @@ def year_range(df: DataFrame, years: tuple[int, int] | None) -> DataFrame:
 
 
 def monthly_features(d: Domain, years: tuple[int, int] | None = None) -> DataFrame:
+    """Typed, conformed trade rows of the years; the range reaches the scan as a
+    range of the period text."""
     base = d.features
     if base is None:
-        base = d.shared("features", lambda: trade_features(d.trade_raw, d.iso_dim))
+        raw = d.trade_raw if years is None else period_range(d.trade_raw, *years)
+        base = trade_features(raw, d.iso_dim)
     return year_range(base, years)
 
 
@@ -54,7 +58,7 @@ def without_partners(df: DataFrame, partners: tuple[str, ...] = ()) -> DataFrame
 
 
 def trade_monthly(d: Domain, years: tuple[int, int] | None = None,
-                  strategy: str = "join", exclude_partners: tuple[str, ...] = ()) -> DataFrame:
+                  strategy: str = "salted", exclude_partners: tuple[str, ...] = ()) -> DataFrame:
     """Monthly features + world total per (data_period, hs_code) + share."""
     return share_of_total(without_partners(monthly_features(d, years), exclude_partners),
                           "primary_value_usd",
@@ -70,12 +74,11 @@ def trade_yearly(d: Domain, years: tuple[int, int] | None = None,
 
 def with_currency(df: DataFrame, d: Domain) -> DataFrame:
     """J-1 / J-3: partner alpha-3 -> currency (checked broadcast lookup)."""
-    return lookup(df, d.currency_dim, F.col("partnerISO"), "country_iso3", ["currency"],
-                  max_rows=DIM_MAX_ROWS)
+    return lookup(df, d.currency_dim, F.col("partnerISO"), "country_iso3", ["currency"])
 
 
 def monthly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS,
-                 with_shares: bool = True) -> DataFrame:
+                 with_shares: bool = True, strategy: str = "salted") -> DataFrame:
     """J-1, J-2, FLT-1: monthly trade + currency + monthly FX statistics.
 
     ``with_shares=False`` skips the month-share columns for consumers that
@@ -84,7 +87,7 @@ def monthly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS,
     consumers that read only trade columns may use ``monthly_features``
     with the same year range instead: the rows are identical.
     """
-    base = trade_monthly(d, years) if with_shares else monthly_features(d, years)
+    base = trade_monthly(d, years, strategy) if with_shares else monthly_features(d, years)
     m = with_currency(base, d)
     fx = year_range(fx_monthly(d.fx_raw), years)
     return m.join(fx, on=["currency", "year", "month"], how="left")
@@ -108,8 +111,20 @@ def indicators(d: Domain) -> DataFrame:
 
 def yearly_mart(d: Domain, years: tuple[int, int] | None = MART_YEARS) -> DataFrame:
     """J-5: yearly rates ⟕ indicators on (partnerISO = countryISO3, year);
-    the indicator side's year is dropped."""
+    the indicator side's year is dropped.
+
+    The wide indicators have one row per (code, name, year); a country under two
+    names would multiply trade rows, so the side's key is checked when the query
+    runs (`indicator_repeats` reports such countries)."""
     y = yearly_rates(d, years)
     ind = year_range(indicators(d), years).withColumnRenamed("year", "__iyear")
+    small = is_small(ind)
+    ind = unique_side(ind, ["countryISO3", "__iyear"], "indicators by country and year")
     cond = (F.col("partnerISO") == F.col("countryISO3")) & (F.col("year") == F.col("__iyear"))
-    return y.join(ind, cond, "left").drop("__iyear")
+    return y.join(F.broadcast(ind) if small else ind, cond, "left").drop("__iyear")
+
+
+def indicator_repeats(d: Domain) -> DataFrame:
+    """J-5: (country, year) pairs with several indicator rows, such as a country
+    under two names."""
+    return repeated_keys(indicators(d), ["countryISO3", "year"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from portolan.plans.oracle import fmean, fsum, fsum_over, ratio, register, round_half_up
 from portolan.plans.params import (
     AUDIT_ENTITY,
+    LISTED_INDICATORS,
     PEEK_K,
     SERIES_COUNTRIES,
     SERIES_CURRENCY,
@@ -12,6 +13,7 @@ from portolan.plans.params import (
     SERIES_YEAR,
     TOP_K,
 )
+from portolan.schemas import INDICATOR_NAMES
 
 # -- data quality ------------------------------------------------------------
 register("trade_features", "select * from trade_features")
@@ -46,6 +48,20 @@ register("trade_stats", "\nunion all\n".join(_stats(c) for c in ("quantity", "we
          primary_value_usd
   from trade_cast)""")
 
+def _summary(col: str) -> str:
+    quantiles = ", ".join(f"quantile_disc({col}, {p}) as q{int(100 * p)}" for p in (0.25, 0.5, 0.75))
+    return (f"select '{col}' as column_name, count({col}) as n, {round_half_up(fmean(col, 2), 4)} as mean, "
+            f"{round_half_up(f'stddev_samp({col})', 4)} as stddev, min({col}) as min, {quantiles}, "
+            f"max({col}) as max from filled")
+
+
+register("trade_summary", "\nunion all\n".join(_summary(c) for c in ("quantity", "weight", "primary_value_usd")),
+         """filled as (
+  select case when quantity is null or isnan(quantity) then 0.0 else quantity end as quantity,
+         case when weight is null or isnan(weight) then 0.0 else weight end as weight,
+         primary_value_usd
+  from trade_cast)""")
+
 register("distinct_periods", """
 select distinct data_period, year, month, quarter, quarter_label from trade_features""")
 
@@ -89,14 +105,61 @@ union all select 'yearly_with_currency', count(*) from yearly_currency
 union all select 'yearly_with_rates', count(*) from yearly_rates
 union all select 'yearly_mart', count(*) from yearly_mart""")
 
-register("profile", """
-select 'trade_raw' as table_name, count(*) as n_rows, 7 as n_columns,
-       'data_period,hs_code,commodity_desc,partner_code,quantity,weight,primary_value_usd' as first_columns
-from trade_raw
-union all
-select 'fx_raw', count(*), 3, 'currency,date,rate' from fx_raw
-union all
-select 'wdi_raw', count(*), 5, 'country_id,country_name,year,indicator_name,value' from wdi_raw""")
+_TYPES = {"trade_raw": {"data_period": "string", "hs_code": "string", "commodity_desc": "string",
+                        "partner_code": "string", "quantity": "double", "weight": "double",
+                        "primary_value_usd": "double"},
+          "fx_raw": {"currency": "string", "date": "string", "rate": "double"},
+          "wdi_raw": {c: "string" for c in ("country_id", "country_name", "year", "indicator_name", "value")}}
+
+
+def _profile(table: str) -> str:
+    kinds = _TYPES[table]
+    text = ", ".join(f"coalesce(cast(try_cast({c} as decimal(38,6)) as varchar), '\\N')" if k == "double"
+                     else f"coalesce({c}, '\\N')" for c, k in kinds.items())
+    parts = [f"select 'rows' as section, 'all' as item, cast(count(*) as varchar) as value from {table}",
+             f"select 'columns', 'all', '{len(kinds)}'", f"select 'first_columns', 'all', '{','.join(kinds)}'"]
+    parts += [f"select 'schema', '{c}', '{k}'" for c, k in kinds.items()]
+    for c, k in kinds.items():
+        test = f"isnan({c})" if k == "double" else f"trim({c}) = ''"
+        parts.append(f"select 'null_share', '{c}', cast(cast(round(count(case when {c} is null or {test} then 1 end) "
+                     f"/ count(*), 6) as decimal(38,6)) as varchar) from {table}")
+    parts.append(f"select 'sample', cast(row_number() over (order by md5(t), t) as varchar), t from "
+                 f"(select concat_ws(chr(31), {text}) as t from {table} order by md5(t), t limit 5)")
+    return f"select '{table}' as table_name, section, item, value from (" + "\nunion all\n".join(parts) + ")"
+
+
+register("profile", "\nunion all\n".join(_profile(t) for t in _TYPES))
+
+register("trade_bad_periods", """
+select data_period, hs_code, partner_code from trade_raw where try_strptime(data_period, '%Y%m') is null""")
+
+register("fx_loose_bounds", """
+select * from fx_monthly where avg_rate < min_rate + 1.5 or avg_rate > max_rate - 1.5""")
+
+register("fx_repeated_days", """
+select currency, date, count(*) as n from fx_raw where currency is not null and date is not null
+group by currency, date having count(*) > 1""")
+
+register("indicators_unknown", f"""
+select indicator_name, count(*) as n_rows from wdi_raw
+where indicator_name is null or indicator_name not in {LISTED_INDICATORS!r} group by indicator_name""")
+
+register("indicators_with_rest", f"""
+select k.country_id, k.country_name, k.year, population, gdp, other_name, other_value
+from (select country_id, country_name, year,
+             max(case when indicator_name = 'Population, total' then value end) as population,
+             max(case when indicator_name = 'GDP (current US$)' then value end) as gdp
+      from wdi_typed group by country_id, country_name, year) k
+left join (select country_id, country_name, year, indicator_name as other_name, max(value) as other_value
+           from wdi_typed where indicator_name not in {LISTED_INDICATORS!r}
+           group by country_id, country_name, year, indicator_name) o
+  on k.country_id is not distinct from o.country_id and k.country_name is not distinct from o.country_name
+     and k.year is not distinct from o.year""")
+
+register("indicator_renames", "\nunion all\n".join(
+    f"select '{k}' as source_name, '{v}' as target_name, "
+    f"exists (select 1 from wdi_raw where indicator_name = '{k}') and '{k}' in {LISTED_INDICATORS!r} as present"
+    for k, v in INDICATOR_NAMES.items()))
 
 # -- features, shares, rollups -----------------------------------------------
 register("trade_yearly", "select * from trade_yearly")
@@ -205,6 +268,12 @@ register("serving_commodity_collisions", f"""
 select row_key, count(*) as n from (select {CR_KEY} as row_key from view_commodity_ranking)
 group by row_key having count(*) > 1""", VIEW_COMMODITY)
 
+register("serving_commodity_collisions_short", f"""
+select * from (
+  select {CR_KEY.replace(", 1, 20)", ", 1, 1)")} as row_key, commodity_short, hs_code, total_value_usd,
+         count(*) over (partition by row_key) as n
+  from view_commodity_ranking) where n > 1""", VIEW_COMMODITY)
+
 register("serving_peek", f"""
 select * from tt_cells
 where row_key in (select distinct row_key from tt_cells order by row_key limit {PEEK_K})""",
@@ -236,6 +305,8 @@ cross join (select distinct date from cm where date is not null) d
 left join cm on cm.commodity is not distinct from c.commodity and cm.date = d.date""",
          COMMODITY_MONTH)
 
+register("series_axis", "select distinct date from cm where date is not null", COMMODITY_MONTH)
+
 register("series_month_total", f"""
 select make_date(year, month, 1) as date, {fsum('primary_value_usd')} as total_value
 from monthly_mart where "partnerISO" <> 'W00' group by make_date(year, month, 1)""")

@@ -13,3 +13,5 @@ SERIES_COUNTRIES = ("NATION_1", "NATION_7", "NATION_13", "NATION_19")
 AUDIT_ENTITY = "NATION_5"
 # Number of rows of the top-k report and of the serving peek.
 TOP_K, PEEK_K = 10, 5
+# Indicators that the queries on unlisted names take as listed.
+LISTED_INDICATORS = ("Population, total", "GDP (current US$)")

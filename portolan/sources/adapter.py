@@ -17,7 +17,7 @@ Scale notes: the only large joins are lineitem x orders (on the order key)
 and x part (on the part key).  orders is first reduced to
 ``(o_orderkey, c_nationkey)`` by its own join with customer, so lineitem is
 joined to a two-column table; Catalyst prunes every unused column into the
-scans.  Those two small sides are broadcast only behind a row-count check;
+scans.  Those two small sides are broadcast only while their files are small;
 past the bound (any large scale factor) the planner's sort-merge joins take
 over and AQE splits skewed partitions.  Without the explicit choice the
 planner's size estimate for ``orders x customer`` (product of the inputs)
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.operators.joins import bounded_broadcast, is_bounded
+from portolan.operators.joins import bounded_broadcast
 from portolan.sources.tables import Tables
 
 # Fixed values of the adapter (shared with the oracle SQL).
@@ -42,11 +42,6 @@ ISO2_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXY"
 RATE_DIVISOR = 100000.0
 SERVICES_EXCLUDED_MOD = (5, 1)  # nations with key % 5 == 1 lack the indicator
 
-# The order -> nation map and the part attributes are broadcast only while
-# they provably stay under this many rows (a few tens of MB of hash table);
-# beyond it lineitem is joined with shuffle joins chosen by the planner.
-ADAPTER_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     """``lineitem`` may be a streaming DataFrame (stream-static joins)."""
@@ -56,15 +51,12 @@ def trade_raw(t: Tables, lineitem: DataFrame | None = None) -> DataFrame:
     customers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     order_nation = (orders.join(customers, "o_custkey")
                     .select(F.col("o_orderkey").alias("l_orderkey"), "c_nationkey"))
-    # Gate the check of the joined side on cheap scan-level checks: testing
-    # the join itself would shuffle both inputs at large scale factors.
-    if (is_bounded(orders, ADAPTER_BROADCAST_MAX_ROWS)
-            and is_bounded(customers, ADAPTER_BROADCAST_MAX_ROWS)):
-        order_nation = bounded_broadcast(order_nation, ADAPTER_BROADCAST_MAX_ROWS)
+    # customer keys are unique: the joined side has no more rows than orders
+    order_nation = bounded_broadcast(order_nation)
     part = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand",
                          "p_type", "p_size")
     rows = (li.join(order_nation, "l_orderkey")
-            .join(bounded_broadcast(part, ADAPTER_BROADCAST_MAX_ROWS), "l_partkey"))
+            .join(bounded_broadcast(part), "l_partkey"))
     yr, mo = F.year("l_shipdate"), F.month("l_shipdate")
     return rows.select(
         F.when(F.col("l_orderkey") % ANNUAL_ORDER_MOD == 0, yr)

@@ -19,32 +19,14 @@ DRIVER_TABLES = (
 )
 
 
-# Scans of read-only inputs, shared by all plans of a session: creating a
-# parquet relation lists files and reads a footer (~0.25 s each locally), and
-# every registered query builds its plan afresh.
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
-def scan(spark: SparkSession, path: str, reuse: bool = True) -> DataFrame:
-    """``spark.read.parquet(path)``, memoized per session when ``reuse``.
-    Use ``reuse=False`` for folders that receive new files while the
-    session lives (the file listing is fixed when the relation is built)."""
-    if not reuse:
-        return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
-
-
 class Tables:
-    """Lazy accessor for the parquet tables of one folder: ``t.lineitem``."""
+    """Lazy accessor for the parquet tables of one folder: ``t.lineitem``.  Each
+    table is listed once per accessor (a scan keeps the files it found)."""
 
-    def __init__(self, spark: SparkSession, root: str, reuse: bool = True):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.reuse = reuse
+        self._scans: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
@@ -52,7 +34,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
-        return scan(self.spark, self.path(name), self.reuse)
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(self.path(name))
+        return self._scans[name]
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +12,7 @@ from portolan.operators import features as feat
 from portolan.operators import fx as fxo
 from portolan.operators import indicators as ind
 from portolan.operators import quality as dq
-from portolan.operators.joins import DimensionError, lookup
+from portolan.operators.joins import lookup
 from portolan.operators.rollup import yearly_trade
 from portolan.operators.shares import share_of_total
 from portolan.schemas import TRADE_RAW
@@ -162,8 +163,8 @@ def test_rate_stats_bounds(spark):
 def test_lookup_rejects_duplicate_keys(spark):
     df = spark.createDataFrame([("A",)], "k string")
     dim = spark.createDataFrame([("A", 1), ("A", 2)], "k string, v int")
-    with pytest.raises(DimensionError):
-        lookup(df, dim, F.col("k"), "k", ["v"])
+    with pytest.raises(PySparkException, match="not unique"):
+        lookup(df, dim, F.col("k"), "k", ["v"]).collect()
 
 
 def test_growth_previous_row_and_strict_year(spark):

@@ -52,9 +52,44 @@ def test_hot_key_split_and_results_match(spark):
 
 def test_join_strategy_broadcasts_checkpointed_totals(spark):
     df = _skewed(spark, 3000)
-    out = share_of_total(df, "v", ["period", "hs"], "t", "s")
+    out = share_of_total(df, "v", ["period", "hs"], "t", "s", strategy="join")
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortMergeJoin" not in plan
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan  # the rows are never shuffled
+
+
+def test_salted_totals_spread_a_hot_group_and_read_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    # copies of one row are a third of all; some keys are null
+    df = _skewed(spark).union(spark.range(15000).select(F.lit("HOT"), F.lit("202001"), F.lit(5.5)))
+    df = df.union(spark.range(50).select(F.lit(None).cast("string"), F.lit("202001"), F.lit(1.25)))
+    df.repartition(8).write.parquet(path)
+    table = spark.read.parquet(path)
+    jobs = _jobs(spark, lambda: share_of_total(table, "v", ["period", "hs"], "t", "s"))
+    salted = share_of_total(table, "v", ["period", "hs"], "t", "s")
+    rows = salted.collect()
+    assert jobs == []  # nothing runs while the plan is built
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+    windowed = share_of_total(table, "v", ["period", "hs"], "t", "s", strategy="window")
+    key = lambda r: (r.hs or "", r.v, round(r.t, 6), round(r.s, 12))
+    assert sorted(map(key, rows)) == sorted(map(key, windowed.collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (salted.filter("hs = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 25000 * 0.7
+
+
+def _jobs(spark, build):
+    sc = spark.sparkContext
+    sc.setJobGroup("definition", "definition only")
+    try:
+        build()
+        return list(sc.statusTracker().getJobIdsForGroup("definition"))
+    finally:
+        sc.setJobGroup(None, None)

@@ -75,3 +75,33 @@ def test_dense_grid_of_nothing_is_empty_and_typed(spark):
     vals = spark.createDataFrame([], "commodity string, date date, value double")
     grid = ser.dense_grid(vals, "commodity", "date", "value")
     assert grid.count() == 0 and dict(grid.dtypes) == {"commodity": "string", "date": "date", "value": "double"}
+
+
+def test_dense_grid_of_a_long_axis_and_a_repeated_cell(spark, tmp_path):
+    n, path = 10_001, str(tmp_path / "cells")
+    cells = spark.range(n).selectExpr("if(id % 2 = 0, 'even', null) as s", "cast(id as int) as x", "cast(id as double) as v")
+    again = spark.createDataFrame([("even", 4, 1.5), ("even", 6, None), ("even", None, 9.0)], "s string, x int, v double")
+    cells.union(again).write.parquet(path)
+    table = spark.read.parquet(path)
+    out = ser.dense_grid(table, "s", "x", "v", fill=-1.0)
+    got = {(r.s, r.x): r.v for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(got) == 2 * n
+    assert (got["even", 4], got["even", 6], got["even", 5]) == (5.5, 6.0, -1.0)
+    assert (got[None, 5], got[None, 4]) == (5.0, -1.0)
+    assert sum(v for v in got.values() if v >= 0) == n * (n - 1) / 2 + 1.5
+    assert plan.count("FileScan parquet") == 1  # every part starts from one exchange
+    few = ser.dense_grid(table, "s", "x", "v", fill=-1.0, slice_points=7)
+    assert few.filter("v >= 0").count() == n
+
+
+def test_axis_points_are_ordered(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "x string")
+    assert [r.x for r in ser.axis_points(df, "x").collect()] == ["a", "b"]
+
+
+def test_views_leave_the_sort_out_on_request(spark):
+    df = spark.createDataFrame([(2020, "DEU", "A; x", "01", 10.0, 2.0, 5.0, 1.0)], YEARLY)
+    for view in (vw.commodity_ranking_view, vw.partner_share_view):
+        assert "Sort" in view(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Sort" not in view(df, ordered=False)._jdf.queryExecution().optimizedPlan().toString()
