@@ -123,6 +123,11 @@ def exact_mode() -> bool:
     return _EXACT.get() is not None
 
 
+def rate_scale() -> int | None:
+    """Decimals of rates within `exact_digits`, else None."""
+    return _EXACT.get()[1] if exact_mode() else None
+
+
 def fixed_units(c, scale: int) -> Column:
     """Value as a long count of ``10^-scale`` units; a value that is not such
     a count (more digits, NaN, infinite, beyond 9e18 units) raises."""

@@ -2,17 +2,22 @@
 
 A view becomes ``(row_key, cells)`` where ``cells`` maps
 ``family:qualifier`` to plain text; null cells are omitted.  Rows are
-written from the executors (``foreachPartition`` in batches) -- the driver
-never holds them -- or as a parquet table keyed by ``row_key``.
+written from the executors -- the driver never holds them -- either as a parquet
+table that is published in one step, behind a gate on colliding keys, or through
+a key/value client that stages and commits, or by plain puts in batches.
 """
 
 from __future__ import annotations
 
+import base64
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from portolan.functions.columns import as_col, cell_text
 from portolan.operators.views import PERCENT_DIGITS, PRICE_DIGITS, SHARE_DIGITS
@@ -147,9 +152,146 @@ def peek(rows: DataFrame, k: int = 5) -> DataFrame:
     return rows.join(F.broadcast(first), "row_key", "left_semi")
 
 
-def write_table(rows: DataFrame, path: str) -> None:
-    """Overwrite a parquet serving table (drop + recreate semantics)."""
-    rows.write.mode("overwrite").parquet(path)
+class KeyCollisionError(ValueError):
+    """Several rows of a serving table have one key."""
+
+
+class PublishedTable:
+    """SNK-3..6: a serving table that is replaced in one step.
+
+    Rows are written to a folder of their own (``version=<id>``), the gate looks
+    at what was written, and only then a mark ``_current/<number>-<id>`` makes it
+    the table: the creation of one empty folder, which happens or does not.  A
+    failing task, a collision or a lost driver leaves the table as it was.  The
+    version before stays for readers that are on the way; older ones go.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _names(self, folder: str) -> list[str]:
+        fs, p = self._fs(f"{self.path}/{folder}")
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def versions(self) -> list[str]:
+        """The versions that were the table, oldest first."""
+        marks = sorted(self._names("_current"), key=lambda m: int(m.split("-", 1)[0]))
+        return [m.split("-", 1)[1] for m in marks]
+
+    def location(self, version: str | None = None) -> str:
+        """The folder of a version; of the current one by default."""
+        if version is None:
+            published = self.versions()
+            if not published:
+                raise FileNotFoundError(f"nothing is published at {self.path}")
+            version = published[-1]
+        return f"{self.path}/version={version}"
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.location())
+
+    def stage(self, rows: DataFrame) -> str:
+        """Writes a version that is not yet the table; returns its name."""
+        version = uuid.uuid4().hex[:12]
+        rows.write.mode("errorifexists").parquet(self.location(version))
+        return version
+
+    def check(self, version: str, key: str = "row_key") -> None:
+        """Raises `KeyCollisionError` if rows of the written version share a key;
+        the rows are then in ``_collisions/version=<id>``."""
+        report = f"{self.path}/_collisions/version={version}"
+        seen = Observation(f"collisions-{version}")
+        shared = colliding_rows(self.spark.read.parquet(self.location(version)), key)
+        shared.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(report)
+        rows = int(seen.get["rows"])
+        if rows:
+            raise KeyCollisionError(f"{rows} rows of {self.location(version)} share a key; they are in {report}")
+
+    def switch(self, version: str) -> None:
+        """Makes a staged version the table."""
+        marks = self._names("_current")
+        number = max((int(m.split("-", 1)[0]) for m in marks), default=0) + 1
+        fs, mark = self._fs(f"{self.path}/_current/{number}-{version}")
+        if not fs.mkdirs(mark):
+            raise OSError(f"cannot create {mark}")
+        for old in self.versions()[:-2]:
+            fs.delete(self._fs(self.location(old))[1], True)
+        for mark_name in sorted(self._names("_current"), key=lambda m: int(m.split("-", 1)[0]))[:-2]:
+            fs.delete(self._fs(f"{self.path}/_current/{mark_name}")[1], True)
+
+    def publish(self, rows: DataFrame, key: str = "row_key") -> str:
+        """Stage, gate, switch; returns the folder of the new version."""
+        version = self.stage(rows)
+        self.check(version, key)
+        self.switch(version)
+        return self.location(version)
+
+
+class ClientPublisher(DataSource):
+    """A data source that writes through a key/value client in one step.
+
+    The client stages a task's rows under a version (``stage(version, batch)``);
+    when all tasks are done ``commit(version)`` makes them the table, and if one
+    fails ``abort(version)`` drops what was staged."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "portolan_client"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _ClientWriter(self.options)
+
+
+class _ClientWriter(DataSourceWriter):
+    def __init__(self, options) -> None:
+        self.factory = cloudpickle.loads(base64.b64decode(options["factory"]))
+        self.batch_size, self.version = int(options["batch_size"]), options["version"]
+
+    def write(self, iterator) -> WriterCommitMessage:
+        client = self.factory()
+        try:
+            batch = []
+            for row in iterator:
+                batch.append((row["row_key"], dict(row["cells"])))
+                if len(batch) >= self.batch_size:
+                    client.stage(self.version, batch)
+                    batch = []
+            if batch:
+                client.stage(self.version, batch)
+        finally:
+            client.close()
+        return WriterCommitMessage()
+
+    def _finish(self, step: str) -> None:
+        client = self.factory()
+        try:
+            getattr(client, step)(self.version)
+        finally:
+            client.close()
+
+    def commit(self, messages) -> None:
+        self._finish("commit")
+
+    def abort(self, messages) -> None:
+        self._finish("abort")
+
+
+def publish_with_client(rows: DataFrame, client_factory: Callable[[], object], batch_size: int = 1000) -> str:
+    """Replace a key/value table with ``rows`` (``row_key``, ``cells``) in one step;
+    returns the version.  ``client_factory()`` must return an object with
+    ``stage(version, list[(row_key, dict)])``, ``commit(version)``,
+    ``abort(version)`` and ``close()``.  A retried task stages its rows again, so
+    staging must be keyed by row."""
+    spark, version = rows.sparkSession, uuid.uuid4().hex[:12]
+    spark.dataSource.register(ClientPublisher)
+    (rows.select("row_key", "cells").write.format(ClientPublisher.name()).mode("append")
+     .option("factory", base64.b64encode(cloudpickle.dumps(client_factory)).decode())
+     .option("batch_size", str(batch_size)).option("version", version).save())
+    return version
 
 
 def write_with_client(rows: DataFrame, client_factory: Callable[[], object],

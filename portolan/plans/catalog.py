@@ -19,6 +19,7 @@ from portolan.operators import quality as dq
 from portolan.operators import serving as srv
 from portolan.operators import series as ser
 from portolan.operators import views as vw
+from portolan.operators.filters import period_range
 from portolan.operators.joins import Step, join_accounting, key_collisions, repeated_keys
 from portolan.plans import marts
 from portolan.plans.context import Domain
@@ -34,6 +35,10 @@ from portolan.plans.params import (
     TOP_K,
 )
 from portolan.schemas import INDICATOR_NAMES
+from portolan.session import scratch_path
+from portolan.sources.dimensions import read_code_table, write_dimension
+from portolan.sources.lake import LakePaths, write_table
+from portolan.sources.tables import read_fx, read_indicators, read_mart, read_trade
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -357,6 +362,64 @@ def serving_peek(d: Domain) -> DataFrame:
     return srv.peek(_tt_cells(d), PEEK_K)
 
 
+def _lake(d: Domain, name: str) -> LakePaths:
+    return LakePaths(scratch_path(d.spark, name))
+
+
+@query("lake_trade_read_back")
+def lake_trade_read_back(d: Domain) -> DataFrame:
+    """SRC-1, SNK-1, SNK-7, FLT-1: trade records written to their zone as text,
+    read with the typed reader, a range of periods pushed to the files."""
+    lake = _lake(d, "lake-trade")
+    text = d.trade_raw.select(*[F.col(c).cast("string").alias(c) for c in d.trade_raw.columns])
+    write_table(text, lake.trade)
+    return period_range(read_trade(d.spark, lake.trade), *QUERY_YEARS)
+
+
+@query("lake_rates_read_back")
+def lake_rates_read_back(d: Domain) -> DataFrame:
+    """SRC-2, SNK-1: daily rates written and read with the typed reader."""
+    lake = _lake(d, "lake-rates")
+    write_table(d.fx_raw, lake.rates)
+    return read_fx(d.spark, lake.rates)
+
+
+@query("lake_indicators_read_back")
+def lake_indicators_read_back(d: Domain) -> DataFrame:
+    """SRC-3, SNK-7: indicators written as one folder per indicator, read by glob."""
+    lake = _lake(d, "lake-indicators")
+    for i, name in enumerate(INDICATOR_NAMES):
+        write_table(d.wdi_raw.filter(F.col("indicator_name") == name), f"{lake.indicators}/set{i}.parquet")
+    return read_indicators(d.spark, f"{lake.indicators}/set*.parquet")
+
+
+@query("lake_dimension_read_back")
+def lake_dimension_read_back(d: Domain) -> DataFrame:
+    """SRC-4, SNK-2: the code dimension written and loaded as a code table."""
+    lake = _lake(d, "lake-dim")
+    write_dimension(d.iso_dim, f"{lake.dims}/iso")
+    return read_code_table(d.spark, f"{lake.dims}/iso")
+
+
+@query("lake_mart_series")
+def lake_mart_series(d: Domain) -> DataFrame:
+    """SRC-5, SNK-1, SER-1: the monthly mart written by year, read for its years,
+    and charted."""
+    lake = _lake(d, "lake-mart")
+    write_table(marts.monthly_mart(d, None, with_shares=False), lake.table("monthly"), ["year"])
+    return ser.partner_fx_series(read_mart(d.spark, lake.table("monthly"), QUERY_YEARS), SERIES_PARTNER, SERIES_CURRENCY)
+
+
+@query("published_partner_share")
+def published_partner_share(d: Domain) -> DataFrame:
+    """SNK-5: the partner view published (staged, gated, switched) and read back
+    as cells."""
+    view = vw.partner_share_view(marts.trade_yearly(d), ordered=False)
+    table = srv.PublishedTable(d.spark, _lake(d, "published").serving("partner_market_share"))
+    table.publish(srv.to_serving(view, srv.partner_year_key(), "info", srv.PARTNER_CELLS))
+    return table.read().select("row_key", F.explode("cells").alias("column", "value"))
+
+
 # -- series ------------------------------------------------------------------
 def _mart_trade_rows(d: Domain) -> DataFrame:
     """The monthly mart's trade rows (its currency / FX joins are left joins

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portolan.plans.oracle import fmean, fsum, fsum_over, ratio, register, round_half_up
+from portolan.plans.oracle import Y0, Y1, fmean, fsum, fsum_over, ratio, register, round_half_up
 from portolan.plans.params import (
     AUDIT_ENTITY,
     LISTED_INDICATORS,
@@ -279,6 +279,20 @@ select * from tt_cells
 where row_key in (select distinct row_key from tt_cells order by row_key limit {PEEK_K})""",
          VIEW_TRADE_TIME + ",\ntt_cells as (" + _cells("view_trade_time", TT_KEY, "stats", TT_CELLS) + ")")
 
+register("published_partner_share", _cells("view_partner_share", PS_KEY, "info", PS_CELLS), VIEW_PARTNER)
+
+# -- written and read back ------------------------------------------------------
+register("lake_trade_read_back", f"""
+select data_period, hs_code, commodity_desc, partner_code, quantity, weight, primary_value_usd
+from trade_cast where try_cast(substr(data_period, 1, 4) as integer) between {Y0} and {Y1}""")
+register("lake_rates_read_back", "select currency, date, rate from fx_raw")
+register("lake_indicators_read_back", "select country_id, country_name, year, indicator_name, value from wdi_typed")
+register("lake_dimension_read_back", "select iso_numeric, iso2, iso3 from iso_dim")
+register("lake_mart_series", f"""
+select printf('%d-%02d', year, month) as month_label, year, month, commodity_desc,
+       cast(primary_value_usd as double) as value, avg_rate
+from monthly_mart where "partnerISO" = '{SERIES_PARTNER}' and currency = '{SERIES_CURRENCY}'""")
+
 # -- series ------------------------------------------------------------------
 
 register("series_partner_fx", f"""
@@ -336,6 +350,14 @@ select event_type as currency, cast(date_trunc('week', ts) as date) as week_star
        count(*) as n_rates
 from events group by event_type, date_trunc('week', ts)""")
 
+register("rates_weekly_account_stream", """
+select count(*) as rows_in, count(*) as rows_in_table, cast(0 as bigint) as rows_late from events""")
+
+register("events_outcomes_stream", """
+select case when props is null or (json_valid(props) and json_type(props) = 'OBJECT') then 'landed'
+            else 'broken_json' end as outcome, count(*) as n_rows
+from events group by 1""")
+
 register("rates_monthly_stream", f"""
 select event_type as currency, cast(date_trunc('month', ts) as date) as month_start,
        min(value) as min_rate, max(value) as max_rate, {fmean('value', 8)} as avg_rate,

@@ -9,7 +9,6 @@ is the equivalent batch SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 from portolan.functions.columns import fixed_sum
 from portolan.operators import serving as srv
@@ -28,13 +27,26 @@ def _folders(d: Domain, name: str) -> tuple[str, str]:
     return f"{base}/table", f"{base}/_checkpoint"
 
 
+def _weekly(d: Domain) -> tuple[jobs.WeeklyRates, DataFrame]:
+    """The weekly job, run over the files present, and its stream of rates."""
+    table, ckpt = _folders(d, "rates_weekly")
+    job = jobs.WeeklyRates(table)
+    rates = jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events"))
+    job.start(rates, ckpt).awaitTermination()
+    return job, rates
+
+
 @query("rates_weekly_stream")
 def rates_weekly_stream(d: Domain) -> DataFrame:
-    """STR-2 / STR-5: weekly rate table maintained by a watermarked stream."""
-    table, ckpt = _folders(d, "rates_weekly")
-    agg = jobs.weekly_rates(jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events")))
-    jobs.run_upsert(agg, table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["currency", "week_start"], agg.schema)
+    """STR-2 / STR-5: weekly rate table kept by a stream with a watermark."""
+    return _weekly(d)[0].weeks(d.spark)
+
+
+@query("rates_weekly_account_stream")
+def rates_weekly_account_stream(d: Domain) -> DataFrame:
+    """STR-5: rows in, rows in the table and late rows of the weekly job."""
+    job, rates = _weekly(d)
+    return job.account(d.spark, rates.schema)
 
 
 @query("rates_monthly_stream")
@@ -42,20 +54,30 @@ def rates_monthly_stream(d: Domain) -> DataFrame:
     """STR-3 / STR-5: monthly rate table (update mode, upsert by key)."""
     table, ckpt = _folders(d, "rates_monthly")
     agg = jobs.monthly_rates(jobs.rate_events(jobs.file_stream(d.spark, d.sf_dir, "events")))
-    jobs.run_upsert(agg, table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["currency", "month_start"], agg.schema)
+    keys = ["currency", "month_start"]
+    jobs.run_upsert(agg, table, ckpt, keys).awaitTermination()
+    return read_latest(d.spark, table, keys, agg.schema)
+
+
+def _landing(d: Domain) -> tuple[jobs.EventLanding, DataFrame]:
+    table, ckpt = _folders(d, "events_landed")
+    job, events = jobs.EventLanding(table), jobs.file_stream(d.spark, d.sf_dir, "events")
+    job.start(events, ckpt).awaitTermination()
+    return job, events
 
 
 @query("events_landed_stream")
 def events_landed_stream(d: Domain) -> DataFrame:
-    """STR-1: records landed as typed rows (malformed JSON quarantined)."""
-    table, ckpt = _folders(d, "events_landed")
-    quarantine = table.rsplit("/", 1)[0] + "/quarantine"
-    events = jobs.file_stream(d.spark, d.sf_dir, "events")
-    jobs.land_events(events, table, quarantine, ckpt).awaitTermination()
-    schema = (events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-              .schema.add("k", T.IntegerType()))
-    return read_appended(d.spark, table, schema)
+    """STR-1: records landed as typed rows."""
+    job, events = _landing(d)
+    return job.outcome(d.spark, events)
+
+
+@query("events_outcomes_stream")
+def events_outcomes_stream(d: Domain) -> DataFrame:
+    """STR-1: number of records by outcome (landed, broken JSON, late ...)."""
+    job, events = _landing(d)
+    return job.outcomes(d.spark, events)
 
 
 def _trade_stream(d: Domain) -> DataFrame:
@@ -80,8 +102,9 @@ def trade_totals_stream(d: Domain) -> DataFrame:
     table, ckpt = _folders(d, "trade_totals")
     agg = (_trade_stream(d).groupBy("data_period", "hs_code")
            .agg(fixed_sum("primary_value_usd").alias("month_world_export_value")))
-    jobs.run_upsert(agg, table, ckpt).awaitTermination()
-    return read_latest(d.spark, table, ["data_period", "hs_code"], agg.schema)
+    keys = ["data_period", "hs_code"]
+    jobs.run_upsert(agg, table, ckpt, keys).awaitTermination()
+    return read_latest(d.spark, table, keys, agg.schema)
 
 
 @query("serving_rates_weekly")

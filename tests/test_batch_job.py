@@ -3,6 +3,9 @@ year filters prune partitions."""
 
 import tempfile
 
+import pytest
+from pyspark.errors import PySparkException
+
 import __spark_entry__ as E
 from portolan.functions.columns import exact_digits
 from portolan.plans.batch_job import build_all
@@ -42,3 +45,13 @@ def test_packaged_currency_dimension(spark):
     assert dim.select("country_iso3").distinct().count() == 182
     assert dim.filter("currency is null").count() == 13
     assert dim.filter("country_iso3 = 'DEU'").first().currency == "EUR"
+
+
+def test_a_dimension_with_a_repeated_key_stops_the_job(spark):
+    class Twice(Domain):
+        @property
+        def currency_dim(self):
+            dim = Domain.currency_dim.fget(self)
+            return dim.unionByName(dim.filter("country_iso3 = 'N03'"))
+    with pytest.raises(PySparkException, match="lookup by country_iso3: key is not unique: N03"), exact_digits():
+        build_all(Twice(spark, SMALL), LakePaths(tempfile.mkdtemp(prefix="lake-")), QUERY_YEARS)

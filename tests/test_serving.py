@@ -5,6 +5,8 @@ import json
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from portolan.operators import serving as srv
@@ -77,3 +79,78 @@ def test_collisions_reported(spark):
 def test_peek_is_key_ordered(spark):
     df = spark.createDataFrame([(str(i), "x") for i in [5, 3, 9, 1, 7, 2]], "row_key string, v string")
     assert sorted(r.row_key for r in srv.peek(df, 3).collect()) == ["1", "2", "3"]
+
+
+def _rows(spark, pairs):
+    return spark.createDataFrame([(k, {"f:v": v}) for k, v in pairs], "row_key string, cells map<string,string>")
+
+
+def test_a_failing_task_or_a_collision_leaves_the_published_table(spark, tmp_path):
+    table = srv.PublishedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    first = table.publish(_rows(spark, [("a", "1"), ("b", "2")]))
+    bad = _rows(spark, [("c", "3"), ("d", "x")]).withColumn(
+        "row_key", F.when(F.col("row_key") == "d", F.raise_error(F.lit("task fails"))).otherwise(F.col("row_key")))
+    with pytest.raises(PySparkException, match="task fails"):
+        table.publish(bad)
+    assert table.location() == first
+    with pytest.raises(srv.KeyCollisionError, match="2 rows") as failure:
+        table.publish(_rows(spark, [("e", "4"), ("e", "5"), ("f", "6")]))
+    assert table.location() == first and sorted(r.row_key for r in table.read().collect()) == ["a", "b"]
+    report = spark.read.parquet(str(failure.value).rsplit(" in ", 1)[1])
+    assert sorted((r.row_key, r.cells["f:v"], r.n) for r in report.collect()) == [("e", "4", 2), ("e", "5", 2)]
+
+
+def test_publishing_again_replaces_and_keeps_one_version_back(spark, tmp_path):
+    table = srv.PublishedTable(spark, str(tmp_path / "t"))
+    places = [table.publish(_rows(spark, [(str(i), "v")])) for i in range(12)]
+    assert [r.row_key for r in table.read().collect()] == ["11"] and table.location() == places[-1]
+    assert [os.path.isdir(p) for p in places[-3:]] == [False, True, True]
+    assert len(table.versions()) == 2
+
+
+class StagingClient:
+    """Stand-in for a key/value store with staging: folders of JSON files."""
+
+    def __init__(self, root, fail_on=None):
+        self.root, self.fail_on = root, fail_on
+
+    def __call__(self):
+        return self
+
+    def stage(self, version, batch):
+        if self.fail_on and any(k == self.fail_on for k, _ in batch):
+            raise RuntimeError("store refuses the row")
+        folder = os.path.join(self.root, f"staged-{version}")
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, f"{batch[0][0]}.json"), "w") as fh:
+            json.dump(batch, fh)
+
+    def commit(self, version):
+        with open(os.path.join(self.root, "current"), "w") as fh:
+            fh.write(version)
+
+    def abort(self, version):
+        with open(os.path.join(self.root, f"aborted-{version}"), "w"):
+            pass
+
+    def close(self):
+        pass
+
+
+def _stored(root):
+    version = open(os.path.join(root, "current")).read()
+    folder = os.path.join(root, f"staged-{version}")
+    return sorted(k for f in os.listdir(folder) for k, _ in json.load(open(os.path.join(folder, f))))
+
+
+def test_client_rows_are_committed_or_aborted_as_one(spark, tmp_path):
+    root = str(tmp_path)
+    rows = _rows(spark, [(f"k{i:03}", str(i)) for i in range(250)]).repartition(3)
+    version = srv.publish_with_client(rows, StagingClient(root), batch_size=40)
+    assert _stored(root) == [f"k{i:03}" for i in range(250)]
+    with pytest.raises(PySparkException):
+        srv.publish_with_client(rows, StagingClient(root, fail_on="k100"), batch_size=40)
+    assert open(os.path.join(root, "current")).read() == version  # the old table stands
+    assert [n for n in os.listdir(root) if n.startswith("aborted-")]
