@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from portolan.llm.linkage import linked_components, shared_members, verified
 from portolan.llm.ngram_join import Threshold, may_link, parity_sketches
-from portolan.llm.store import cut, if_small
+from portolan.llm.store import cut, if_small, settled
 from portolan.llm.words import _POWERS, mix, span_hashes, text_chunks
 
 #: Code points of a shingle; a shorter line is one shingle as a whole.
@@ -29,6 +29,8 @@ SHINGLE = 10
 #: Lines are linked from this Jaccard similarity on: num / den.
 NUM, DEN = 4, 5
 BANDS, ROWS = 8, 3
+#: Columns of a line's bucket keys; null for a line shorter than a shingle.
+KEYS = [f"k{b}" for b in range(BANDS)]
 
 _U = np.uint64
 _PLACES = BANDS * ROWS
@@ -99,6 +101,9 @@ def band_keys(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
     return keys
 
 
+KEY_SCHEMA = ", ".join(f"{k} long" for k in KEYS)
+
+
 def _signer(batches):
     """mapInArrow: (id, text hash, text) -> one row per line with a word."""
     for batch in batches:
@@ -109,13 +114,12 @@ def _signer(batches):
             use = np.flatnonzero(lines.has_word)
             # a shorter line is linked with equal lines only
             banded = (lines.end - lines.start)[use] >= SHINGLE
-            ends = np.concatenate([[0], np.cumsum(banded * BANDS)]).astype(np.int32)
             row = pa.array(i + lines.row[use])
+            bands = [pa.array(keys[use, b].view(np.int64), mask=~banded) for b in range(BANDS)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(row), batch.column(1).take(row), pa.array(lines.place[use].astype(np.int32)),
-                 pa.array(lines.hashes()[use].view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[use][banded].ravel().view(np.int64)))],
-                names=["_id", "_th", "place", "line", "keys"])
+                 pa.array(lines.hashes()[use].view(np.int64)), *bands],
+                names=["_id", "_th", "place", "line", *KEYS])
 
 
 def _shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -153,18 +157,20 @@ def _verifier(batches):
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lines, drops): all lines with a word as (_id, _th, place, line, keys),
+    """(lines, drops): all lines with a word as (_id, _th, place, line, k0...),
     and (_id, _th, places, n): the places of those that repeat an earlier one."""
     text = F.col(f"`{text_col}`").cast("string")
     base = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     id_type = base.schema["_id"].dataType.simpleString()
-    lines = cut(base.mapInArrow(_signer, f"_id {id_type}, _th long, place int, line long, keys array<long>"), "lines")
+    lines = cut(base.mapInArrow(_signer, f"_id {id_type}, _th long, place int, line long, {KEY_SCHEMA}"), "lines")
     # plain columns, no structs: Spark sums them up by hashing, without a sort.
     # at_th and at_place are of one row, any that has the line.
     nodes = cut(lines.groupBy(F.col("line").alias("node")).agg(
         F.min("_id").alias("least"), F.max(F.isnull("_id")).alias("nameless"), F.count(F.lit(1)).alias("c"),
-        F.first("_th").alias("at_th"), F.first("place").alias("at_place")), "line-nodes")
-    buckets = lines.select(F.explode("keys").alias("key"), F.col("line").alias("node"))
+        F.first("_th").alias("at_th"), F.first("place").alias("at_place"),
+        *[F.first(k).alias(k) for k in KEYS]), "line-nodes")
+    # a line goes into its buckets once, however often it stands somewhere
+    buckets = nodes.where(f"{KEYS[0]} is not null").select(F.explode(F.array(*KEYS)).alias("key"), "node")
     members = cut(shared_members(buckets, "node"), "line-members")
 
     # the bucketed lines' texts, from a document where they stand; lines and
@@ -187,7 +193,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .select(F.col("node").alias("line"), F.coalesce("root", "node").alias("root"),
                       F.when(~F.coalesce("class_nameless", "nameless"),
                              F.coalesce("class_least", "least")).alias("least")))
-    again = cut(lines.drop("keys").join(owners, "line").select(
+    again = cut(lines.drop(*KEYS).join(owners, "line").select(
         "_id", "_th", "place", "root", F.col("_id").eqNullSafe(F.col("least")).alias("tied")), "line-repeats")
     # the first row of a class: least id, then least text hash, then first place
     firsts = again.where("tied").groupBy("root").agg(F.min(F.struct("_th", "place")).alias("first"))
@@ -195,7 +201,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .where(~F.col("tied") | (F.struct("_th", "place") != F.col("first")))
              .select("_id", "_th", "place").distinct()
              .groupBy("_id", "_th").agg(F.collect_list("place").alias("places"), F.count(F.lit(1)).alias("n")))
-    return lines, cut(drops, "drops")
+    return lines, drops
 
 
 def _cutter(batches):
@@ -230,7 +236,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     the same lines.  Null ids come first in the order.  Columns of the names
     n_lines and n_kept are replaced.
     """
-    _, drops = repeated_lines(docs, id_col, text_col)
+    # the places to drop are all that the result needs of the tables before it
+    drops = settled(lambda: repeated_lines(docs, id_col, text_col)[1], docs.sparkSession, "line-drops")
     text = F.col(f"`{text_col}`").cast("string")
     keep = [c for c in docs.columns if c not in (text_col, "n_lines", "n_kept")]
     base = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(keep)],

@@ -22,10 +22,15 @@ CHUNK = 256
 
 
 def shared_members(buckets: DataFrame, node: str) -> DataFrame:
-    """Distinct (key, node) of the buckets with two different nodes or more."""
-    shared = (buckets.groupBy("key").agg(F.min(node).alias("lo"), F.max(node).alias("hi"))
+    """Distinct (key, node) of the buckets with two different nodes or more.
+
+    The rows are exchanged once, by key: the least and greatest node, the rows
+    that stay and their distinct ones all come from that exchange."""
+    dealt = buckets.select("key", node).repartition("key")
+    shared = (dealt.groupBy("key").agg(F.min(node).alias("lo"), F.max(node).alias("hi"))
               .where("lo <> hi").select("key"))
-    return buckets.join(shared, "key", "left_semi").distinct()
+    # few buckets are shared: their keys are the hash side, nothing is sorted
+    return dealt.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct()
 
 
 def star_pairs(members: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:

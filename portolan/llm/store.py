@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +27,33 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return Table(df.sparkSession, name).write(df).read()
 
 
+#: Tables written on the way to a result that is being settled.
+_ON_THE_WAY: ContextVar[list | None] = ContextVar("portolan_tables_on_the_way", default=None)
+
+
+def settled(build: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """The result of ``build``, written and read back; the tables that it wrote
+    on the way are dropped then, and if it fails."""
+    tables: list[Table] = []
+    token = _ON_THE_WAY.set(tables)
+    try:
+        result = build()
+    finally:
+        _ON_THE_WAY.reset(token)
+    try:
+        return cut(result, name)
+    finally:
+        for table in tables:
+            table.drop()
+
+
 class Table:
     """An intermediate table that can be dropped once nothing reads it."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark, self.path, self.schema = spark, scratch_path(spark, f"llm-{name}"), None
+        if (tables := _ON_THE_WAY.get()) is not None:
+            tables.append(self)
 
     def write(self, df: DataFrame) -> Table:
         self.schema = df.schema
