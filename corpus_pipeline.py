@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from portolan.llm import bpe, decontaminate, line_dedup, ngram_join, quality_gam
 from portolan.llm.queries import QUALITY_CUT, quality_model, table, vocabulary
-from portolan.llm.store import cut
+from portolan.llm.store import cut, settled
 
 #: SQL cannot express a trained classifier or the tokenizer's merges.
 ORACLE_SQL = None
@@ -48,10 +48,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stays, the least by its other columns."""
     # a struct is never null, and its least one is the row that stays
     keyed = docs.withColumn("_key", F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.xxhash64("text").alias("th")))
-    found = ngram_join.classes(keyed, id_col="_key", width=5, threshold=ngram_join.Threshold(4, 5))
-    marked = cut(found.withColumn("copy", ~F.col("component_id").eqNullSafe(F.col("_key")))
-                 .groupBy("_key", "copy").agg(F.count(F.lit(1)).alias("n")).where("copy or n > 1")
-                 .select(F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th"), "copy"), "classes")
+
+    def marks() -> DataFrame:
+        found = ngram_join.classes(keyed, id_col="_key", width=5, threshold=ngram_join.Threshold(4, 5))
+        return (found.withColumn("copy", ~F.col("component_id").eqNullSafe(F.col("_key")))
+                .groupBy("_key", "copy").agg(F.count(F.lit(1)).alias("n")).where("copy or n > 1")
+                .select(F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th"), "copy"))
+
+    # the join's own tables go once the rows to drop are written
+    marked = settled(marks, spark, "classes")
     again = _meeting(docs, marked.where("not copy"), "left_semi")
     once = again.groupBy("doc_id", F.xxhash64("text")).agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
     return _meeting(docs, marked, "left_anti").unionByName(once).select(*docs.columns)
@@ -61,9 +66,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item in them, by id and text: another text
     of the same id stays, and null ids are no exception."""
     keyed = docs.withColumn("_key", F.struct("doc_id", F.xxhash64("text").alias("th")))
-    found = decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="_key").select(
-        F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th")).distinct()
-    return _meeting(docs, cut(found, "leaks"), "left_anti").select(*docs.columns)
+
+    def found() -> DataFrame:
+        return decontaminate.leaks(keyed, table(spark, sf_dir, "benchmark"), id_col="_key").select(
+            F.col("_key.doc_id").alias("l_id"), F.col("_key.th").alias("l_th")).distinct()
+
+    return _meeting(docs, settled(found, spark, "leaks"), "left_anti").select(*docs.columns)
 
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
