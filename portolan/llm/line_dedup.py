@@ -14,6 +14,8 @@ by their whole text, whatever the bands say.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from portolan.llm.linkage import linked_components, shared_members, verified
 from portolan.llm.ngram_join import Threshold, may_link, parity_sketches
 from portolan.llm.store import cut, if_small, settled
-from portolan.llm.words import _POWERS, mix, span_hashes, text_chunks
+from portolan.llm.words import _POWERS, mix, text_chunks
 
 #: Code points of a shingle; a shorter line is one shingle as a whole.
 SHINGLE = 10
@@ -41,6 +43,7 @@ class Lines:
     """The ``\\n``-split lines of a chunk of texts, in code points."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self._data, self._offsets = data, offsets
         self.points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
         seen = np.zeros(len(data) + 1, dtype=np.int64)
         np.cumsum((data & 0xC0) != 0x80, out=seen[1:])
@@ -60,8 +63,13 @@ class Lines:
         self.codes = (self.points + _U(1)) * _U(0xD6E8FEB86659FD93)
 
     def hashes(self) -> np.ndarray:
-        """Hash of each whole line."""
-        return span_hashes(self.codes, self.start, self.end)
+        """Hash of each whole line: 64 bits of a cryptographic one, which no
+        structure of the lines can bring to collide."""
+        raw = self._data.tobytes()
+        lines = (line for a, b in zip(self._offsets[:-1].tolist(), self._offsets[1:].tolist(), strict=True)
+                 for line in raw[a:b].split(b"\n"))
+        digests = b"".join(blake2b(line, digest_size=8).digest() for line in lines)
+        return np.frombuffer(digests, dtype=np.uint64)
 
     def shingles(self) -> tuple[np.ndarray, np.ndarray]:
         """(hash, line) of every shingle."""
