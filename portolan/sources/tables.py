@@ -19,6 +19,11 @@ DRIVER_TABLES = (
 )
 
 
+# Schemas of the driver tables: reading one is a job.  Files are listed anew by
+# every accessor, so a table that grows is read whole.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 class Tables:
     """Lazy accessor for the parquet tables of one folder: ``t.lineitem``.  Each
     table is listed once per accessor (a scan keeps the files it found)."""
@@ -35,7 +40,10 @@ class Tables:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)
         if name not in self._scans:
-            self._scans[name] = self.spark.read.parquet(self.path(name))
+            known = (self.spark.sparkContext.applicationId, self.path(name))
+            if known not in _SCHEMAS:
+                _SCHEMAS[known] = self.spark.read.parquet(self.path(name)).schema
+            self._scans[name] = self.spark.read.schema(_SCHEMAS[known]).parquet(self.path(name))
         return self._scans[name]
 
 
