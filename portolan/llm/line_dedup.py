@@ -45,9 +45,8 @@ class Lines:
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         self._data, self._offsets = data, offsets
         self.points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
-        seen = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=seen[1:])
-        bounds = seen[offsets]
+        behind = np.flatnonzero((data & 0xC0) == 0x80)  # bytes that start no code point
+        bounds = offsets - np.searchsorted(behind, offsets)
         breaks = np.flatnonzero(self.points == 10)
         rows = len(offsets) - 1
         self.row = np.sort(np.concatenate([np.arange(rows), np.searchsorted(bounds, breaks, side="right") - 1]))
@@ -57,9 +56,8 @@ class Lines:
         self.end = np.where(last, following, following - 1)
         first = np.searchsorted(self.row, np.arange(rows))
         self.place = np.arange(len(self.row)) - first[self.row] if rows else self.row
-        solid = np.zeros(len(self.points) + 1, dtype=np.int64)
-        np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)), out=solid[1:])
-        self.has_word = solid[self.end] > solid[self.start]
+        solid = np.flatnonzero((self.points != 32) & ((self.points < 9) | (self.points > 13)))
+        self.has_word = np.searchsorted(solid, self.end) > np.searchsorted(solid, self.start)
         self.codes = (self.points + _U(1)) * _U(0xD6E8FEB86659FD93)
 
     def hashes(self) -> np.ndarray:
@@ -76,13 +74,23 @@ class Lines:
         size = self.end - self.start
         count = np.where(size >= SHINGLE, size - SHINGLE + 1, (size > 0).astype(np.int64))
         line = np.repeat(np.arange(len(size)), count)
-        at = self.start[line] + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        to = np.minimum(at + SHINGLE, self.end[line])
-        # sums over powers are safe for windows as short as these
-        up, down = _POWERS.get(len(self.codes))
-        sums = np.zeros(len(self.codes) + 1, dtype=np.uint64)
-        np.cumsum(self.codes * up[:len(self.codes)], out=sums[1:])
-        return mix((sums[to] - sums[at]) * down[at]), line
+        first = np.cumsum(count) - count
+        at = np.arange(len(line)) + np.repeat(self.start - first, count)
+        # windows of 2, 4, 8 and 10 codes, each from two shorter ones; such short
+        # sums over powers of the base are safe
+        codes, step = np.concatenate([self.codes, np.zeros(SHINGLE, dtype=np.uint64)]), _POWERS.get(SHINGLE)[0]
+        two = codes[:-1] + step[1] * codes[1:]
+        four = two[:-2] + step[2] * two[2:]
+        ten = four[:-4] + step[4] * four[4:]
+        ten = ten[:len(two) - 8][:len(self.codes)] + step[8] * two[8:][:len(self.codes)]
+        sums = ten[at]
+        short = np.flatnonzero((size > 0) & (size < SHINGLE))
+        whole = np.zeros(len(short), dtype=np.uint64)
+        for k in range(SHINGLE - 1):  # a short line is summed to its end only
+            use = size[short] > k
+            whole[use] += step[k] * codes[self.start[short[use]] + k]
+        sums[first[short]] = whole
+        return mix(sums), line
 
 
 def band_keys(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
@@ -130,20 +138,46 @@ def _signer(batches):
                 names=["_id", "_th", "place", "line", *KEYS])
 
 
-def _shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    lines = Lines(data, offsets)  # single lines: one per row
-    hashes, line = lines.shingles()
-    ends = np.searchsorted(line, np.arange(len(offsets)))
-    return [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+def _shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of single lines, one per row, each line's sorted
+    and behind those of the one before, and their number per line."""
+    hashes, line = Lines(data, offsets).shingles()
+    return _distinct(hashes, line, len(offsets) - 1)
+
+
+def _distinct(hashes: np.ndarray, line: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    _sort_within(hashes, np.bincount(line, minlength=lines))
+    keep = np.ones(len(hashes), dtype=bool)
+    keep[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
+    return hashes[keep], np.bincount(line[keep], minlength=lines)
+
+
+def _sort_within(values: np.ndarray, sizes: np.ndarray) -> None:
+    """Sorts each of the segments of the given sizes in place."""
+    ends = np.cumsum(sizes)
+    for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        values[a:b].sort()
+
+
+def _common(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Size of the intersection of each two sets of the same place."""
+    (x, nx), (y, ny) = left, right
+    pair = np.arange(len(nx))
+    both = np.empty(len(x) + len(y), dtype=np.uint64)
+    both[np.arange(len(x)) + np.repeat(np.cumsum(ny) - ny, nx)] = x
+    both[np.arange(len(y)) + np.repeat(np.cumsum(nx), ny)] = y
+    owner = np.repeat(pair, nx + ny)
+    _sort_within(both, nx + ny)
+    twice = (both[1:] == both[:-1]) & (owner[1:] == owner[:-1])
+    return np.bincount(owner[1:][twice], minlength=len(nx))
 
 
 def _profiler(batches):
     """mapInArrow: (node, line) -> (node, n, parity): what bounds a pair's similarity."""
     for batch in batches:
         for i, j, data, offsets in text_chunks(batch.column(1)):
-            sets = _shingle_sets(data, offsets)
-            sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
-            parity, at = parity_sketches(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes)
+            hashes, sizes = _shingle_sets(data, offsets)
+            parity, at = parity_sketches(hashes, np.repeat(np.arange(len(sizes)), sizes), sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(i, j - i), pa.array(sizes),
                  pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(parity))],
@@ -154,13 +188,11 @@ def _verifier(batches):
     for batch in batches:
         keep = np.zeros(batch.num_rows, dtype=bool)
         for i, j, data, offsets in text_chunks(batch.column(2)):
-            left, at = _shingle_sets(data, offsets), i
-            for _, _, other, ends in text_chunks(batch.column(3).slice(i, j - i)):
-                for right in _shingle_sets(other, ends):
-                    mine = left[at - i]
-                    both = len(np.intersect1d(mine, right, assume_unique=True))
-                    keep[at] = both * DEN >= NUM * (len(mine) + len(right) - both)
-                    at += 1
+            for x, y, other, ends in text_chunks(batch.column(3).slice(i, j - i)):
+                left = _shingle_sets(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x])
+                right = _shingle_sets(other, ends)
+                both = _common(left, right)
+                keep[i + x:i + y] = both * DEN >= NUM * (left[1] + right[1] - both)
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 

@@ -2,9 +2,10 @@
 
 ``members`` has a bucket ``key`` and a ``node``; ``nodes`` one row per node with
 whatever the bound ``may_link`` needs of sides ``a`` and ``b``.  Every member is
-first checked against its bucket's least and greatest member.  What these links
-leave in different components is compared in chunks of bounded size, and only
-pairs that pass the bound leave the comparison for the exact check.
+first checked against its bucket's least and greatest member, then against the
+members of a small chunk of its bucket.  What these links leave in different
+components is compared chunk by chunk, and only pairs that pass the bound leave
+the comparison for the exact check.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from portolan.llm.store import cut
 
 #: Members of a bucket that are compared with each other at a time.
 CHUNK = 256
+#: Members of the small chunks, and how often a bucket is dealt into such.
+NEAR, ROUNDS = 64, 2
 
 
 def shared_members(buckets: DataFrame, node: str) -> DataFrame:
@@ -33,24 +36,28 @@ def shared_members(buckets: DataFrame, node: str) -> DataFrame:
     return dealt.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct()
 
 
+def _bounded(pairs: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:
+    """(a, b) of the distinct pairs (x, y) that pass the bound."""
+    a, b = nodes.alias("a"), nodes.alias("b")
+    return (pairs.distinct().join(a, F.col("x") == F.col("a.node")).join(b, F.col("y") == F.col("b.node"))
+            .where(may_link).select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
 def star_pairs(members: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:
     """(a, b): each member of a bucket with its least and greatest member."""
     ends = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     pairs = (members.join(ends, "key").select("node", F.explode(F.array("lo", "hi")).alias("hub"))
-             .where("node <> hub").select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y"))
-             .distinct())
-    a, b = nodes.alias("a"), nodes.alias("b")
-    return (pairs.join(a, F.col("x") == F.col("a.node")).join(b, F.col("y") == F.col("b.node"))
-            .where(may_link).select(F.col("x").alias("a"), F.col("y").alias("b")))
+             .where("node <> hub").select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")))
+    return _bounded(pairs, nodes, may_link)
 
 
-def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None, may_link: Column,
-                few_keys: bool = False) -> DataFrame:
-    """(a, b) within buckets and in different components of ``labels`` (node,
-    root); without labels all pairs.  Members are dealt into chunks of about
-    CHUNK, and every two chunks of a bucket meet in a join group of their own.
-    With ``few_keys`` (a node lies in a bounded number of buckets) a pair leaves
-    the comparison in its least common bucket only, not once per common bucket."""
+def _open_members(members: DataFrame, nodes: DataFrame, labels: DataFrame | None, few_keys: bool,
+                  over: int) -> tuple[DataFrame, Column]:
+    """The members, with their node's columns, their component ``comp`` and
+    their bucket's size ``c``, of the buckets with several components and more
+    than ``over`` members; and the condition that sides a and b meet here.
+    With ``few_keys`` (a node lies in a bounded number of buckets) a pair meets
+    in its least common bucket only, not once per common bucket."""
     if labels is not None:
         root = labels.select(F.col("node").alias("l_node"), "root")
         members = members.join(root, members["node"] == root["l_node"], "left").select(
@@ -59,13 +66,37 @@ def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None,
         members = members.withColumn("comp", F.col("node"))
     sizes = (members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("lo"),
                                         F.max("comp").alias("hi"))
-             .where("lo <> hi").select("key", F.ceil(F.col("c") / CHUNK).cast("int").alias("parts")))
-    dealt = members.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    dealt = cut(dealt.join(nodes, "node"), "dealt")
-    meet = F.lit(True)
-    if few_keys:
-        dealt = cut(dealt.join(dealt.groupBy("node").agg(F.collect_set("key").alias("shared")), "node"), "dealt-keys")
-        meet = F.array_min(F.array_intersect("a.shared", "b.shared")) == F.col("a.key")
+             .where("lo <> hi").where(F.col("c") > over).select("key", "c"))
+    dealt = cut(members.join(sizes, "key").join(nodes, "node"), "dealt")
+    if not few_keys:
+        return dealt, F.lit(True)
+    dealt = cut(dealt.join(dealt.groupBy("node").agg(F.collect_set("key").alias("shared")), "node"), "dealt-keys")
+    return dealt, F.array_min(F.array_intersect("a.shared", "b.shared")) == F.col("a.key")
+
+
+def near_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, may_link: Column, few_keys: bool = False,
+               over: int = 1, salt: int = 0) -> DataFrame:
+    """(a, b) in different components of ``labels`` within small chunks of the
+    buckets of more than ``over`` members: all such pairs of a bucket of up to
+    NEAR members, and a linear number of those of a larger one, which join most
+    of a class together before the rest is compared."""
+    dealt, meet = _open_members(members, nodes, labels, few_keys, over)
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node", F.lit(salt)), F.ceil(F.col("c") / NEAR)))
+    return (dealt.alias("a").join(
+        dealt.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part"))
+        & (F.col("a.comp") != F.col("b.comp")) & (F.col("a.node") < F.col("b.node")) & may_link & meet)
+        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+
+
+def other_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame | None, may_link: Column,
+                few_keys: bool = False, over: int = 1) -> DataFrame:
+    """(a, b) within buckets of more than ``over`` members and in different
+    components of ``labels`` (node, root); without labels all pairs.  Members
+    are dealt into chunks of about CHUNK, and every two chunks of a bucket meet
+    in a join group of their own."""
+    dealt, meet = _open_members(members, nodes, labels, few_keys, over)
+    dealt = (dealt.withColumn("parts", F.ceil(F.col("c") / CHUNK).cast("int"))
+             .withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")))
     # the comparisons, not the rows, are the work: no merging of small partitions
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = (dealt.withColumn("q", F.explode(F.sequence("part", F.col("parts") - 1))).withColumn("p", F.col("part"))
@@ -86,17 +117,34 @@ def verified(pairs: DataFrame, texts: Callable[[DataFrame, int], DataFrame], che
     kind = pairs.schema["a"].dataType.simpleString()
     pairs = cut(pairs, "candidates")
     ends = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
-    named = cut(texts(ends, ends.count()), "texts")
+    if not (count := ends.count()):
+        return pairs
+    named = cut(texts(ends, count), "texts")
     left = named.select(F.col("node").alias("a"), F.col("_text").alias("text_a"))
     right = named.select(F.col("node").alias("b"), F.col("_text").alias("text_b"))
     return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
                .mapInArrow(check, f"a {kind}, b {kind}"), "links")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, root) with the components of ``links`` (a, b) put
+    together: only links between components are followed, not those within."""
+    if links.isEmpty():
+        return labels
+    near, far = labels.toDF("a", "root_a"), labels.toDF("b", "root_b")
+    between = links.join(near, "a", "left").join(far, "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    tops = components(between, "a", "b")
+    grown = labels.join(tops.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = tops.join(labels.select("node"), "node", "left_anti").select("node", "root")
+    return cut(grown.unionByName(alone), "roots")
+
+
 def linked_components(members: DataFrame, nodes: DataFrame, may_link: Column,
                       check: Callable[[DataFrame], DataFrame], few_keys: bool = False) -> DataFrame:
     """(node, root) of the nodes that have links; ``few_keys`` as in other_pairs."""
-    links = check(star_pairs(members, nodes, may_link))
-    roots = components(links, "a", "b")
-    more = check(other_pairs(members, nodes, roots, may_link, few_keys))
-    return roots if more.isEmpty() else components(links.unionByName(more), "a", "b")
+    roots, over = components(check(star_pairs(members, nodes, may_link)), "a", "b"), 1
+    for salt in range(ROUNDS):
+        roots = _merged(roots, check(near_pairs(members, nodes, roots, may_link, few_keys, over, salt)))
+        over = NEAR  # smaller buckets are done
+    return _merged(roots, check(other_pairs(members, nodes, roots, may_link, few_keys, over)))
