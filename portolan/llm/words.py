@@ -29,7 +29,7 @@ _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BASE_INV = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes, about, that are hashed at a time.
-_HASHED = 1 << 22
+_HASHED = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
