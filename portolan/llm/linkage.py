@@ -2,8 +2,8 @@
 
 ``members`` has a bucket ``key`` and a ``node``; ``nodes`` one row per node with
 whatever the bound ``may_link`` needs of sides ``a`` and ``b``.  Every member is
-first checked against its bucket's least and greatest member, then against the
-members of a small chunk of its bucket.  What these links leave in different
+first checked against its bucket's least and greatest member, then, where a node
+lies in few buckets, against the members of a small chunk of its bucket.  What these links leave in different
 components is compared chunk by chunk, and only pairs that pass the bound leave
 the comparison for the exact check.
 """
@@ -142,9 +142,11 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def linked_components(members: DataFrame, nodes: DataFrame, may_link: Column,
                       check: Callable[[DataFrame], DataFrame], few_keys: bool = False) -> DataFrame:
-    """(node, root) of the nodes that have links; ``few_keys`` as in other_pairs."""
+    """(node, root) of the nodes that have links; ``few_keys`` as in
+    `_open_members`.  Small chunks come first only then: a node of many buckets
+    would be dealt and compared in each of them once more."""
     roots, over = components(check(star_pairs(members, nodes, may_link)), "a", "b"), 1
-    for salt in range(ROUNDS):
+    for salt in range(ROUNDS if few_keys else 0):
         roots = _merged(roots, check(near_pairs(members, nodes, roots, may_link, few_keys, over, salt)))
         over = NEAR  # smaller buckets are done
     return _merged(roots, check(other_pairs(members, nodes, roots, may_link, few_keys, over)))
