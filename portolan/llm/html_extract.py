@@ -26,13 +26,17 @@ from pyspark.sql import functions as F
 #: Elements (fixed values).  Raw ones hold no markup; hidden ones no page text;
 #: void ones no children; the text of inline ones belongs to their block.
 RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
-HIDDEN = frozenset((*RAW, "head", "noscript", "template", "svg", "math", "object", "select", "option", "button",
-                    "audio", "video", "canvas", "datalist"))
+HIDDEN = frozenset((*RAW, "head", "template", "svg", "select", "option", "button", "datalist", "annotation",
+                    "annotation-xml"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
                   "track", "wbr"))
 INLINE = frozenset(("a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
                     "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong",
-                    "sub", "sup", "time", "tt", "u", "var", "ruby", "rt", "rp", "nobr"))
+                    "sub", "sup", "time", "tt", "u", "var", "ruby", "rt", "rp", "nobr",
+                    # formulas, and what stands in for parts that are not shown
+                    "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mstyle", "mfrac", "msqrt", "mroot",
+                    "msub", "msup", "msubsup", "munder", "mover", "munderover", "mpadded", "mphantom", "menclose",
+                    "noscript", "object", "canvas", "audio", "video", "picture"))
 CLOSES_P = frozenset(("address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption",
                       "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu",
                       "nav", "ol", "p", "pre", "section", "table", "ul"))
@@ -62,6 +66,8 @@ NAMES = {
                 "entry-content", "maincontent", "page-content"),
 }
 _GROUP = {word: group for group, words in NAMES.items() for word in words}
+#: Of these, words that name a place: inside an article they say nothing of the kind.
+LAYOUT = frozenset(("top", "bottom", "side", "more", "message", "foot"))
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                     r"|<[!?/a-zA-Z][^>]*>?|[^<]+|<", re.S)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -84,13 +90,18 @@ class Page:
 def parse(html: str) -> Page:
     """Tolerant parse: unknown ends are ignored, missing ones implied."""
     page = Page()
+    article: list[bool] = []  # per block: an article, or within one
 
     def block(parent: int, tag: str, attrs: str) -> int:
         names = [_NAME.findall((m[0] or m[1] or m[2]).lower()) for m in _ATTR.findall(attrs)] if attrs else []
+        within = parent >= 0 and article[parent]
+        groups = frozenset(_GROUP[w] for ws in names for w in ws if w in _GROUP and not (within and w in LAYOUT))
         page.parent.append(parent)
         page.tag.append(tag)
-        page.groups.append(frozenset(_GROUP[w] for ws in names for w in ws if w in _GROUP))
+        page.groups.append(groups)
         page.marks.append(attrs)
+        other = bool(groups - {"content"}) or tag in _OTHER_TAGS
+        article.append(not other and (within or tag in _CONTENT_TAGS or "content" in groups))
         return len(page.tag) - 1
 
     root = block(-1, "root", "")

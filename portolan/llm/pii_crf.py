@@ -14,6 +14,7 @@ independent, so decoding every run between them is decoding the whole text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import cache
 from zlib import crc32
 
@@ -33,6 +34,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_HEX = frozenset("0123456789abcdefABCDEF")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 
@@ -86,14 +88,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 #: Cue words before a number or an address (fixed values).
 CUES = ("call", "phone", "tel", "telephone", "mobile", "fax", "contact", "mail", "email", "e-mail", "card", "visa",
         "ip", "address", "host", "server", "version", "page", "section", "in", "token", "isbn", "order")
-_EDGE_LEFT, _EDGE_RIGHT = re.compile(r"^[^A-Za-z0-9+(@]+"), re.compile(r"[^A-Za-z0-9)]+$")
+_ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+_FIRST, _LAST = _ALNUM | frozenset("+(@:"), _ALNUM | frozenset(")")
 
 
 def core(word: str) -> tuple[int, int]:
-    """Span of a word without the punctuation around it."""
-    a = _EDGE_LEFT.match(word)
-    b = _EDGE_RIGHT.search(word)
-    start, end = a.end() if a else 0, b.start() if b else len(word)
+    """Span of a word without the punctuation around it; a colon stays in
+    front where it is doubled, as short addresses begin."""
+    start, end = 0, len(word)
+    while start < end and (word[start] not in _FIRST or word[start] == ":" and word[start:start + 2] != "::"):
+        start += 1
+    while end > start and word[end - 1] not in _LAST:
+        end -= 1
     if end > start and word[end - 1] == ")" and "(" not in word[start:end]:
         end -= 1
     return (start, end) if start < end else (0, len(word))
@@ -153,16 +159,19 @@ SENTENCES = (
     "contact {email} or {phone}", "host {ip} is down", "server {ip}", "from {ip} at night", "card {card} was used",
     "paid with {card} yesterday", "visa {card}", "in {none} we met", "version {none} is out", "page {none}",
     "token = {none}", "section {none} says", "it cost {none} in all", "the {none} people came", "{none}",
-    "order {none} has shipped", "isbn {none}", "on {none} they left", "and {none} of them", "between {none} and {none}")
+    "order {none} has shipped", "at {none} it began", "some {none} people live there", "{none} rows were read", "isbn {none}", "on {none} they left", "and {none} of them", "between {none} and {none}")
 FORMS = {
     "phone": ("(###) ###-####", "###-###-####", "###.###.####", "+1 (###) ###-####", "+49 ### #######",
-              "0049 ### #######", "+1-###-###-####", "(0##) #### ####", "+33 # ## ## ## ##"),
+              "0049 ### #######", "+1-###-###-####", "(0##) #### ####", "+33 # ## ## ## ##", "0## #######",
+              "0### ########"),
     "email": ("jo.do##@mail#.example.com", "anna@host", "b.c@example.org", "x##@localhost", "ann_b@dept.example"),
-    "ip": ("##.1##.##.#", "10.#.##.2##", "1##.1##.1##.##", "192.168.#.##:80##", "20##:db8:0:#::#"),
+    "ip": ("##.1##.##.#", "10.#.##.2##", "1##.1##.1##.##", "192.168.#.##:80##", "20##:db8:0:#::#", "20##:db8::#", "fe80::#a##:#",
+           "::1"),
     "card": ("L16", "L4 4 4 4", "L4-4-4-4", "L4.4.4.4", "L15"),
     "none": ("#", "##", "###", "####", "19##", "20##", "#.#", "#.#.", "#,##", "##.##", "#,###", "20##-0#-1#", "1#:##",
              "##%", "(#)", "#-#", "##th", '"0a#b#cd##ef#a"', '"a#f##e#d#c##b#"', "CC-BY-#.#", "########", "X#",
-             "N16", "N13", "978-#-##-######-#", "v#.#.#", "#/#", "##x##", "@", "@home", "#####", "######")}
+             "N16", "N13", "978-#-##-######-#", "v#.#.#", "#/#", "##x##", "@", "@home", "#####", "######", "20##-0#-1# 1#:##:##", "20##/0#/1# 0#:##", "1#.0#.20## 1#:##",
+             "## ### ### ###", "# ### ###", "### ### ###", "1#:##:##", "20##-0#-1#T1#:##:##Z", "# ## ### ####")}
 #: Sentences of the table, drawn from the slots with a fixed seed.
 SENTENCE_COUNT = 1500
 
@@ -368,11 +377,43 @@ def _crf_spans(model: Crf, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
     return out
 
 
+#: Words that are a date or a time of day, never part of a phone number.
+_WHEN = re.compile(r"(?:(?:19|20)[0-9]{2}[-./][01]?[0-9][-./][0-3]?[0-9]|[0-3]?[0-9][./][01]?[0-9][./](?:19|20)[0-9]{2}"
+                   r"|[0-2]?[0-9]:[0-5][0-9](?::[0-5][0-9])?)(?:[T ].*)?Z?")
+
+
+def _address(text: str) -> bool:
+    """Four numbers up to 255 and perhaps a port, or eight hexadecimal groups,
+    fewer with a double colon."""
+    if text.count(".") == 3:
+        parts = text.partition(":")[0].split(".")
+        return all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+    groups = text.split(":")
+    named = [g for g in groups if g]
+    if not named or len(groups) > 9 or any(len(g) > 4 or set(g) - _HEX for g in named):
+        return False
+    return text.count("::") == 1 and ":::" not in text or len(named) == len(groups) == 8
+
+
 def _plausible(kind: int, text: str) -> bool:
-    """Digit counts that a span of the kind can have."""
+    """What a span of the kind must hold: digits within the kind's counts, an
+    address its parts, and no date or time in a phone number."""
     digits = _NOT_DIGIT.sub("", text)
-    return {0: "@" in text[1:-1], 1: len(digits) >= 3 and (text.count(".") == 3 or text.count(":") >= 2),
-            2: 12 <= len(digits) <= 19 and luhn(digits), 3: 9 <= len(digits) <= 15}[kind]
+    return {0: "@" in text[1:-1], 1: _address(text), 2: 12 <= len(digits) <= 19 and luhn(digits),
+            3: 9 <= len(digits) <= 15 and not any(_WHEN.fullmatch(w) for w in text.split())}[kind]
+
+
+def _covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """(starts, ends) of the disjoint parts that sorted spans cover."""
+    firsts: list[int] = []
+    ends: list[int] = []
+    for start, _, end in spans:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            firsts.append(start)
+            ends.append(end)
+    return firsts, ends
 
 
 SPANS = "array<struct<kind:string,start:long,end:long,base:boolean>>"
@@ -400,13 +441,17 @@ def _finder(model: Crf):
                     text = raw.decode("utf-8", "replace")
                     base = base_spans(text)
                     spans = [(s, kind, e, True) for s, kind, e in base]
-                    for kind, s, e, found in extra.get(k, ()):
+                    firsts, ends = _covered(base)
+                    at = points = 0  # bytes and code points up to the last span
+                    for kind, s, _, found in sorted(extra.get(k, ()), key=lambda x: x[1]):
+                        points += len(raw[at:s - offsets[k]].decode("utf-8", "replace"))
+                        at = s - offsets[k]
                         a, b = core(found)
                         if not _plausible(kind, found[a:b]):
                             continue
-                        start = len(raw[:s - offsets[k]].decode("utf-8", "replace")) + a
-                        stop = start + b - a
-                        if not any(start < y and x < stop for x, _, y in base):
+                        start, stop = points + a, points + b
+                        near = bisect_left(firsts, stop)  # the covered parts that begin before the span's end
+                        if not near or ends[near - 1] <= start:
                             spans.append((start, kind, stop, False))
                     out.append([{"kind": KINDS[kind], "start": s, "end": e, "base": own}
                                 for s, kind, e, own in sorted(spans)])

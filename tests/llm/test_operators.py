@@ -1,8 +1,10 @@
 """Edge cases and brute-force comparisons of the operators for training data."""
 
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -201,6 +203,16 @@ def test_page_text(spark):
     assert html_extract.main_text(df.limit(0), ["page_id"]).count() == 0
 
 
+def test_page_text_keeps_all_of_an_article():
+    """Formulas, stand-in text and paragraphs under layout names stay; noise beside and in the article goes."""
+    page = ("<html><body><nav><a href=x>Home</a></nav><article><h1>Title</h1><div class='top'><p>First paragraph of all.</p>"
+            "</div><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be so. <noscript>Plain."
+            "</noscript> <object>Object.</object> <canvas>Canvas.</canvas></p><div id='more'><p>The story goes on here."
+            "</p></div><div class='ad'>Buy now.</div></article><div class='bottom'>Imprint.</div><footer>f</footer></body></html>")
+    assert html_extract.extract([page], html_extract.trained()) == [
+        "Title First paragraph of all. Let x=1 be so. Plain. Object. Canvas. The story goes on here."]
+
+
 def test_page_marginals_match_enumeration():
     page = html_extract.parse("<article><h1>a</h1><div><p>b b b.</p><ul><li>c</ul></div></article><footer>d</footer>")
     x, tie, depth = html_extract.block_features(page, html_extract.run_texts(page))
@@ -281,6 +293,58 @@ def test_crf_decodes_held_out_sentences():
     assert right / total > 0.95
 
 
+def test_viterbi_matches_enumeration():
+    rng = np.random.default_rng(3)
+    model, n = pii_crf.Crf(), len(pii_crf.LABELS)
+    allowed = model.moves > -1e8
+    model.moves = np.where(allowed, rng.normal(size=model.moves.shape), -1e9)
+    for size in (1, 2, 4):
+        scores = rng.normal(size=(5, size, n))
+        for run, path in zip(scores, model.viterbi(scores), strict=True):
+            def total(labels, run=run):
+                return sum(model.moves[a, b] + run[k, b] for k, (a, b) in enumerate(zip((n, *labels), labels, strict=False)))
+            assert tuple(path) == max(itertools.product(range(n), repeat=size), key=total)
+
+
+#: Texts of forms that the training table does not hold; [kind:...] marks what is to be found.
+UNSEEN = ("dial [phone:555 123 4567] now", "[phone:(0171) 123-4567] is the number", "tel. [phone:089/1234567]",
+          "phone [phone:0044 20 7946 0958] please", "fax: [phone:030-1234567].", "host [ip:2001:db8::1] is down",
+          "server [ip:fe80::1a2b:3c4d:5e6f], rack 7", "ip [ip:2001:0db8:0000:0000:0000:ff00:0042:8329] seen",
+          "write [email:root@localhost] or [email:ann@mail]", "card [card:4111.1111.1111.1111] was used",
+          "it began 2023-04-05 12:30:45 sharp", "12 345 678 901 people", "some 12 345 678 901 people live there",
+          "at 2023-04-05T12:30:45Z it ended", "on 05.04.2023 12:30 we met", "from 2023/04/05 01:02:03 on",
+          "1 234 567 rows", "sum 123 456 789 in all", "time 12:30:45.", "follow @home", "pages 100-120, 130-150",
+          "version 10.2.300 is out", "ratio 3:2:1 holds", "isbn 978-3-16-148410-1", "in 1999 2000 and 2001",
+          "id 550e8400-e29b-41d4-a716-446655440000", "chapter 12:30 of 1611", "1 2 3 4 5 6 7 8 9 10 11 12")
+
+
+def test_pii_on_unseen_forms(spark):
+    marked, texts = [], []
+    for given in UNSEEN:
+        spans, text = set(), ""
+        for part in re.split(r"(\[(?:phone|ip|email|card):[^\]]*\])", given):
+            if part.startswith("["):
+                kind, _, part = part[1:-1].partition(":")
+                spans.add((kind, len(text), len(text) + len(part)))
+            text += part
+        marked.append(spans)
+        texts.append(text)
+    got = pii_crf.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r.doc_id: {(s.kind, s.start, s.end) for s in r.spans} for r in got}
+    right = sum(len(found[k] & spans) for k, spans in enumerate(marked))
+    assert right >= 0.9 * sum(map(len, marked))           # recall
+    assert right >= 0.9 * sum(map(len, found.values()))   # precision
+
+
+def test_pii_is_linear_in_a_word():
+    word = "1" + "!" * 1_000_000 + "a"
+    began = time.perf_counter()
+    assert pii_crf.core(word) == (0, len(word)) and pii_crf.core(word[:-1]) == (0, 1)
+    assert len(pii_crf.features(word)) >= 4 and time.perf_counter() - began < 5
+    base = [(0, 2, 20), (5, 3, 12), (30, 1, 40)]
+    assert pii_crf._covered(base) == ([0, 30], [20, 40])
+
+
 def test_url_filter_matches_brute_force(spark):
     urls = ["https://Www.Example.com/en/a?x#y", "http://example.com/en/", "http://a.b.net/es/1", "x", None, "", "a://b.com",
             "a://b.com/", "http://net/fr", "http://q.net/fr/x/y", "http://notexample.com/en/z", "ftp://EXAMPLE.COM/EN/1",

@@ -6,6 +6,7 @@ import math
 import os
 import re
 import zlib
+from html import unescape
 
 import pytest
 
@@ -169,6 +170,10 @@ def test_op2_op3_op6_op8(docs, run):
     pages = dict(rows("pages", "page_id", "html"))
     found = run("op6_html")
     assert sorted(r.page_id for r in found) == sorted(pages) and all(r.n_chars == len(r.text) for r in found)
+    for r in found:  # these pages hold their text in one article, with inline <b> only
+        article = re.search(r"<article>(.*)</article>", pages[r.page_id] or "", re.S)
+        inner = re.sub(r"<[^>]+>", " ", re.sub(r"</?b>", "", article[1])) if article else ""
+        assert r.text == " ".join(unescape(inner).split())
     for r in run("op8_pii"):
         base = [(pii_crf.KINDS[k], a, b) for a, k, b in pii_crf.base_spans(texts[r.doc_id] or "")]
         assert [r[f"n_{k}"] for k in pii_crf.KINDS] == [sum(x[0] == k for x in base) for k in pii_crf.KINDS]
