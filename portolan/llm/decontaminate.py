@@ -35,6 +35,9 @@ from portolan.llm.words import combine, segment_hashes, text_buffers, text_chunk
 K1, B, SCORE = 1.2, 0.75, 0.6
 #: Shingles of an item's question and answer that a passage must hold.
 SHINGLE, QUESTION, ANSWER = 3, 0.6, 0.5
+#: Least terms of a passage.  It is twice the length of its items, rounded up to
+#: a power of two: an item's passages do not depend on how long others are.
+PASSAGE = 128
 #: Items of a block of the index.
 BLOCK = 4
 #: Terms of the items in one index, repeats included, so at least its postings
@@ -92,7 +95,7 @@ def shingles(terms: np.ndarray) -> np.ndarray:
 class Index:
     """Inverted index of items 0..n-1, sorted by term hash."""
 
-    ids: list
+    ids: list | pa.Array
     vocabulary: np.ndarray          # sorted term hashes
     start: np.ndarray               # postings of term t: start[t]:start[t+1]
     item: np.ndarray
@@ -114,7 +117,7 @@ class Counts:
 
     items: int                      # items with a term
     mean: float                     # their mean number of terms
-    longest: int
+    window: int                     # terms of a passage of the items that an index holds
     term: np.ndarray                # sorted hashes, all terms of the part at least
     df: np.ndarray                  # items that hold each
 
@@ -144,6 +147,11 @@ def _item_terms(batches):
         yield whole.filter(pa.array(sizes > 0))
 
 
+def window_of(terms: int) -> int:
+    """Terms of a passage for items of so many terms."""
+    return max(PASSAGE, 2 << (terms - 1).bit_length())
+
+
 def build(items: list[tuple[object, str]], counts: Counts | None = None) -> Index | None:
     """Index of (id, text) items; items without a term are left out.  ``counts``
     are those of all items if these are a part of them."""
@@ -163,7 +171,7 @@ def build(items: list[tuple[object, str]], counts: Counts | None = None) -> Inde
     vocabulary, at = np.unique(term, return_inverse=True)
     held = np.bincount(at)
     if counts is None:
-        counts = Counts(n, float(length.mean()), int(length.max()), vocabulary, held)
+        counts = Counts(n, float(length.mean()), window_of(int(length.max())), vocabulary, held)
     df = counts.df[np.searchsorted(counts.term, vocabulary)]
     idf = np.log((counts.items - df + 0.5) / (df + 0.5) + 1.0)
     weight = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / counts.mean))
@@ -176,7 +184,7 @@ def build(items: list[tuple[object, str]], counts: Counts | None = None) -> Inde
     block_max = np.maximum.reduceat(weight, begins)
     return Index([i for i, _, _ in rows], vocabulary, np.concatenate([[0], np.cumsum(held)]), owner, weight,
                  block_start, owner[begins] // BLOCK, block_max, np.maximum.reduceat(block_max, block_start[:-1]),
-                 (n - 1) // BLOCK + 1, max(2 * counts.longest, 64),
+                 (n - 1) // BLOCK + 1, counts.window,
                  [shingles(q) for _, q, _ in rows], [shingles(a) for _, _, a in rows])
 
 
@@ -287,35 +295,41 @@ def _share(part: np.ndarray, held: np.ndarray) -> float:
     return len(np.intersect1d(part, held, assume_unique=True)) / len(part) if len(part) else 1.0
 
 
+def _found(index: Index, terms: np.ndarray, row: np.ndarray, rows: int) -> dict[tuple[int, int], tuple]:
+    """(row, item number) -> (score, question, answer) of the leaks in a chunk."""
+    a, b = passages(row, rows, index.window)
+    found: dict[tuple[int, int], tuple[float, float, float]] = {}
+    for p in candidates(index, terms, a, b).tolist():
+        own = terms[a[p]:b[p]]
+        at = np.searchsorted(index.vocabulary, own)
+        at = np.minimum(at, len(index.vocabulary) - 1)
+        hits = wand(index, np.unique(at[index.vocabulary[at] == own]).tolist(), SCORE)
+        if not hits:
+            continue
+        held = np.unique(np.concatenate([combine(own, w) for w in range(1, SHINGLE + 1)]))
+        for item, score in hits:
+            q, s = _share(index.question[item], held), _share(index.answer[item], held)
+            if q >= QUESTION and s >= ANSWER:
+                key = (int(row[a[p]]), item)
+                found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, q, s))
+    return found
+
+
 def _searcher(shared):
-    """mapInArrow: (id, text) -> (id, item number, score, question, answer)."""
+    """mapInArrow: (id, text) -> (id, item, score, question, answer), by the
+    indexes of one part, one per length of passage."""
 
     def run(batches):
-        index: Index = shared.value
         for batch in batches:
             for i, j, data, offsets in text_chunks(lowered(batch.column(1))):
                 terms, row = terms_of(data, offsets)
-                a, b = passages(row, j - i, index.window)
-                found: dict[tuple[int, int], tuple[float, float, float]] = {}
-                for p in candidates(index, terms, a, b).tolist():
-                    own = terms[a[p]:b[p]]
-                    at = np.searchsorted(index.vocabulary, own)
-                    at = np.minimum(at, len(index.vocabulary) - 1)
-                    hits = wand(index, np.unique(at[index.vocabulary[at] == own]).tolist(), SCORE)
-                    if not hits:
-                        continue
-                    held = np.unique(np.concatenate([combine(own, w) for w in range(1, SHINGLE + 1)]))
-                    for item, score in hits:
-                        q, s = _share(index.question[item], held), _share(index.answer[item], held)
-                        if q >= QUESTION and s >= ANSWER:
-                            key = (int(row[a[p]]), item)
-                            found[key] = max(found.get(key, (0.0, 0.0, 0.0)), (score, q, s))
-                if found:
-                    rows = [i + r for r, _ in found]
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows)), pa.array([index.ids[k] for _, k in found]),
-                         *[pa.array([v[c] for v in found.values()], type=pa.float64()) for c in range(3)]],
-                        names=["id", "item", "score", "question", "answer"])
+                for index in shared.value:
+                    if found := _found(index, terms, row, j - i):
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array([i + r for r, _ in found])),
+                             index.ids.take(pa.array([k for _, k in found])),
+                             *[pa.array([v[c] for v in found.values()], type=pa.float64()) for c in range(3)]],
+                            names=["id", "item", "score", "question", "answer"])
     return run
 
 
@@ -326,20 +340,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     shingles in it.
 
     Null and empty texts and items have no passages and are never found; items
-    with a null id count under id null; repeated documents give a row each,
-    repeated items are separate items.  No items: no rows.  Other columns are
-    not read.
+    with a null id count under id null; ids of both are of any type; repeated
+    documents give a row each, repeated items are separate items.  No items: no
+    rows.  Other columns are not read.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    tests = items.select(F.col(f"`{item_id_col}`").cast("long").alias("item"),
+    tests = items.select(F.col(f"`{item_id_col}`").alias("item"),
                          F.col(f"`{item_text_col}`").cast("string").alias("text"))
-    id_type = base.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, item long, score double, question double, answer double"
+    id_type, item_type = base.schema["id"].dataType.simpleString(), tests.schema["item"].dataType.simpleString()
+    schema = f"id {id_type}, item {item_type}, score double, question double, answer double"
     # one count over all items, so that a part's weights and passages are those of the whole set
-    tests = cut(tests.mapInArrow(_item_terms, "item long, text string, n long, terms array<long>")
+    tests = cut(tests.mapInArrow(_item_terms, f"item {item_type}, text string, n long, terms array<long>")
                 .withColumn("nth", F.monotonically_increasing_id()), "items")
-    n, total, longest = tests.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    n, total = tests.agg(F.count(F.lit(1)), F.sum("n")).first()
     df = cut(tests.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "item-terms")
     parts = -(-(total or 0) // INDEX_TERMS)
     out = spark.createDataFrame([], schema)
@@ -350,9 +364,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         known = df.join(own, "term", "left_semi").toArrow() if parts > 1 else df.toArrow()
         term = known.column("term").to_numpy().view(np.uint64)
         order = np.argsort(term)
-        counts = Counts(n, total / n, longest, term[order], known.column("df").to_numpy()[order])
-        index = build([(r["item"], r["text"]) for r in mine.select("item", "text").orderBy("item", "text").collect()],
-                      counts)
-        if index is not None:
-            out = out.unionByName(base.mapInArrow(_searcher(spark.sparkContext.broadcast(index)), schema))
+        own_items = mine.select("item", "text", "n").orderBy("nth").toArrow()
+        texts, windows = own_items.column("text").to_pylist(), [window_of(k) for k in own_items.column("n").to_pylist()]
+        indexes = []
+        for window in sorted(set(windows)):
+            counts = Counts(n, total / n, window, term[order], known.column("df").to_numpy()[order])
+            index = build([(k, t) for k, (t, w) in enumerate(zip(texts, windows, strict=True)) if w == window], counts)
+            index.ids = own_items.column("item").take(pa.array(index.ids)).combine_chunks()
+            indexes.append(index)
+        if indexes:
+            out = out.unionByName(base.mapInArrow(_searcher(spark.sparkContext.broadcast(indexes)), schema))
     return out.withColumnsRenamed({"id": id_col, "item": "item_id"})

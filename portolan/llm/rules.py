@@ -1,11 +1,12 @@
 """Quality rules as a short-circuit cascade.
 
 A rule looks at the statistics of a text and rejects or passes it.  A text
-that one rule rejects needs no other, so the order decides the work: each
-rule's cost (seconds per row) and selectivity (share of rows rejected) are
-estimated on a sample, and the cascade runs the rules by rejections per cost,
-highest first, each only on the rows that are still alive.  The verdict does
-not depend on the order.
+that one rule rejects needs no other, so the order decides the work: on a
+sample the rules' costs and verdicts are measured, and the cascade takes, again
+and again, the rule with the most rejections per second among the rows still
+alive.  Rules share statistics, so a rule's cost is its marginal one: what it
+takes once the rules before it have run.  The verdict does not depend on the
+order.
 """
 
 from __future__ import annotations
@@ -44,38 +45,76 @@ WORD_LENGTH = Rule("word_length", lambda s: (s.word_chars < 2 * s.n_words) | (s.
 RULES = (FEW_WORDS, REPETITION, SYMBOLS, UPPER_CASE, SHOUTING, DUP_LINES, STUTTERS, WORD_LENGTH)
 
 
-def _measurer(rules: tuple[Rule, ...]):
+_COSTS = pa.schema([("after", pa.int64()), ("rule", pa.int64()), ("verdicts", pa.string()), ("amount", pa.float64())])
+
+
+def _copy(stats: Stats) -> Stats:
+    out = Stats(stats.data, stats.offsets)
+    out.__dict__.update(stats.__dict__)
+    return out
+
+
+def _measurer(rules: tuple[Rule, ...], known: tuple[str, ...]):
+    """mapInArrow over texts: seconds of each rule (``rule``, by number) behind
+    each other rule (``after``; -1: behind none), and rows by ``verdicts``, a
+    character per rule."""
+
     def run(batches):
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
-                rows = len(offsets) - 1
-                for rule in rules:
-                    stats, began = Stats(data, offsets), time.perf_counter()
-                    rejected = int(np.count_nonzero(rule.rejects(stats)))
-                    yield pa.RecordBatch.from_pydict({
-                        "rule": [rule.name], "rows": [rows], "rejected": [rejected],
-                        "seconds": [time.perf_counter() - began]})
+                start = Stats(data, offsets)
+                for name in known:
+                    getattr(start, name)
+                rows, rejected = [], []
+                for before in range(-1, len(rules)):
+                    state = _copy(start)
+                    if before >= 0:
+                        rules[before].rejects(state)
+                    for k, rule in enumerate(rules):
+                        stats, began = _copy(state), time.perf_counter()
+                        out = rule.rejects(stats)
+                        rows.append({"after": before, "rule": k, "amount": time.perf_counter() - began})
+                        if before < 0:
+                            rejected.append(out)
+                for pattern, n in zip(*np.unique(np.array(rejected, dtype=np.uint8).T, axis=0, return_counts=True),
+                                      strict=True):
+                    rows.append({"verdicts": "".join(map(str, pattern)), "amount": float(n)})
+                yield pa.RecordBatch.from_pylist(rows, schema=_COSTS)
     return run
 
 
-def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
-                sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
-    """The rules by rejections per second on a random sample of about
-    ``sample_rows`` rows, measured where the rows are; rules without a
+def greedy(costs: dict[tuple[int, int], float], verdicts: dict[str, float], rules: int) -> list[int]:
+    """Rule numbers by rejections per second among the rows still alive.
+    ``costs[after, rule]`` are seconds behind one other rule (-1: none); behind
+    several a rule is as cheap as behind the best of them.  Rules without a
     rejection come last, cheapest first."""
+    order: list[int] = []
+    while len(order) < rules:
+        ranks = {}
+        for k in set(range(rules)) - set(order):
+            cost = max(min(costs[before, k] for before in (-1, *order)), 1e-9)
+            ranks[k] = -sum(n for v, n in verdicts.items() if v[k] == "1") / cost, cost
+        best = min(ranks, key=ranks.get)
+        order.append(best)
+        verdicts = {v: n for v, n in verdicts.items() if v[best] == "0"}
+    return order
+
+
+def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
+                sample_rows: int = SAMPLE_ROWS, known: tuple[str, ...] = ()) -> tuple[Rule, ...]:
+    """The rules in the order of the cascade, from a random sample of about
+    ``sample_rows`` rows, measured where the rows are.  ``known`` names the
+    statistics that are there before the first rule runs, at no cost to it."""
     share = min(1.0, sample_rows / max(docs.count(), 1))
     sample = docs.select(F.col(f"`{text_col}`").cast("string").alias("_text")).sample(share, seed=4)
-    seen = {r["rule"]: r for r in sample.mapInArrow(
-        _measurer(rules), "rule string, rows long, rejected long, seconds double").groupBy("rule").agg(
-            F.sum("rejected").alias("rejected"), F.sum("seconds").alias("seconds")).collect()}
+    seen = sample.mapInArrow(
+        _measurer(rules, known), "after long, rule long, verdicts string, amount double").groupBy(
+            "after", "rule", "verdicts").agg(F.sum("amount").alias("amount")).collect()
     if not seen:
         return rules
-
-    def rank(rule: Rule) -> tuple[float, float]:
-        cost = max(seen[rule.name]["seconds"], 1e-9)
-        return -seen[rule.name]["rejected"] / cost, cost
-
-    return tuple(sorted(rules, key=rank))
+    costs = {(r["after"], r["rule"]): r["amount"] for r in seen if r["verdicts"] is None}
+    verdicts = {r["verdicts"]: r["amount"] for r in seen if r["verdicts"] is not None}
+    return tuple(rules[k] for k in greedy(costs, verdicts, len(rules)))
 
 
 def survivors(data: np.ndarray, offsets: np.ndarray, rules: tuple[Rule, ...],
@@ -113,8 +152,15 @@ def _subset(stats: Stats, left: np.ndarray, pieces: np.ndarray, ends: np.ndarray
     return out
 
 
-def filter_rows(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass every rule, in their own columns."""
+def filter_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass every rule, in their own columns.  Each
+    statistic is computed only for the rows that come to a rule that needs it.
+
+    Null and empty texts have no words and fail the least number of words;
+    repeated rows are judged alike; an empty table stays empty.
+    """
+    rules = order_rules(docs, rules, text_col)
+
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
@@ -123,6 +169,8 @@ def filter_rows(docs: DataFrame, rules: tuple[Rule, ...], text_col: str = "text"
     return docs.mapInArrow(run, docs.schema)
 
 
+#: Statistics that the report shows of every row.
+SHOWN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 REPORT_SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
                  "base_failed boolean, kept boolean")
 
@@ -133,13 +181,12 @@ def _reporter(rules: tuple[Rule, ...]):
             for i, j, data, offsets in text_chunks(batch.column(1)):
                 s = Stats(data, offsets)
                 failed = FEW_WORDS.rejects(s) | REPETITION.rejects(s)
-                shown = [s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words]
+                shown = [getattr(s, name) for name in SHOWN]
                 kept = survivors(data, offsets, rules, s) & ~failed
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), *[pa.array(v.astype(np.int64)) for v in shown],
                      pa.array(failed), pa.array(kept)],
-                    names=["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                           "base_failed", "kept"])
+                    names=["id", *SHOWN, "base_failed", "kept"])
     return run
 
 
@@ -152,5 +199,5 @@ def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
     """
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
     id_type = base.schema["id"].dataType.simpleString()
-    return base.mapInArrow(_reporter(order_rules(docs, rules, text_col)), f"id {id_type}, {REPORT_SCHEMA}") \
+    return base.mapInArrow(_reporter(order_rules(docs, rules, text_col, known=SHOWN)), f"id {id_type}, {REPORT_SCHEMA}") \
         .withColumnRenamed("id", id_col)

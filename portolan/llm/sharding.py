@@ -143,8 +143,10 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
     as the empty one and shares its group.  Equal texts go to the same shard.
     The law is ``bytes``: the largest shard is as small as the order of the
     groups allows.  ``slot`` numbers a shard's rows from 0 without gaps, in an
-    order fixed by id and text within parts of about SLOT_ROWS rows.
-    Repeated rows are separate rows with slots of their own, null ids are
+    order fixed by id and text within parts of about SLOT_ROWS different rows.
+    Repeated rows are separate rows with slots of their own: they are counted,
+    numbered as one with a width, and dealt out again, SLOT_ROWS at a time, so
+    no task holds all copies of a row.  Null ids are
     allowed, an empty table gives an empty result; other columns are not read.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -173,14 +175,27 @@ def shard(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: s
             place = F.when(F.col("h").isin(hashes), F.lit(s)).otherwise(place)
 
     parts = max(1, -(-n // (shards * SLOT_ROWS)))
-    placed = rows.withColumn("shard", place.cast("int")).withColumn(
-        "part", F.pmod(F.xxhash64("_id", "h"), F.lit(parts)).cast("int"))
-    counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("c"))
-    offsets = counts.select("shard", "part", (F.sum("c").over(
-        Window.partitionBy("shard").orderBy("part")) - F.col("c")).alias("before"))
-    within = F.row_number().over(Window.partitionBy("shard", "part").orderBy("_id", "h"))
-    numbered = placed.withColumn("within", within.cast("long"))
-    return (numbered.join(if_small(offsets, shards * parts), ["shard", "part"])
-            .select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-                    (F.col("before") + F.col("within") - 1).alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard")))
+    # equal rows are one row with a count up to here
+    placed = cut(rows.groupBy("_id", "h", "size", "text_crc32").agg(F.count(F.lit(1)).alias("c"))
+                 .withColumn("shard", place.cast("int"))
+                 .withColumn("part", F.pmod(F.xxhash64("_id", "h"), F.lit(parts)).cast("int")), "placed")
+    counts = placed.groupBy("shard", "part").agg(F.sum("c").alias("in_part"))
+    offsets = counts.select("shard", "part", (F.sum("in_part").over(
+        Window.partitionBy("shard").orderBy("part")) - F.col("in_part")).alias("before"))
+    upto = F.sum("c").over(Window.partitionBy("shard", "part").orderBy("_id", "h", "size", "text_crc32")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = (placed.withColumn("first", upto - F.col("c"))
+                .join(if_small(offsets, shards * parts), ["shard", "part"])
+                .withColumn("first", F.col("before") + F.col("first")))
+    few = numbered.where(F.col("c") <= SLOT_ROWS).withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
+    if n <= SLOT_ROWS:
+        out = few
+    else:  # the copies of a hot row are dealt out by all tasks; a given number, so that none are merged
+        tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        begins = F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(SLOT_ROWS).cast("long"))
+        many = (numbered.where(F.col("c") > SLOT_ROWS).withColumn("begin", F.explode(begins))
+                .repartition(tasks, "_id", "h", "begin")
+                .withColumn("nth", F.explode(F.sequence("begin", F.least("c", F.col("begin") + SLOT_ROWS) - 1))))
+        out = few.unionByName(many.drop("begin"))
+    return out.select(F.col("_id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                      (F.col("first") + F.col("nth")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

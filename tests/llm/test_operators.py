@@ -192,6 +192,18 @@ def test_sharding_is_minimax_and_gapless(spark, messy, nothing):
     assert sharding.shard(nothing, 4).count() == 0
 
 
+def test_slots_of_a_row_that_is_a_third_of_the_table(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 50)
+    hot = F.col("id") % 3 == 0
+    docs = spark.range(2000).select(F.when(hot, -1).otherwise(F.col("id")).alias("doc_id"),
+                                    F.when(hot, "copy").otherwise(F.concat(F.lit("t"), "id")).alias("text"))
+    got = sharding.shard(docs, 5).collect()
+    assert len(got) == 2000 and len({r.shard for r in got if r.doc_id == -1}) == 1
+    for s in range(5):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.collect())
+
+
 def test_page_text(spark):
     pages = ["<html><head><title>t</title><script>var a='<p>x</p>';</script></head><body><nav><a href=x>Home</a></nav>"
              "<article><h1>Title</h1><p>One &amp;  two.<p><b>Three\nfour<br>five</article><div class='ad'>Buy.</div>"
@@ -258,6 +270,20 @@ def test_line_dedup_matches_brute_force(spark, messy, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_rules_by_marginal_cost(spark, messy, nothing):
+    # rule 1 is dear by itself and cheap behind rule 0; rule 2 rejects nothing that rule 0 leaves
+    costs = {(before, k): {0: 1.0, 1: 9.0, 2: 1.5}[k] for before in (-1, 0, 1, 2) for k in range(3)} | {(0, 1): 0.1}
+    assert rules.greedy(costs, {"101": 6.0, "100": 8.0, "010": 2.0, "000": 4.0}, 3) == [0, 1, 2]
+    assert rules.greedy(costs, {"001": 6.0, "100": 8.0, "010": 2.0}, 3) == [0, 1, 2]
+    assert rules.greedy({k: 1.0 for k in costs}, {"001": 6.0, "100": 8.0, "010": 2.0}, 3) == [0, 2, 1]
+    for part in (messy, messy.limit(1), nothing):
+        assert sorted(r.name for r in rules.order_rules(part)) == sorted(r.name for r in rules.RULES)
+    kept = [r.doc_id for r in rules.report(messy).collect() if r.kept]
+    left = rules.filter_rows(messy)
+    assert left.columns == messy.columns and sorted(r.doc_id for r in left.collect()) == sorted(kept) and kept
+    assert rules.filter_rows(nothing).count() == 0
+
+
 def test_personal_data(spark, messy, nothing):
     got = {r.doc_id: r.spans for r in pii_crf.find(messy).collect()}
     assert [s.kind for s in got[10]] == ["email", "phone", "ip"] and all(s.base for s in got[10])
@@ -418,6 +444,24 @@ def test_decontamination_in_parts_equals_one_index(spark, monkeypatch):
     assert sorted(map(str, decontaminate.leaks(docs, tests).collect())) == one
 
 
+def test_a_long_item_leaves_passages_of_short_ones_alone(spark):
+    """Words of a short item scattered over a document are no leak, however long other items are; ids are of any type."""
+    rng = random.Random(10)
+    short = " ".join(f"s{k}" for k in range(24)) + ". " + " ".join(f"a{k}" for k in range(6)) + "."
+    long = " ".join(f"l{rng.randrange(900)}" for _ in range(700)) + ". " + " ".join(f"e{k}" for k in range(9)) + "."
+    held = short.split()
+    parts = [held[:8], held[8:16], held[16:24], held[24:]]
+    scattered = " ".join(" ".join(p + [f"x{rng.randrange(500)}" for _ in range(150)]) for p in parts)
+    filler = " ".join(f"x{rng.randrange(500)}" for _ in range(900))
+    docs = spark.createDataFrame([("whole", f"{filler} {short} {filler}"), ("scattered", scattered),
+                                  ("long", f"{filler} {long} {filler}")], "doc_id string, text string")
+    tests = spark.createDataFrame([("short", short), ("long", long)], "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, tests).collect()}
+    assert got == {("whole", "short"), ("long", "long")}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, tests.where("item_id = 'short'")).collect()} == {
+        ("whole", "short")}
+
+
 def test_wand_retrieves_all_above_threshold():
     rng = random.Random(8)
     index = decontaminate.build([(i, " ".join(f"v{int(rng.expovariate(0.05))}" for _ in range(12))) for i in range(80)])

@@ -2,6 +2,7 @@
 against their SQL or brute force, and the scale rules of the native modules."""
 
 import hashlib
+import itertools
 import math
 import os
 import re
@@ -108,14 +109,15 @@ def brute_leaks(docs, items):
             tf = (q + a).count(w)
             own[w] = math.log((n - df[w] + 0.5) / (df[w] + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))
         weights.append({w: v / sum(own.values()) for w, v in own.items()})
-    window, out = max(2 * max(len(q + a) for _, q, a in parts), 64), set()
-    for i, t in docs:
+    windows = [max(128, 2 ** (math.ceil(math.log2(len(q + a))) + 1)) for _, q, a in parts]
+    out = set()
+    for (i, t), window in itertools.product(docs, sorted(set(windows))):
         own = terms(t or "")
         for at in range(0, max(len(own) - window // 2, 1), window // 2):
             held = own[at:at + window]
             have, seen = set(held), set().union(*(grams(held, k) if len(held) >= k else set() for k in (1, 2, 3)))
-            for (item, q, a), weight in zip(parts, weights, strict=True):
-                if sum(v for w, v in weight.items() if w in have) >= 0.6 - 1e-9 and len(
+            for (item, q, a), weight, size in zip(parts, weights, windows, strict=True):
+                if size == window and sum(v for w, v in weight.items() if w in have) >= 0.6 - 1e-9 and len(
                         grams(q) & seen) >= 0.6 * len(grams(q)) and len(grams(a) & seen) >= 0.5 * len(grams(a)):
                     out.add((i, item))
     return out
