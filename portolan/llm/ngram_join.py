@@ -206,6 +206,10 @@ def _hamming(a: Column, b: Column) -> Column:
                        F.lit(0), lambda s, x: s + x)
 
 
+#: Columns of the nodes that `may_link` needs.
+BOUND = ("node", "n", "parity")
+
+
 def may_link(threshold: Threshold) -> Column:
     """Size and Hamming bounds of sides a and b."""
     na, nb = F.col("a.n"), F.col("b.n")
@@ -218,8 +222,8 @@ def may_link(threshold: Threshold) -> Column:
 class Sketched:
     """Written intermediate tables of one join."""
 
-    rows: DataFrame      # _id, _th, n, node: one row per document
-    nodes: DataFrame     # node, n, parity, th, least: one row per distinct set
+    rows: DataFrame      # _id, n, f1, f2: one row per document
+    nodes: DataFrame     # node, f1, f2, n, parity, th, least: one row per distinct set
     members: DataFrame   # key, node of the buckets with two sets or more
     texts: DataFrame     # _th, _text of all documents
 
@@ -229,27 +233,30 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: T
     base = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(f"`{text_col}`").alias("_th"),
                        F.col(f"`{text_col}`").cast("string").alias("_text"))
     id_type = base.schema["_id"].dataType.simpleString()
-    sketched = cut(base.mapInArrow(_sketcher(width, threshold, lower, 2),
-                                   f"_id {id_type}, _th long, {SKETCH_SCHEMA}"), "sketches")
-    node = F.concat(F.hex("f1"), F.lit("-"), F.hex("f2"), F.lit("-"), F.col("n")).alias("node")
-    rows = sketched.select("_id", "_th", "n", node)
+    sketches = Table(docs.sparkSession, "sketches")
+    sketched = sketches.write(base.mapInArrow(_sketcher(width, threshold, lower, 2),
+                                              f"_id {id_type}, _th long, {SKETCH_SCHEMA}")).read()
+    rows = cut(sketched.select("_id", "n", "f1", "f2"), "rows")
     full = sketched.where("n > 0")
-    # one row stands for all copies of a set; its keys alone go into buckets
-    nodes = Table(docs.sparkSession, "nodes").write(
-        full.groupBy("f1", "f2", "n").agg(F.min(F.struct("_th", "_id")).alias("r"), F.min("_id").alias("least"))
-        .select(node, "n", "f1", F.col("r._th").alias("th"), F.col("r._id").alias("rid"), "least")).read()
+    # one row stands for all copies of a set; its keys alone go into buckets.  Its
+    # number is fixed by the table that it is written to
+    nodes = cut(
+        full.groupBy("f1", "f2", "n").agg(F.min(F.struct("_th", "_id")).alias("r"), F.min("_id").alias("least"),
+                                          F.first("parity").alias("parity"))
+        .select(F.monotonically_increasing_id().alias("node"), "f1", "f2", "n", "parity", F.col("r._th").alias("th"),
+                F.col("r._id").alias("rid"), "least"), "nodes")
     stand_in = nodes.select(F.col("rid").alias("_id"), F.col("th").alias("_th"), "f1")
     # a repeated row (same id and text) would enter twice: harmless, keys are counted by distinct set
     keyed = Table(docs.sparkSession, "keys")
     keyed.write(full.select("_id", "_th", "f1", "keys").join(
         stand_in, (full["_id"].eqNullSafe(stand_in["_id"])) & (full["_th"] == stand_in["_th"])
         & (full["f1"] == stand_in["f1"]), "left_semi").select("f1", "keys"))
+    sketches.drop()
     buckets = keyed.read().select(F.explode("keys").alias("key"), "f1")
     members = cut(shared_members(buckets, "f1").join(nodes.select("f1", "node"), "f1").select("key", "node"),
                   "members")
     keyed.drop()
-    parity = full.select(node, "parity").groupBy("node").agg(F.first("parity").alias("parity"))
-    return Sketched(rows, nodes.drop("f1", "rid").join(parity, "node"), members, base.select("_th", "_text"))
+    return Sketched(rows, nodes.drop("rid"), members, base.select("_th", "_text"))
 
 
 def _checker(s: Sketched, nodes: DataFrame, width: int, threshold: Threshold, lower: bool):
@@ -278,7 +285,7 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies.  Null ids stand for themselves; empty texts have no links."""
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
     check = _checker(s, nodes, width, threshold, lower)
-    links = check(other_pairs(s.members, nodes, None, may_link(threshold)))
+    links = check(other_pairs(s.members, nodes.select(*BOUND), None, may_link(threshold)))
     ids = nodes.select("node", "least")
     return (links.join(ids.select(F.col("node").alias("a"), F.col("least").alias("least_a")), "a")
             .join(ids.select(F.col("node").alias("b"), F.col("least").alias("least_b")), "b")
@@ -297,12 +304,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     """
     s, nodes = _start(docs, id_col, text_col, width, threshold, lower)
     check = _checker(s, nodes, width, threshold, lower)
-    roots = linked_components(s.members, nodes, may_link(threshold), check)
-    least = s.nodes.select("node", "least")
-    linked = roots.join(least, "node")
+    roots = linked_components(s.members, nodes.select(*BOUND), may_link(threshold), check)
+    linked = roots.join(nodes.select("node", "least"), "node")
     smallest = linked.groupBy("root").agg(F.min("least").alias("small"))
     linked = linked.join(smallest, "root").select("node", "small")
-    whole = least.join(linked, "node", "left").select("node", F.coalesce("small", "least").alias("component_id"))
-    return (s.rows.join(whole, "node", "left")
+    whole = s.nodes.select("node", "f1", "f2", "n", "least").join(linked, "node", "left").select(
+        "f1", "f2", "n", F.coalesce("small", "least").alias("component_id"))
+    return (s.rows.join(whole, ["f1", "f2", "n"], "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("_id")).otherwise(F.col("component_id")).alias("component_id")))
