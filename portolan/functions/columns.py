@@ -165,13 +165,15 @@ def partial_sum(c, scale: int | None = None):
 
 def fixed_mean(c, scale: int | None = None) -> Column:
     """Mean of a measure: plain, or exact at ``scale`` decimals (given here or
-    by `exact_digits`) as fixed-point sum / non-null count."""
+    by `exact_digits`) as fixed-point sum / non-null count.  The units are
+    summed as decimals: at 8 digits a long holds a total of 9e10 only."""
     if scale is None and exact_mode():
         scale = _EXACT.get()[1]
     if scale is None:
         return F.avg(as_col(c))
     units = fixed_units(c, scale)
-    return (F.sum(units).cast("double") / F.lit(float(10 ** scale))) / F.count(units).cast("double")
+    total = F.sum(units.cast(T.DecimalType(19, 0)))
+    return (total.cast("double") / F.lit(float(10 ** scale))) / F.count(units).cast("double")
 
 
 # --------------------------------------------------------------------------

@@ -97,7 +97,7 @@ def trade_summary(d: Domain) -> DataFrame:
 @query("trade_stats")
 def trade_stats(d: Domain) -> DataFrame:
     """DQ-4, one pass: count, exact mean, min and max of the filled measures."""
-    return dq.numeric_stats(trade_fill(d), ["quantity", "weight", "primary_value_usd"])
+    return dq.numeric_stats(trade_fill(d), ["quantity", "weight", "primary_value_usd"], scale=2)
 
 
 @query("distinct_periods")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from portolan.functions.columns import exact_digits, fixed_mean, fixed_sum
 from portolan.operators.joins import lookup
+from portolan.operators.quality import numeric_stats
 from portolan.plans.context import MART_YEARS
 from portolan.streaming.jobs import file_stream
 
@@ -37,6 +38,16 @@ def test_exact_mode_raises_on_more_digits(spark):
             _doubles(spark, value).agg(bad).first()
 
 
+def test_exact_mean_of_a_total_beyond_a_long(spark):
+    """2e11 at 8 digits is 2e19 units, more than 64 bits hold."""
+    df = spark.range(4).select((F.lit(5e10) + F.col("id")).alias("v"))
+    with exact_digits():
+        mean, stats = fixed_mean("v"), numeric_stats(df, ["v"])
+    assert df.agg(mean).first()[0] == pytest.approx(5e10 + 1.5, rel=1e-15)
+    assert stats.first()["mean"] == pytest.approx(5e10 + 1.5, rel=1e-15)
+    assert numeric_stats(df, ["v"], scale=2).first()["mean"] == 5e10 + 1.5
+
+
 def test_duplicate_keys_raise_beyond_the_broadcast_bound(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
