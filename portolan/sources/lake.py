@@ -19,6 +19,11 @@ from portolan.session import scratch_path
 # after this many rows.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# Files that a task keeps open in a partitioned write, and what each of them
+# holds in memory at most (a row group).
+OPEN_FILES, OPEN_FILE_BYTES = 24, 32 << 20
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 # Zone folder names of the lake layout.
 TRADE_ZONE, RATES_ZONE, INDICATORS_ZONE, DIM_ZONE, FINAL_ZONE = (
@@ -66,19 +71,25 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 single_file: bool = False) -> None:
     """SNK-1: overwrite ``path`` with ``df``.
 
-    With ``partition_by`` the rows are sorted within each task by the
-    partition columns first, so a task keeps one open file at a time; there
-    is no repartition (a hot year would otherwise land in one task).
+    With ``partition_by`` a task keeps a file open for each of up to
+    ``OPEN_FILES`` partitions, so its rows need no sort; only a task that meets
+    more partitions sorts what is left.  There is no repartition (a hot year
+    would otherwise land in one task).
     ``single_file`` (``coalesce(1)``) is an opt-in for tiny outputs only: it
     funnels the whole table through one task.
     """
-    w = df.coalesce(1) if single_file else df
-    if partition_by:
-        w = w.sortWithinPartitions(*partition_by)
-    writer = w.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    spark = df.sparkSession
+    writer = (df.coalesce(1) if single_file else df).write.mode("overwrite").options(
+        maxRecordsPerFile=max_records_per_file, compression="zstd")
+    if not partition_by:
+        writer.parquet(path)
+        return
+    before = spark.conf.get(_OPEN_FILES, "0")
+    spark.conf.set(_OPEN_FILES, str(OPEN_FILES))
+    try:
+        writer.option("parquet.block.size", OPEN_FILE_BYTES).partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(_OPEN_FILES, before)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

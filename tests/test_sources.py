@@ -4,8 +4,10 @@ files, mart reader pruning partitions."""
 import tempfile
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from portolan.sources import lake
 from portolan.sources import tables as src
 from portolan.sources.lake import LakePaths, materialize_counted, write_table
 
@@ -65,6 +67,30 @@ def test_materialize_counted_observes_rows(spark):
     assert n == 123 and t.count() == 123
 
 
+def test_partitioned_write_sorts_no_rows(spark, tmp_path, monkeypatch):
+    """Also of more partitions than a task keeps files open for; the session's
+    own setting stays."""
+    import pyarrow.parquet as pq
+    from pyspark.sql.classic.dataframe import DataFrame
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", lambda *a, **k: pytest.fail("the table is sorted"))
+    seen, parquet = [], DataFrameWriter.parquet
+
+    def watched(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(lake._OPEN_FILES)))
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    before = spark.conf.get(lake._OPEN_FILES)
+    rows = spark.range(4000, numPartitions=2).select("id", (F.col("id") % (2 * lake.OPEN_FILES)).cast("int").alias("year"))
+    write_table(rows, str(tmp_path / "t"), ["year"])
+    assert seen == [lake.OPEN_FILES] and spark.conf.get(lake._OPEN_FILES) == before
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert len({f.parent for f in files}) == 2 * lake.OPEN_FILES
+    assert pq.ParquetFile(files[0]).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert spark.read.parquet(str(tmp_path / "t")).exceptAll(rows).isEmpty()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+
+
 def test_materialize_empty_partitioned_table(spark):
     empty = spark.range(0).select(F.col("id").cast("int").alias("year"), F.lit("x").alias("v"))
     t, n = materialize_counted(empty, "empty", ["year"])
