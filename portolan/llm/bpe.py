@@ -30,7 +30,7 @@ from portolan.llm.words import text_buffers
 
 #: Distinct pre-tokens that a worker remembers, and those that it lets wait
 #: before it encodes them: about 150 bytes each.
-REMEMBERED, WAITING = 600_000, 300_000
+REMEMBERED, WAITING = 250_000, 60_000
 #: Longer pre-tokens are encoded on their own.
 SHORT_BYTES = 64
 #: Texts of more characters are split into pre-tokens step by step.
@@ -299,7 +299,8 @@ def digest(ranks: dict[bytes, int]) -> str:
 
 
 def _encoder(ranks, name: str, pattern: str) -> Encoder:
-    """The worker's encoder of the vocabulary ``name``; successive tasks share its memory."""
+    """The worker's encoder of the vocabulary ``name``; successive tasks share it, not
+    the pre-tokens that it remembers: a worker also serves other stages."""
     key = (name, pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -321,8 +322,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
     """
     shared, name = _broadcast(docs.sparkSession, ranks), digest(ranks)
 
-    def run(batches):
-        encoder = _encoder(shared, name, pattern)
+    def encoded(batches, encoder):
         for batch in batches:
             texts, kept, start, waiting = batch.column(batch.num_columns - 1), batch.columns[:-1], 0, []
 
@@ -349,6 +349,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                     yield from settled(k + 1)
                     start, waiting = k + 1, []
 
+    def run(batches):
+        encoder = _encoder(shared, name, pattern)
+        try:
+            yield from encoded(batches, encoder)
+        finally:
+            encoder.reset()
+
     keep = [c for c in docs.columns if c not in (text_col, out_col)]
     text = unused("_text", keep)
     base = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(text))

@@ -32,9 +32,10 @@ from portolan.llm.words import mix, shingle_sets, text_chunks, words_of
 #: Ratio of a size band's bounds; it exceeds 1/similarity, so partners lie in
 #: the same or the next band.
 BAND = 1.7
-#: A block with fewer shingles says little; a band has this share of blocks
-#: beyond the pigeonhole number, and a document may leave out as many.
-SPARE, FEW = 0.07, 3
+#: A block of few shingles says little, an empty one nothing.  A band has this
+#: share of blocks beyond the pigeonhole number, and a document leaves out its
+#: smallest blocks, as many as its own size allows (`block_keys`).
+SPARE = 0.07
 _U = np.uint64
 
 
@@ -75,7 +76,15 @@ class Bands:
             self.low.append(end)
             self.diff.append(d)
             # without a possible difference only equal sets are linked: no blocks
-            self.blocks.append(0 if d == 0 else d + 1 + (int(SPARE * d) + 1 if d >= 8 else 0))
+            self.blocks.append(0 if d == 0 else d + 1 + (int(SPARE * d) + 1 if d >= 3 else 0))
+
+    def own_diff(self, sizes: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
+        """Largest symmetric difference between a set of each size and one that
+        it is linked with (and that has ``most`` elements at most)."""
+        t = self.threshold
+        partner = sizes * t.den // t.num
+        total = sizes + (partner if most is None else np.minimum(partner, most))
+        return total * (t.den - t.num) // (t.den + t.num)
 
     def of(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(own band, 1 if a partner may lie in the band below) of each size."""
@@ -97,7 +106,13 @@ def block_keys(hashes: np.ndarray, doc: np.ndarray, band: np.ndarray, blocks: np
     """(key, document) of the blocks that the documents put into buckets.
 
     ``hashes`` are the documents' sorted sets behind each other; band, blocks
-    and diff hold one value per document.
+    and diff hold one value per document; diff bounds its difference to every
+    partner in the band.
+
+    A document has ``blocks - diff - 1`` blocks to spare.  It keeps those of at
+    least as many shingles as its first block beyond the spared smallest ones.
+    Of two linked sets, the one with the higher such bound still shares a block
+    that it keeps, and equal blocks have equal numbers: the other keeps it too.
     """
     base = _segments(blocks)
     total = int(base[-1])
@@ -114,9 +129,11 @@ def block_keys(hashes: np.ndarray, doc: np.ndarray, band: np.ndarray, blocks: np
     word = folded[cut_at[1:]] ^ folded[cut_at[:-1]]
     owner = np.repeat(np.arange(len(blocks)), blocks)
     index = np.arange(total) - base[owner]
-    few = count < FEW
-    spared = np.bincount(owner[few], minlength=len(blocks))
-    keep = ~few | (spared > blocks - diff - 1)[owner]
+    ascending = count[np.lexsort((count, owner))]
+    some = blocks > 0
+    least = np.zeros(len(blocks), dtype=np.int64)
+    least[some] = ascending[(base[:-1] + blocks - diff - 1)[some]]
+    keep = count >= least[owner]
     key = mix(word ^ mix((band[owner].astype(np.uint64) << _U(32)) + index.astype(np.uint64) + _U(1)))
     return key[keep], owner[keep]
 
@@ -155,11 +172,12 @@ def _sketcher(width: int, threshold: Threshold, lower: bool, passed: int):
                 xors = np.zeros(len(hashes) + 1, dtype=np.uint64)
                 np.bitwise_xor.accumulate(mix(hashes ^ _U(0x5BE0CD19137E2179)), out=xors[1:])
                 band, below = bands.of(sizes)
-                blocks, diff = np.asarray(bands.blocks), np.asarray(bands.diff)
+                blocks, starts = np.asarray(bands.blocks), np.asarray(bands.low)
                 some = sizes > 0
-                own = block_keys(hashes, doc, band, np.where(some, blocks[band], 0), diff[band])
+                own = block_keys(hashes, doc, band, np.where(some, blocks[band], 0), bands.own_diff(sizes))
                 less = np.maximum(band - 1, 0)
-                low = block_keys(hashes, doc, less, np.where(some & below, blocks[less], 0), diff[less])
+                low = block_keys(hashes, doc, less, np.where(some & below, blocks[less], 0),
+                                 bands.own_diff(sizes, starts[less + 1] - 1))
                 key, owner = np.concatenate([own[0], low[0]]), np.concatenate([own[1], low[1]])
                 order = np.argsort(owner, kind="stable")
                 parity, at = parity_sketches(hashes, doc, sizes)

@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,6 +97,58 @@ def test_ngram_join_finds_near_copies(spark, width, num, den):
     assert got == {i: min(j for j, r in enumerate(root) if r == root[i]) for i in range(len(rows))}
 
 
+def _keys(sets, threshold):
+    """The bucket keys of every set of hashes."""
+    bands, sizes = ngram_join.Bands(threshold), np.array([len(x) for x in sets])
+    band, below = bands.of(sizes)
+    blocks, starts = np.asarray(bands.blocks), np.asarray(bands.low)
+    hashes, doc = np.concatenate([np.sort(x) for x in sets]), np.repeat(np.arange(len(sets)), sizes)
+    less, out = np.maximum(band - 1, 0), [set() for _ in sets]
+    for found in (ngram_join.block_keys(hashes, doc, band, blocks[band], bands.own_diff(sizes)),
+                  ngram_join.block_keys(hashes, doc, less, np.where(below, blocks[less], 0),
+                                        bands.own_diff(sizes, starts[less + 1] - 1))):
+        for key, k in zip(*found, strict=True):
+            out[k].add(int(key))
+    return out
+
+
+@pytest.mark.parametrize("num,den", [(9, 10), (4, 5)])
+def test_blocks_of_sets(num, den):
+    """Linked sets share a bucket, at the least similarity too; unlike sets are
+    not brought together by blocks without a shingle."""
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(0, (1 << 64) - 1, n, dtype=np.uint64)
+    for n in [*range(1, 70), *range(70, 1200, 23)]:
+        for both in {-(-n * num // den), n - n // 20, n}:
+            a = draw(n)
+            most = both * den // num - n  # elements of the other set that are not in this one
+            b = np.concatenate([a[:both], draw(rng.integers(0, max(most, 0), endpoint=True))])
+            if both * den >= num * (n + len(b) - both) and (n != both or len(b) != both):
+                x, y = _keys([a, b], ngram_join.Threshold(num, den))
+                assert x & y, (n, both, len(b))
+    apart = _keys([draw(n) for n in range(100, 300)], ngram_join.Threshold(num, den))
+    shared = sum(1 for i, x in enumerate(apart) for y in apart[:i] if x & y)
+    assert shared <= 2
+
+
+def test_worker_memory_of_the_encoder():
+    """What a worker keeps and lets wait stays in bounds (of some 40 MB)."""
+    assert bpe.REMEMBERED + bpe.WAITING <= 320_000
+
+
+def test_tasks_leave_no_words_in_the_worker(spark):
+    """A worker that has encoded texts remembers none of them afterwards."""
+    ranks = {bytes([b]): b for b in range(256)}
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(50)], "doc_id long, text string").coalesce(1)
+    assert bpe.encode(docs, ranks, r"\S+|\s+").count() == 50
+
+    def left(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(e.codes) for e in bpe._ENCODERS.values())]})
+
+    assert [r.n for r in spark.range(1).coalesce(1).mapInArrow(left, "n long").collect()] == [0]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
