@@ -215,11 +215,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # the bucketed lines' texts, from a document where they stand; lines and
     # documents grow together, so no side is broadcast by a hint
-    at = cut(members.select("node").distinct().join(nodes, "node").select(
-        "node", F.col("at_th").alias("_th"), F.col("at_place").alias("place")), "line-ends")
-    whole = base.select("_th", "_text").join(at.select("_th").distinct(), "_th", "left_semi")
-    named = cut(whole.select("_th", F.posexplode(F.split("_text", "\n")).alias("place", "_text"))
-                .join(at, ["_th", "place"]).groupBy("node").agg(F.min("_text").alias("_text")), "line-texts")
+    at = (members.select("node").distinct().join(nodes, "node")
+          .groupBy(F.col("at_th").alias("_th")).agg(F.collect_list(F.struct("at_place", "node")).alias("at")))
+    # the texts are exchanged once, by hash, and one of equal texts is split, once
+    whole = base.select("_th", "_text").groupBy("_th").agg(F.min("_text").alias("_text")).join(at, "_th")
+    split = whole.select(F.split("_text", "\n").alias("split"), "at").select("split", F.explode("at").alias("at"))
+    named = cut(split.select("at.node", F.get("split", "at.at_place").alias("_text")).where("_text is not null"),
+                "line-texts")
     bounded = cut(named.mapInArrow(_profiler, "node long, n long, parity array<long>"), "line-parity")
 
     def check(pairs: DataFrame) -> DataFrame:

@@ -148,5 +148,7 @@ def linked_components(members: DataFrame, nodes: DataFrame, may_link: Column,
     roots, over = components(check(star_pairs(members, nodes, may_link)), "a", "b"), 1
     for salt in range(ROUNDS if few_keys else 0):
         roots = _merged(roots, check(near_pairs(members, nodes, roots, may_link, few_keys, over, salt)))
-        over = NEAR  # smaller buckets are done
+        if over < NEAR:  # smaller buckets are done
+            large = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > NEAR).select("key")
+            members, over = cut(members.join(large.hint("shuffle_hash"), "key", "left_semi"), "large-members"), NEAR
     return _merged(roots, check(other_pairs(members, nodes, roots, may_link, few_keys, over)))
