@@ -17,6 +17,7 @@ from portolan.llm import (
     decontaminate,
     html_extract,
     line_dedup,
+    linkage,
     ngram_join,
     pii_crf,
     quality_gam,
@@ -323,6 +324,24 @@ def test_line_dedup_matches_brute_force(spark, messy, nothing):
     assert line_dedup.dedup_lines(nothing).count() == 0
 
 
+def test_small_buckets_leave_after_the_first_round(spark, monkeypatch):
+    """All pairs of a small bucket meet in the first round; only larger buckets go on."""
+    members = spark.createDataFrame([(1, n) for n in range(5)] + [(2, n) for n in range(100, 200)], "key long, node long")
+    seen, near, other = [], linkage.near_pairs, linkage.other_pairs
+
+    def watched(found):
+        def run(rows, *rest):
+            seen.append(rows.count())
+            return found(rows, *rest)
+        return run
+
+    monkeypatch.setattr(linkage, "near_pairs", watched(near))
+    monkeypatch.setattr(linkage, "other_pairs", watched(other))
+    linked = linkage.linked_components(members, members.select("node"), F.lit(True), lambda p: p, few_keys=True)
+    assert {r.node: r.root for r in linked.collect()} == {n: 0 if n < 5 else 100 for n in [*range(5), *range(100, 200)]}
+    assert seen == [105, 100, 100]
+
+
 def test_rules_by_marginal_cost(spark, messy, nothing):
     # rule 1 is dear by itself and cheap behind rule 0; rule 2 rejects nothing that rule 0 leaves
     costs = {(before, k): {0: 1.0, 1: 9.0, 2: 1.5}[k] for before in (-1, 0, 1, 2) for k in range(3)} | {(0, 1): 0.1}
