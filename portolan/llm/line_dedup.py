@@ -31,6 +31,9 @@ SHINGLE = 10
 #: Lines are linked from this Jaccard similarity on: num / den.
 NUM, DEN = 4, 5
 BANDS, ROWS = 8, 3
+#: Bytes of text, about, whose shingles are handled at a time: what numpy makes of
+#: them stays in a core's cache.
+PIECE = 1 << 17
 #: Columns of a line's bucket keys; null for a line shorter than a shingle.
 KEYS = [f"k{b}" for b in range(BANDS)]
 
@@ -56,9 +59,12 @@ class Lines:
         self.end = np.where(last, following, following - 1)
         first = np.searchsorted(self.row, np.arange(rows))
         self.place = np.arange(len(self.row)) - first[self.row] if rows else self.row
-        solid = np.flatnonzero((self.points != 32) & ((self.points < 9) | (self.points > 13)))
-        self.has_word = np.searchsorted(solid, self.end) > np.searchsorted(solid, self.start)
-        self.codes = (self.points + _U(1)) * _U(0xD6E8FEB86659FD93)
+        # up to the next line there is only the line and its break, which is white space
+        solid = np.append((self.points != 32) & ((self.points - np.uint32(9)) > 4), False)
+        self.has_word = (self.end > self.start) & (np.logical_or.reduceat(solid, self.start) if rows else False)
+        self.codes = np.zeros(len(self.points) + SHINGLE, dtype=np.uint64)
+        np.add(self.points, _U(1), out=self.codes[:len(self.points)])
+        self.codes[:len(self.points)] *= _U(0xD6E8FEB86659FD93)
 
     def hashes(self) -> np.ndarray:
         """Hash of each whole line: 64 bits of a cryptographic one, which no
@@ -75,15 +81,21 @@ class Lines:
         count = np.where(size >= SHINGLE, size - SHINGLE + 1, (size > 0).astype(np.int64))
         line = np.repeat(np.arange(len(size)), count)
         first = np.cumsum(count) - count
-        at = np.arange(len(line)) + np.repeat(self.start - first, count)
+        begins = np.zeros(len(self.points) + 1, dtype=np.int8)  # 1 where shingles begin, as a sum
+        begins[self.start[count > 0]] += 1
+        begins[(self.start + count)[count > 0]] -= 1
+        begins = np.cumsum(begins[:-1], dtype=np.int8).view(bool)
         # windows of 2, 4, 8 and 10 codes, each from two shorter ones; such short
         # sums over powers of the base are safe
-        codes, step = np.concatenate([self.codes, np.zeros(SHINGLE, dtype=np.uint64)]), _POWERS.get(SHINGLE)[0]
-        two = codes[:-1] + step[1] * codes[1:]
-        four = two[:-2] + step[2] * two[2:]
-        ten = four[:-4] + step[4] * four[4:]
-        ten = ten[:len(two) - 8][:len(self.codes)] + step[8] * two[8:][:len(self.codes)]
-        sums = ten[at]
+        codes, step, n = self.codes, _POWERS.get(SHINGLE)[0], len(self.points)
+        two = codes[1:] * step[1]
+        two += codes[:-1]
+        four = two[2:] * step[2]
+        four += two[:-2]
+        ten = four[4:4 + n] * step[4]
+        ten += four[:n]
+        ten += two[8:8 + n] * step[8]
+        sums = ten[begins]
         short = np.flatnonzero((size > 0) & (size < SHINGLE))
         whole = np.zeros(len(short), dtype=np.uint64)
         for k in range(SHINGLE - 1):  # a short line is summed to its end only
@@ -95,24 +107,26 @@ class Lines:
 
 def band_keys(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
     """Bucket keys (lines x BANDS) of the one-permutation MinHash signatures."""
-    signature = np.full(lines * _PLACES, _EMPTY, dtype=np.uint64)
-    place = (((hashes >> _U(32)) * _U(_PLACES)) >> _U(32)).astype(np.int64)
-    np.minimum.at(signature, line * _PLACES + place, hashes)
-    signature = signature.reshape(lines, _PLACES)
+    # a row per place, so that the steps below go along them
+    signature = np.full((_PLACES, lines), _EMPTY, dtype=np.uint64)
+    at = hashes >> _U(32)
+    at *= _U(_PLACES)
+    at >>= _U(32)
+    at *= _U(lines)
+    at += line.view(np.uint64)
+    np.minimum.at(signature.reshape(-1), at.view(np.int64), hashes)
     empty = signature == _EMPTY
     if empty.any():
         for k in [*range(_PLACES - 2, -1, -1), *range(_PLACES - 1, -1, -1)]:
             after = (k + 1) % _PLACES
-            signature[:, k] = np.where(empty[:, k], mix(signature[:, after] + _U(1)), signature[:, k])
-            if after != 0:  # a bin filled from a filled one counts as filled from now on
-                empty[:, k] &= empty[:, after]
-            else:
-                empty[:, k] &= empty[:, 0]
+            bare = np.flatnonzero(empty[k])
+            signature[k, bare] = mix(signature[after, bare] + _U(1))
+            empty[k] &= empty[after]  # a bin filled from a filled one counts as filled from now on
     keys = np.empty((lines, BANDS), dtype=np.uint64)
     for band in range(BANDS):
         key = np.full(lines, mix(np.array([band + 1], dtype=np.uint64))[0])
         for row in range(ROWS):
-            key = mix(key + signature[:, band * ROWS + row])
+            key = mix(key + signature[band * ROWS + row])
         keys[:, band] = key
     return keys
 
@@ -123,7 +137,7 @@ KEY_SCHEMA = ", ".join(f"{k} long" for k in KEYS)
 def _signer(batches):
     """mapInArrow: (id, text hash, text) -> one row per line with a word."""
     for batch in batches:
-        for i, j, data, offsets in text_chunks(batch.column(2)):
+        for i, j, data, offsets in text_chunks(batch.column(2), PIECE):
             lines = Lines(data, offsets)
             hashes, line = lines.shingles()
             keys = band_keys(hashes, line, len(lines.row))
@@ -175,7 +189,7 @@ def _common(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nda
 def _profiler(batches):
     """mapInArrow: (node, line) -> (node, n, parity): what bounds a pair's similarity."""
     for batch in batches:
-        for i, j, data, offsets in text_chunks(batch.column(1)):
+        for i, j, data, offsets in text_chunks(batch.column(1), PIECE):
             hashes, sizes = _shingle_sets(data, offsets)
             parity, at = parity_sketches(hashes, np.repeat(np.arange(len(sizes)), sizes), sizes)
             yield pa.RecordBatch.from_arrays(
@@ -187,8 +201,8 @@ def _profiler(batches):
 def _verifier(batches):
     for batch in batches:
         keep = np.zeros(batch.num_rows, dtype=bool)
-        for i, j, data, offsets in text_chunks(batch.column(2)):
-            for x, y, other, ends in text_chunks(batch.column(3).slice(i, j - i)):
+        for i, j, data, offsets in text_chunks(batch.column(2), PIECE):
+            for x, y, other, ends in text_chunks(batch.column(3).slice(i, j - i), PIECE):
                 left = _shingle_sets(data[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x])
                 right = _shingle_sets(other, ends)
                 both = _common(left, right)
@@ -204,14 +218,15 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = base.schema["_id"].dataType.simpleString()
     lines = cut(base.mapInArrow(_signer, f"_id {id_type}, _th long, place int, line long, {KEY_SCHEMA}"), "lines")
     # plain columns, no structs: Spark sums them up by hashing, without a sort.
-    # at_th and at_place are of one row, any that has the line.
+    # at_th and at_place are of one row, any that has the line.  A line's keys are
+    # the same wherever it stands.
     nodes = cut(lines.groupBy(F.col("line").alias("node")).agg(
         F.min("_id").alias("least"), F.max(F.isnull("_id")).alias("nameless"), F.count(F.lit(1)).alias("c"),
         F.first("_th").alias("at_th"), F.first("place").alias("at_place"),
-        *[F.first(k).alias(k) for k in KEYS]), "line-nodes")
+        *[F.max(k).alias(k) for k in KEYS]), "line-nodes")
     # a line goes into its buckets once, however often it stands somewhere
-    buckets = nodes.where(f"{KEYS[0]} is not null").select(F.explode(F.array(*KEYS)).alias("key"), "node")
-    members = cut(shared_members(buckets, "node"), "line-members")
+    buckets = nodes.where(f"{KEYS[0]} is not null").select(F.array(*KEYS).alias("keys"), "node")
+    members = cut(shared_members(buckets, "node", nodes.count() * BANDS), "line-members")
 
     # the bucketed lines' texts, from a document where they stand; lines and
     # documents grow together, so no side is broadcast by a hint

@@ -12,28 +12,114 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.graph import components
 from portolan.llm.store import cut
+from portolan.llm.words import mix
 
+#: Pairs of a key and a node that are looked through at a time, about.
+PART = 1 << 18
+#: Buckets of up to so many members are done by the pairs with their least and
+#: greatest member: these are all their pairs.
+STARS = 3
 #: Members of a bucket that are compared with each other at a time.
 CHUNK = 256
 #: Members of the small chunks, and how often a bucket is dealt into such.
 NEAR, ROUNDS = 64, 2
 
 
-def shared_members(buckets: DataFrame, node: str) -> DataFrame:
+def _dealt(parts: int):
+    """mapInArrow: (keys, node) -> (part, keys, nodes): the pairs of a key and
+    its node, a row for each part of the keys' range."""
+    def run(batches):
+        held, pairs = [], 0
+        for batch in batches:
+            lists, node = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            sizes = np.diff(lists.offsets.to_numpy())
+            held.append((lists.flatten().to_numpy(zero_copy_only=False), np.repeat(node, sizes)))
+            pairs += int(sizes.sum())
+            if pairs >= PART:
+                yield packed(held)
+                held, pairs = [], 0
+        if pairs:
+            yield packed(held)
+
+    def packed(held):
+        key, node = (np.concatenate(x) for x in zip(*held, strict=True))
+        part = ((mix(key.view(np.uint64)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.min_scalar_type(parts))
+        order = np.argsort(part, kind="stable")
+        ends = np.append(0, np.cumsum(np.bincount(part, minlength=parts))).astype(np.int32)
+        full = np.flatnonzero(np.diff(ends))
+        ends = pa.array(np.append(ends[full], ends[-1]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full), *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (key, node))],
+            names=["part", "keys", "nodes"])
+
+    return run
+
+
+class _Sharing:
+    """Finds the keys with two different nodes or more among pairs that come
+    piece by piece; holds one node per key."""
+
+    def __init__(self) -> None:
+        self.key = self.node = np.zeros(0, dtype=np.int64)
+        self.out = np.zeros(0, dtype=bool)  # of keys whose held node is given out
+        self.more, self.waiting = [], 0
+
+    def add(self, key: np.ndarray, node: np.ndarray) -> pa.RecordBatch | None:
+        self.more.append((key, node))
+        self.waiting += len(key)
+        return self.found() if self.waiting >= max(2 * PART, len(self.key)) else None
+
+    def found(self) -> pa.RecordBatch:
+        """(key, node) of the shared keys, as far as not given out before."""
+        key, node = (np.concatenate(x) for x in zip((self.key, self.node), *self.more, strict=True))
+        order = np.argsort(key, kind="stable")  # the held node of a key comes first
+        key, node = key[order], node[order]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, dtype=np.int64)
+        first = node[start]
+        other = node != np.repeat(first, np.diff(np.append(start, len(key))))
+        shared = np.logical_or.reduceat(other, start) if len(key) else other
+        out = np.append(self.out, np.zeros(self.waiting, dtype=bool))[order][start]
+        new = shared & ~out
+        self.key, self.node, self.out, self.more, self.waiting = key[start], first, out | shared, [], 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(self.key[new], key[other])), pa.array(np.append(first[new], node[other]))],
+            names=["key", "node"])
+
+
+def _shared(batches):
+    """mapInArrow: (part, keys, nodes), sorted by part -> (key, node)."""
+    at, sharing = None, _Sharing()
+    for batch in batches:
+        keys, nodes = batch.column(1), batch.column(2)
+        for i, part in enumerate(batch.column(0).to_pylist()):
+            if part != at:
+                yield sharing.found()
+                at, sharing = part, _Sharing()
+            found = sharing.add(*(x[i].values.to_numpy(zero_copy_only=False) for x in (keys, nodes)))
+            if found is not None:
+                yield found
+    yield sharing.found()
+
+
+def shared_members(buckets: DataFrame, node: str, pairs: int) -> DataFrame:
     """Distinct (key, node) of the buckets with two different nodes or more.
+    ``buckets`` has a node, a long, and its ``keys``, an array of longs, without
+    nulls; ``pairs`` is about the number of all keys.
 
-    The rows are exchanged once, by key: the least and greatest node, the rows
-    that stay and their distinct ones all come from that exchange."""
-    dealt = buckets.select("key", node).repartition("key")
-    shared = (dealt.groupBy("key").agg(F.min(node).alias("lo"), F.max(node).alias("hi"))
-              .where("lo <> hi").select("key"))
-    # few buckets are shared: their keys are the hash side, nothing is sorted
-    return dealt.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct()
+    Nearly all buckets have one node.  So their rows are exchanged once, in
+    arrays for each part of the keys' range (of about PART pairs, however many
+    there are), and a part is looked through on its own."""
+    dealt = buckets.select("keys", node).mapInArrow(
+        _dealt(pairs // PART + 1), "part long, keys array<long>, nodes array<long>")
+    return (dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_shared, "key long, node long")
+            .distinct().withColumnRenamed("node", node))
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:
@@ -46,8 +132,8 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:
 def star_pairs(members: DataFrame, nodes: DataFrame, may_link: Column) -> DataFrame:
     """(a, b): each member of a bucket with its least and greatest member."""
     ends = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    pairs = (members.join(ends, "key").select("node", F.explode(F.array("lo", "hi")).alias("hub"))
-             .where("node <> hub").select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")))
+    pairs = (members.join(ends, "key").where("node < hi")  # the greatest one meets the least one from there
+             .select("node", F.explode(F.array("lo", "hi")).alias("hub")).where("node <> hub").select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")))
     return _bounded(pairs, nodes, may_link)
 
 
@@ -140,15 +226,21 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(grown.unionByName(alone), "roots")
 
 
+def _larger(members: DataFrame, over: int) -> DataFrame:
+    """The members of the buckets of more than ``over``."""
+    large = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > over).select("key")
+    return cut(members.join(large.hint("shuffle_hash"), "key", "left_semi"), "large-members")
+
+
 def linked_components(members: DataFrame, nodes: DataFrame, may_link: Column,
                       check: Callable[[DataFrame], DataFrame], few_keys: bool = False) -> DataFrame:
     """(node, root) of the nodes that have links; ``few_keys`` as in
     `_open_members`.  Small chunks come first only then: a node of many buckets
     would be dealt and compared in each of them once more."""
-    roots, over = components(check(star_pairs(members, nodes, may_link)), "a", "b"), 1
+    roots = components(check(star_pairs(members, nodes, may_link)), "a", "b")
+    members, over = _larger(members, STARS), STARS
     for salt in range(ROUNDS if few_keys else 0):
         roots = _merged(roots, check(near_pairs(members, nodes, roots, may_link, few_keys, over, salt)))
         if over < NEAR:  # smaller buckets are done
-            large = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > NEAR).select("key")
-            members, over = cut(members.join(large.hint("shuffle_hash"), "key", "left_semi"), "large-members"), NEAR
+            members, over = _larger(members, NEAR), NEAR
     return _merged(roots, check(other_pairs(members, nodes, roots, may_link, few_keys, over)))

@@ -270,8 +270,9 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: T
         stand_in, (full["_id"].eqNullSafe(stand_in["_id"])) & (full["_th"] == stand_in["_th"])
         & (full["f1"] == stand_in["f1"]), "left_semi").select("f1", "keys"))
     sketches.drop()
-    buckets = keyed.read().select(F.explode("keys").alias("key"), "f1")
-    members = cut(shared_members(buckets, "f1").join(nodes.select("f1", "node"), "f1").select("key", "node"),
+    buckets = keyed.read()
+    pairs = buckets.agg(F.sum(F.size("keys"))).first()[0] or 0
+    members = cut(shared_members(buckets, "f1", pairs).join(nodes.select("f1", "node"), "f1").select("key", "node"),
                   "members")
     keyed.drop()
     return Sketched(rows, nodes.drop("rid"), members, base.select("_th", "_text"))

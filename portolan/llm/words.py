@@ -34,9 +34,13 @@ _HASHED = 1 << 16
 
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (xor-shift-multiply); a bijection."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    out = x >> _U(30)
+    out ^= x
+    out *= _U(0xBF58476D1CE4E5B9)
+    out ^= out >> _U(27)
+    out *= _U(0x94D049BB133111EB)
+    out ^= out >> _U(31)
+    return out
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)

@@ -342,6 +342,52 @@ def test_small_buckets_leave_after_the_first_round(spark, monkeypatch):
     assert seen == [105, 100, 100]
 
 
+def test_buckets_that_stars_compare_wholly_leave_at_once(spark, monkeypatch):
+    """The pairs with the least and greatest member are all pairs of two or three."""
+    sizes = {1: 2, 2: 3, 3: 4, 4: 70}
+    members = spark.createDataFrame([(k, 100 * k + n) for k, c in sizes.items() for n in range(c)], "key long, node long")
+    seen, near, other = [], linkage.near_pairs, linkage.other_pairs
+
+    def watched(found):
+        def run(rows, *rest):
+            seen.append({r.key for r in rows.select("key").distinct().collect()})
+            return found(rows, *rest)
+        return run
+
+    monkeypatch.setattr(linkage, "near_pairs", watched(near))
+    monkeypatch.setattr(linkage, "other_pairs", watched(other))
+    asked = []
+    linked = linkage.linked_components(members, members.select("node"), F.lit(True), lambda p: (
+        asked.extend(map(tuple, p.collect())), p.where("a < 300 or a % 100 < 2"))[1], few_keys=True)
+    assert {r.node: r.root for r in linked.collect()} == {100 * k + n: 100 * k for k, c in sizes.items() for n in range(c)}
+    assert seen == [{3, 4}, {4}, {4}]
+    assert {p for p in asked if p[0] < 300} == {(100, 101), (200, 201), (200, 202), (201, 202)}
+
+
+def test_shared_members_match_brute_force(spark, monkeypatch):
+    """Common keys, keys of one node, repeated rows and nodes without keys; with parts
+    that are looked through in many pieces, too."""
+    rng = random.Random(8)
+    rows = [(n, [rng.choice([7, rng.randrange(-400, 400), rng.randrange(2 ** 62)]) for _ in range(rng.randrange(6))])
+            for n in range(1500)]
+    rows += rows[:50] * 3 + [(-1, [2 ** 62 + 1] * 4)]
+    nodes = {}
+    for n, keys in rows:
+        for k in keys:
+            nodes.setdefault(k, set()).add(n)
+    want = sorted((k, n) for k, x in nodes.items() if len(x) > 1 for n in x)
+    buckets = spark.createDataFrame([(keys, n) for n, keys in rows], "keys array<long>, node long")
+    for pairs in (0, 5000, 40 * linkage.PART):
+        assert sorted(map(tuple, linkage.shared_members(buckets, "node", pairs).collect())) == want
+    monkeypatch.setattr(linkage, "PART", 16)
+    batches = [pa.RecordBatch.from_arrays([pa.array([k for _, k in rows[i:i + 9]], pa.list_(pa.int64())),
+                                           pa.array([n for n, _ in rows[i:i + 9]])], names=["keys", "node"])
+               for i in range(0, len(rows), 9)]
+    dealt = pa.Table.from_batches(list(linkage._dealt(3)(iter(batches)))).sort_by("part")
+    found = pa.Table.from_batches(list(linkage._shared(iter(dealt.to_batches(max_chunksize=5))))).to_pydict()
+    assert sorted(set(zip(found["key"], found["node"], strict=True))) == want
+
+
 def test_rules_by_marginal_cost(spark, messy, nothing):
     # rule 1 is dear by itself and cheap behind rule 0; rule 2 rejects nothing that rule 0 leaves
     costs = {(before, k): {0: 1.0, 1: 9.0, 2: 1.5}[k] for before in (-1, 0, 1, 2) for k in range(3)} | {(0, 1): 0.1}
